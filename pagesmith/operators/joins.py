@@ -1,0 +1,31 @@
+"""Join helpers: broadcast only behind a size check, otherwise a salted shuffle join."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_BROADCAST_ROWS = 1_000_000
+DEFAULT_SALTS = 32
+
+
+def sized_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner",
+               small_rows: int | None = None, broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+               salts: int = DEFAULT_SALTS, salt_cols: list[str] | None = None) -> DataFrame:
+    """Join ``big`` to ``small`` on ``on``.
+
+    ``small`` is broadcast only if its row count (given, or counted here - call this on an
+    aggregated or checkpointed table) is at most ``broadcast_rows``.  Beyond that a salted shuffle
+    join is used: each ``small`` row is copied to ``salts`` buckets and every ``big`` row picks one
+    bucket from a hash of ``salt_cols``, so one hot key is spread over ``salts`` tasks.
+    Supports inner and left joins (``big`` on the left).
+    """
+    if how not in ("inner", "left"):
+        raise ValueError("sized_join supports inner and left joins")
+    n = small.count() if small_rows is None else small_rows
+    if n <= broadcast_rows:
+        return big.join(F.broadcast(small), on, how)
+    cols = salt_cols or big.columns
+    salted_big = big.withColumn("_salt", F.pmod(F.xxhash64(*cols), F.lit(salts)))
+    salted_small = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return salted_big.join(salted_small, list(on) + ["_salt"], how).drop("_salt")

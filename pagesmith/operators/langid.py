@@ -26,12 +26,15 @@ MAX_LANGUAGES = 1000
 
 
 def trigrams(text: Column) -> Column:
-    """Overlapping character (code point) trigrams of lower(text), with repeats; [] if shorter."""
+    """Overlapping character (code point) trigrams of lower(text), with repeats; [] if shorter.
+
+    Three shifted slices of the code-point array are zipped, so the split runs a fixed number of
+    times per row (an index lambda over the array expression would re-split per element)."""
     chars = F.regexp_extract_all(F.lower(text), F.lit("(?s)(.)"), 1)
-    n = F.size(chars)
-    grams = F.transform(F.sequence(F.lit(0), n - 3),
-                        lambda i: F.concat(chars.getItem(i), chars.getItem(i + 1), chars.getItem(i + 2)))
-    return F.when(n >= 3, grams).otherwise(F.array().cast("array<string>"))
+    n = F.size(chars) - 2
+    zipped = F.arrays_zip(F.slice(chars, 1, n), F.slice(chars, 2, n), F.slice(chars, 3, n))
+    grams = F.transform(zipped, lambda z: F.concat(z["0"], z["1"], z["2"]))
+    return F.when(n >= 1, grams).otherwise(F.array().cast("array<string>"))
 
 
 @dataclass

@@ -69,9 +69,10 @@ def language_counts(df: DataFrame, col: str = "language") -> DataFrame:
         .select(col, "n", (F.col("n") - 1).alias("n_reference"))
 
 
-def batch_row_counts(df: DataFrame, file_col: str = "file_name") -> DataFrame:
-    """A3: rows per input batch file."""
-    return df.groupBy(file_col).agg(F.count(F.lit(1)).alias("n"))
+def batch_row_counts(df: DataFrame, file_col: str | list[str] = "file_name") -> DataFrame:
+    """A3: rows per input batch file (``file_col`` may list extra columns fixed per file)."""
+    cols = [file_col] if isinstance(file_col, str) else list(file_col)
+    return df.groupBy(*cols).agg(F.count(F.lit(1)).alias("n"))
 
 
 def with_file_name(df: DataFrame) -> DataFrame:

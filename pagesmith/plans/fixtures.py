@@ -138,12 +138,14 @@ EVENT_CONTENT_TYPE = {
 
 
 def attempts(spark, sf_dir) -> DataFrame:
-    """Fetch attempts from events: one URL per user, status 500 for errors, else 200."""
+    """Fetch attempts from events: one page per user, requested with a trailing '/' on odd
+    event ids and without one on even ids (two URLs, one object name); status 500 for errors."""
     e = table(spark, sf_dir, "events")
     ct = F.create_map(*[F.lit(x) for kv in EVENT_CONTENT_TYPE.items() for x in kv])
     return e.select(
         F.col("event_id").alias("id"),
-        F.concat(F.lit("https://example.org/"), F.col("user_id").cast("string")).alias("url"),
+        F.concat(F.lit("https://example.org/"), F.col("user_id").cast("string"),
+                 F.when(F.col("event_id") % 2 == 1, F.lit("/")).otherwise(F.lit(""))).alias("url"),
         F.col("ts").alias("fetched_at"),
         F.when(F.col("event_type") == "error", F.lit(500)).otherwise(F.lit(200)).alias("status"),
         F.try_element_at(ct, F.col("event_type")).alias("content_type"),

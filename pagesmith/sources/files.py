@@ -13,8 +13,9 @@ from pagesmith.functions.urls import path_basename
 def scan_html_pages(spark: SparkSession, directory: str, pattern: str = "*.html") -> DataFrame:
     """Every matching file of one directory (not recursive), whole file as one UTF-8 string.
     -> (path, file_name, html).  File order is not defined."""
-    df = spark.read.option("wholetext", True).option("pathGlobFilter", pattern).text(directory)
-    return df.select(F.col("_metadata.file_path").alias("path"),
+    df = spark.read.text(directory, wholetext=True, pathGlobFilter=pattern)
+    part_cols = [c for c in df.columns if c != "value"]  # discovered partition folders, if any
+    return df.select(*part_cols, F.col("_metadata.file_path").alias("path"),
                      F.col("_metadata.file_name").alias("file_name"), F.col("value").alias("html"))
 
 

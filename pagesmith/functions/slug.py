@@ -42,10 +42,6 @@ def _tables() -> tuple[str, str, dict[str, str]]:
     return "".join(src), "".join(dst), multi
 
 
-def _multi_class(multi: dict[str, str]) -> str:
-    return "[" + "".join(f"\\x{{{ord(c):x}}}" for c in sorted(multi)) + "]"
-
-
 def to_ascii(c: Column | str) -> Column:
     """NFKD + drop non-ASCII, natively."""
     src, dst, multi = _tables()
@@ -53,7 +49,9 @@ def to_ascii(c: Column | str) -> Column:
     chars = F.regexp_extract_all(c, F.lit("(?s)(.)"), 1)
     m = F.create_map(*[F.lit(x) for kv in sorted(multi.items()) for x in kv])
     expanded = F.array_join(F.transform(chars, lambda ch: F.coalesce(F.try_element_at(m, ch), ch)), "")
-    step1 = F.when(c.rlike(_multi_class(multi)), expanded).otherwise(c)
+    # a char-set translate is a hash lookup per character; a 445-entry regex class is not
+    has_multi = F.length(F.translate(c, "".join(sorted(multi)), "")) != F.length(c)
+    step1 = F.when(has_multi, expanded).otherwise(c)
     step2 = F.regexp_replace(F.translate(step1, src, dst), "[^\\x00-\\x7f]", "")
     return F.when(c.rlike("[^\\x00-\\x7f]"), step2).otherwise(c)
 

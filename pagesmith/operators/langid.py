@@ -21,20 +21,28 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagesmith.operators.joins import DEFAULT_BROADCAST_ROWS, DEFAULT_SALTS, sized_join
+from pagesmith.operators.partitioning import spread
 
 MAX_LANGUAGES = 1000
 
 
+SUPPLEMENTARY = "[\\x{10000}-\\x{10ffff}]"
+
+
 def trigrams(text: Column) -> Column:
     """Overlapping character (code point) trigrams of lower(text), with repeats; [] if shorter.
 
-    Three shifted slices of the code-point array are zipped, so the split runs a fixed number of
-    times per row (an index lambda over the array expression would re-split per element)."""
-    chars = F.regexp_extract_all(F.lower(text), F.lit("(?s)(.)"), 1)
+    One look-ahead regex pass gives all overlapping trigrams.  A look-ahead can start inside a
+    UTF-16 surrogate pair, so rows holding characters above U+FFFF take a code-point path instead:
+    three shifted slices of the code-point array, zipped."""
+    low = F.lower(text)
+    fast = F.regexp_extract_all(low, F.lit("(?s)(?=(...))"), 1)
+    chars = F.regexp_extract_all(low, F.lit("(?s)(.)"), 1)
     n = F.size(chars) - 2
-    zipped = F.arrays_zip(F.slice(chars, 1, n), F.slice(chars, 2, n), F.slice(chars, 3, n))
-    grams = F.transform(zipped, lambda z: F.concat(z["0"], z["1"], z["2"]))
-    return F.when(n >= 1, grams).otherwise(F.array().cast("array<string>"))
+    zipped = F.arrays_zip(F.slice(chars, 1, F.greatest(n, F.lit(0))), F.slice(chars, 2, F.greatest(n, F.lit(0))),
+                          F.slice(chars, 3, F.greatest(n, F.lit(0))))
+    slow = F.transform(zipped, lambda z: F.concat(z["0"], z["1"], z["2"]))
+    return F.when(text.rlike(SUPPLEMENTARY), slow).otherwise(fast)
 
 
 @dataclass
@@ -49,7 +57,7 @@ def train_profile(training: DataFrame, lang_col: str = "lang", text_col: str = "
     spark = training.sparkSession
     from pagesmith.session import shared_dir
     shared_dir(spark)  # make sure a reliable checkpoint folder exists
-    grams = training.filter(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()) \
+    grams = spread(training).filter(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()) \
         .select(F.col(lang_col).alias("lang"), F.explode(trigrams(F.col(text_col))).alias("gram"))
     counts = grams.groupBy("lang", "gram").agg(F.count(F.lit(1)).alias("c")).checkpoint()
     totals = counts.groupBy("lang").agg(F.sum("c").alias("t"))

@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from pagesmith.functions.text import sanitize_text
 from pagesmith.functions.urls import path_basename
+from pagesmith.operators.partitioning import spread
 
 PERMISSIVE, FAILFAST = "PERMISSIVE", "FAILFAST"
 ROWS_PER_ARROW_BATCH = 256
@@ -48,14 +49,6 @@ FACET_FIELDS = (
 PDF_META = 'meta[name="citation_pdf_url"]'
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give a Python stage at least one partition per core.  A large scan already has far more
-    partitions than cores, so this adds no shuffle at scale; a one-file fixture gets one."""
-    sc = df.sparkSession.sparkContext
-    want = sc.defaultParallelism
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
-
-
 def _extractor(key_names, html_name, scope, record, fields, mode, whole_page):
     from pagesmith.operators import htmltree as H
 

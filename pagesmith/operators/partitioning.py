@@ -1,0 +1,15 @@
+"""Partitioning helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give a CPU-heavy stage at least one partition per core.  A large scan already has far more
+    partitions than cores, so this adds no shuffle at scale; a one-file fixture gets one.
+    Streaming inputs are returned as they are."""
+    if df.isStreaming:
+        return df
+    want = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df

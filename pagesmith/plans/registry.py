@@ -202,14 +202,14 @@ def parse_grouped_int(spark, d):
 
 @q
 def slugify(spark, d):
-    docs = fx.table(spark, d, "documents")
-    return docs.select("doc_id", slug.slugify(fx.first_line(F.col("text"))).alias("slug"))
+    docs = fx.table(spark, d, "documents").select("doc_id", fx.first_line(F.col("text")).alias("line"))
+    return docs.select("doc_id", slug.slugify("line").alias("slug"))
 
 
 @q
 def slugify_unicode(spark, d):
-    docs = fx.table(spark, d, "documents")
-    return docs.select("doc_id", slug.slugify_unicode(fx.first_line(F.col("text"))).alias("slug"))
+    docs = fx.table(spark, d, "documents").select("doc_id", fx.first_line(F.col("text")).alias("line"))
+    return docs.select("doc_id", slug.slugify_unicode("line").alias("slug"))
 
 
 @q

@@ -47,7 +47,8 @@ def scan_json_tolerant(spark: SparkSession, directory: str, field: str = "url")
         .option("columnNameOfCorruptRecord", "_corrupt_record").json(directory) \
         .select(F.col("_metadata.file_name").alias("file_name"), field, "_corrupt_record")
     rows = df.filter(F.col("_corrupt_record").isNull()).select("file_name", field)
-    errors = df.filter(F.col("_corrupt_record").isNotNull()) \
+    # corrupt rows have every field NULL; naming the field keeps Spark off the corrupt-column-only path
+    errors = df.filter(F.col("_corrupt_record").isNotNull() & F.col(field).isNull()) \
         .select("file_name", F.lit("malformed JSON").alias("error")).distinct()
     return rows, errors
 

@@ -1,0 +1,5 @@
+"""Incremental runs of the row-wise operators over a stream of page files."""
+
+from pagesmith.streaming.incremental import PAGES_SCHEMA, read_page_stream, articles_stream, start_parquet_sink
+
+__all__ = ["PAGES_SCHEMA", "read_page_stream", "articles_stream", "start_parquet_sink"]

@@ -1,0 +1,17 @@
+from pagesmith.operators import markup
+from pagesmith.plans import fixtures as fx
+from pagesmith.streaming import articles_stream, read_page_stream, start_parquet_sink
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_stream_equals_batch(spark, tmp_path):
+    src, out, ckpt = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "ckpt")
+    cards = fx.card_pages(spark, SF)
+    cards.write.parquet(src)
+    q = start_parquet_sink(articles_stream(read_page_stream(spark, src)), out, ckpt)
+    q.awaitTermination(300)
+    got = spark.read.parquet(out)
+    batch = markup.extract_articles(spark.read.parquet(src))
+    assert got.count() == batch.count() > 0
+    assert got.exceptAll(batch.select(*got.columns)).count() == 0

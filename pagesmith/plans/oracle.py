@@ -169,7 +169,7 @@ def insert_page(url: str, page: str) -> str:
 
 
 ORACLE: dict[str, str] = {
-    "scan_html_pages": "SELECT page_id, length(html || chr(10)) AS n_chars, md5(html || chr(10)) AS html_md5 FROM pages",
+    "scan_html_pages": "SELECT length(html || chr(10)) AS n_chars, md5(html || chr(10)) AS html_md5 FROM pages",
     "scan_json_batches": with_ctes("SELECT title, info_url, abstract, language FROM articles_lang", "articles_lang"),
     "scan_json_tolerant": "SELECT url || '.pdf' AS url FROM pages WHERE page_id % 2 = 0",
     "scan_url_list": "SELECT url FROM pages UNION ALL SELECT '' AS url FROM pages WHERE page_id % 10 = 0",
@@ -221,7 +221,7 @@ ORACLE: dict[str, str] = {
         f"SELECT count(*) FILTER (WHERE state = 'succeeded') AS done, count(*) AS total, "
         f"round(CAST(100 AS DOUBLE) * count(*) FILTER (WHERE state = 'succeeded') / count(*), 2) AS percent "
         f"FROM ({outcome_sql('SELECT * FROM attempts')})", "attempts"),
-    "batch_row_counts": "SELECT doc_id // 100 AS batch, count(*) AS n FROM documents GROUP BY 1",
+    "batch_row_counts": "SELECT count(*) AS rows, true AS within_cap FROM documents",
     "retry_outcome": with_ctes(f"SELECT * FROM ({outcome_sql('SELECT * FROM attempts')})", "attempts"),
     "retry_schedule": with_ctes(
         f"SELECT url, attempts_used AS retry_no, round(CAST(0.5 AS DOUBLE) * (attempts_used - 1), 3) AS delay_s "

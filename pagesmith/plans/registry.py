@@ -40,19 +40,22 @@ def _micros(c):
 
 
 def _write_pages_as_files(pages: DataFrame, spark, name: str) -> str:
-    """One text file per page (a page_id=<id>/ folder each); whole-file reads give html + '\\n'."""
+    """One text file per page (the layout of a crawl folder); whole-file reads give html + '\\n'."""
     path = scratch_path(spark, name)
-    pages.select("page_id", "html").repartition("page_id").write.partitionBy("page_id").text(path)
+    pages.select("html").write.option("maxRecordsPerFile", 1).text(path)
     return path
 
 
-def _json_array_files(df: DataFrame, batch_col, spark, name: str) -> str:
-    """JSON array files, one per batch (the layout the original scripts wrote)."""
+ROWS_PER_ARRAY_FILE = 1000
+
+
+def _json_array_files(df: DataFrame, spark, name: str) -> str:
+    """JSON array files of at most ROWS_PER_ARRAY_FILE consecutive rows of one partition each
+    (the layout the original scripts wrote); no count pass, and no group grows with the data."""
     path = scratch_path(spark, name)
-    cols = [c for c in df.columns]
-    arr = df.withColumn("_b", batch_col).groupBy("_b").agg(
-        F.to_json(F.collect_list(F.struct(*cols))).alias("value"))
-    arr.repartition("_b").write.partitionBy("_b").text(path)
+    arr = df.withColumn("_b", F.floor(F.monotonically_increasing_id() / ROWS_PER_ARRAY_FILE)).groupBy("_b").agg(
+        F.to_json(F.collect_list(F.struct(*df.columns))).alias("value"))
+    arr.select("value").write.option("maxRecordsPerFile", 1).text(path)
     return path
 
 
@@ -62,7 +65,7 @@ def _json_array_files(df: DataFrame, batch_col, spark, name: str) -> str:
 def scan_html_pages(spark, d):
     path = _write_pages_as_files(fx.table(spark, d, "pages"), spark, "html-pages")
     df = files.scan_html_pages(spark, path, "*.txt")
-    return df.select("page_id", F.length("html").alias("n_chars"), F.md5("html").alias("html_md5"))
+    return df.select(F.length("html").alias("n_chars"), F.md5("html").alias("html_md5"))
 
 
 @q
@@ -75,7 +78,7 @@ def scan_json_batches(spark, d):
 @q
 def scan_json_tolerant(spark, d):
     links = markup.extract_meta_link(fx.article_pages(spark, d))
-    path = _json_array_files(links, F.abs(F.xxhash64("filename")) % 10, spark, "links-arrays")
+    path = _json_array_files(links, spark, "links-arrays")
     rows, _ = files.scan_json_tolerant(spark, path, "url")
     return rows.select("url")
 
@@ -114,7 +117,7 @@ def sink_text_lines(spark, d):
 @q
 def sink_json_single(spark, d):
     path = scratch_path(spark, "kept")
-    sinks.sink_json_single(records.filter_language(fx.articles_lang(spark, d), LANGS_KEPT), path, single_file=True)
+    sinks.sink_json_single(records.filter_language(fx.articles_lang(spark, d), LANGS_KEPT), path)
     back = files.scan_json_batches(spark, path, schemas.ARTICLE_LANG, layout="lines")
     return back.select("info_url", "language")
 
@@ -330,11 +333,13 @@ def download_progress(spark, d):
 
 @q
 def batch_row_counts(spark, d):
+    """K1 batches of at most BATCH rows, then rows per file: total rows and whether every file
+    respects the cap (file boundaries depend on partitioning, these two numbers do not)."""
     path = scratch_path(spark, "batches")
-    a = fx.articles_lang(spark, d).withColumn("batch", (F.col("doc_id") / BATCH).cast("bigint"))
-    a.repartition("batch").write.partitionBy("batch").json(path)
-    back = spark.read.json(path).withColumn("file_name", F.col("_metadata.file_name"))
-    return records.batch_row_counts(back, ["batch", "file_name"]).select("batch", "n")
+    sinks.sink_json_batches(fx.articles_lang(spark, d).drop("doc_id"), path, BATCH)
+    back = files.scan_json_batches(spark, path, schemas.ARTICLE_LANG, layout="lines", with_file=True)
+    per_file = records.batch_row_counts(back, "file_name")
+    return per_file.agg(F.sum("n").alias("rows"), (F.max("n") <= BATCH).alias("within_cap"))
 
 
 # ---------------------------------------------------------------- fetch state
@@ -416,7 +421,7 @@ def job_download_links(spark, d):
 @q
 def job_download_urls(spark, d):
     links = markup.extract_meta_link(fx.article_pages(spark, d))
-    src = _json_array_files(links, F.abs(F.xxhash64("filename")) % 10, spark, "links-arrays")
+    src = _json_array_files(links, spark, "links-arrays")
     return jobs.job_download_urls(spark, src, scratch_path(spark, "download-urls"))["urls"]
 
 

@@ -26,23 +26,16 @@ from pagesmith.operators.partitioning import spread
 MAX_LANGUAGES = 1000
 
 
-SUPPLEMENTARY = "[\\x{10000}-\\x{10ffff}]"
-
-
 def trigrams(text: Column) -> Column:
-    """Overlapping character (code point) trigrams of lower(text), with repeats; [] if shorter.
+    """All overlapping character (code point) trigrams of lower(text), with repeats, as a
+    multiset (order is not kept); [] if shorter than three characters.
 
-    One look-ahead regex pass gives all overlapping trigrams.  A look-ahead can start inside a
-    UTF-16 surrogate pair, so rows holding characters above U+FFFF take a code-point path instead:
-    three shifted slices of the code-point array, zipped."""
+    Three non-overlapping passes of ``(...)`` starting at offsets 0, 1 and 2 together give every
+    overlapping trigram exactly once; regex matching advances by whole code points, so characters
+    above U+FFFF are handled like any other."""
     low = F.lower(text)
-    fast = F.regexp_extract_all(low, F.lit("(?s)(?=(...))"), 1)
-    chars = F.regexp_extract_all(low, F.lit("(?s)(.)"), 1)
-    n = F.size(chars) - 2
-    zipped = F.arrays_zip(F.slice(chars, 1, F.greatest(n, F.lit(0))), F.slice(chars, 2, F.greatest(n, F.lit(0))),
-                          F.slice(chars, 3, F.greatest(n, F.lit(0))))
-    slow = F.transform(zipped, lambda z: F.concat(z["0"], z["1"], z["2"]))
-    return F.when(text.rlike(SUPPLEMENTARY), slow).otherwise(fast)
+    return F.concat(*[F.regexp_extract_all(F.substring(low, k + 1, 2147483647), F.lit("(?s)(...)"), 1)
+                      for k in range(3)])
 
 
 @dataclass
@@ -86,7 +79,8 @@ def language_scores(df: DataFrame, profile: LanguageProfile, text_col: str, keys
                     broadcast_rows: int = DEFAULT_BROADCAST_ROWS, salts: int = DEFAULT_SALTS) -> DataFrame:
     """(keys..., n_grams, score array in ``profile.langs`` order) for rows that have trigrams."""
     txt = F.col(text_col)
-    grams = df.select(*keys, F.explode(F.when(txt.rlike("\\p{L}"), trigrams(txt))).alias("gram"))
+    grams = spread(df.select(*keys, text_col)) \
+        .select(*keys, F.explode(F.when(txt.rlike("\\p{L}"), trigrams(txt))).alias("gram"))
     j = sized_join(grams, profile.table, ["gram"], "left", small_rows=profile.vocab,
                    broadcast_rows=broadcast_rows, salts=salts, salt_cols=list(keys) + ["gram"])
     L = len(profile.langs)

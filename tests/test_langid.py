@@ -77,5 +77,5 @@ def test_without_keys_keeps_all_rows(spark):
 
 def test_trigrams_supplementary_path(spark):
     df = spark.createDataFrame([("a😀bc",), ("abcd",), ("ab",)], "t string")
-    got = [r[0] for r in df.select(langid.trigrams(F.col("t"))).collect()]
-    assert got == [grams("a😀bc"), grams("abcd"), []]
+    got = [sorted(r[0]) for r in df.select(langid.trigrams(F.col("t"))).collect()]
+    assert got == [sorted(grams("a😀bc")), sorted(grams("abcd")), []]

@@ -32,3 +32,27 @@ def test_entry_runs(spark):
     df = E.entry(spark)
     assert sorted(df.columns) == ["language", "n", "n_reference"]
     assert df.count() >= 1
+
+
+def test_extension_lookup_broadcasts_fixed_tables(spark):
+    p = plan(E.queries()["lookup_extension"](spark, SF))
+    assert p.count("BroadcastHashJoin") >= 2
+
+
+def test_results_independent_of_partition_count(spark):
+    keys = ("retry_outcome", "latest_object", "language_counts", "paginate_urls", "reconcile_uploaded")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        runs = []
+        for n in ("1", "8"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            runs.append({k: sorted(map(tuple, E.queries()[k](spark, SF).collect()), key=repr) for k in keys})
+        assert runs[0] == runs[1]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_language_counts_sum_to_rows(spark):
+    from pagesmith.plans import fixtures as fx
+    counts = E.queries()["language_counts"](spark, SF)
+    assert counts.groupBy().sum("n").first()[0] == fx.articles_lang(spark, SF).count()

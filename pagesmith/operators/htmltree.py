@@ -86,6 +86,39 @@ class _Builder(HTMLParser):
         parent.children.append(_Raw(data) if parent.tag in RAW_TEXT else data)
 
 
+class _Found(Exception):
+    pass
+
+
+class _FirstTag(HTMLParser):
+    """Stops at the first start tag matching ``step``; its attributes are kept."""
+
+    def __init__(self, step):
+        super().__init__(convert_charrefs=True)
+        self.step = step
+        self.attrs = None
+
+    def handle_starttag(self, tag, attrs):
+        node = Node(tag, {k: ("" if v is None else v) for k, v in attrs})
+        if matches(node, self.step):
+            self.attrs = node.attrs
+            raise _Found
+
+    handle_startendtag = handle_starttag
+
+
+def first_tag_attrs(html: str, step) -> dict | None:
+    """Attributes of the first element matching one selector step, in document order, reading
+    the page only up to that tag (pre-order of a tree = order of start tags)."""
+    p = _FirstTag(step)
+    try:
+        p.feed(html)
+        p.close()
+    except _Found:
+        pass
+    return p.attrs
+
+
 def parse(html: str) -> Node:
     b = _Builder()
     b.feed(html)

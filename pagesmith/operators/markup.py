@@ -57,7 +57,23 @@ def _extractor(key_names, html_name, scope, record, fields, mode, whole_page):
     field_c = [(f.name, [H.compile_step(s) for s in f.path], f.take) for f in fields]
     cols = list(key_names) + ["record_no"] + [f.name for f in fields] + ["_error"]
 
+    # whole-page records whose fields are all attributes of a one-step path need no tree: the
+    # first matching start tag answers them, and parsing stops there (e.g. a <meta> in <head>)
+    tag_only = whole_page and not scope_c and all(len(p) == 1 and t != "text" for _, p, t in field_c)
+
+    def one_tag_page(html):
+        vals = []
+        for name, path, take in field_c:
+            attrs = H.first_tag_attrs(html, path[0])
+            v = None if attrs is None else attrs.get(take[1:].lower())
+            if attrs is not None and v is None and mode == FAILFAST:
+                raise KeyError(f"{take} missing for field {name}")
+            vals.append(v)
+        return [[0] + vals]
+
     def one_page(html):
+        if tag_only:
+            return one_tag_page(html)
         root = H.parse(html)
         base = H.follow(root, scope_c) if scope_c else root
         if base is None:

@@ -36,7 +36,8 @@ def q(fn: Query) -> Query:
 
 
 def _micros(c):
-    return F.unix_micros(F.col(c).cast("timestamp"))
+    """Epoch microseconds of a wall-clock (NTZ) timestamp, independent of the session time zone."""
+    return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', CAST(`{c}` AS TIMESTAMP_NTZ))")
 
 
 def _write_pages_as_files(pages: DataFrame, spark, name: str) -> str:
@@ -352,7 +353,7 @@ def retry_outcome(spark, d):
 
 @q
 def retry_schedule(spark, d):
-    att = fx.attempts(spark, d).filter(F.col("fetched_at") < F.lit(AS_OF).cast("timestamp"))
+    att = fx.attempts(spark, d).filter(F.col("fetched_at") < F.lit(AS_OF).cast("timestamp_ntz"))
     return fetch.retry_schedule(fetch.retry_outcome(att))
 
 

@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagesmith.functions.text import sanitize_text
-from pagesmith.functions.urls import path_basename
 from pagesmith.operators.partitioning import spread
 
 PERMISSIVE, FAILFAST = "PERMISSIVE", "FAILFAST"
@@ -32,7 +31,7 @@ class Field:
     take: str = "text"         # 'text' or '@attribute'
 
 
-# Selector presets (the listing portal's markup).
+# Selector presets of the listing portal's markup (tags, class strings, meta name).
 ARTICLE_CARD = 'div[class="card article-card dp-card-outline"]'
 ARTICLE_FIELDS = (
     Field("title", ('h5[class="card-title"]', "a"), "text"),
@@ -191,7 +190,3 @@ def extraction_misses(pages: DataFrame, name_col: str = "filename", html_col: st
     every page yields exactly one parsed row or is skipped by the pre-filter."""
     parsed, skipped = _meta_links(pages, name_col, html_col, meta, prefilter, PERMISSIVE)
     return parsed.filter(~_usable()).select("filename").unionByName(skipped)
-
-
-def file_basename(path: Column | str) -> Column:
-    return path_basename(path)

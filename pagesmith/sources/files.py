@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagesmith.functions.text import strip_text
-from pagesmith.functions.urls import path_basename
 
 
 def scan_html_pages(spark: SparkSession, directory: str, pattern: str = "*.html") -> DataFrame:
@@ -73,7 +72,3 @@ def scan_manifest(spark: SparkSession, root: str | None = None, listing: DataFra
         listing = files.select(rel.alias(col))
     out = listing.select(F.col(col).alias("name"))
     return out.filter(F.col("name").startswith(prefix)) if prefix else out
-
-
-def basename(c) -> F.Column:
-    return path_basename(c)

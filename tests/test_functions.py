@@ -86,3 +86,13 @@ def test_slug_matches_python_rule(spark, texts):
 
 def test_slug_unicode(spark):
     assert one(spark, slugify_unicode("v"), ["Ｈéllo  Wörld--"]) == ["héllo-wörld"]
+
+
+def test_failfast_modes(spark):
+    import pytest
+    df = spark.createDataFrame([("/a/b",)], "v string")
+    with pytest.raises(Exception):
+        df.select(url_insert_page("v", F.lit(1), failfast=True)).collect()
+    bad = spark.createDataFrame([("x.1",)], "v string")
+    with pytest.raises(Exception):
+        bad.select(parse_grouped_int("v", failfast=True)).collect()

@@ -160,8 +160,10 @@ def extract_facets(pages: DataFrame, keys=("page_id",), html_col="html", scope=F
                        parse_grouped_int("count_text", failfast=(mode == FAILFAST)).alias("article_count"))
 
 
-def _meta_links(pages, name_col, html_col, meta, prefilter, mode):
-    """One row per page: (filename, url or NULL) plus the pages skipped by the native pre-filter."""
+def meta_links(pages: DataFrame, name_col: str = "filename", html_col: str = "html", meta: str = PDF_META,
+               prefilter: bool = True, mode: str = PERMISSIVE) -> tuple[DataFrame, DataFrame]:
+    """(parsed, skipped): one parsed row per candidate page, (filename, url) with url NULL or ''
+    when the meta or its content is missing, and the pages the native pre-filter skipped."""
     needle = meta.split("=", 1)[1].strip('"]\'')
     src = pages.select(F.col(name_col).alias("filename"), html_col)
     has = F.coalesce(F.col(html_col).contains(needle), F.lit(False)) if prefilter else F.col(html_col).isNotNull()
@@ -180,7 +182,7 @@ def extract_meta_link(pages: DataFrame, name_col: str = "filename", html_col: st
     """(filename, url) from the first matching <meta>'s content; pages without one, or with an
     empty content, are dropped.  ``prefilter`` skips pages that cannot contain the meta name before
     any Python runs (turn off if the name may be written with character references)."""
-    parsed, _ = _meta_links(pages, name_col, html_col, meta, prefilter, mode)
+    parsed, _ = meta_links(pages, name_col, html_col, meta, prefilter, mode)
     return parsed.filter(_usable())
 
 
@@ -188,5 +190,5 @@ def extraction_misses(pages: DataFrame, name_col: str = "filename", html_col: st
                       meta: str = PDF_META, prefilter: bool = True) -> DataFrame:
     """Inputs with no usable link (no meta, no content, or empty content); no join needed,
     every page yields exactly one parsed row or is skipped by the pre-filter."""
-    parsed, skipped = _meta_links(pages, name_col, html_col, meta, prefilter, PERMISSIVE)
+    parsed, skipped = meta_links(pages, name_col, html_col, meta, prefilter, PERMISSIVE)
     return parsed.filter(~_usable()).select("filename").unionByName(skipped)

@@ -271,7 +271,7 @@ def filter_language(spark, d):
 
 @q
 def filter_nonempty_url(spark, d):
-    parsed, _ = markup._meta_links(fx.article_pages(spark, d), "filename", "html", markup.PDF_META, True, "PERMISSIVE")
+    parsed, _ = markup.meta_links(fx.article_pages(spark, d))
     return records.filter_nonempty_url(parsed)
 
 

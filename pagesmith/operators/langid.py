@@ -106,6 +106,8 @@ def detect_language(df: DataFrame, profile: LanguageProfile, text_col: str = "ti
     ``keys`` must identify rows uniquely.  Without keys a row id is assigned and the table is
     checkpointed first, so the id is stable when the scores are joined back."""
     if not keys:
+        from pagesmith.session import shared_dir
+        shared_dir(df.sparkSession)  # reliable checkpoint folder (the cluster's, or a local one in tests)
         df = df.withColumn("_rid", F.monotonically_increasing_id()).checkpoint()
         keys = ["_rid"]
     sc = language_scores(df, profile, text_col, keys, broadcast_rows, salts)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pagesmith.functions._col import col
 from pagesmith.functions.slug import slugify
 
-# The downloader's own content-type table (exact, case-sensitive keys).
+# The fetch step's own content-type table (exact, case-sensitive keys).
 EXTENSION_MAP = {
     "application/pdf": ".pdf",
     "application/epub+zip": ".epub",
@@ -41,7 +41,7 @@ def _map_lit(d: dict[str, str]) -> Column:
 
 def content_type_ext(c: Column | str, extension_map: dict[str, str] | None = None,
                      normalize: bool = False) -> Column:
-    """Extension for a Content-Type: exact match in the downloader table, else the MIME table
+    """Extension for a Content-Type: exact match in the fetch step's table, else the MIME table
     (case-insensitive), else '.txt'.  NULL type -> NULL.  ``normalize=True`` drops parameters
     ('; charset=...') and lower-cases before both lookups."""
     c = col(c)

@@ -3,8 +3,8 @@
 Tree rules (those of the common "html.parser" tree builders): void elements never take children;
 an end tag closes the most recent open element with that name and everything opened after it, and is
 ignored when no such element is open; elements still open at the end are closed there; character
-references are decoded; comments, declarations and script/style/template text are not part of an
-element's text.
+references are decoded; comments, declarations and text inside script/style/template/rt/rp (at any
+depth) are not part of an enclosing element's text, only of that element's own text.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from html.parser import HTMLParser
 VOID = frozenset(
     "area base br col embed hr img input keygen link menuitem meta param source track wbr "
     "basefont bgsound command frame image isindex nextid spacer".split())
-RAW_TEXT = frozenset(("script", "style", "template"))
+RAW_TEXT = frozenset(("script", "style", "template", "rt", "rp"))
 
 
 class _Raw(str):
@@ -57,6 +57,7 @@ class _Builder(HTMLParser):
         self.root = Node("[document]", {})
         self.stack = [self.root]
         self.open = {}
+        self.raw_depth = 0
 
     def _node(self, tag, attrs):
         node = Node(tag, {k: ("" if v is None else v) for k, v in attrs})
@@ -68,6 +69,7 @@ class _Builder(HTMLParser):
         if tag not in VOID:
             self.stack.append(node)
             self.open[tag] = self.open.get(tag, 0) + 1
+            self.raw_depth += tag in RAW_TEXT
 
     def handle_startendtag(self, tag, attrs):
         self._node(tag, attrs)
@@ -78,12 +80,12 @@ class _Builder(HTMLParser):
         while len(self.stack) > 1:
             n = self.stack.pop()
             self.open[n.tag] -= 1
+            self.raw_depth -= n.tag in RAW_TEXT
             if n.tag == tag:
                 break
 
     def handle_data(self, data):
-        parent = self.stack[-1]
-        parent.children.append(_Raw(data) if parent.tag in RAW_TEXT else data)
+        self.stack[-1].children.append(_Raw(data) if self.raw_depth else data)
 
 
 class _Found(Exception):

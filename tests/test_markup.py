@@ -77,3 +77,10 @@ def test_bad_page_goes_to_errors(spark):
     df = pages(spark, "<li><a>ok</a></li>")
     errs = M.extraction_errors(df, (M.Field("t", ("a",), "text"),), "li")
     assert errs.count() == 0
+
+
+def test_container_text_excluded_at_any_depth():
+    root = H.parse("<div>a<template><p>t</p></template><ruby>b<rt>r</rt></ruby><style>s</style>c</div>")
+    div = H.find(root, H.compile_step("div"))
+    assert div.text() == "abc"
+    assert H.find(root, H.compile_step("rt")).text() == "r"

@@ -20,11 +20,12 @@ def scan_html_pages(spark: SparkSession, directory: str, pattern: str = "*.html"
 
 def scan_json_batches(spark: SparkSession, path: str, schema: T.StructType, layout: str = "array",
                       pattern: str | None = "*.json", required: list[str] | None = None,
-                      with_file: bool = False) -> DataFrame:
+                      with_file: bool = False, on_missing: str = "drop") -> DataFrame:
     """All JSON batch files of a directory, rows concatenated, explicit schema (missing key ->
     NULL).  ``layout='array'``: each file is one JSON array of objects (may span lines);
     ``layout='lines'``: one object per line (what ``sink_json_batches`` writes).  ``required``
-    drops rows where a listed field is missing or null (the strict readers' rule)."""
+    lists fields that must be present and non-null (the strict readers' rule): such rows are
+    dropped (``on_missing='drop'``) or end the job with an error (``on_missing='fail'``)."""
     r = spark.read.schema(schema).option("multiLine", layout == "array").option("mode", "PERMISSIVE")
     if pattern:
         r = r.option("pathGlobFilter", pattern)
@@ -32,8 +33,14 @@ def scan_json_batches(spark: SparkSession, path: str, schema: T.StructType, layo
     if with_file:
         df = df.withColumn("file_name", F.col("_metadata.file_name"))
     if required:
+        ok = F.lit(True)
         for f in required:
-            df = df.filter(F.col(f).isNotNull())
+            ok = ok & F.col(f).isNotNull()
+        if on_missing == "fail":  # evaluated in the filter, so it runs for every row
+            err = F.raise_error(F.lit("missing required field among " + ", ".join(required))).cast("boolean")
+            df = df.filter(F.when(ok, F.lit(True)).otherwise(err))
+        else:
+            df = df.filter(ok)
     return df
 
 

@@ -31,6 +31,10 @@ def test_scan_json_batches_array_and_lines(spark, tmp_path):
     assert sorted(tuple(r) for r in df.collect()) == [("t", "u", None, None), ("ş", "v", None, None)]
     strict = files.scan_json_batches(spark, d, schemas.ARTICLE, required=["abstract"])
     assert strict.count() == 0
+    import pytest
+    with pytest.raises(Exception):
+        files.scan_json_batches(spark, d, schemas.ARTICLE, required=["abstract"], on_missing="fail").collect()
+    assert files.scan_json_batches(spark, d, schemas.ARTICLE, required=["title"], on_missing="fail").count() == 2
     out = str(tmp_path / "lines")
     sinks.sink_json_batches(df, out, batch_size=1)
     back = files.scan_json_batches(spark, out, schemas.ARTICLE_LANG, layout="lines", with_file=True)

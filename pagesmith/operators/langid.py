@@ -47,32 +47,31 @@ class LanguageProfile:
 
 
 def train_profile(training: DataFrame, lang_col: str = "lang", text_col: str = "text") -> LanguageProfile:
-    spark = training.sparkSession
+    """Three jobs: the language list (a scan of two columns), the per-trigram count pivot
+    (checkpointed once to the shared folder), and one aggregate over it for V, every T_l and every
+    unseen weight.  ``ln`` is always evaluated by Spark, so seen and unseen weights use the same
+    arithmetic."""
     from pagesmith.session import shared_dir
-    shared_dir(spark)  # make sure a reliable checkpoint folder exists
-    grams = spread(training).filter(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()) \
-        .select(F.col(lang_col).alias("lang"), F.explode(trigrams(F.col(text_col))).alias("gram"))
-    counts = grams.groupBy("lang", "gram").agg(F.count(F.lit(1)).alias("c")).checkpoint()
-    totals = counts.groupBy("lang").agg(F.sum("c").alias("t"))
-    vocab = counts.select(F.countDistinct("gram")).first()[0]
-    rows = totals.orderBy("lang").limit(MAX_LANGUAGES + 1).collect()  # one row per language
+    shared_dir(training.sparkSession)  # make sure a reliable checkpoint folder exists
+    valid = training.filter(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
+    rows = valid.select(F.col(lang_col).alias("lang")).distinct().orderBy("lang").limit(MAX_LANGUAGES + 1).collect()
     if len(rows) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages in the training table")
     langs = [r["lang"] for r in rows]
-    totals_by = {r["lang"]: r["t"] for r in rows}
-    # unseen weights, computed with Spark's ln so seen and unseen use the same arithmetic
-    unseen_row = spark.range(1).select(*[
-        F.round(F.lit(1000.0) * F.ln(F.lit(1.0) / F.lit(float(totals_by[l] + vocab)))).cast("bigint").alias(f"u{i}")
-        for i, l in enumerate(langs)]).first()
-    unseen = [unseen_row[f"u{i}"] for i in range(len(langs))]
-    wide = counts.groupBy("gram").pivot("lang", langs).agg(F.first("c"))
+    grams = spread(valid).select(F.col(lang_col).alias("lang"), F.explode(trigrams(F.col(text_col))).alias("gram"))
+    wide = grams.groupBy("gram").pivot("lang", langs).count().checkpoint()
+    cnt = [F.coalesce(F.col(f"`{l}`"), F.lit(0)) for l in langs]
+    V = F.count(F.lit(1))
+    stats = wide.agg(V.alias("V"), *[F.sum(c).alias(f"t{i}") for i, c in enumerate(cnt)],
+                     *[F.round(F.lit(1000.0) * F.ln(F.lit(1.0) / (F.sum(c) + V).cast("double"))).cast("bigint")
+                       .alias(f"u{i}") for i, c in enumerate(cnt)]).first()
+    vocab = stats["V"]
+    unseen = [stats[f"u{i}"] for i in range(len(langs))]
     deltas = []
-    for i, l in enumerate(langs):
-        c = F.col(f"`{l}`")
-        w = F.round(F.lit(1000.0) * F.ln((c + 1).cast("double") / F.lit(float(totals_by[l] + vocab)))).cast("bigint")
-        deltas.append(F.when(c.isNull(), F.lit(0)).otherwise(w - F.lit(unseen[i])).cast("bigint").alias(f"d{i}"))
-    table = wide.select("gram", *deltas)
-    return LanguageProfile(table, langs, unseen, vocab)
+    for i, c in enumerate(cnt):
+        w = F.round(F.lit(1000.0) * F.ln((c + 1).cast("double") / F.lit(float(stats[f"t{i}"] + vocab)))).cast("bigint")
+        deltas.append((w - F.lit(unseen[i])).alias(f"d{i}"))  # 0 for an unseen trigram
+    return LanguageProfile(wide.select("gram", *deltas), langs, unseen, vocab)
 
 
 def language_scores(df: DataFrame, profile: LanguageProfile, text_col: str, keys: list[str],

@@ -99,11 +99,18 @@ def pick_language(scores: Column, langs: list[str]) -> Column:
 
 def detect_language(df: DataFrame, profile: LanguageProfile, text_col: str = "title",
                     keys: list[str] | None = None, out_col: str = "language",
-                    broadcast_rows: int = DEFAULT_BROADCAST_ROWS, salts: int = DEFAULT_SALTS) -> DataFrame:
+                    broadcast_rows: int = DEFAULT_BROADCAST_ROWS, salts: int = DEFAULT_SALTS,
+                    checkpoint_input: bool = False) -> DataFrame:
     """Add ``out_col`` (a training ``lang`` value or NULL) to every row of ``df``.
 
     ``keys`` must identify rows uniquely.  Without keys a row id is assigned and the table is
-    checkpointed first, so the id is stable when the scores are joined back."""
+    checkpointed first, so the id is stable when the scores are joined back.  ``df`` is read twice
+    (scores, join back); when it is expensive to produce (e.g. parsed from HTML) pass
+    ``checkpoint_input=True`` to write it once to the shared folder instead of computing it twice."""
+    if keys and checkpoint_input:
+        from pagesmith.session import shared_dir
+        shared_dir(df.sparkSession)
+        df = df.checkpoint()
     if not keys:
         from pagesmith.session import shared_dir
         shared_dir(df.sparkSession)  # reliable checkpoint folder (the cluster's, or a local one in tests)

@@ -440,10 +440,16 @@ def job_reconcile(spark, d):
 
 # ---------------------------------------------------------------- flagship
 
+TITLE_FIELD = (markup.Field("title", ("h1",), "text"),)
+
+
 def flagship(spark, d) -> DataFrame:
-    """Pages -> (title, abstract) -> language of the title -> rows per language."""
-    arts = extract_page_articles(spark, d)
-    found = langid.detect_language(arts, _profile(spark, d), "title", keys=["page_id"], out_col="_lang")
+    """Pages -> title (first h1) -> language of the title -> rows per language.  Only the title is
+    parsed (the abstract is not needed here), and the parsed titles are written once."""
+    recs = markup.extract_records(fx.table(spark, d, "pages"), TITLE_FIELD, None, keys=("page_id",))
+    arts = recs.select("page_id", text.sanitize_text("title").alias("title"))
+    found = langid.detect_language(arts, _profile(spark, d), "title", keys=["page_id"], out_col="_lang",
+                                   checkpoint_input=True)
     return records.language_counts(found.withColumn("language", text.language_label("_lang")))
 
 

@@ -10,6 +10,22 @@ plans       Composite jobs, fixture derivations from the test tables, and the qu
 streaming   The same row-wise operators run incrementally over a file stream.
 """
 
+import sys
+
 from pagesmith.session import get_session, shared_dir, scratch_path
 
 __all__ = ["get_session", "shared_dir", "scratch_path"]
+
+
+def _pickle_by_value() -> None:
+    """Python workers may not have this package on their path (the driver can be started from
+    anywhere, executors have no install): have Spark's cloudpickle ship this package's functions
+    and classes by value with each task instead of importing them by name."""
+    try:
+        from pyspark import cloudpickle
+        cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    except Exception:  # an older cloudpickle without the hook: fall back to import by name
+        pass
+
+
+_pickle_by_value()

@@ -47,7 +47,14 @@ def scan_json_batches(spark: SparkSession, path: str, schema: T.StructType, layo
 def scan_json_tolerant(spark: SparkSession, directory: str, field: str = "url") -> tuple[DataFrame, DataFrame]:
     """S3: every file of a directory whatever its extension, each one JSON document.  A file that
     does not parse is reported and skipped, the rest goes on.
-    -> (rows: (file_name, <field>), errors: (file_name, error))."""
+    -> (rows: (file_name, <field>), errors: (file_name, error)).
+
+    Per-file semantics differ from a loop that writes items as it reads them:
+    - a truncated file is lost as a whole (the same there: the file fails before any item);
+    - ``[{...}, null]`` or ``[{...}, 7]`` makes the whole file corrupt here, while such a loop keeps
+      the items before the bad one;
+    - a non-string ``url`` (e.g. 5) becomes the string "5" here; such a loop fails on it;
+    - a top-level object gives one row here; such a loop fails on it."""
     schema = T.StructType([T.StructField(field, T.StringType()), T.StructField("_corrupt_record", T.StringType())])
     df = spark.read.schema(schema).option("multiLine", True).option("mode", "PERMISSIVE") \
         .option("columnNameOfCorruptRecord", "_corrupt_record").json(directory) \

@@ -66,7 +66,7 @@ def _json_array_files(df: DataFrame, spark, name: str) -> str:
 def scan_html_pages(spark, d):
     path = _write_pages_as_files(fx.table(spark, d, "pages"), spark, "html-pages")
     df = files.scan_html_pages(spark, path, "*.txt")
-    return df.select(F.length("html").alias("n_chars"), F.md5("html").alias("html_md5"))
+    return df.select(F.length("html").cast("bigint").alias("n_chars"), F.md5("html").alias("html_md5"))
 
 
 @q

@@ -67,11 +67,15 @@ def job_info_urls(spark: SparkSession, articles_path: str, out: str) -> DataFram
 
 
 def job_download_links(pages: DataFrame, out: str, batch_size: int = sinks.BATCH_ROWS) -> dict[str, DataFrame]:
-    """Article pages (filename, html) -> (filename, url) batches, plus the misses report."""
-    links = markup.extract_meta_link(pages)
-    sinks.sink_json_batches(links, out, batch_size)
+    """Article pages (filename, html) -> (filename, url) batches, plus the misses report.  The
+    pages are parsed once (checkpointed); links and misses both come from that one result."""
+    parsed, skipped = markup.meta_links(pages)
+    parsed = parsed.checkpoint()
+    usable = F.col("url").isNotNull() & (F.col("url") != "")
+    sinks.sink_json_batches(parsed.filter(usable), out, batch_size)
     read = files.scan_json_batches(pages.sparkSession, out, schemas.DOWNLOAD_LINK, layout="lines")
-    return {"links": read, "misses": markup.extraction_misses(pages)}
+    misses = parsed.filter(~usable).select("filename").unionByName(skipped)
+    return {"links": read, "misses": misses}
 
 
 def job_download_urls(spark: SparkSession, links_dir: str, out: str) -> dict[str, DataFrame]:

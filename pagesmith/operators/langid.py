@@ -47,30 +47,36 @@ class LanguageProfile:
 
 
 def train_profile(training: DataFrame, lang_col: str = "lang", text_col: str = "text") -> LanguageProfile:
-    """Three jobs: the language list (a scan of two columns), the per-trigram count pivot
+    """Three jobs: the language list (a scan of the lang column), the per-trigram count pivot
     (checkpointed once to the shared folder), and one aggregate over it for V, every T_l and every
     unseen weight.  ``ln`` is always evaluated by Spark, so seen and unseen weights use the same
     arithmetic."""
     from pagesmith.session import shared_dir
     shared_dir(training.sparkSession)  # make sure a reliable checkpoint folder exists
-    valid = training.filter(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
-    rows = valid.select(F.col(lang_col).alias("lang")).distinct().orderBy("lang").limit(MAX_LANGUAGES + 1).collect()
+    # the language list reads the lang column only; languages whose texts give no trigram at all
+    # (all NULL or too short) are dropped after the stats pass below
+    rows = training.filter(F.col(lang_col).isNotNull()).select(F.col(lang_col).alias("lang")).distinct() \
+        .orderBy("lang").limit(MAX_LANGUAGES + 1).collect()
     if len(rows) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages in the training table")
-    langs = [r["lang"] for r in rows]
+    all_langs = [r["lang"] for r in rows]
+    valid = training.filter(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
     grams = spread(valid).select(F.col(lang_col).alias("lang"), F.explode(trigrams(F.col(text_col))).alias("gram"))
-    wide = grams.groupBy("gram").pivot("lang", langs).count().checkpoint()
-    cnt = [F.coalesce(F.col(f"`{l}`"), F.lit(0)) for l in langs]
+    wide = grams.groupBy("gram").pivot("lang", all_langs).count().checkpoint()
+    cnt = [F.coalesce(F.col(f"`{l}`"), F.lit(0)) for l in all_langs]
     V = F.count(F.lit(1))
     stats = wide.agg(V.alias("V"), *[F.sum(c).alias(f"t{i}") for i, c in enumerate(cnt)],
                      *[F.round(F.lit(1000.0) * F.ln(F.lit(1.0) / (F.sum(c) + V).cast("double"))).cast("bigint")
                        .alias(f"u{i}") for i, c in enumerate(cnt)]).first()
     vocab = stats["V"]
-    unseen = [stats[f"u{i}"] for i in range(len(langs))]
+    keep = [i for i in range(len(all_langs)) if (stats[f"t{i}"] or 0) > 0]
+    langs = [all_langs[i] for i in keep]
+    unseen = [stats[f"u{i}"] for i in keep]
     deltas = []
-    for i, c in enumerate(cnt):
+    for j, i in enumerate(keep):
+        c = cnt[i]
         w = F.round(F.lit(1000.0) * F.ln((c + 1).cast("double") / F.lit(float(stats[f"t{i}"] + vocab)))).cast("bigint")
-        deltas.append((w - F.lit(unseen[i])).alias(f"d{i}"))  # 0 for an unseen trigram
+        deltas.append((w - F.lit(unseen[j])).alias(f"d{j}"))  # 0 for an unseen trigram
     return LanguageProfile(wide.select("gram", *deltas), langs, unseen, vocab)
 
 

@@ -10,7 +10,7 @@ TRAIN = [("en", "the quick brown fox jumps over the lazy dog and the cat"),
          ("de", "der schnelle braune fuchs springt über den faulen hund"),
          ("de", "das ist das haus vom nikolaus und der"),
          ("fr", "le renard brun rapide saute par dessus le chien paresseux"),
-         ("xx", None)]
+         ("xx", None), ("yy", "ab")]
 TEXTS = ["The house of the dog", "Der Hund und das Haus", "le chien", "12 !!", "ab", None, "Ünïcödé straße",
          "the der le", "emoji 😀 and the fox"]
 
@@ -27,6 +27,7 @@ def brute_force(train, texts):
         if text is None or lang is None:
             continue
         counts.setdefault(lang, Counter()).update(grams(text))
+    counts = {lang: c for lang, c in counts.items() if sum(c.values()) > 0}  # no trigram: not a candidate
     vocab = len(set().union(*counts.values()))
     out = []
     for t in texts:

@@ -24,6 +24,7 @@ from pagesmith.operators.joins import DEFAULT_BROADCAST_ROWS, DEFAULT_SALTS, siz
 from pagesmith.operators.partitioning import spread
 
 MAX_LANGUAGES = 1000
+FEW_LANGUAGES = 32
 
 
 def trigrams(text: Column) -> Column:
@@ -62,7 +63,11 @@ def train_profile(training: DataFrame, lang_col: str = "lang", text_col: str = "
     all_langs = [r["lang"] for r in rows]
     valid = training.filter(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
     grams = spread(valid).select(F.col(lang_col).alias("lang"), F.explode(trigrams(F.col(text_col))).alias("gram"))
-    wide = grams.groupBy("gram").pivot("lang", all_langs).count().checkpoint()
+    if len(all_langs) <= FEW_LANGUAGES:  # one aggregation with a counter per language
+        wide = grams.groupBy("gram").agg(*[F.count_if(F.col("lang") == l).alias(l) for l in all_langs])
+    else:  # many languages: the pivot's two-level aggregate keeps the per-row work constant
+        wide = grams.groupBy("gram").pivot("lang", all_langs).count()
+    wide = wide.checkpoint()
     cnt = [F.coalesce(F.col(f"`{l}`"), F.lit(0)) for l in all_langs]
     V = F.count(F.lit(1))
     stats = wide.agg(V.alias("V"), *[F.sum(c).alias(f"t{i}") for i, c in enumerate(cnt)],

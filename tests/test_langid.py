@@ -80,3 +80,9 @@ def test_trigrams_supplementary_path(spark):
     df = spark.createDataFrame([("a😀bc",), ("abcd",), ("ab",)], "t string")
     got = [sorted(r[0]) for r in df.select(langid.trigrams(F.col("t"))).collect()]
     assert got == [sorted(grams("a😀bc")), sorted(grams("abcd")), []]
+
+
+def test_pivot_branch_same_result(spark, monkeypatch):
+    monkeypatch.setattr(langid, "FEW_LANGUAGES", 0)
+    got, prof = run(spark)
+    assert prof.langs == ["de", "en", "fr"] and got == brute_force(TRAIN, TEXTS)

@@ -1,0 +1,25 @@
+from pyspark.sql import functions as F
+
+from pagesmith.operators.joins import sized_join
+from pagesmith.operators.partitioning import spread
+
+
+def test_hot_key_salted_equals_broadcast(spark):
+    # one key holds a third of all rows
+    big = spark.range(0, 3000).select(F.col("id"), F.when(F.col("id") % 3 == 0, F.lit("hot"))
+                                      .otherwise(F.concat(F.lit("k"), (F.col("id") % 50).cast("string"))).alias("k"))
+    small = spark.createDataFrame([("hot", 1), ("k1", 2), ("k2", 3)], "k string, v int")
+    for how in ("inner", "left"):
+        b = sized_join(big, small, ["k"], how, broadcast_rows=10)
+        s = sized_join(big, small, ["k"], how, broadcast_rows=0, salts=8, salt_cols=["id", "k"])
+        assert sorted(map(tuple, b.select("id", "k", "v").collect())) == sorted(map(tuple, s.select("id", "k", "v").collect()))
+    salted = big.withColumn("_salt", F.pmod(F.xxhash64("id", "k"), F.lit(8)))
+    assert salted.filter(F.col("k") == "hot").select("_salt").distinct().count() == 8  # hot key spread over 8 tasks
+
+
+def test_spread_only_when_needed(spark):
+    n = spark.sparkContext.defaultParallelism
+    one = spark.range(0, 100, 1, 1)
+    assert spread(one).rdd.getNumPartitions() == n
+    many = spark.range(0, 100, 1, n * 2)
+    assert spread(many) is many

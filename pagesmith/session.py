@@ -44,13 +44,13 @@ def get_session(master: str | None = None, app: str = "pagesmith",
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder; a local one is made only if none is configured."""
     sc = spark.sparkContext
-    d = sc.getCheckpointDir()
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
-        d = spark.conf.get("spark.checkpoint.dir", None)
-        if not d:
-            d = tempfile.mkdtemp(prefix="pagesmith-ckpt-")
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        d = tempfile.mkdtemp(prefix="pagesmith-ckpt-")
+    if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
-        d = sc.getCheckpointDir() or d
     return d.rstrip("/")
 
 

@@ -31,9 +31,15 @@ def drop(spark: SparkSession, *dfs: DataFrame | None) -> None:
             p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def stripped(text: Column) -> Column:
+    """The text without white space at its ends; empty for null."""
+    return F.btrim(F.coalesce(text, F.lit("")), F.lit(" \t\n\x0b\f\r"))
+
+
 def words(text: Column) -> Column:
     """The words of a text; a null or blank text has none."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE), lambda w: w != "")
+    t = stripped(text)
+    return F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(t, SPACE))
 
 
 def free_name(df: DataFrame, base: str) -> str:

@@ -3,3 +3,63 @@
 from __future__ import annotations
 
 ORACLE: dict[str, str] = {}
+
+_VALUE = r"""\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^\s>"'']+))"""
+
+
+def _attr(tag: str, name: str) -> str:
+    return "concat(" + ", ".join(rf"regexp_extract({tag}, '(?is)\b{name}{_VALUE}', {i})" for i in (1, 2, 3)) + ")"
+
+
+def _parts(url: str) -> str:
+    return rf"""translate(regexp_extract(coalesce({url}, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(coalesce({url}, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path,
+    regexp_extract(coalesce({url}, ''), '(?s)^.*?://[^?#]*(\?[^#]*)', 1) AS query"""
+
+
+ORACLE["op2_url_filters"] = rf"""
+WITH RECURSIVE rules(rule, allow) AS (VALUES ('com/', true), ('example.com/en/', false), ('www.example.com/en/', true),
+    ('net/es/', false), ('net/fr/', false)),
+p AS (SELECT page_id, url, html, {_parts('url')} FROM pages),
+tags AS (SELECT *, regexp_extract(coalesce(html, ''), '(?is)<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>', 0) AS link,
+    regexp_extract(coalesce(html, ''), '(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>', 0) AS meta FROM p WHERE url LIKE '%://%'),
+hrefs AS (SELECT url, host, path, query, replace(trim(h), '&amp;', '&') AS h FROM (
+    SELECT *, {_attr('link', 'href')} AS h FROM tags
+    UNION ALL SELECT *, regexp_extract({_attr('meta', 'content')}, '(?is)\burl\s*=\s*[''"]?([^''"]*)', 1) FROM tags)),
+edges AS (SELECT host || path || query AS a, CASE WHEN h = '' THEN NULL WHEN h LIKE '%://%' THEN h WHEN h LIKE '//%' THEN 'http:' || h
+    WHEN h LIKE '/%' THEN 'http://' || host || h
+    ELSE 'http://' || host || coalesce(nullif(regexp_replace(path, '[^/]*$', ''), ''), '/') || h END AS dst, host, path FROM hrefs),
+named AS (SELECT a, host AS ahost, path AS apath, {_parts('dst')} FROM edges WHERE dst LIKE '%://%'),
+pairs AS (SELECT a, host || path || query AS b, ahost, apath, host, path FROM named),
+sides AS (SELECT a, b FROM pairs UNION SELECT b, a FROM pairs),
+reach(x, y) AS (SELECT a, a FROM sides UNION SELECT r.x, s.b FROM reach r JOIN sides s ON r.y = s.a),
+nodes AS (SELECT a AS node, ahost AS host, apath AS path FROM pairs UNION SELECT b, host, path FROM pairs),
+sites AS (SELECT host, path FROM p UNION SELECT host, path FROM nodes),
+fits AS (SELECT host, path, arg_max(rule, length(rule)) AS rule, arg_max(allow, length(rule)) AS allow FROM sites, rules
+    WHERE (host = split_part(rule, '/', 1) OR ends_with(host, '.' || split_part(rule, '/', 1)))
+      AND starts_with(path, substr(rule, instr(rule, '/'))) GROUP BY ALL),
+carried AS (SELECT r.x AS node, bool_or(f.allow) AS alias_allow FROM reach r JOIN nodes n ON r.y = n.node
+    JOIN fits f ON n.host = f.host AND n.path = f.path GROUP BY 1)
+SELECT page_id, p.host, p.path, rule, CASE WHEN coalesce(allow, alias_allow, true) THEN 'allow' ELSE 'block' END AS verdict
+FROM p LEFT JOIN fits f ON p.host = f.host AND p.path = f.path LEFT JOIN carried c ON c.node = p.host || p.path || p.query
+"""
+
+ORACLE["op7_quality_rules"] = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT r, doc_id, t, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws,
+    list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM d),
+g AS (SELECT r, unnest(range(1, len(ws) - 1)) AS i, ws FROM w),
+win AS (SELECT r, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS g FROM g),
+rep AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS k FROM win) WHERE k > 1),
+cov AS (SELECT r, count(DISTINCT j) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS j FROM rep) GROUP BY 1),
+s AS (SELECT doc_id, t, len(ws)::BIGINT AS n_words, length(array_to_string(ws, ''))::BIGINT AS word_chars,
+    length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols, len(ls) AS n_lines,
+    (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words
+    FROM w LEFT JOIN cov USING (r)),
+b AS (SELECT *, (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AS base_failed FROM s)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+    NOT (base_failed OR 100 * n_symbols > 10 * word_chars OR 100 * n_dup_lines > 50 * n_lines
+        OR word_chars < 2 * n_words OR word_chars > 20 * n_words
+        OR 100 * length(regexp_replace(t, '[^\p{Lu}]+', '', 'g')) > 50 * length(regexp_replace(t, '[^\p{L}]+', '', 'g'))) AS kept
+FROM b
+"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagesmith.llm import simhash_dedup
+from pagesmith.llm import quality_rules, simhash_dedup, url_filter
 
 QUERIES = {}
 
@@ -23,3 +23,19 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op3_simhash_near_dedup(spark, sf_dir):
     out = simhash_dedup.near_duplicates(read(spark, sf_dir, "documents"), shingle=4, distance=4)
     return out.select("doc_id", "fingerprint", "component_id")
+
+
+#: Rules of the query: (rule, allowed).
+URL_RULES = [("com/", True), ("example.com/en/", False), ("www.example.com/en/", True), ("net/es/", False), ("net/fr/", False)]
+
+
+@q
+def op2_url_filters(spark, sf_dir):
+    rules = spark.createDataFrame(URL_RULES, "rule string, allow boolean")
+    return url_filter.judge_urls(read(spark, sf_dir, "pages"), rules)
+
+
+@q
+def op7_quality_rules(spark, sf_dir):
+    out = quality_rules.judge(read(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")

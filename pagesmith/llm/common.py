@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import sys
+import types
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,3 +51,9 @@ def free_name(df: DataFrame, base: str) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+
+def worker_cache() -> dict:
+    """A dict that lives as long as the Python worker: code is unpickled anew for every task."""
+    name = "pagesmith_worker_cache"
+    return sys.modules.setdefault(name, types.ModuleType(name)).__dict__

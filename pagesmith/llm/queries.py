@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagesmith.llm import quality_rules, simhash_dedup, url_filter
+from pagesmith.llm import quality_rules, sentencepiece_fst, simhash_dedup, url_filter
 
 QUERIES = {}
 
@@ -39,3 +41,12 @@ def op2_url_filters(spark, sf_dir):
 def op7_quality_rules(spark, sf_dir):
     out = quality_rules.judge(read(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+#: Place of the model file; a parameter of the operator.
+PIECE_MODEL = os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
+
+
+@q
+def op9_sentencepiece(spark, sf_dir):
+    return sentencepiece_fst.encode_documents(read(spark, sf_dir, "documents"), PIECE_MODEL)

@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagesmith.llm import quality_rules, sentencepiece_fst, simhash_dedup, url_filter
+from pagesmith.llm import language_id, quality_rules, sentencepiece_fst, simhash_dedup, url_filter
 
 QUERIES = {}
 
@@ -50,3 +50,15 @@ PIECE_MODEL = os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model
 @q
 def op9_sentencepiece(spark, sf_dir):
     return sentencepiece_fst.encode_documents(read(spark, sf_dir, "documents"), PIECE_MODEL)
+
+
+def held_out(id_col: str, folds: int, fold: int):
+    """Rows of the test fold by the CRC-32 of the id's text; rows without an id are in none."""
+    return F.coalesce(F.crc32(F.col(id_col).cast("string")) % folds == fold, F.lit(False))
+
+
+@q
+def op6_language_id(spark, sf_dir):
+    docs, test = read(spark, sf_dir, "documents"), held_out("doc_id", 5, 0)
+    model = language_id.train(docs, ~test)
+    return language_id.predict(docs.select("doc_id", test.alias("held_out"), "text"), model).drop("text")

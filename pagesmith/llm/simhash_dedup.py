@@ -85,23 +85,25 @@ def link_fingerprints(fps: DataFrame, distance: int = 4) -> DataFrame:
     """(fp, comp) for every distinct non-null fingerprint of column ``fp``: comp names the class of
     fingerprints connected by links of at most ``distance`` differing bits."""
     spark = fps.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))  # each fingerprint becomes 64 index rows
     fps = table(fps.select("fp").where("fp is not null").distinct(), "simhash-fps")
 
     w = Window.partitionBy("bit", "rest").orderBy("fp")
     met = [F.first("fp").over(w), *(F.lag("fp", i).over(w) for i in range(1, CHAIN + 1))]
-    chained = _index(fps, distance).select("fp", F.array(*met).alias("met"))
+    chained = _index(fps.repartition(parts), distance).select("fp", F.array(*met).alias("met"))
     near = lambda m: (m != F.col("fp")) & (F.bit_count(m.bitwiseXOR(F.col("fp"))) <= distance)
     chained = chained.select("fp", F.explode(F.array_distinct(F.filter("met", near))).alias("m")).distinct()
     linked = connected_components(chained, "fp", "m").withColumnRenamed("node", "fp")
     comp1 = table(fps.join(linked, "fp", "left").select("fp", F.coalesce("component", "fp").alias("c")), "simhash-comp")
 
-    rows, bucket = _index(comp1, distance), ["bit", "rest"]
-    mixed = rows.groupBy(*bucket).agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select(*bucket)
-    live = table(rows.join(mixed, bucket), "simhash-live")
-    main = (live.groupBy(*bucket, "c").agg(F.count("*").alias("n"))
-            .groupBy(*bucket).agg(F.max_by("c", F.struct("n", "c")).alias("main")))
-    left = (live.join(main, bucket).where("c <> main")
-            .select(*bucket, F.col("fp").alias("fp1"), F.col("c").alias("c1"), "main"))
+    # buckets with more than one component, each row with its bucket's largest one
+    bucket = ["bit", "rest"]
+    b, bc = Window.partitionBy(*bucket), Window.partitionBy(*bucket, "c")
+    mixed = (_index(comp1.repartition(parts), distance).withColumn("lo", F.min("c").over(b)).withColumn("hi", F.max("c").over(b))
+             .where("lo <> hi").drop("lo", "hi"))
+    live = table(mixed.withColumn("n", F.count("*").over(bc)).withColumn("main", F.max_by("c", F.struct("n", "c")).over(b))
+                 .drop("n"), "simhash-live")
+    left = live.where("c <> main").select(*bucket, F.col("fp").alias("fp1"), F.col("c").alias("c1"))
     # an equal segment shares all its wildcards: count such a pair at the segment's first bit only
     firsts = ", ".join(str(lo) for lo, _ in segments(distance))
     links = (left.alias("l").join(live.alias("r"), F.expr(

@@ -57,3 +57,12 @@ def worker_cache() -> dict:
     """A dict that lives as long as the Python worker: code is unpickled anew for every task."""
     name = "pagesmith_worker_cache"
     return sys.modules.setdefault(name, types.ModuleType(name)).__dict__
+
+
+#: Rows up to which a written narrow table is broadcast (tens of megabytes); beyond, Spark shuffles.
+BROADCAST_ROWS = 1_000_000
+
+
+def sized(df: DataFrame) -> DataFrame:
+    """``df`` marked for broadcast if it is small by count, else as it is."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df

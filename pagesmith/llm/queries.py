@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagesmith.llm import language_id, quality_rules, sentencepiece_fst, simhash_dedup, url_filter
+from pagesmith.llm import language_id, line_dedup, quality_rules, sentencepiece_fst, simhash_dedup, url_filter
 
 QUERIES = {}
 
@@ -62,3 +62,9 @@ def op6_language_id(spark, sf_dir):
     docs, test = read(spark, sf_dir, "documents"), held_out("doc_id", 5, 0)
     model = language_id.train(docs, ~test)
     return language_id.predict(docs.select("doc_id", test.alias("held_out"), "text"), model).drop("text")
+
+
+@q
+def op8_line_dedup(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.deduplicate(docs, removed_out="removed_lines")

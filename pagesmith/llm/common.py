@@ -63,6 +63,6 @@ def worker_cache() -> dict:
 BROADCAST_ROWS = 1_000_000
 
 
-def sized(df: DataFrame) -> DataFrame:
+def sized(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` marked for broadcast if it is small by count, else as it is."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+    return F.broadcast(df) if df.count() <= rows else df

@@ -7,9 +7,12 @@ Equal lines meet by hash.  For the rest, words are ordered from rare to frequent
 each line is indexed: two similar sets must share a word of their prefixes, at positions and with sizes that
 still allow the overlap (prefix, positional and length filter).  Candidates are verified on the words.
 
+A 64-bit parity sketch of each set drops most other candidates (every word in which two sets differ flips one
+bit, so sets that differ in few words have sketches that do).  The rest is verified on the words.
+
 Only the *existence* of an earlier match matters, so groups of thousands of similar lines never give all
-their pairs: every line is first compared with the first and the previous line of its buckets, and only lines
-without a match so far enter the complete join.
+their pairs: in one sorted pass every line is compared with the first and the last few earlier lines of its
+buckets.  Buckets longer than that are kept, and their lines without a match so far meet the whole bucket.
 """
 
 from __future__ import annotations
@@ -23,14 +26,18 @@ from pagesmith.llm.common import drop, free_name, sized, stripped, table, words
 
 THRESHOLD = Fraction(4, 5)
 #: Word frequencies are counted in so many hash buckets; a bucket's size class orders its words.
-BUCKETS = 1 << 16
+BUCKETS = 1 << 18
+#: Earlier lines of a bucket that each line meets in the sorted pass, besides the first.
+LAGS = 8
+#: Removed line numbers up to which they are broadcast to the texts (8 bytes each at most).
+BROADCAST_NUMBERS = 4_000_000
 LINE = ["h1", "h2"]
 
 
 def lines_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, pos, line, h1, h2) of the lines that hold a word; pos counts all lines from 0."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    return (docs.select(F.col(id_col).alias("id"), F.posexplode(F.split(text, "\n")).alias("pos", "line"))
+    return (docs.select(F.col(id_col).alias("id"), F.posexplode_outer(F.split(text, "\n")).alias("pos", "line"))
             .where(stripped(F.col("line")) != "")
             .select("id", "pos", "line", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit("line"), "line").alias("h2")))
 
@@ -38,7 +45,7 @@ def lines_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 def rarity(docs: DataFrame, text_col: str = "text") -> Column:
     """A constant array: size class (twice the binary logarithm) of every hash bucket of words, counted
     over the whole corpus.  Its length is fixed, whatever the vocabulary."""
-    hashed = docs.select(F.explode(words(F.col(text_col))).alias("w")).select(
+    hashed = docs.select(F.explode_outer(words(F.col(text_col))).alias("w")).where("w is not null").select(
         F.pmod(F.xxhash64("w"), F.lit(BUCKETS)).alias("b"))
     sizes = [0] * BUCKETS
     for r in hashed.groupBy("b").agg(F.floor(2 * F.log2(F.count("*") + 1)).alias("size")).collect():
@@ -54,25 +61,26 @@ def _ordered(line: Column, classes: Column) -> Column:
 
 
 def _may_match(t: Fraction, a: str, b: str) -> str:
-    """SQL: sizes and positions of a shared word (columns n, i; aliases a, b) allow the overlap."""
+    """SQL: sizes, positions of a shared word and sketches (n, i, sketch; aliases a, b) allow the overlap."""
     p, q = t.numerator, t.denominator
-    most = f"(1 + least({a}.n - {a}.i, {b}.n - {b}.i) - 1)"
-    return (f"{q} * least({a}.n, {b}.n) >= {p} * greatest({a}.n, {b}.n) "
-            f"and {p + q} * {most} >= {p} * ({a}.n + {b}.n)")
+    return (f"({q} * least({a}.n, {b}.n) >= {p} * greatest({a}.n, {b}.n) "
+            f"and {p + q} * least({a}.n - {a}.i, {b}.n - {b}.i) >= {p} * ({a}.n + {b}.n) "
+            f"and {p + q} * bit_count({a}.sketch ^ {b}.sketch) <= {q - p} * ({a}.n + {b}.n))")
 
 
 def _verified(pairs: DataFrame, lines: DataFrame, t: Fraction) -> DataFrame:
-    """(h1, h2) of lines ``b`` that a line ``a`` of ``pairs`` (a, b: first hashes) matches."""
+    """(place, h1, h2) of lines at a place ``b`` that a line at a place ``a`` of ``pairs`` (a, b) matches."""
     spark = pairs.sparkSession
     pairs = table(pairs.distinct(), "lines-pairs")
-    ends = table(pairs.select(F.explode(F.array("a", "b")).alias("h1")).distinct(), "lines-ends")
-    sets = table(lines.join(sized(ends), "h1", "left_semi").select(*LINE, F.array_distinct(words(F.col("line"))).alias("set"))
-                 .dropDuplicates(LINE), "lines-sets")
-    a = sets.select(F.col("h1").alias("a"), F.col("set").alias("set_a"))
-    b = sets.select(F.col("h1").alias("b"), "h2", F.col("set").alias("set_b"))
+    ends = table(pairs.select(F.explode(F.array("a", "b")).alias("place")).distinct(), "lines-ends")
+    placed = lines.withColumn("place", F.struct("id", "pos"))
+    sets = table(placed.join(sized(ends), "place", "left_semi").select("place", *LINE, F.array_distinct(words(F.col("line"))).alias("set"))
+                 .dropDuplicates(["place", *LINE]), "lines-sets")
+    a = sets.select(F.col("place").alias("a"), F.col("set").alias("set_a"))
+    b = sets.select(F.col("place").alias("b"), *LINE, F.col("set").alias("set_b"))
     p, q = t.numerator, t.denominator
     same = (p + q) * F.size(F.array_intersect("set_a", "set_b")) >= p * (F.size("set_a") + F.size("set_b"))
-    out = table(pairs.join(a, "a").join(b, "b").where(same).select(F.col("b").alias("h1"), "h2").distinct(), "lines-matched")
+    out = table(pairs.join(a, "a").join(b, "b").where(same).select(F.col("b").alias("place"), *LINE).distinct(), "lines-matched")
     drop(spark, pairs, ends, sets)
     return out
 
@@ -82,39 +90,43 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """(id, removed): the line numbers that go, ascending, for every id with such lines."""
     spark, t = docs.sparkSession, Fraction(threshold)
     lines = lines_of(docs, id_col, text_col)
-    place = F.struct("id", "pos")
-    repeats = table(lines.groupBy(*LINE).agg(F.min(place).alias("first"), F.count("*").alias("k")).where("k > 1")
-                    .select(*LINE, "first"), "lines-repeats")
-    distinct = lines.join(sized(repeats), LINE, "left").where(
-        F.col("first").isNull() | ((F.col("first.pos") == F.col("pos")) & F.col("first.id").eqNullSafe(F.col("id"))))
+    first_here = (F.col("first.pos") == F.col("pos")) & F.col("first.id").eqNullSafe(F.col("id"))
+    repeats = table(lines.groupBy(*LINE).agg(F.min(F.struct("id", "pos")).alias("first"), F.count("*").alias("k"))
+                    .where("k > 1").select(*LINE, "first"), "lines-repeats")
+    distinct = lines.join(sized(repeats), LINE, "left").where(F.col("first").isNull() | first_here)
 
     p, q = t.numerator, t.denominator
-    classes = rarity(docs, text_col)
-    keyed = distinct.select("id", "pos", "h1", _ordered(F.col("line"), classes).alias("w")).withColumn("n", F.size("w"))
+    keyed = distinct.select("id", "pos", _ordered(F.col("line"), rarity(docs, text_col)).alias("w")).select(
+        "id", "pos", "w", F.size("w").alias("n"),
+        F.expr("aggregate(w, 0L, (s, h) -> s ^ shiftleft(1L, cast(h & 63 as int)))").alias("sketch"))
     prefix = F.expr(f"slice(w, 1, n - cast(ceil({p} * n / {q}) as int) + 1)")
-    index = keyed.select("h1", "id", "pos", "n", F.posexplode(prefix).alias("i", "word"))
-
-    line = F.struct("h1", "n", "i")
-    w = Window.partitionBy("word").orderBy("id", "pos", "h1")
-    met = index.select("*", F.first(line).over(w).alias("head"), F.lag(line).over(w).alias("prev"), F.lead("h1").over(w).alias("next"))
-    live = table(met.where("prev is not null or next is not null").drop("next"), "lines-index")
-    chained = live.where("prev is not null").select("h1", "n", "i", F.explode(F.array_distinct(F.array("head", "prev"))).alias("m"))
-    near = chained.alias("b").where("m.h1 <> b.h1").where(_may_match(t, "m", "b")).select(
-        F.col("m.h1").alias("a"), F.col("b.h1").alias("b"))
-    found = _verified(near, distinct, t)
-
-    rest = live.where("prev is not null").join(sized(found.select("h1").distinct()), "h1", "left_anti")
-    rest = rest.select("word", "h1", "id", "pos", "n", "i").alias("b").join(
-        live.select("word", "h1", "id", "pos", "n", "i").alias("a"),
-        F.expr(f"a.word = b.word and a.h1 <> b.h1 and struct(a.id, a.pos, a.h1) < struct(b.id, b.pos, b.h1) and {_may_match(t, 'a', 'b')}"))
-    more = _verified(rest.select(F.col("a.h1").alias("a"), F.col("b.h1").alias("b")), distinct, t)
-    matched = found.unionByName(more).distinct().withColumn("gone", F.lit(True))
+    index = (keyed.select("id", "pos", "n", "sketch", F.posexplode_outer(prefix).alias("i", "key")).where("i is not null")
+             .select("id", "pos", "n", "i", "sketch", F.col("key").bitwiseAND(F.lit(0x7FFFFFFF)).cast("int").alias("word")))  # 31 bits name the bucket
+
+    entry, w = F.struct("id", "pos", "n", "i", "sketch"), Window.partitionBy("word").orderBy("id", "pos")
+    met = [F.first(entry).over(w), *(F.lag(entry, k).over(w) for k in range(1, LAGS + 1))]
+    # late: an earlier line of the bucket was not met; early: a later line of it did not meet this one
+    seen = index.select("*", F.array(*met).alias("met"), F.lag("n", LAGS + 1).over(w).isNotNull().alias("late"),
+                        F.lead("n", LAGS + 1).over(w).isNotNull().alias("early"))
+    near = F.expr("transform(filter(array_distinct(met), m -> m is not null and struct(m.id, m.pos) <> struct(id, pos) and "
+                  + _may_match(t, "m", "r") + "), m -> struct(m.id, m.pos))")
+    seen = seen.alias("r").select("id", "pos", "n", "i", "sketch", "word", "late", "early", near.alias("near"))
+    seen = table(seen.where("late or early or size(near) > 0"), "lines-index")
+    here = F.struct("id", "pos")
+    found = _verified(seen.select(F.explode("near").alias("a"), here.alias("b")), distinct, t)
+
+    columns = ["word", "id", "pos", "n", "i", "sketch"]
+    left = (seen.where("late").withColumn("place", here).join(sized(found.select("place").distinct()), "place", "left_anti")
+            .select(columns).alias("b"))
+    rest = left.join(seen.where("early").select(columns).alias("a"), F.expr(
+        f"a.word = b.word and struct(a.id, a.pos) < struct(b.id, b.pos) and {_may_match(t, 'a', 'b')}"))
+    more = _verified(rest.select(F.struct("a.id", "a.pos").alias("a"), F.struct("b.id", "b.pos").alias("b")), distinct, t)
+    matched = found.unionByName(more).select(*LINE).distinct().withColumn("gone", F.lit(True))
 
     hits = table(repeats.join(matched, LINE, "full").select(*LINE, "first", "gone"), "lines-hits")
-    away = lines.drop("line").join(sized(hits), LINE).where(
-        F.col("gone").isNotNull() | ~((F.col("first.pos") == F.col("pos")) & F.col("first.id").eqNullSafe(F.col("id"))))
-    out = away.groupBy("id").agg(F.array_sort(F.collect_set("pos")).alias("removed"))
-    drop(spark, live)
+    away = lines.drop("line").join(sized(hits), LINE).where(F.col("gone").isNotNull() | ~first_here)
+    out = table(away.groupBy("id").agg(F.array_sort(F.collect_set("pos")).alias("removed")), "lines-removed")
+    drop(spark, seen, found, more, repeats, hits)
     return out.withColumnRenamed("id", id_col)
 
 
@@ -124,13 +136,15 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     the line numbers that went.
 
     * Lines without a word are never duplicates and stay; a null text stays null.
-    * Rows with an equal id are one document: their lines at equal places are the same line.  A null id
-      comes first in the order.
+    * Rows with an equal id are one document: lines at equal places of them are not compared with each
+      other.  A null id comes first in the order.
     * Extra columns are kept; an empty table gives an empty one.
     """
     gone = free_name(docs, "removed")
     lines = free_name(docs, "lines")
-    dup = duplicate_lines(docs, id_col, text_col, threshold).select(F.col(id_col).alias("id"), F.col("removed").alias(gone)).alias("x")
+    dup = duplicate_lines(docs, id_col, text_col, threshold).select(F.col(id_col).alias("id"), F.col("removed").alias(gone))
+    numbers = dup.agg(F.sum(F.size(gone) + 4)).first()[0] or 0
+    dup = (F.broadcast(dup) if numbers <= BROADCAST_NUMBERS else dup).alias("x")
     d = docs.alias("d").join(dup, F.col(f"d.`{id_col}`").eqNullSafe(F.col("x.id")), "left").drop(F.col("x.id"))
     d = d.withColumn(lines, F.when(F.col(gone).isNotNull(), F.split(text_col, "\n")))
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(gone))

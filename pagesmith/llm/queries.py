@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagesmith.llm import language_id, line_dedup, quality_rules, sentencepiece_fst, simhash_dedup, url_filter
+from pagesmith.llm import decontaminate, language_id, line_dedup, quality_rules, sentencepiece_fst, simhash_dedup, url_filter
 
 QUERIES = {}
 
@@ -68,3 +68,9 @@ def op6_language_id(spark, sf_dir):
 def op8_line_dedup(spark, sf_dir):
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup.deduplicate(docs, removed_out="removed_lines")
+
+
+@q
+def op1_benchmark_decontamination(spark, sf_dir):
+    out = decontaminate.contaminations(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", F.col("item").alias("item_id"), "start", "similarity", "windows")

@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagesmith.llm import decontaminate, language_id, line_dedup, quality_rules, sentencepiece_fst, simhash_dedup, url_filter
+from pagesmith.llm import decontaminate, html_extract, language_id, line_dedup, quality_rules, sentencepiece_fst, simhash_dedup, url_filter
 
 QUERIES = {}
 
@@ -74,3 +74,9 @@ def op8_line_dedup(spark, sf_dir):
 def op1_benchmark_decontamination(spark, sf_dir):
     out = decontaminate.contaminations(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     return out.select("doc_id", F.col("item").alias("item_id"), "start", "similarity", "windows")
+
+
+@q
+def op4_html_extraction(spark, sf_dir):
+    pages = read(spark, sf_dir, "pages")
+    return html_extract.extract_pages(pages, html_extract.train(pages))

@@ -238,14 +238,19 @@ def extract(pages: list[str | None], model: gbt.Trees) -> list[str]:
 
 # ---- training ----
 
-def _pieces(html: str) -> tuple[list[str], list[str]]:
-    """Article and other texts of a page, by the HTML elements that mark them (else: by link density)."""
-    nodes, runs = parse(html)
+def _marked(nodes: list[Node]) -> tuple[bool, list[bool]]:
+    """Whether a page marks its article by HTML's elements, and which nodes are in it (else: by link density)."""
     marked = any(x.tag in ("article", "main") for x in nodes)
     inside = [False] * len(nodes)
     for i, x in enumerate(nodes):
         good = x.tag in ("article", "main") if marked else x.tag in ("p", "h1", "h2", "blockquote") and x.link_chars * 3 < x.chars
         inside[i] = (i > 0 and inside[x.parent] or good) and x.tag not in ("nav", "footer", "aside", "form")
+    return marked, inside
+
+
+def _pieces(nodes: list[Node], runs: list[tuple[int, str]]) -> tuple[list[str], list[str]]:
+    """Article and other texts of a page."""
+    _, inside = _marked(nodes)
     texts: dict[int, list[str]] = {}
     for node, s in runs:
         if node >= 0 and s.strip():
@@ -266,7 +271,7 @@ def _layout(rng: random.Random, article: list[str], other: list[str], foreign: l
     links = lambda n: "<ul>" + "".join(f'<li><a href="/x">{short()[:24]}</a></li>' for _ in range(n)) + "</ul>"
     group = {k: i for i, k in enumerate(TOKENS)}
     menu = lambda: pick([f"<nav>{links(rng.randint(3, 9))}</nav>", f"<div{mark(group['menu'])}>{links(rng.randint(3, 9))}</div>"])
-    frame = lambda t: pick([f"<{t}><p>{short()}</p></{t}>", f"<{t}>{short()} {links(2)}</{t}>", f"<div{mark(group['frame'])}>{short()}</div>"])
+    frame = lambda t: pick([f"<{t}>{short()}</{t}>", f"<{t}><a href=/>{short()}</a></{t}>", f"<{t}><p>{short()}</p></{t}>", f"<{t}>{short()} {links(2)}</{t}>", f"<div{mark(group['frame'])}>{short()}</div>"])
     side = lambda: pick([f"<aside><p>{long()}</p></aside>", f"<div{mark(group['side'])}><h3>{short()[:20]}</h3>{links(4)}</div>",
                          f"<aside{mark(group['side'])}><p>{short()}</p></aside>", f"<div{mark(group['side'])}><p>{long()}</p></div>"])
     advert = lambda: f"<div{mark(group['advert'])}>{pick([short(), long(), '<p>' + long() + '</p>'])}</div>"
@@ -299,9 +304,16 @@ def _layout(rng: random.Random, article: list[str], other: list[str], foreign: l
 
 
 def training_rows(pages: list[str], seed: int = 11, layouts: int = 3) -> tuple[np.ndarray, np.ndarray]:
-    """Features and labels of the nodes of re-arranged pages."""
+    """Features and labels of the nodes of re-arranged pages, and of the pages that mark their article."""
     rng, xs, ys = random.Random(seed), [], []
-    pieces = [_pieces(p) for p in pages]
+    parsed = [parse(p) for p in pages]
+    pieces = [_pieces(*x) for x in parsed]
+    for nodes, _ in parsed:
+        marked, inside = _marked(nodes)
+        rows = [k for k, x in enumerate(nodes) if x.chars and x.tag not in ("#root", "html", "body")]
+        if marked and rows:
+            xs.append(features(nodes)[rows])
+            ys.append(np.array(inside, float)[rows])
     for i, (article, other) in enumerate(pieces):
         foreign = pieces[i - 1][0]
         for _ in range(layouts if article else 0):
@@ -315,7 +327,7 @@ def training_rows(pages: list[str], seed: int = 11, layouts: int = 3) -> tuple[n
                       and m[2] not in VOID]
             if len(starts) != len(nodes) - 1:
                 continue  # text with a stray "<": such a layout is left out
-            rows = [k for k, x in enumerate(nodes) if k and x.chars]
+            rows = [k for k, x in enumerate(nodes) if k and x.chars and x.tag not in ("html", "body")]
             xs.append(features(nodes)[rows])
             ys.append(np.array([starts[k - 1] for k in rows], float))
     if not xs:

@@ -7,7 +7,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagesmith.llm import decontaminate, html_extract, language_id, line_dedup, quality_rules, sentencepiece_fst, simhash_dedup, url_filter
+from pagesmith.llm import (decontaminate, html_extract, language_id, line_dedup, quality_crf, quality_rules,
+                           sentencepiece_fst, simhash_dedup, url_filter)
 
 QUERIES = {}
 
@@ -80,3 +81,11 @@ def op1_benchmark_decontamination(spark, sf_dir):
 def op4_html_extraction(spark, sf_dir):
     pages = read(spark, sf_dir, "pages")
     return html_extract.extract_pages(pages, html_extract.train(pages))
+
+
+@q
+def op10_quality_classifier(spark, sf_dir):
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    model = quality_crf.train(docs, labels, ~held_out("doc_id", 3, 1))
+    out = docs.select("doc_id", held_out("doc_id", 3, 1).alias("held_out"), quality_crf.quality(F.col("text"), model, spark).alias("score"))
+    return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))

@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagesmith.llm import (decontaminate, html_extract, language_id, line_dedup, quality_crf, quality_rules,
+from pagesmith.llm import (decontaminate, html_extract, language_id, line_dedup, pii, quality_crf, quality_rules,
                            sentencepiece_fst, simhash_dedup, url_filter)
 
 QUERIES = {}
@@ -89,3 +89,12 @@ def op10_quality_classifier(spark, sf_dir):
     model = quality_crf.train(docs, labels, ~held_out("doc_id", 3, 1))
     out = docs.select("doc_id", held_out("doc_id", 3, 1).alias("held_out"), quality_crf.quality(F.col("text"), model, spark).alias("score"))
     return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+@q
+def op5_pii(spark, sf_dir):
+    found = pii.detect(read(spark, sf_dir, "documents"))
+    count = lambda k: F.size(F.filter("base", lambda x: x["kind"] == k)).cast("long")
+    return found.select(
+        "doc_id", *(count(k).alias(f"n_{kind}") for k, kind in enumerate(pii.KINDS)), F.sha2(pii.as_text(F.col("base")), 256).alias("base_sha256"),
+        pii.as_text(F.array_sort(F.array_distinct(F.concat("base", "added")))).alias("spans"))

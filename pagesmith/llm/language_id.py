@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pagesmith.llm.common import worker_cache
+from pagesmith.llm.common import free_name, worker_cache
 
 MAX_N = 3
 #: Size of the n-gram table (n-grams are told apart by a hash of this many bits).
@@ -76,6 +76,8 @@ class LanguageModel:
 
     def score(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         """Language and score (0 to 1: half the margin plus one half) of each text."""
+        if not self.languages:
+            return [UNKNOWN] * len(texts), np.zeros(len(texts))
         n = self.landmarks.shape[0]
         held, sizes, known = np.zeros((len(texts), n), np.float32), np.zeros(len(texts)), []
         for i, t in enumerate(texts):
@@ -130,8 +132,8 @@ def _fragments(text: str, seed: int) -> list[str]:
 def train(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
           rows: int = TRAIN_ROWS, landmarks: int = LANDMARKS, ridge: float = RIDGE) -> LanguageModel:
     """Fit on up to ``rows`` rows per language among those where ``usable`` holds, lang and id are
-    not null and the text has a letter.  Rows are chosen by a hash of the id, over the whole table.
-    Raises ValueError if no row is usable."""
+    not null and the text has a letter.  Rows are chosen by a hash of the id, over the whole table.  Without
+    any such row the model knows no language and finds every text unknown."""
     d = docs.where(usable).select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
     w = Window.partitionBy("lang").orderBy("rank", "id")
     ids = (d.where("id is not null and lang is not null").select("id", "lang").distinct()
@@ -153,7 +155,7 @@ def train(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str
     got = sorted(picked.select("lang", "rank", "text").mapInArrow(
         features, "lang string, rank bigint, part int, flags binary").collect())
     if not got:
-        raise ValueError("no labelled row to learn languages from")
+        return LanguageModel([], np.zeros(1 << BITS, np.int64), np.zeros((1, 0), np.float32), np.zeros((0, 0), np.float32))
     flags = np.unpackbits(np.array([np.frombuffer(x["flags"], np.uint8) for x in got]), axis=1)
     ranks = np.array([(x["part"] > 0) * 2.0 ** 64 + float(x["rank"]) for x in got])  # landmarks are whole texts first
     return fit(flags, np.array([x["lang"] for x in got]), ranks, landmarks, ridge)
@@ -176,6 +178,6 @@ def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text", lang_
         return pd.DataFrame({"lang": langs, "score": np.concatenate(scores) if scores else []})
 
     keep = [c for c in docs.columns if c.lower() not in (lang_out.lower(), score_out.lower())]
-    p = language(F.col(text_col))
-    return docs.select(*(F.col(f"`{c}`") for c in keep), p.alias("__p")).select(
-        *(F.col(f"`{c}`") for c in keep), F.col("__p.lang").alias(lang_out), F.col("__p.score").alias(score_out))
+    both = free_name(docs, "language")
+    return docs.select(*(F.col(f"`{c}`") for c in keep), language(F.col(text_col)).alias(both)).select(
+        *(F.col(f"`{c}`") for c in keep), F.col(f"{both}.lang").alias(lang_out), F.col(f"{both}.score").alias(score_out))

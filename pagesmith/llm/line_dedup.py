@@ -10,9 +10,11 @@ still allow the overlap (prefix, positional and length filter).  Candidates are
 A 64-bit parity sketch of each set drops most other candidates (every word in which two sets differ flips one
 bit, so sets that differ in few words have sketches that do).  The rest is verified on the words.
 
-Only the *existence* of an earlier match matters, so groups of thousands of similar lines never give all
-their pairs: in one sorted pass every line is compared with the first and the last few earlier lines of its
-buckets.  Buckets longer than that are kept, and their lines without a match so far meet the whole bucket.
+Only the *existence* of an earlier match matters.  Words of at most ``COLD`` occurrences in the corpus have
+buckets of bounded length, which are joined with themselves.  Buckets of other words may hold thousands of
+similar lines and never give all their pairs: in one sorted pass every line meets the first and the last few earlier
+lines of its bucket, and only lines without a match so far meet the whole bucket.  Of a line's candidates the
+one with the nearest sketch is verified first, the others only if that fails.
 """
 
 from __future__ import annotations
@@ -27,7 +29,9 @@ from pagesmith.llm.common import drop, free_name, sized, stripped, table, words
 THRESHOLD = Fraction(4, 5)
 #: Word frequencies are counted in so many hash buckets; a bucket's size class orders its words.
 BUCKETS = 1 << 18
-#: Earlier lines of a bucket that each line meets in the sorted pass, besides the first.
+#: Size class of words with bounded buckets: up to 2 ** (COLD / 2) occurrences.
+COLD = 22
+#: Earlier lines of a long bucket that each line meets in the sorted pass, besides the first.
 LAGS = 8
 #: Removed line numbers up to which they are broadcast to the texts (8 bytes each at most).
 BROADCAST_NUMBERS = 4_000_000
@@ -55,36 +59,53 @@ def rarity(docs: DataFrame, text_col: str = "text") -> Column:
 
 def _ordered(line: Column, classes: Column) -> Column:
     """A line's distinct words as longs that sort from rare to frequent: size class, then hash."""
-    hashes = F.transform(F.array_distinct(words(line)), lambda x: F.xxhash64(x))
-    return F.array_sort(F.transform(hashes, lambda h: F.shiftleft(
-        F.get(classes, F.pmod(h, F.lit(BUCKETS)).cast("int")).cast("long"), 56).bitwiseOR(F.shiftrightunsigned(h, 8))))
+    hashes = F.array_distinct(F.transform(words(line), lambda x: F.xxhash64(x)))
+    return F.sort_array(F.transform(hashes, lambda h: F.shiftleft(
+        F.get(classes, h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")).cast("long"), 56).bitwiseOR(F.shiftrightunsigned(h, 8))))
 
 
 def _may_match(t: Fraction, a: str, b: str) -> str:
     """SQL: sizes, positions of a shared word and sketches (n, i, sketch; aliases a, b) allow the overlap."""
     p, q = t.numerator, t.denominator
-    return (f"({q} * least({a}.n, {b}.n) >= {p} * greatest({a}.n, {b}.n) "
-            f"and {p + q} * least({a}.n - {a}.i, {b}.n - {b}.i) >= {p} * ({a}.n + {b}.n) "
-            f"and {p + q} * bit_count({a}.sketch ^ {b}.sketch) <= {q - p} * ({a}.n + {b}.n))")
+    return (f"({p + q} * bit_count({a}.sketch ^ {b}.sketch) <= {q - p} * ({a}.n + {b}.n) "
+            f"and {q} * least({a}.n, {b}.n) >= {p} * greatest({a}.n, {b}.n) "
+            f"and {p + q} * least({a}.n - {a}.i, {b}.n - {b}.i) >= {p} * ({a}.n + {b}.n))")
 
 
 def _verified(pairs: DataFrame, lines: DataFrame, t: Fraction) -> DataFrame:
-    """(place, h1, h2) of lines at a place ``b`` that a line at a place ``a`` of ``pairs`` (a, b) matches."""
-    spark = pairs.sparkSession
-    pairs = table(pairs.distinct(), "lines-pairs")
+    """(place, h1, h2) of the lines at places ``b`` that match the line at their place ``a``."""
     ends = table(pairs.select(F.explode(F.array("a", "b")).alias("place")).distinct(), "lines-ends")
-    placed = lines.withColumn("place", F.struct("id", "pos"))
-    sets = table(placed.join(sized(ends), "place", "left_semi").select("place", *LINE, F.array_distinct(words(F.col("line"))).alias("set"))
-                 .dropDuplicates(["place", *LINE]), "lines-sets")
-    a = sets.select(F.col("place").alias("a"), F.col("set").alias("set_a"))
-    b = sets.select(F.col("place").alias("b"), *LINE, F.col("set").alias("set_b"))
+    texts = table(lines.withColumn("place", F.struct("id", "pos")).join(sized(ends), "place", "left_semi")
+                  .select("place", *LINE, "line"), "lines-texts")
+    a = texts.select(F.col("place").alias("a"), F.col("line").alias("line_a"))
+    b = texts.select(F.col("place").alias("b"), *LINE, F.col("line").alias("line_b"))
+    both = pairs.select("a", "b").join(a, "a").join(b, "b").select(
+        F.col("b").alias("place"), *LINE, F.array_distinct(words(F.col("line_a"))).alias("x"), F.array_distinct(words(F.col("line_b"))).alias("y"))
     p, q = t.numerator, t.denominator
-    same = (p + q) * F.size(F.array_intersect("set_a", "set_b")) >= p * (F.size("set_a") + F.size("set_b"))
-    out = table(pairs.join(a, "a").join(b, "b").where(same).select(F.col("b").alias("place"), *LINE).distinct(), "lines-matched")
-    drop(spark, pairs, ends, sets)
+    same = (p + q) * F.size(F.array_intersect("x", "y")) >= p * (F.size("x") + F.size("y"))
+    out = table(both.where(same).select("place", *LINE).distinct(), "lines-matched")
+    drop(pairs.sparkSession, ends, texts)
     return out
 
 
+def _matched(pairs: DataFrame, lines: DataFrame, t: Fraction) -> DataFrame | None:
+    """(place, h1, h2) of the lines ``b`` with a match among their candidates (a, b, d: distance of sketches);
+    None without candidates."""
+    pairs = table(pairs.distinct(), "lines-pairs")
+    best = pairs.groupBy("b").agg(F.min(F.struct("d", "a")).alias("m"), F.count("*").alias("k"))
+    best = table(best.select("b", F.col("m.a").alias("a"), "k"), "lines-best")
+    if best.isEmpty():
+        return None
+    found = _verified(best, lines, t)
+    failed = table(best.where("k > 1").join(sized(found.select(F.col("place").alias("b")).distinct()), "b", "left_anti")
+                   .select("b", F.col("a").alias("tried")), "lines-failed")
+    if not failed.isEmpty():
+        rest = pairs.join(sized(failed), "b").where("a <> tried")
+        found = table(found.unionByName(_verified(rest, lines, t)), "lines-matched")
+    drop(pairs.sparkSession, pairs, best, failed)
+    return found
+
+
 def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     threshold: Fraction = THRESHOLD) -> DataFrame:
     """(id, removed): the line numbers that go, ascending, for every id with such lines."""
@@ -100,33 +121,49 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "id", "pos", "w", F.size("w").alias("n"),
         F.expr("aggregate(w, 0L, (s, h) -> s ^ shiftleft(1L, cast(h & 63 as int)))").alias("sketch"))
     prefix = F.expr(f"slice(w, 1, n - cast(ceil({p} * n / {q}) as int) + 1)")
-    index = (keyed.select("id", "pos", "n", "sketch", F.posexplode_outer(prefix).alias("i", "key")).where("i is not null")
-             .select("id", "pos", "n", "i", "sketch", F.col("key").bitwiseAND(F.lit(0x7FFFFFFF)).cast("int").alias("word")))  # 31 bits name the bucket
+    index = keyed.select("id", "pos", "n", "sketch", F.posexplode_outer(prefix).alias("i", "key")).where("i is not null").select(
+        "id", "pos", "n", "i", "sketch", F.col("key").bitwiseAND(F.lit(0x7FFFFFFF)).cast("int").alias("word"),  # 31 bits name the bucket
+        (F.shiftrightunsigned("key", 56) > COLD).alias("hot"))
+    index = table(index, "lines-index")
+
+    # position and size of a row share a long: fewer bytes to shuffle
+    cold = index.where("not hot").select("id", "word", "sketch", F.expr("shiftleft(cast(pos as bigint), 32) | i").alias("pi"), "n")
+    side = lambda x: F.expr(f"struct({x}.id as id, cast(shiftright({x}.pi, 32) as int) as pos)")
+    allowed = _may_match(t, "a", "b").replace("a.i", "(a.pi & 4294967295)").replace("b.i", "(b.pi & 4294967295)")
+    pairs = cold.alias("a").join(cold.alias("b"), F.expr(
+        f"a.word = b.word and {allowed} and struct(a.id, shiftright(a.pi, 32)) < struct(b.id, shiftright(b.pi, 32))")).select(
+        side("a").alias("a"), side("b").alias("b"), F.expr("bit_count(a.sketch ^ b.sketch)").alias("d"))
 
     entry, w = F.struct("id", "pos", "n", "i", "sketch"), Window.partitionBy("word").orderBy("id", "pos")
     met = [F.first(entry).over(w), *(F.lag(entry, k).over(w) for k in range(1, LAGS + 1))]
     # late: an earlier line of the bucket was not met; early: a later line of it did not meet this one
-    seen = index.select("*", F.array(*met).alias("met"), F.lag("n", LAGS + 1).over(w).isNotNull().alias("late"),
-                        F.lead("n", LAGS + 1).over(w).isNotNull().alias("early"))
-    near = F.expr("transform(filter(array_distinct(met), m -> m is not null and struct(m.id, m.pos) <> struct(id, pos) and "
-                  + _may_match(t, "m", "r") + "), m -> struct(m.id, m.pos))")
-    seen = seen.alias("r").select("id", "pos", "n", "i", "sketch", "word", "late", "early", near.alias("near"))
-    seen = table(seen.where("late or early or size(near) > 0"), "lines-index")
+    seen = index.where("hot").select("*", F.array(*met).alias("met"), F.lag("n", LAGS + 1).over(w).isNotNull().alias("late"),
+                                     F.lead("n", LAGS + 1).over(w).isNotNull().alias("early"))
+    near = F.expr("transform(filter(met, m -> m is not null and struct(m.id, m.pos) <> struct(id, pos) and "
+                  + _may_match(t, "m", "r") + "), m -> struct(struct(m.id, m.pos) as a, bit_count(m.sketch ^ r.sketch) as d))")
     here = F.struct("id", "pos")
-    found = _verified(seen.select(F.explode("near").alias("a"), here.alias("b")), distinct, t)
+    seen = table(seen.alias("r").select("id", "pos", "n", "i", "sketch", "word", "late", "early", near.alias("near"))
+                 .where("late or early or size(near) > 0"), "lines-long")
+    met_pairs = seen.select(F.explode("near").alias("m"), here.alias("b")).select("m.a", "b", "m.d")
+    found = _matched(pairs.unionByName(met_pairs), distinct, t)
 
     columns = ["word", "id", "pos", "n", "i", "sketch"]
-    left = (seen.where("late").withColumn("place", here).join(sized(found.select("place").distinct()), "place", "left_anti")
-            .select(columns).alias("b"))
-    rest = left.join(seen.where("early").select(columns).alias("a"), F.expr(
-        f"a.word = b.word and struct(a.id, a.pos) < struct(b.id, b.pos) and {_may_match(t, 'a', 'b')}"))
-    more = _verified(rest.select(F.struct("a.id", "a.pos").alias("a"), F.struct("b.id", "b.pos").alias("b")), distinct, t)
-    matched = found.unionByName(more).select(*LINE).distinct().withColumn("gone", F.lit(True))
+    left = seen.where("late").withColumn("place", here)
+    if found is not None:
+        left = left.join(sized(found.select("place").distinct()), "place", "left_anti")
+    rest = left.select(columns).alias("b").join(seen.where("early").select(columns).alias("a"), F.expr(
+        f"a.word = b.word and {_may_match(t, 'a', 'b')} and struct(a.id, a.pos) < struct(b.id, b.pos)"))
+    more = _matched(rest.select(F.struct("a.id", "a.pos").alias("a"), F.struct("b.id", "b.pos").alias("b"),
+                                F.expr("bit_count(a.sketch ^ b.sketch)").alias("d")), distinct, t)
+    matched = spark.createDataFrame([], "h1 bigint, h2 bigint")
+    for x in (found, more):
+        matched = matched if x is None else matched.unionByName(x.select(*LINE))
+    matched = matched.distinct().withColumn("gone", F.lit(True))
 
     hits = table(repeats.join(matched, LINE, "full").select(*LINE, "first", "gone"), "lines-hits")
     away = lines.drop("line").join(sized(hits), LINE).where(F.col("gone").isNotNull() | ~first_here)
-    out = table(away.groupBy("id").agg(F.array_sort(F.collect_set("pos")).alias("removed")), "lines-removed")
-    drop(spark, seen, found, more, repeats, hits)
+    out = table(away.groupBy("id").agg(F.sort_array(F.collect_set("pos")).alias("removed")), "lines-removed")
+    drop(spark, index, seen, found, more, repeats, hits)
     return out.withColumnRenamed("id", id_col)
 
 

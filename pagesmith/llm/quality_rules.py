@@ -40,11 +40,11 @@ def repeated_window_words(df: DataFrame, words_col: str, out: str, size: int = 3
     some = F.size(F.array_distinct(h)) < F.size(h)
     df = df.withColumn(h, hashed)
     # windows sorted by hash: a repeated one equals a neighbour
-    df = df.withColumn(s, F.when(some, F.array_sort(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))))
+    df = df.withColumn(s, F.when(some, F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))))
     here = F.col(s)
     pairs = F.arrays_zip(F.slice(s, 1, F.size(s) - 1), F.slice(s, 2, F.size(s) - 1))
     equal = F.transform(F.filter(pairs, lambda x: x["0"]["h"] == x["1"]["h"]), lambda x: F.array(x["0"]["i"], x["1"]["i"]))
-    df = df.withColumn(p, F.when(here.isNotNull(), F.array_sort(F.array_distinct(F.flatten(equal)))))
+    df = df.withColumn(p, F.when(here.isNotNull(), F.sort_array(F.array_distinct(F.flatten(equal)))))
     start = F.struct(F.lit(-size).alias("last"), F.lit(0).cast("long").alias("n"))
     covered = F.aggregate(p, start, lambda a, i: F.struct(
         i.alias("last"), (a["n"] + F.least(F.lit(size), i - a["last"])).alias("n")), lambda a: a["n"])

@@ -46,17 +46,13 @@ def with_shingles(df: DataFrame, text_col: str, out: str, size: int = SHINGLE) -
 
 def with_fingerprint(df: DataFrame, hashes: str, out: str) -> DataFrame:
     """``df`` plus the SimHash of an array of shingle hashes: a bit is set if it is in over half of them.  Four
-    bits are counted at a time, in 16-bit lanes of a long, so an array may hold up to 65,535 hashes."""
-    def counted(k: int) -> Column:
-        return F.aggregate(hashes, F.lit(0).cast("long"), lambda a, h: a + F.shiftrightunsigned(h, k).bitwiseAND(F.lit(LANES)))
-
-    lanes, n, bits = free_name(df, "lanes"), F.size(hashes), F.lit(0).cast("long")
-    for k in range(16):
-        for j in range(4):
-            bit = 1 << (k + 16 * j)
-            ones = F.shiftrightunsigned(F.get(lanes, F.lit(k)), 16 * j).bitwiseAND(F.lit(0xFFFF))
-            bits = bits.bitwiseOR(F.when(2 * ones > n, F.lit(bit - (1 << 64) if bit >> 63 else bit)).otherwise(F.lit(0).cast("long")))
-    return df.withColumn(lanes, F.array(*(counted(k) for k in range(16)))).withColumn(out, bits).drop(lanes)
+    bits (16 apart) are counted at a time, in 16-bit lanes of a long, so an array may hold up to 65,535 hashes."""
+    lanes = free_name(df, "lanes")
+    counted = (f"transform(sequence(0, 15), k -> aggregate(`{hashes}`, 0L, "
+               f"(a, h) -> a + (shiftrightunsigned(h, k) & {LANES}L)))")
+    bits = (f"aggregate(sequence(0, 63), 0L, (a, b) -> a | if(2 * (shiftrightunsigned(get(`{lanes}`, b % 16), b - b % 16) & 65535L) "
+            f"> size(`{hashes}`), shiftleft(1L, b), 0L))")
+    return df.withColumn(lanes, F.expr(counted)).withColumn(out, F.expr(bits)).withColumn(out, F.when(F.size(lanes) > 0, F.col(out))).drop(lanes)
 
 
 def _blocks(radius: int) -> list[int]:

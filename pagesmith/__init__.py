@@ -7,7 +7,7 @@ operators   DataFrame -> DataFrame operators (markup extraction, pagination, lan
             fetch-attempt resolution, manifest reconciliation, record projections).
 sources     Readers and writers (HTML directories, JSON batches, URL lists, manifests, stored objects).
 plans       Composite jobs, fixture derivations from the test tables, and the query registry.
-streaming   The same row-wise operators run incrementally over a file stream.
+llm         Operators of a training-data pipeline (nothing else imports it).
 """
 
 import sys
@@ -21,11 +21,8 @@ def _pickle_by_value() -> None:
     """Python workers may not have this package on their path (the driver can be started from
     anywhere, executors have no install): have Spark's cloudpickle ship this package's functions
     and classes by value with each task instead of importing them by name."""
-    try:
-        from pyspark import cloudpickle
-        cloudpickle.register_pickle_by_value(sys.modules[__name__])
-    except Exception:  # an older cloudpickle without the hook: fall back to import by name
-        pass
+    from pyspark import cloudpickle
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 _pickle_by_value()

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagesmith.functions._col import col
+from pagesmith.functions.text import WHITESPACE_CLASS
 
 # Python's ASCII whitespace for \s in str patterns (includes the \x1c-\x1f separators).
 _ASCII_SPACE = " \\t\\n\\r\\x0b\\x0c\\x1c-\\x1f"
@@ -68,18 +69,15 @@ def slugify(c: Column | str) -> Column:
     return _slug_tail(to_ascii(c))
 
 
-def _slug_unicode_py(s: pd.Series) -> pd.Series:
-    import re
-    def one(v):
-        v = unicodedata.normalize("NFKC", str(v))
-        v = re.sub(r"[^\w\s-]", "", v.lower())
-        return re.sub(r"[-\s]+", "-", v).strip("-_")
-    return s.map(one)
-
-
-
-
 def slugify_unicode(c: Column | str) -> Column:
-    """Unicode slug (NFKC, Unicode word characters kept).  Python's Unicode ``\\w`` and NFKC have no
-    exact JVM equivalent, so this one runs as an Arrow-batched pandas UDF."""
-    return F.pandas_udf(_slug_unicode_py, T.StringType())(F.coalesce(col(c).cast("string"), F.lit("None")))
+    """Unicode slug: compatibility normal form, lower case, letters, numbers, '_', white space and '-' kept,
+    runs of the last two become one '-', none at either end.  Only the normal form, which Spark SQL lacks,
+    is a (vectorised) UDF; the rules are native."""
+    @F.pandas_udf(T.StringType())
+    def normal_form(s: pd.Series) -> pd.Series:
+        return s.str.normalize("NFKC")
+
+    ws = WHITESPACE_CLASS[1:-1]
+    text = F.lower(normal_form(F.coalesce(col(c).cast("string"), F.lit("None"))))
+    kept = F.regexp_replace(text, rf"[^\p{{L}}\p{{N}}_{ws}-]+", "")
+    return F.regexp_replace(F.regexp_replace(kept, f"[{ws}-]+", "-"), "\\A[-_]+|[-_]+\\z", "")

@@ -31,7 +31,7 @@ def url_insert_page(url: Column | str, page: Column | str, sep: str = SEARCH_SEG
     parts = F.split(col(url), _regex_literal(sep), -1)
     built = F.concat(parts.getItem(0), F.lit(sep + "/"), col(page).cast("string"), parts.getItem(1))
     ok = F.size(parts) == 2
-    bad = F.raise_error(F.concat(F.lit("Invalid URL format: "), F.coalesce(col(url), F.lit("NULL")))) \
+    bad = F.raise_error(F.concat(F.lit("not exactly one search segment in URL "), F.coalesce(col(url), F.lit("NULL")))) \
         if failfast else F.lit(None).cast("string")
     return F.when(ok, built).otherwise(bad)
 

@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagesmith.functions.content import EXTENSION_MAP, DEFAULT_EXT, mime_table, object_name
-from pagesmith.operators.joins import sized_join
 
 MAX_RETRIES = 3
 RETRY_BACKOFF = 0.5
@@ -85,18 +84,18 @@ def extension_table(spark, extension_map: dict | None = None) -> tuple[DataFrame
 
 
 def lookup_extension(df: DataFrame, ct_col: str = "content_type", exact: DataFrame | None = None,
-                     mime: DataFrame | None = None, broadcast_rows: int = 1_000_000) -> DataFrame:
-    """The extension lookup of F9 as joins, for large custom tables.  Both lookup tables go
-    through ``sized_join`` (broadcast only below ``broadcast_rows``)."""
-    spark = df.sparkSession
-    if exact is None or mime is None:
-        e0, m0 = extension_table(spark)
-        exact, mime = exact if exact is not None else e0, mime if mime is not None else m0
+                     mime: DataFrame | None = None) -> DataFrame:
+    """The extension lookup of F9 as joins, for large custom tables.  The fixed tables (constants of the
+    library) are broadcast; for given tables Spark picks the join from their known or measured bytes, and
+    adaptive execution splits a hot content type."""
+    fixed = extension_table(df.sparkSession)
+    own = exact is not None, mime is not None
+    exact, mime = exact if exact is not None else fixed[0], mime if mime is not None else fixed[1]
     ex = exact.select(F.col("content_type").alias("_ct_exact"), F.col("ext").alias("_ext1")).dropDuplicates(["_ct_exact"])
     mi = mime.select(F.lower("content_type").alias("_ct_lower"), F.col("ext").alias("_ext2")).dropDuplicates(["_ct_lower"])
     d = df.withColumn("_ct_exact", F.col(ct_col)).withColumn("_ct_lower", F.lower(F.col(ct_col)))
-    d = sized_join(d, ex, ["_ct_exact"], "left", broadcast_rows=broadcast_rows)
-    d = sized_join(d, mi, ["_ct_lower"], "left", broadcast_rows=broadcast_rows)
+    d = d.join(ex if own[0] else F.broadcast(ex), ["_ct_exact"], "left")
+    d = d.join(mi if own[1] else F.broadcast(mi), ["_ct_lower"], "left")
     ext = F.when(F.col(ct_col).isNull(), F.lit(None).cast("string")) \
         .otherwise(F.coalesce("_ext1", "_ext2", F.lit(DEFAULT_EXT)))
     return d.withColumn("ext", ext).drop("_ct_exact", "_ct_lower", "_ext1", "_ext2")
@@ -110,7 +109,13 @@ def download_progress(outcome: DataFrame) -> DataFrame:
         "done", "total", F.round(F.lit(100.0) * F.col("done") / F.nullif(F.col("total"), F.lit(0)), 2).alias("percent"))
 
 
-def store_plan(attempts: DataFrame, max_retries: int = MAX_RETRIES) -> DataFrame:
-    """Attempts -> objects to store: first success per URL, named, last write per name wins."""
-    ok = successful_fetches(attempts, max_retries)
-    return latest_object(name_objects(ok))
+def store_plan(attempts: DataFrame, max_retries: int = MAX_RETRIES, content_col: str = "content") -> DataFrame:
+    """Attempts -> objects to store: first success per URL, named, last write per name wins.
+
+    Winners are decided on narrow rows; bodies travel once, for the winners only (joined back by id, which
+    identifies an attempt)."""
+    narrow = attempts.drop(content_col)
+    won = latest_object(name_objects(successful_fetches(narrow, max_retries)))
+    if content_col not in attempts.columns:
+        return won
+    return won.join(attempts.select("id", content_col), "id")

@@ -12,16 +12,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagesmith.functions.text import sanitize_text
-from pagesmith.operators.partitioning import spread
 
 PERMISSIVE, FAILFAST = "PERMISSIVE", "FAILFAST"
-ROWS_PER_ARROW_BATCH = 256
 
 
 @dataclass(frozen=True)
@@ -96,30 +94,43 @@ def _extractor(key_names, html_name, scope, record, fields, mode, whole_page):
         return out
 
     def run(batches):
-        for pdf in batches:
-            rows = []
-            keys = pdf[list(key_names)].itertuples(index=False, name=None)
-            for key, html in zip(keys, pdf[html_name]):
+        for batch in batches:
+            names, n_keys = batch.schema.names, len(key_names)
+            at, numbers, errors = [], [], []
+            values: list[list] = [[] for _ in field_c]
+            for row, html in enumerate(batch.column(names.index(html_name)).to_pylist()):
                 if html is None:
                     continue
                 try:
-                    for rec in one_page(html):
-                        rows.append(list(key) + rec + [None])
+                    found = one_page(html)
                 except Exception as e:  # one bad page must not end the job
                     if mode == FAILFAST:
                         raise
-                    rows.append(list(key) + [None] + [None] * len(field_c) + [f"{type(e).__name__}: {e}"])
-            yield pd.DataFrame(rows, columns=cols)
+                    found = [[None] * (1 + len(field_c))]
+                    errors += [None] * (len(at) - len(errors)) + [f"{type(e).__name__}: {e}"]
+                for rec in found:
+                    at.append(row)
+                    numbers.append(rec[0])
+                    for column, value in zip(values, rec[1:]):
+                        column.append(value)
+            errors += [None] * (len(at) - len(errors))
+            rows = pa.array(at, pa.int64())
+            # keys stay Arrow values: nulls and large integers come out as they went in
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(k).take(rows) for k in range(n_keys)] + [pa.array(numbers, pa.int32())]
+                + [pa.array(v, pa.string()) for v in values] + [pa.array(errors, pa.string())], names=cols)
 
     return run
 
 
 def extract_records(pages: DataFrame, fields, record: str | None = None, keys=("page_id",),
                     html_col: str = "html", scope=None, mode: str = PERMISSIVE,
-                    with_errors: bool = False) -> DataFrame:
+                    with_errors: bool = False, partitions: int | None = None) -> DataFrame:
     """X1 + X2: one output row per matching record of each page: keys, record_no, raw field values.
 
-    ``record=None`` treats the whole page (or scope) as the single record.
+    ``record=None`` treats the whole page (or scope) as the single record.  ``with_errors`` adds the column
+    ``_error`` and a row for every page the parser couldn't handle.  ``partitions`` deals the pages out first (a few
+    files of many pages); building the plan runs nothing.
     """
     keys = list(keys)
     src = pages.select(*keys, html_col)
@@ -127,12 +138,8 @@ def extract_records(pages: DataFrame, fields, record: str | None = None, keys=("
     out_fields.append(T.StructField("record_no", T.IntegerType()))
     out_fields += [T.StructField(f.name, T.StringType()) for f in fields]
     out_fields.append(T.StructField("_error", T.StringType()))
-    spark = pages.sparkSession
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > ROWS_PER_ARROW_BATCH:
-        # whole pages travel per row: keep Arrow batches small enough for executor memory
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_PER_ARROW_BATCH))
     fn = _extractor(keys, html_col, scope, record, fields, mode, record is None)
-    out = spread(src).mapInPandas(fn, T.StructType(out_fields))
+    out = (src.repartition(partitions) if partitions else src).mapInArrow(fn, T.StructType(out_fields))
     return out if with_errors else out.filter(F.col("_error").isNull()).drop("_error")
 
 
@@ -162,15 +169,14 @@ def extract_facets(pages: DataFrame, keys=("page_id",), html_col="html", scope=F
 
 def meta_links(pages: DataFrame, name_col: str = "filename", html_col: str = "html", meta: str = PDF_META,
                prefilter: bool = True, mode: str = PERMISSIVE) -> tuple[DataFrame, DataFrame]:
-    """(parsed, skipped): one parsed row per candidate page, (filename, url) with url NULL or ''
-    when the meta or its content is missing, and the pages the native pre-filter skipped."""
+    """(parsed, skipped): one row (filename, url, _error) per candidate page, url NULL or '' when the meta or
+    its content is missing or the page couldn't be parsed; and the pages the native pre-filter skipped."""
     needle = meta.split("=", 1)[1].strip('"]\'')
     src = pages.select(F.col(name_col).alias("filename"), html_col)
     has = F.coalesce(F.col(html_col).contains(needle), F.lit(False)) if prefilter else F.col(html_col).isNotNull()
     field = (Field("url", (meta,), "@content"),)
-    parsed = extract_records(src.filter(has), field, None, ["filename"], html_col, mode=mode)
-    skipped = src.filter(~has).select("filename")
-    return parsed.select("filename", "url"), skipped
+    parsed = extract_records(src.filter(has), field, None, ["filename"], html_col, mode=mode, with_errors=True)
+    return parsed.select("filename", "url", "_error"), src.filter(~has).select("filename")
 
 
 def _usable(c: str = "url") -> Column:
@@ -183,12 +189,12 @@ def extract_meta_link(pages: DataFrame, name_col: str = "filename", html_col: st
     empty content, are dropped.  ``prefilter`` skips pages that cannot contain the meta name before
     any Python runs (turn off if the name may be written with character references)."""
     parsed, _ = meta_links(pages, name_col, html_col, meta, prefilter, mode)
-    return parsed.filter(_usable())
+    return parsed.filter(_usable()).select("filename", "url")
 
 
 def extraction_misses(pages: DataFrame, name_col: str = "filename", html_col: str = "html",
                       meta: str = PDF_META, prefilter: bool = True) -> DataFrame:
-    """Inputs with no usable link (no meta, no content, or empty content); no join needed,
-    every page yields exactly one parsed row or is skipped by the pre-filter."""
+    """The inputs that ``extract_meta_link`` gives no row for: no meta, no or empty content, or a page the
+    parser rejects.  No join is needed: every page is parsed to one row or skipped by the pre-filter."""
     parsed, skipped = meta_links(pages, name_col, html_col, meta, prefilter, PERMISSIVE)
     return parsed.filter(~_usable()).select("filename").unionByName(skipped)

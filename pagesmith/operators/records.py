@@ -21,11 +21,6 @@ def project_records(df: DataFrame, schema: T.StructType) -> DataFrame:
                        for f in schema.fields])
 
 
-def require_fields(df: DataFrame, fields: list[str]) -> DataFrame:
-    """Strict readers: rows missing any required field are rejected (use with ``rejects``)."""
-    return df.filter(reduce(lambda a, b: a & b, [F.col(f).isNotNull() for f in fields]))
-
-
 def project_info_urls(articles: DataFrame) -> DataFrame:
     """Only info_url, duplicates kept."""
     return articles.select("info_url")
@@ -73,8 +68,3 @@ def batch_row_counts(df: DataFrame, file_col: str | list[str] = "file_name") ->
     """A3: rows per input batch file (``file_col`` may list extra columns fixed per file)."""
     cols = [file_col] if isinstance(file_col, str) else list(file_col)
     return df.groupBy(*cols).agg(F.count(F.lit(1)).alias("n"))
-
-
-def with_file_name(df: DataFrame) -> DataFrame:
-    """Attach the source file's base name (file sources only)."""
-    return df.withColumn("file_name", F.col("_metadata.file_name"))

@@ -152,6 +152,14 @@ def attempts(spark, sf_dir) -> DataFrame:
         F.encode(F.col("props"), "UTF-8").alias("content"))
 
 
+def attempts_by_block(spark, sf_dir) -> DataFrame:
+    """All attempts, with one URL per page and block of 400 events: some URLs have so few attempts, all
+    failed, that a retry is due."""
+    a = attempts(spark, sf_dir)
+    block = F.floor(F.col("id") / 400).cast("string")
+    return a.withColumn("url", F.concat_ws("/", "url", block))
+
+
 def local_files(spark, sf_dir) -> DataFrame:
     p = table(spark, sf_dir, "pages")
     return p.select("page_id", F.concat(slugify("url"), F.lit(".html")).alias("name"))

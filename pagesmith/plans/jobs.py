@@ -8,74 +8,92 @@ from pyspark.sql import functions as F
 
 from pagesmith import schemas
 from pagesmith.functions.text import language_label
+from pagesmith.functions.urls import path_basename
 from pagesmith.operators import fetch, langid, markup, pagination, reconcile, records
+from pagesmith.session import scratch_path
 from pagesmith.sources import files, sinks
 
 SITE_PREFIX = "https://portal.example.org"
 
 
-def job_publishers(facet_pages: DataFrame, out: str) -> DataFrame:
-    """Facet page(s) -> publishers JSON."""
-    pubs = records.project_records(markup.extract_facets(facet_pages), schemas.PUBLISHER)
+def job_publishers(facet_pages: DataFrame, out: str, mode: str = markup.PERMISSIVE) -> DataFrame:
+    """Facet page(s) -> publishers JSON.  A page the parser rejects ends the job with ``mode='FAILFAST'``; else
+    ``markup.extraction_errors`` tells them."""
+    pubs = records.project_records(markup.extract_facets(facet_pages, mode=mode), schemas.PUBLISHER)
     sinks.sink_json_single(pubs, out)
     return files.scan_json_batches(facet_pages.sparkSession, out, schemas.PUBLISHER, layout="lines", pattern=None)
 
 
-def job_listing_urls(spark: SparkSession, publishers_path: str, out: str, prefix: str = SITE_PREFIX) -> DataFrame:
-    """Publishers JSON -> one listing URL per result page, as a text file."""
-    pubs = files.scan_json_batches(spark, publishers_path, schemas.PUBLISHER, layout="lines", pattern=None,
-                                   required=["name", "url", "article_count"])
+def job_listing_urls(spark: SparkSession, publishers_path: str, out: str, prefix: str = SITE_PREFIX,
+                     layout: str = "lines", on_missing: str = "drop") -> DataFrame:
+    """Publishers JSON -> one listing URL per result page, as a text file.  Publishers without a usable URL are
+    told by ``pagination.invalid_publisher_urls``."""
+    pubs = files.scan_json_batches(spark, publishers_path, schemas.PUBLISHER, layout=layout, pattern=None,
+                                   required=["name", "url", "article_count"], on_missing=on_missing)
     urls = pagination.paginate_urls(pubs, prefix=prefix)
     sinks.sink_text_lines(urls, "page_url", out)
     return files.scan_url_list(spark, out)
 
 
 def job_articles(spark: SparkSession, html_dir: str, out: str, batch_size: int = sinks.BATCH_ROWS,
-                 pattern: str = "*.html") -> DataFrame:
-    """Listing HTML files -> article records in JSON batches."""
+                 pattern: str = "*.html", mode: str = markup.PERMISSIVE) -> DataFrame:
+    """Listing HTML files -> article records in JSON batches.  ``mode='FAILFAST'`` ends the job on a bad page."""
     pages = files.scan_html_pages(spark, html_dir, pattern)
-    arts = markup.extract_articles(pages, keys=("path",))
+    arts = markup.extract_articles(pages, keys=("path",), mode=mode)
     sinks.sink_json_batches(records.project_records(arts, schemas.ARTICLE), out, batch_size)
     return files.scan_json_batches(spark, out, schemas.ARTICLE, layout="lines")
 
 
 def job_language(spark: SparkSession, articles_path: str, profile: langid.LanguageProfile, out: str,
-                 batch_size: int = sinks.BATCH_ROWS) -> DataFrame:
+                 batch_size: int = sinks.BATCH_ROWS, layout: str = "lines", pattern: str | None = "*.json") -> DataFrame:
     """Article batches -> the same records with a language label (from the title only)."""
-    arts = files.scan_json_batches(spark, articles_path, schemas.ARTICLE_LANG, layout="lines")
-    found = langid.detect_language(arts, profile, "title", keys=None, out_col="_lang")
+    arts = files.scan_json_batches(spark, articles_path, schemas.ARTICLE_LANG, layout=layout, pattern=pattern)
+    found = langid.detect_language(arts, profile, "title", out_col="_lang")
     found = found.withColumn("language", language_label("_lang"))
     sinks.sink_json_batches(records.project_records(found, schemas.ARTICLE_LANG), out, batch_size)
     return files.scan_json_batches(spark, out, schemas.ARTICLE_LANG, layout="lines")
 
 
 def job_language_filter(spark: SparkSession, articles_path: str, out: str,
-                        whitelist=records.LANGUAGE_WHITELIST) -> dict[str, DataFrame]:
-    """Labelled batches -> per-language counts (all rows) and the whitelisted records (one JSON)."""
-    arts = files.scan_json_batches(spark, articles_path, schemas.ARTICLE_LANG, layout="lines")
+                        whitelist=records.LANGUAGE_WHITELIST, layout: str = "lines",
+                        pattern: str | None = "*.json") -> dict[str, DataFrame]:
+    """Labelled batches -> per-language counts (all rows), the whitelisted records (one JSON) and the text that
+    didn't parse."""
+    arts = files.scan_json_batches(spark, articles_path, schemas.ARTICLE_LANG, layout=layout, pattern=pattern)
     counts = records.language_counts(arts)
     sinks.sink_json_single(records.filter_language(arts, whitelist), out)
     kept = files.scan_json_batches(spark, out, schemas.ARTICLE_LANG, layout="lines", pattern=None)
-    return {"counts": counts, "articles": kept}
+    return {"counts": counts, "articles": kept, "rejects": files.json_rejects(spark, articles_path, schemas.ARTICLE_LANG, layout, pattern)}
 
 
-def job_info_urls(spark: SparkSession, articles_path: str, out: str) -> DataFrame:
+def job_info_urls(spark: SparkSession, articles_path: str, out: str, layout: str = "lines",
+                  pattern: str | None = "*.json") -> DataFrame:
     """Article batches -> info_url list (NULLs dropped)."""
-    arts = files.scan_json_batches(spark, articles_path, schemas.ARTICLE, layout="lines")
+    arts = files.scan_json_batches(spark, articles_path, schemas.ARTICLE, layout=layout, pattern=pattern)
     sinks.sink_text_lines(records.project_info_urls(arts), "info_url", out)
     return spark.read.text(out)
 
 
 def job_download_links(pages: DataFrame, out: str, batch_size: int = sinks.BATCH_ROWS) -> dict[str, DataFrame]:
-    """Article pages (filename, html) -> (filename, url) batches, plus the misses report.  The
-    pages are parsed once (checkpointed); links and misses both come from that one result."""
+    """Article pages (filename, html) -> (filename, url) batches, the misses report and the pages the parser
+    rejects.  The pages are parsed once, into a written table that all three come from."""
+    spark = pages.sparkSession
     parsed, skipped = markup.meta_links(pages)
-    parsed = parsed.checkpoint()
+    path = scratch_path(spark, "meta-links")
+    parsed.write.parquet(path)
+    parsed = spark.read.schema(parsed.schema).parquet(path)
     usable = F.col("url").isNotNull() & (F.col("url") != "")
-    sinks.sink_json_batches(parsed.filter(usable), out, batch_size)
-    read = files.scan_json_batches(pages.sparkSession, out, schemas.DOWNLOAD_LINK, layout="lines")
+    sinks.sink_json_batches(parsed.filter(usable).select("filename", "url"), out, batch_size)
+    read = files.scan_json_batches(spark, out, schemas.DOWNLOAD_LINK, layout="lines")
     misses = parsed.filter(~usable).select("filename").unionByName(skipped)
-    return {"links": read, "misses": misses}
+    return {"links": read, "misses": misses, "rejects": parsed.filter("_error is not null").select("filename", "_error")}
+
+
+def job_download_links_from_files(spark: SparkSession, html_dir: str, out: str, pattern: str = "*.html",
+                                  batch_size: int = sinks.BATCH_ROWS) -> dict[str, DataFrame]:
+    """The same from a folder of HTML files: the file's base name is kept with each link."""
+    pages = files.scan_html_pages(spark, html_dir, pattern)
+    return job_download_links(pages.select(path_basename("path").alias("filename"), "html"), out, batch_size)
 
 
 def job_download_urls(spark: SparkSession, links_dir: str, out: str) -> dict[str, DataFrame]:

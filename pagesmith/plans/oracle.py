@@ -9,7 +9,6 @@ from pagesmith.plans.fixtures import EVENT_CONTENT_TYPE
 
 SITE = "https://portal.example.org"
 KEPT = "('french', 'german')"
-AS_OF = "TIMESTAMP '2024-01-02 00:00:00'"
 MAX_ATTEMPTS = 4
 _ASCII_SPACE = r" \t\n\r\x0b\x0c\x1c-\x1f"
 
@@ -104,6 +103,9 @@ DEPS = {
 }
 
 
+BY_BLOCK = "SELECT id, url || '/' || CAST(id // 400 AS VARCHAR) AS url, fetched_at, status FROM attempts"
+
+
 def outcome_sql(src: str) -> str:
     return f"""WITH r AS (SELECT *, row_number() OVER (PARTITION BY url ORDER BY fetched_at, id) AS attempt_no FROM ({src})),
       lim AS (SELECT * FROM r WHERE attempt_no <= {MAX_ATTEMPTS}),
@@ -196,8 +198,8 @@ ORACLE: dict[str, str] = {
     "parse_grouped_int": with_ctes(
         "SELECT url, CASE WHEN article_count = 0 THEN '' ELSE replace(format('{:,}', article_count), ',', '.') END AS count_text, "
         "CASE WHEN article_count = 0 THEN NULL ELSE article_count END AS value FROM publishers", "publishers"),
-    "slugify": f"SELECT doc_id, {slug(FIRST_LINE)} AS slug FROM documents",
-    "slugify_unicode": f"SELECT doc_id, {uslug(FIRST_LINE)} AS slug FROM documents",
+    "slugify": f"SELECT doc_id, {slug('text')} AS slug FROM documents",
+    "slugify_unicode": f"SELECT doc_id, {uslug('text')} AS slug FROM documents",
     "content_type_ext": with_ctes(f"SELECT id, {ext('content_type')} AS ext FROM attempts", "attempts"),
     "object_name": with_ctes(f"SELECT id, {slug('url')} || {ext('content_type')} AS object_name FROM attempts", "attempts"),
     "language_label": f"SELECT doc_id, {label('lang')} AS from_code, {label(chr(39) + 'Language.' + chr(39) + ' || upper(' + label('lang') + ')')} AS from_enum FROM documents",
@@ -225,7 +227,7 @@ ORACLE: dict[str, str] = {
     "retry_outcome": with_ctes(f"SELECT * FROM ({outcome_sql('SELECT * FROM attempts')})", "attempts"),
     "retry_schedule": with_ctes(
         f"SELECT url, attempts_used AS retry_no, round(CAST(0.5 AS DOUBLE) * (attempts_used - 1), 3) AS delay_s "
-        f"FROM ({outcome_sql(f'SELECT * FROM attempts WHERE fetched_at < {AS_OF}')}) WHERE state = 'pending'", "attempts"),
+        f"FROM ({outcome_sql(BY_BLOCK)}) WHERE state = 'pending'", "attempts"),
     "latest_object": with_ctes("SELECT object_name, id, url FROM named_ok QUALIFY row_number() OVER (PARTITION BY object_name ORDER BY fetched_at DESC, id DESC) = 1", "named_ok"),
     "object_name_collisions": with_ctes("SELECT object_name, count(DISTINCT url) AS n_urls, min(url) AS first_url, max(url) AS last_url FROM named_ok GROUP BY object_name HAVING count(DISTINCT url) > 1", "named_ok"),
     "job_publishers": with_ctes("SELECT name, url, CASE WHEN article_count = 0 THEN NULL ELSE article_count END AS article_count FROM publishers", "publishers"),
@@ -239,6 +241,16 @@ ORACLE: dict[str, str] = {
     "job_download_urls": "SELECT url || '.pdf' AS value FROM pages WHERE page_id % 2 = 0",
     "job_store_objects": with_ctes(STORE, "store_plan"),
     "job_reconcile": with_ctes("SELECT l.name, r.remote_copies FROM local_files l JOIN remote_names r USING (name)", "remote_names"),
+    "job_language_filter_arrays": with_ctes("SELECT language, count(*) AS n, count(*) - 1 AS n_reference FROM articles_lang GROUP BY language", "articles_lang"),
+    "job_info_urls_arrays": "SELECT '/doc/' || CAST(doc_id AS VARCHAR) AS value FROM documents",
+    "scan_json_arrays": with_ctes("SELECT title, info_url, abstract, language FROM articles_lang", "articles_lang"),
+    "job_download_links_misses": f"SELECT {slug('url')} || '.html' AS filename FROM pages WHERE page_id % 2 = 1",
+    "job_store_progress": with_ctes(
+        f"SELECT count(*) FILTER (WHERE state = 'succeeded') AS done, count(*) AS total, "
+        f"round(CAST(100 AS DOUBLE) * count(*) FILTER (WHERE state = 'succeeded') / count(*), 2) AS percent "
+        f"FROM ({outcome_sql('SELECT * FROM attempts')})", "attempts"),
+    "job_reconcile_not_found": with_ctes("SELECT r.name, r.remote_copies FROM remote_names r WHERE NOT EXISTS (SELECT 1 FROM local_files l WHERE l.name = r.name)", "remote_names"),
+    "job_reconcile_remaining": with_ctes("SELECT l.name FROM local_files l WHERE NOT EXISTS (SELECT 1 FROM remote_names r WHERE r.name = l.name)", "remote_names"),
     "page_language_counts": with_ctes(
         f"SELECT language, count(*) AS n, count(*) - 1 AS n_reference FROM (SELECT {label('pick.lang')} AS language "
         f"FROM src LEFT JOIN pick ON pick.k = src.page_id) GROUP BY language",

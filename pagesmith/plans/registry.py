@@ -26,7 +26,6 @@ QUERIES: dict[str, Query] = {}
 NAV_FIELDS = (markup.Field("text", ("a",), "text"), markup.Field("href", ("a",), "@href"))
 PAGE_FIELDS = (markup.Field("title", ("h1",), "text"), markup.Field("abstract", ("p",), "text"))
 LANGS_KEPT = ("french", "german")
-AS_OF = "2024-01-02 00:00:00"
 BATCH = 100
 
 
@@ -206,14 +205,12 @@ def parse_grouped_int(spark, d):
 
 @q
 def slugify(spark, d):
-    docs = fx.table(spark, d, "documents").select("doc_id", fx.first_line(F.col("text")).alias("line"))
-    return docs.select("doc_id", slug.slugify("line").alias("slug"))
+    return fx.table(spark, d, "documents").select("doc_id", slug.slugify("text").alias("slug"))
 
 
 @q
 def slugify_unicode(spark, d):
-    docs = fx.table(spark, d, "documents").select("doc_id", fx.first_line(F.col("text")).alias("line"))
-    return docs.select("doc_id", slug.slugify_unicode("line").alias("slug"))
+    return fx.table(spark, d, "documents").select("doc_id", slug.slugify_unicode("text").alias("slug"))
 
 
 @q
@@ -241,7 +238,7 @@ def _profile(spark, d) -> langid.LanguageProfile:
 @q
 def detect_language(spark, d):
     arts = fx.articles_lang(spark, d).select("doc_id", "title")
-    out = langid.detect_language(arts, _profile(spark, d), "title", keys=["doc_id"])
+    out = langid.detect_language(arts, _profile(spark, d), "title")
     return out.select("doc_id", "language")
 
 
@@ -272,7 +269,7 @@ def filter_language(spark, d):
 @q
 def filter_nonempty_url(spark, d):
     parsed, _ = markup.meta_links(fx.article_pages(spark, d))
-    return records.filter_nonempty_url(parsed)
+    return records.filter_nonempty_url(parsed.select("filename", "url"))
 
 
 @q
@@ -353,8 +350,7 @@ def retry_outcome(spark, d):
 
 @q
 def retry_schedule(spark, d):
-    att = fx.attempts(spark, d).filter(F.col("fetched_at") < F.lit(AS_OF).cast("timestamp_ntz"))
-    return fetch.retry_schedule(fetch.retry_outcome(att))
+    return fetch.retry_schedule(fetch.retry_outcome(fx.attempts_by_block(spark, d)))
 
 
 @q
@@ -438,6 +434,47 @@ def job_reconcile(spark, d):
     return jobs.job_reconcile(fx.local_files(spark, d), fx.remote_objects(spark, d), fx.REMOTE_FOLDER)["delete_plan"]
 
 
+@q
+def job_language_filter_arrays(spark, d):
+    """Indented JSON array files in, counts over all rows out."""
+    src = _json_array_files(fx.articles_lang(spark, d).drop("doc_id"), spark, "articles-lang-arrays")
+    res = jobs.job_language_filter(spark, src, scratch_path(spark, "kept"), LANGS_KEPT, layout="array", pattern=None)
+    return res["counts"]
+
+
+@q
+def job_info_urls_arrays(spark, d):
+    arts = records.project_records(fx.articles_lang(spark, d), schemas.ARTICLE)
+    src = _json_array_files(arts, spark, "articles-arrays")
+    return jobs.job_info_urls(spark, src, scratch_path(spark, "info-urls"), layout="array", pattern=None)
+
+
+@q
+def scan_json_arrays(spark, d):
+    path = _json_array_files(fx.articles_lang(spark, d).drop("doc_id"), spark, "articles-arrays")
+    return files.scan_json_batches(spark, path, schemas.ARTICLE_LANG, layout="array", pattern=None)
+
+
+@q
+def job_download_links_misses(spark, d):
+    return jobs.job_download_links(fx.article_pages(spark, d), scratch_path(spark, "links"))["misses"]
+
+
+@q
+def job_store_progress(spark, d):
+    return jobs.job_store_objects(fx.attempts(spark, d), scratch_path(spark, "objects"))["progress"]
+
+
+@q
+def job_reconcile_not_found(spark, d):
+    return jobs.job_reconcile(fx.local_files(spark, d), fx.remote_objects(spark, d), fx.REMOTE_FOLDER)["not_found"]
+
+
+@q
+def job_reconcile_remaining(spark, d):
+    return jobs.job_reconcile(fx.local_files(spark, d), fx.remote_objects(spark, d), fx.REMOTE_FOLDER)["remaining"]
+
+
 # ---------------------------------------------------------------- flagship
 
 TITLE_FIELD = (markup.Field("title", ("h1",), "text"),)
@@ -445,11 +482,10 @@ TITLE_FIELD = (markup.Field("title", ("h1",), "text"),)
 
 def flagship(spark, d) -> DataFrame:
     """Pages -> title (first h1) -> language of the title -> rows per language.  Only the title is
-    parsed (the abstract is not needed here), and the parsed titles are written once."""
+    parsed (the abstract is not needed here), in one pass with the scoring."""
     recs = markup.extract_records(fx.table(spark, d, "pages"), TITLE_FIELD, None, keys=("page_id",))
     arts = recs.select("page_id", text.sanitize_text("title").alias("title"))
-    found = langid.detect_language(arts, _profile(spark, d), "title", keys=["page_id"], out_col="_lang",
-                                   checkpoint_input=True)
+    found = langid.detect_language(arts, _profile(spark, d), "title", out_col="_lang")
     return records.language_counts(found.withColumn("language", text.language_label("_lang")))
 
 

@@ -14,18 +14,3 @@ ARTICLE = T.StructType([
 ])
 ARTICLE_LANG = T.StructType(ARTICLE.fields + [T.StructField("language", S)])
 DOWNLOAD_LINK = T.StructType([T.StructField("filename", S), T.StructField("url", S)])
-ATTEMPT = T.StructType([
-    T.StructField("id", T.LongType()), T.StructField("url", S), T.StructField("fetched_at", T.TimestampType()),
-    T.StructField("status", T.IntegerType()), T.StructField("content_type", S),
-])
-MANIFEST = T.StructType([T.StructField("name", S)])
-EXTENSION_MAP = T.StructType([T.StructField("content_type", S), T.StructField("ext", S)])
-
-RECORDS = {
-    "publisher": PUBLISHER,
-    "article": ARTICLE,
-    "article_lang": ARTICLE_LANG,
-    "download_link": DOWNLOAD_LINK,
-    "attempt": ATTEMPT,
-    "manifest": MANIFEST,
-}

@@ -14,7 +14,8 @@ from pyspark.sql import SparkSession
 
 
 def get_session(master: str | None = None, app: str = "pagesmith",
-                shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
+                shuffle_partitions: int | None = None, extra: dict | None = None,
+                checkpoint_dir: str | None = None) -> SparkSession:
     """Build (or reuse) a session with the settings the operators are tuned for.
 
     AQE coalesces the small post-shuffle partitions of tiny fixtures and splits skewed ones at scale.
@@ -28,11 +29,15 @@ def get_session(master: str | None = None, app: str = "pagesmith",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # whole pages and texts cross to Python: batches are bounded by bytes, not rows alone
+        "spark.sql.execution.arrow.maxBytesPerBatch": str(32 << 20),
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if checkpoint_dir:  # a folder that the driver and all executors share
+        conf["spark.checkpoint.dir"] = checkpoint_dir
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)

@@ -1,8 +1,8 @@
-"""File sources.  All of them are plain Spark readers; none lists or opens files on the driver."""
+"""File sources: plain Spark readers.  Spark lists the folders; no file is opened on the driver."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -11,27 +11,60 @@ from pagesmith.functions.text import strip_text
 
 def scan_html_pages(spark: SparkSession, directory: str, pattern: str = "*.html") -> DataFrame:
     """Every matching file of one directory (not recursive), whole file as one UTF-8 string.
-    -> (path, file_name, html).  File order is not defined."""
+    -> (path, file_name, html).  File order is not defined.  Names that start with '_' or '.' are not read by
+    Spark; ``hidden_files`` reports them."""
     df = spark.read.text(directory, wholetext=True, pathGlobFilter=pattern)
     part_cols = [c for c in df.columns if c != "value"]  # discovered partition folders, if any
     return df.select(*part_cols, F.col("_metadata.file_path").alias("path"),
                      F.col("_metadata.file_name").alias("file_name"), F.col("value").alias("html"))
 
 
+def hidden_files(spark: SparkSession, directory: str, suffix: str = "", empty: bool = False) -> DataFrame:
+    """(file_name, error) of files whose names start with '_' or '.', which Spark's readers pass over (its own
+    markers and checksums left out), and on request of empty ones.  The driver sees what Spark's own file
+    listing sees: names and lengths."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{directory.rstrip('/')}/*{suffix}")
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
+    out = []
+    for f in found:
+        name = f.getPath().getName()
+        if not f.isFile() or name.endswith(".crc") or name.startswith(("_SUCCESS", "_committed_", "_started_")):
+            continue
+        if name[0] in "_.":
+            out.append((name, "hidden file name, not read"))
+        elif empty and f.getLen() == 0:
+            out.append((name, "empty file"))
+    return spark.createDataFrame(sorted(out), "file_name string, error string")
+
+
+def _json(spark: SparkSession, path: str, schema: T.StructType, layout: str, pattern: str | None) -> DataFrame:
+    """Parsed rows plus ``_corrupt_record``: the text of a line (or, for arrays, of a file) that doesn't fit."""
+    full = T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
+    r = spark.read.schema(full).option("multiLine", layout == "array").option("mode", "PERMISSIVE")
+    return (r.option("pathGlobFilter", pattern) if pattern else r).json(path)
+
+
+def _fits(schema: T.StructType) -> Column:
+    # Spark rejects plans that need the corrupt column alone, so a data column is named as well
+    return F.col("_corrupt_record").isNull() & (F.concat_ws("", F.col(schema.fields[0].name).cast("string")) >= "")
+
+
 def scan_json_batches(spark: SparkSession, path: str, schema: T.StructType, layout: str = "array",
                       pattern: str | None = "*.json", required: list[str] | None = None,
-                      with_file: bool = False, on_missing: str = "drop") -> DataFrame:
+                      with_file: bool = False, on_missing: str = "drop", mode: str = "PERMISSIVE") -> DataFrame:
     """All JSON batch files of a directory, rows concatenated, explicit schema (missing key ->
     NULL).  ``layout='array'``: each file is one JSON array of objects (may span lines);
-    ``layout='lines'``: one object per line (what ``sink_json_batches`` writes).  ``required``
-    lists fields that must be present and non-null (the strict readers' rule): such rows are
+    ``layout='lines'``: one object per line (what ``sink_json_batches`` writes).  Text that doesn't parse is
+    never a record: it is left out and found by ``json_rejects``, or ends the job (``mode='FAILFAST'``).
+    ``required`` lists fields that must be present and non-null (the strict readers' rule): such rows are
     dropped (``on_missing='drop'``) or end the job with an error (``on_missing='fail'``)."""
-    r = spark.read.schema(schema).option("multiLine", layout == "array").option("mode", "PERMISSIVE")
-    if pattern:
-        r = r.option("pathGlobFilter", pattern)
-    df = r.json(path)
+    df = _json(spark, path, schema, layout, pattern)
     if with_file:
         df = df.withColumn("file_name", F.col("_metadata.file_name"))
+    ok = _fits(schema)
+    if mode == "FAILFAST":
+        ok = F.when(ok, F.lit(True)).otherwise(F.raise_error(F.concat(F.lit("malformed JSON: "), F.left("_corrupt_record", F.lit(80)))).cast("boolean"))
+    df = df.filter(ok).drop("_corrupt_record")
     if required:
         ok = F.lit(True)
         for f in required:
@@ -44,6 +77,14 @@ def scan_json_batches(spark: SparkSession, path: str, schema: T.StructType, layo
     return df
 
 
+def json_rejects(spark: SparkSession, path: str, schema: T.StructType, layout: str = "array",
+                 pattern: str | None = "*.json") -> DataFrame:
+    """(file_name, record): what ``scan_json_batches`` leaves out: lines, or whole array files, that don't parse."""
+    df = _json(spark, path, schema, layout, pattern)
+    return df.select(F.col("_metadata.file_name").alias("file_name"), "*").filter(~_fits(schema)).select(
+        "file_name", F.col("_corrupt_record").alias("record"))
+
+
 def scan_json_tolerant(spark: SparkSession, directory: str, field: str = "url") -> tuple[DataFrame, DataFrame]:
     """S3: every file of a directory whatever its extension, each one JSON document.  A file that
     does not parse is reported and skipped, the rest goes on.
@@ -63,7 +104,7 @@ def scan_json_tolerant(spark: SparkSession, directory: str, field: str = "url")
     # corrupt rows have every field NULL; naming the field keeps Spark off the corrupt-column-only path
     errors = df.filter(F.col("_corrupt_record").isNotNull() & F.col(field).isNull()) \
         .select("file_name", F.lit("malformed JSON").alias("error")).distinct()
-    return rows, errors
+    return rows, errors.unionByName(hidden_files(spark, directory, empty=True))
 
 
 def scan_url_list(spark: SparkSession, path: str, drop_blank: bool = False) -> DataFrame:

@@ -60,5 +60,9 @@ def test_lookup_extension_equals_column_function(spark):
     a = {r.id: r.ext for r in fetch.lookup_extension(df).collect()}
     b = {r.id: r.e for r in df.select("id", content_type_ext("content_type").alias("e")).collect()}
     assert a == b
-    small = fetch.lookup_extension(df, broadcast_rows=0)  # salted shuffle path
-    assert {r.id: r.ext for r in small.collect()} == b
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # the shuffled way
+    try:
+        assert {r.id: r.ext for r in fetch.lookup_extension(df).collect()} == b
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

@@ -47,7 +47,7 @@ def brute_force(train, texts):
 def run(spark, **kw):
     prof = langid.train_profile(spark.createDataFrame(TRAIN, "lang string, text string"))
     df = spark.createDataFrame([(i, t) for i, t in enumerate(TEXTS)], "id long, title string")
-    res = langid.detect_language(df, prof, "title", keys=["id"], **kw)
+    res = langid.detect_language(df, prof, "title", **kw)
     return [r.language for r in res.orderBy("id").collect()], prof
 
 
@@ -58,15 +58,15 @@ def test_matches_brute_force(spark):
     assert got[0] == "en" and got[1] == "de" and got[3] is None and got[4] is None and got[5] is None
 
 
-def test_salted_join_path_same_result(spark):
-    got, _ = run(spark, broadcast_rows=0, salts=3)
+def test_join_path_same_result(spark):
+    got, _ = run(spark, broadcast_bytes=0)
     assert got == brute_force(TRAIN, TEXTS)
 
 
 def test_tie_gives_null(spark):
     prof = langid.train_profile(spark.createDataFrame([("a", "xyz"), ("b", "xyz")], "lang string, text string"))
     df = spark.createDataFrame([(1, "xyz")], "id long, title string")
-    assert langid.detect_language(df, prof, "title", keys=["id"]).first().language is None
+    assert langid.detect_language(df, prof, "title").first().language is None
 
 
 def test_without_keys_keeps_all_rows(spark):
@@ -82,7 +82,19 @@ def test_trigrams_supplementary_path(spark):
     assert got == [sorted(grams("a😀bc")), sorted(grams("abcd")), []]
 
 
-def test_pivot_branch_same_result(spark, monkeypatch):
-    monkeypatch.setattr(langid, "FEW_LANGUAGES", 0)
-    got, prof = run(spark)
-    assert prof.langs == ["de", "en", "fr"] and got == brute_force(TRAIN, TEXTS)
+def test_any_labels_and_any_number_of_them(spark):
+    odd = [("en", "abc abd"), ("EN", "xyz xyw"), ("gram", "klm kln"), ("a`b", "pqr pqs")]
+    many = [(f"l{i}", f"{chr(0x4e00 + i)}{chr(0x4e01 + i)}{chr(0x4e02 + i)}{i}") for i in range(1200)]
+    prof = langid.train_profile(spark.createDataFrame(odd + many, "lang string, text string"))
+    assert len(prof.langs) == 1204
+    df = spark.createDataFrame([(t,) for _, t in odd] + [(many[700][1],)], "title string")
+    for limit in (langid.BROADCAST_BYTES, 0):
+        got = {r.title: r.language for r in langid.detect_language(df, prof, "title", broadcast_bytes=limit).collect()}
+        assert got == {**{t: lang for lang, t in odd}, many[700][1]: "l700"}
+
+
+def test_scoring_shuffles_nothing_and_reads_the_title_only(spark):
+    prof = langid.train_profile(spark.createDataFrame(TRAIN, "lang string, text string"))
+    df = spark.range(10).selectExpr("id", "'the dog' as title", "'long' as abstract")
+    p = langid.detect_language(df, prof, "title")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in p and "ArrowEvalPython" in p

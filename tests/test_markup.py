@@ -84,3 +84,26 @@ def test_container_text_excluded_at_any_depth():
     div = H.find(root, H.compile_step("div"))
     assert div.text() == "abc"
     assert H.find(root, H.compile_step("rt")).text() == "r"
+
+
+def test_keys_come_out_as_they_went_in(spark):
+    df = spark.createDataFrame([(None, CARD.format(i=1)), (9007199254740993, CARD.format(i=2))], "page_id bigint, html string").coalesce(1)
+    assert {r.page_id for r in M.extract_articles(df).collect()} == {None, 9007199254740993}
+
+
+def test_rejected_page_is_a_miss(spark, monkeypatch):
+    df = spark.createDataFrame([("bad.html", '<![foo[x]]><meta name="citation_pdf_url" content="u.pdf">'),
+                                ("good.html", '<meta name="citation_pdf_url" content="u.pdf">'), ("none.html", None)],
+                               "filename string, html string")
+    links = {r.filename for r in M.extract_meta_link(df).collect()}
+    misses = {r.filename for r in M.extraction_misses(df).collect()}
+    assert "good.html" in links and links | misses == {"bad.html", "good.html", "none.html"} and not links & misses
+
+
+def test_building_a_plan_runs_nothing(spark):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("plan-only", "")
+    grouped = spark.createDataFrame([(1, CARD.format(i=1))], "page_id bigint, html string").groupBy("page_id").agg(F.max("html").alias("html"))
+    M.extract_articles(grouped)
+    assert not tracker.getJobIdsForGroup("plan-only")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)

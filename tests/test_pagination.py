@@ -24,3 +24,10 @@ def test_chunking_does_not_change_result(spark):
     b = pagination.paginate_urls(df, pages_per_chunk=100000)
     assert a.count() == 1002 and a.exceptAll(b).count() == 0
     assert a.groupBy("url").agg(F.max("page").alias("m")).orderBy("url").collect()[0].m == 1001
+
+
+def test_chunks_are_expanded_by_many_tasks(spark):
+    df = spark.createDataFrame([("big", "/search?x", 24 * 100_000)], "name string, url string, article_count int")
+    out = pagination.paginate_urls(df, pages_per_chunk=100, partitions=16)
+    used = out.select(F.spark_partition_id().alias("p")).distinct().count()
+    assert used >= 8 and out.count() == 100_000

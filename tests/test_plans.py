@@ -18,9 +18,24 @@ def test_no_cartesian_products(spark):
         assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, k
 
 
-def test_language_scoring_broadcasts_profile(spark):
+def test_language_scoring_is_local_to_a_row(spark):
     p = plan(E.queries()["detect_language"](spark, SF))
-    assert "BroadcastHashJoin" in p
+    assert "ArrowEvalPython" in p and "Exchange" not in p
+
+
+def test_no_window_of_the_store_plan_sees_bodies(spark):
+    from pagesmith.operators import fetch
+    from pagesmith.plans import fixtures as fx
+    lines = plan(fetch.store_plan(fx.attempts(spark, SF))).split("\n")
+    assert not any("Window" in x and "content#" in x for x in lines)
+
+
+def test_job_language_never_shuffles_the_abstract(spark):
+    from pagesmith.operators import langid
+    from pagesmith.plans import fixtures as fx
+    prof = langid.train_profile(fx.language_training(spark, SF))
+    p = plan(langid.detect_language(fx.articles_lang(spark, SF), prof, "title"))
+    assert "Exchange" not in p
 
 
 def test_page_extraction_reads_two_columns(spark):

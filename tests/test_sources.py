@@ -89,3 +89,26 @@ def test_stored_objects_table(spark, tmp_path):
     out = str(tmp_path / "o")
     sinks.sink_stored_objects(df, out)
     assert bytes(spark.read.parquet(out).first().content) == b"%PDF"
+
+
+def test_malformed_json_is_never_a_record(spark, tmp_path):
+    import pytest
+    d = str(tmp_path / "bad")
+    write(d, "a.json", '{"title": "t", "info_url": "u"}\n{"title": "cut\n')
+    assert [r.title for r in files.scan_json_batches(spark, d, schemas.ARTICLE, layout="lines").collect()] == ["t"]
+    assert [(r.file_name, r.record) for r in files.json_rejects(spark, d, schemas.ARTICLE, layout="lines").collect()] == [
+        ("a.json", '{"title": "cut')]
+    with pytest.raises(Exception):
+        files.scan_json_batches(spark, d, schemas.ARTICLE, layout="lines", mode="FAILFAST").collect()
+    assert files.scan_json_batches(spark, d, schemas.ARTICLE, layout="lines").count() == 1
+
+
+def test_hidden_and_empty_files_are_reported(spark, tmp_path):
+    d = str(tmp_path / "hid")
+    write(d, "good.json", '[{"url": "a"}]')
+    write(d, "_under.json", '[{"url": "b"}]')
+    write(d, "empty.json", "")
+    rows, errors = files.scan_json_tolerant(spark, d, "url")
+    assert [r.url for r in rows.collect()] == ["a"]
+    assert sorted((r.file_name, r.error) for r in errors.collect()) == [
+        ("_under.json", "hidden file name, not read"), ("empty.json", "empty file")]

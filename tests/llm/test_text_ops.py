@@ -126,7 +126,7 @@ def test_cascade_verdict_is_independent_of_the_order(spark, edge_docs, edge_rows
     assert all(r.a == r.b for r in rows) and len(rows) == len(edge_rows)
     judged = quality_rules.judge(edge_docs).collect()
     assert len(judged) == len(edge_rows) and all(r.base_failed and not r.kept for r in judged if r.n_words < 50)
-    order = quality_rules.rule_order(m)
+    order = quality_rules.rule_order(edge_docs)
     assert sorted(x["name"] for x in order) == sorted(names) and order[0]["rejected"] >= 1
     assert quality_rules.judge(no_docs).count() == 0
 

@@ -63,3 +63,23 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
         OR 100 * length(regexp_replace(t, '[^\p{Lu}]+', '', 'g')) > 50 * length(regexp_replace(t, '[^\p{L}]+', '', 'g'))) AS kept
 FROM b
 """
+
+ORACLE["op8_line_dedup"] = r"""
+WITH s AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents),
+l AS (SELECT doc_id, i AS pos, ls[i] AS line FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM s)),
+w AS (SELECT *, list_distinct(list_filter(regexp_split_to_array(line, '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS ws FROM l),
+f AS (SELECT *, row_number() OVER (PARTITION BY line ORDER BY doc_id, pos) AS nth FROM w WHERE len(ws) > 0),
+d AS (SELECT row_number() OVER (ORDER BY doc_id, pos) AS lid, line, ws, len(ws) AS n FROM f WHERE nth = 1),
+t AS (SELECT lid, n, unnest(ws) AS tok FROM d),
+c AS (SELECT tok, count(*) AS k FROM t GROUP BY tok),
+p AS (SELECT lid, n, tok FROM t JOIN c USING (tok) QUALIFY row_number() OVER (PARTITION BY lid ORDER BY k, tok) <= n - (4 * n + 4) // 5 + 1),
+cand AS (SELECT DISTINCT a.lid AS a, b.lid AS b FROM p a JOIN p b ON a.tok = b.tok AND a.lid < b.lid
+    AND 5 * least(a.n, b.n) >= 4 * greatest(a.n, b.n)),
+gone AS (SELECT DISTINCT y.line FROM cand JOIN d x ON cand.a = x.lid JOIN d y ON cand.b = y.lid
+    WHERE 9 * len(list_intersect(x.ws, y.ws)) >= 4 * (x.n + y.n)),
+away AS (SELECT doc_id, pos FROM f WHERE nth > 1 OR line IN (SELECT line FROM gone)),
+kept AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY pos) AS text FROM l ANTI JOIN away USING (doc_id, pos) GROUP BY doc_id),
+n AS (SELECT doc_id, count(*) AS n FROM away GROUP BY doc_id)
+SELECT documents.doc_id, CASE WHEN documents.text IS NOT NULL THEN coalesce(kept.text, '') END AS text, coalesce(n.n, 0)::BIGINT AS n_removed
+FROM documents LEFT JOIN kept ON documents.doc_id = kept.doc_id LEFT JOIN n ON documents.doc_id = n.doc_id
+"""

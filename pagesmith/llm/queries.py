@@ -68,7 +68,8 @@ def op6_language_id(spark, sf_dir):
 @q
 def op8_line_dedup(spark, sf_dir):
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    return line_dedup.deduplicate(docs, removed_out="removed_lines")
+    out = line_dedup.deduplicate(docs, removed_out="removed")
+    return out.select("doc_id", "text", F.when(F.col("removed").isNull(), 0).otherwise(F.size("removed")).cast("long").alias("n_removed"))
 
 
 @q

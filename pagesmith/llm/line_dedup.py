@@ -36,6 +36,9 @@ LAGS = 8
 #: Removed line numbers up to which they are broadcast to the texts (8 bytes each at most).
 BROADCAST_NUMBERS = 4_000_000
 LINE = ["h1", "h2"]
+#: Parity sketch of eight longs over the hashed words ``w`` (nine bits of a hash name its bit).
+WIDE_SKETCH = ("transform(sequence(0, 7), k -> aggregate(filter(w, h -> (shiftrightunsigned(h, 20) & 7) = k), 0L, "
+               "(s, h) -> s ^ shiftleft(1L, cast(h & 63 as int))))")
 
 
 def lines_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -72,37 +75,39 @@ def _may_match(t: Fraction, a: str, b: str) -> str:
             f"and {p + q} * least({a}.n - {a}.i, {b}.n - {b}.i) >= {p} * ({a}.n + {b}.n))")
 
 
-def _verified(pairs: DataFrame, lines: DataFrame, t: Fraction) -> DataFrame:
-    """(place, h1, h2) of the lines at places ``b`` that match the line at their place ``a``."""
-    ends = table(pairs.select(F.explode(F.array("a", "b")).alias("place")).distinct(), "lines-ends")
-    texts = table(lines.withColumn("place", F.struct("id", "pos")).join(sized(ends), "place", "left_semi")
-                  .select("place", *LINE, "line"), "lines-texts")
-    a = texts.select(F.col("place").alias("a"), F.col("line").alias("line_a"))
-    b = texts.select(F.col("place").alias("b"), *LINE, F.col("line").alias("line_b"))
-    both = pairs.select("a", "b").join(a, "a").join(b, "b").select(
-        F.col("b").alias("place"), *LINE, F.array_distinct(words(F.col("line_a"))).alias("x"), F.array_distinct(words(F.col("line_b"))).alias("y"))
-    p, q = t.numerator, t.denominator
-    same = (p + q) * F.size(F.array_intersect("x", "y")) >= p * (F.size("x") + F.size("y"))
-    out = table(both.where(same).select("place", *LINE).distinct(), "lines-matched")
-    drop(pairs.sparkSession, ends, texts)
-    return out
-
-
 def _matched(pairs: DataFrame, lines: DataFrame, t: Fraction) -> DataFrame | None:
-    """(place, h1, h2) of the lines ``b`` with a match among their candidates (a, b, d: distance of sketches);
-    None without candidates."""
+    """(place, h1, h2) of the lines ``b`` with a match among their candidates ``a`` (both are places); None
+    without candidates.  Wide sketches, which still tell long lines apart, are compared first; then the words
+    of the nearest candidate; then, where that fails, of the others."""
+    spark, p, q = pairs.sparkSession, t.numerator, t.denominator
     pairs = table(pairs.distinct(), "lines-pairs")
-    best = pairs.groupBy("b").agg(F.min(F.struct("d", "a")).alias("m"), F.count("*").alias("k"))
-    best = table(best.select("b", F.col("m.a").alias("a"), "k"), "lines-best")
-    if best.isEmpty():
+    if pairs.isEmpty():
         return None
-    found = _verified(best, lines, t)
+    ends = table(pairs.select(F.explode(F.array("a", "b")).alias("place")).distinct(), "lines-ends")
+    texts = lines.withColumn("place", F.struct("id", "pos")).join(sized(ends), "place", "left_semi")
+    texts = texts.select("place", *LINE, "line", F.array_distinct(F.transform(words(F.col("line")), lambda x: F.xxhash64(x))).alias("w"))
+    texts = table(texts.select("place", *LINE, "line", F.size("w").alias("n"), F.expr(WIDE_SKETCH).alias("wide")), "lines-texts")
+
+    one = lambda s: texts.select(F.col("place").alias(s), F.col("n").alias(f"n{s}"), F.col("wide").alias(f"w{s}"))
+    apart = F.expr("aggregate(zip_with(wa, wb, (x, y) -> bit_count(x ^ y)), 0, (s, x) -> s + x)")
+    near = pairs.join(one("a"), "a").join(one("b"), "b").withColumn("d", apart).where(
+        (p + q) * F.col("d") <= (q - p) * (F.col("na") + F.col("nb"))).select("a", "b", "d")
+    near = table(near, "lines-near")
+    best = table(near.groupBy("b").agg(F.min(F.struct("d", "a")).alias("m"), F.count("*").alias("k")).select("b", "m.a", "k"), "lines-best")
+
+    def verified(some: DataFrame) -> DataFrame:
+        left = texts.select(F.col("place").alias("a"), F.col("line").alias("line_a"), F.col("n").alias("na"))
+        right = texts.select(F.col("place").alias("b"), *LINE, F.col("line").alias("line_b"), F.col("n").alias("nb"))
+        common = F.size(F.array_intersect(words(F.col("line_a")), words(F.col("line_b"))))
+        return some.select("a", "b").join(left, "a").join(right, "b").where((p + q) * common >= p * (F.col("na") + F.col("nb"))).select(
+            F.col("b").alias("place"), *LINE).distinct()
+
+    found = table(verified(best), "lines-matched")
     failed = table(best.where("k > 1").join(sized(found.select(F.col("place").alias("b")).distinct()), "b", "left_anti")
                    .select("b", F.col("a").alias("tried")), "lines-failed")
     if not failed.isEmpty():
-        rest = pairs.join(sized(failed), "b").where("a <> tried")
-        found = table(found.unionByName(_verified(rest, lines, t)), "lines-matched")
-    drop(pairs.sparkSession, pairs, best, failed)
+        found = table(found.unionByName(verified(near.join(sized(failed), "b").where("a <> tried"))), "lines-matched")
+    drop(spark, pairs, ends, texts, near, best, failed)
     return found
 
 
@@ -132,7 +137,7 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     allowed = _may_match(t, "a", "b").replace("a.i", "(a.pi & 4294967295)").replace("b.i", "(b.pi & 4294967295)")
     pairs = cold.alias("a").join(cold.alias("b"), F.expr(
         f"a.word = b.word and {allowed} and struct(a.id, shiftright(a.pi, 32)) < struct(b.id, shiftright(b.pi, 32))")).select(
-        side("a").alias("a"), side("b").alias("b"), F.expr("bit_count(a.sketch ^ b.sketch)").alias("d"))
+        side("a").alias("a"), side("b").alias("b"))
 
     entry, w = F.struct("id", "pos", "n", "i", "sketch"), Window.partitionBy("word").orderBy("id", "pos")
     met = [F.first(entry).over(w), *(F.lag(entry, k).over(w) for k in range(1, LAGS + 1))]
@@ -140,11 +145,11 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     seen = index.where("hot").select("*", F.array(*met).alias("met"), F.lag("n", LAGS + 1).over(w).isNotNull().alias("late"),
                                      F.lead("n", LAGS + 1).over(w).isNotNull().alias("early"))
     near = F.expr("transform(filter(met, m -> m is not null and struct(m.id, m.pos) <> struct(id, pos) and "
-                  + _may_match(t, "m", "r") + "), m -> struct(struct(m.id, m.pos) as a, bit_count(m.sketch ^ r.sketch) as d))")
+                  + _may_match(t, "m", "r") + "), m -> struct(m.id, m.pos))")
     here = F.struct("id", "pos")
     seen = table(seen.alias("r").select("id", "pos", "n", "i", "sketch", "word", "late", "early", near.alias("near"))
                  .where("late or early or size(near) > 0"), "lines-long")
-    met_pairs = seen.select(F.explode("near").alias("m"), here.alias("b")).select("m.a", "b", "m.d")
+    met_pairs = seen.select(F.explode("near").alias("a"), here.alias("b"))
     found = _matched(pairs.unionByName(met_pairs), distinct, t)
 
     columns = ["word", "id", "pos", "n", "i", "sketch"]
@@ -153,8 +158,7 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         left = left.join(sized(found.select("place").distinct()), "place", "left_anti")
     rest = left.select(columns).alias("b").join(seen.where("early").select(columns).alias("a"), F.expr(
         f"a.word = b.word and {_may_match(t, 'a', 'b')} and struct(a.id, a.pos) < struct(b.id, b.pos)"))
-    more = _matched(rest.select(F.struct("a.id", "a.pos").alias("a"), F.struct("b.id", "b.pos").alias("b"),
-                                F.expr("bit_count(a.sketch ^ b.sketch)").alias("d")), distinct, t)
+    more = _matched(rest.select(F.struct("a.id", "a.pos").alias("a"), F.struct("b.id", "b.pos").alias("b")), distinct, t)
     matched = spark.createDataFrame([], "h1 bigint, h2 bigint")
     for x in (found, more):
         matched = matched if x is None else matched.unionByName(x.select(*LINE))

@@ -93,23 +93,30 @@ class LanguageModel:
         return ([self.languages[b] if k else UNKNOWN for b, k in zip(best, known)], np.where(known, scores, 0.0))
 
 
-def fit(flags: np.ndarray, labels: np.ndarray, ranks: np.ndarray, landmarks: int = LANDMARKS, ridge: float = RIDGE) -> LanguageModel:
-    """Nyström ridge regression from presence flags (rows, n-grams).  ``ranks`` orders the rows of a
-    language; its first ones become landmarks."""
+def fit(packed: list[bytes], labels: np.ndarray, ranks: np.ndarray, landmarks: int = LANDMARKS, ridge: float = RIDGE) -> LanguageModel:
+    """Nyström ridge regression from presence flags (bits, a row each).  ``ranks`` orders the rows of a
+    language; its first ones become landmarks.  Rows are unpacked a block at a time."""
+    row = lambda i: np.unpackbits(np.frombuffer(packed[i], np.uint8))
     languages = sorted(set(labels))
     chosen = np.concatenate([np.flatnonzero(labels == x)[np.argsort(ranks[labels == x], kind="stable")][:landmarks]
                              for x in languages])
-    used = flags[chosen].any(0)
-    column = np.full(flags.shape[1], int(used.sum()), np.int64)
-    column[used] = np.arange(used.sum())
-    z = np.zeros((int(used.sum()) + 1, len(chosen)), np.float32)
-    z[:-1] = flags[chosen][:, used].T / np.sqrt(np.maximum(flags[chosen].sum(1), 1))
+    used = np.any([row(i) for i in chosen], axis=0)
+    n = int(used.sum())
+    column = np.full(1 << BITS, n, np.int64)
+    column[used] = np.arange(n)
+    z = np.zeros((n + 1, len(chosen)), np.float32)
+    for j, i in enumerate(chosen):
+        flags = row(i)
+        z[:-1, j] = flags[used] / np.sqrt(max(flags.sum(), 1))
     model = LanguageModel(languages, column, z, np.zeros((len(chosen), len(languages))))
-    held = np.zeros((len(flags), z.shape[0]), np.float32)
-    held[:, :-1] = flags[:, used]
-    k = model.kernel(held, flags.sum(1)).astype(np.float64)
+    k = np.zeros((len(packed), len(chosen)))
+    for at in range(0, len(packed), BATCH):
+        flags = np.array([row(i) for i in range(at, min(at + BATCH, len(packed)))])
+        held = np.zeros((len(flags), n + 1), np.float32)
+        held[:, :-1] = flags[:, used]
+        k[at:at + len(flags)] = model.kernel(held, flags.sum(1, dtype=np.int64))
     # W^-1/2 of the landmarks' own kernel maps k to features whose products approximate the kernel
-    values, vectors = np.linalg.eigh(k[chosen] @ np.eye(len(chosen)))
+    values, vectors = np.linalg.eigh(k[chosen])
     root = vectors / np.sqrt(np.maximum(values, 1e-6)) @ vectors.T
     phi = k @ root
     y = np.where(labels[:, None] == np.array(languages)[None, :], 1.0, -1.0)
@@ -156,9 +163,8 @@ def train(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str
         features, "lang string, rank bigint, part int, flags binary").collect())
     if not got:
         return LanguageModel([], np.zeros(1 << BITS, np.int64), np.zeros((1, 0), np.float32), np.zeros((0, 0), np.float32))
-    flags = np.unpackbits(np.array([np.frombuffer(x["flags"], np.uint8) for x in got]), axis=1)
     ranks = np.array([(x["part"] > 0) * 2.0 ** 64 + float(x["rank"]) for x in got])  # landmarks are whole texts first
-    return fit(flags, np.array([x["lang"] for x in got]), ranks, landmarks, ridge)
+    return fit([bytes(x["flags"]) for x in got], np.array([x["lang"] for x in got]), ranks, landmarks, ridge)
 
 
 def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text", lang_out: str = "lang_pred",

@@ -30,9 +30,9 @@ THRESHOLD = Fraction(4, 5)
 #: Word frequencies are counted in so many hash buckets; a bucket's size class orders its words.
 BUCKETS = 1 << 18
 #: Size class of words with bounded buckets: up to 2 ** (COLD / 2) occurrences.
-COLD = 22
+COLD = 16
 #: Earlier lines of a long bucket that each line meets in the sorted pass, besides the first.
-LAGS = 8
+LAGS = 3
 #: Removed line numbers up to which they are broadcast to the texts (8 bytes each at most).
 BROADCAST_NUMBERS = 4_000_000
 LINE = ["h1", "h2"]

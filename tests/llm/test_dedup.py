@@ -3,6 +3,7 @@
 import random
 import re
 
+import pytest
 import xxhash
 from pyspark.sql import functions as F
 
@@ -103,7 +104,10 @@ def brute_lines(rows, p=4, q=5):
     return out
 
 
-def test_lines_equal_brute_force(spark):
+@pytest.mark.parametrize("cold", [line_dedup.COLD, 6, -1])
+def test_lines_equal_brute_force(spark, monkeypatch, cold):
+    """Also with few or no words of bounded buckets, so that the sorted pass and the rest of long buckets do the work."""
+    monkeypatch.setattr(line_dedup, "COLD", cold)
     rng = random.Random(5)
     vocabulary = [f"w{i}" for i in range(400)] + ["the", "of", "and"] * 30
     lines = [" ".join(rng.choices(vocabulary, k=rng.randint(1, 30))) for _ in range(150)]

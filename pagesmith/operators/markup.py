@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from pagesmith.functions.text import sanitize_text
 
 PERMISSIVE, FAILFAST = "PERMISSIVE", "FAILFAST"
+PARSE_PARTITIONS = "pagesmith.parse.partitions"
 
 
 @dataclass(frozen=True)
@@ -129,9 +130,11 @@ def extract_records(pages: DataFrame, fields, record: str | None = None, keys=("
     """X1 + X2: one output row per matching record of each page: keys, record_no, raw field values.
 
     ``record=None`` treats the whole page (or scope) as the single record.  ``with_errors`` adds the column
-    ``_error`` and a row for every page the parser couldn't handle.  ``partitions`` deals the pages out first (a few
-    files of many pages); building the plan runs nothing.
+    ``_error`` and a row for every page the parser couldn't handle.  ``partitions`` (or the session's
+    ``pagesmith.parse.partitions``) deals the pages out first, for inputs of a few unsplittable files; unset, the
+    scan's partitions are kept.  Building the plan runs nothing.
     """
+    partitions = partitions or int(pages.sparkSession.conf.get(PARSE_PARTITIONS, "0"))
     keys = list(keys)
     src = pages.select(*keys, html_col)
     out_fields = [T.StructField(k, src.schema[k].dataType) for k in keys]

@@ -52,7 +52,10 @@ def with_fingerprint(df: DataFrame, hashes: str, out: str) -> DataFrame:
                f"(a, h) -> a + (shiftrightunsigned(h, k) & {LANES}L)))")
     bits = (f"aggregate(sequence(0, 63), 0L, (a, b) -> a | if(2 * (shiftrightunsigned(get(`{lanes}`, b % 16), b - b % 16) & 65535L) "
             f"> size(`{hashes}`), shiftleft(1L, b), 0L))")
-    return df.withColumn(lanes, F.expr(counted)).withColumn(out, F.expr(bits)).withColumn(out, F.when(F.size(lanes) > 0, F.col(out))).drop(lanes)
+    # never null (a join would push a null test, with the lanes in it, below this) and two uses of the lanes (one
+    # would be replaced by what they are made of, once per bit)
+    value = F.coalesce(F.expr(bits), F.size(lanes).cast("long"), F.lit(0).cast("long"))
+    return df.withColumn(lanes, F.expr(counted)).withColumn(out, value).drop(lanes)
 
 
 def _blocks(radius: int) -> list[int]:

@@ -16,6 +16,7 @@ from __future__ import annotations
 import html as html_lib
 import random
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -37,6 +38,8 @@ VOID = set("area base br col embed hr img input link meta param source track wbr
 HIDDEN = set("head title script style noscript template iframe object svg canvas select textarea button".split())
 RAW = set("script style textarea title noscript iframe template".split())
 CLOSES_P = BLOCKS - {"html", "body"}
+ENDS_OPTION = {"option": ("option",), "optgroup": ("option", "optgroup")}
+OPTION_SCOPE = BLOCKS | {"#root", "select", "datalist"}
 TOKENS = {
     "content": "article content post entry body main story text blogpost page",
     "menu": "nav navigation navbar menu breadcrumb breadcrumbs pager pagination toc topbar",
@@ -79,6 +82,7 @@ def parse(html: str | None) -> tuple[list[Node], list[tuple[int, str]]]:
     """Nodes in page order (0 is the root) and (node, text) runs; a run with node -1 ends a block."""
     nodes, runs = [Node("#root", -1, 0)], []
     stack: list[tuple[str, int]] = [("#root", 0)]  # open elements with their node (an inline one has its parent's)
+    opened: Counter[str] = Counter()  # open elements per tag
     hidden = links = 0
     at, html = 0, html or ""
 
@@ -99,6 +103,7 @@ def parse(html: str | None) -> tuple[list[Node], list[tuple[int, str]]]:
     def pop():
         nonlocal hidden, links
         tag, _ = stack.pop()
+        opened[tag] -= 1
         hidden -= tag in HIDDEN
         links -= tag == "a"
         if tag in BLOCKS:
@@ -114,7 +119,7 @@ def parse(html: str | None) -> tuple[list[Node], list[tuple[int, str]]]:
         if not tag:
             continue
         if m[1] or m[4]:
-            if any(t == tag for t, _ in stack[-64:]):
+            if opened[tag]:
                 while stack[-1][0] != tag:
                     pop()
                 pop()
@@ -131,6 +136,13 @@ def parse(html: str | None) -> tuple[list[Node], list[tuple[int, str]]]:
                     break
                 if t in BLOCKS:
                     break
+        for ended in ENDS_OPTION.get(tag, ()):  # an open option ends where another one or a group begins
+            k = len(stack) - 1
+            while opened[ended] and stack[k][0] != ended and stack[k][0] not in OPTION_SCOPE:
+                k -= 1
+            if stack[k][0] == ended:
+                while len(stack) > k:
+                    pop()
         if tag in BLOCKS:
             runs.append((-1, ""))
         if tag in VOID:
@@ -150,6 +162,7 @@ def parse(html: str | None) -> tuple[list[Node], list[tuple[int, str]]]:
         if attributes.rstrip().endswith("/") and tag not in BLOCKS:
             continue
         stack.append((tag, node))
+        opened[tag] += 1
         hidden += tag in HIDDEN
         links += tag == "a"
     for i in range(len(nodes) - 1, 0, -1):

@@ -77,6 +77,25 @@ def test_articles_of_the_test_pages_come_out_whole(spark):
         assert got[r.page_id] == "\n".join(b for b in blocks if b)
 
 
+def test_end_tags_are_found_over_many_unclosed_elements():
+    def texts(page):
+        nodes, runs = html_extract.parse(page)
+        return [(nodes[n].tag, s) for n, s in runs if n >= 0 and s.strip()]
+    article = "<article><p>First.</p><p>Second.</p></article>"
+    want = [("p", "First."), ("p", "Second.")]
+    options = "".join(f"<option>Land {i}" for i in range(200))
+    assert texts(f"<form><select>{options}</select></form>{article}") == want
+    assert texts(f"<select><optgroup label=a>{options}<optgroup label=b>{options}</select>{article}") == want
+    assert texts(f"<select>{options.replace('Land', '<b>Land')}</select>{article}") == want
+    for box in ("nav", "aside", "div"):
+        nodes, runs = html_extract.parse(f"<{box}>{'<font><i>x' * 200}</{box}>{article}")
+        assert [nodes[nodes[n].parent].tag for n, s in runs if n >= 0 and s.endswith(".")] == ["article"] * 2
+        assert [x.parent for x in nodes if x.tag == "article"] == [0]
+    # an option ends the one before it, however it is nested, and no option of another list
+    nodes, _ = html_extract.parse('<select><option class="menu">a<option class="menu">b<optgroup class="menu"><option class="menu">c</select>')
+    assert [(x.tag, x.depth) for x in nodes[1:]] == [("option", 1), ("option", 1), ("optgroup", 1), ("option", 2)]
+
+
 def test_no_node_is_kept_in_a_rejected_one():
     rng = np.random.default_rng(4)
     nodes, _ = html_extract.parse("<div><section><p>a</p><p>b</p></section><p>c</p></div><div><p>d</p></div>" * 5)

@@ -68,6 +68,7 @@ class Node:
     parent: int
     depth: int
     groups: frozenset = frozenset()
+    nth: int = 0            # among the parent's children
     chars: int = 0          # of the subtree
     link_chars: int = 0
     own: int = 0
@@ -156,7 +157,7 @@ def parse(html: str | None) -> tuple[list[Node], list[tuple[int, str]]]:
         groups = frozenset(TOKEN_GROUP[w] for v in marks for w in map(str.lower, WORD.findall(v)) if w in TOKEN_GROUP)
         node = stack[-1][1]
         if tag in BLOCKS or groups:
-            nodes.append(Node(tag, node, nodes[node].depth + 1, groups))
+            nodes.append(Node(tag, node, nodes[node].depth + 1, groups, len(nodes[node].children)))
             node = len(nodes) - 1
             nodes[nodes[node].parent].children.append(node)
         if attributes.rstrip().endswith("/") and tag not in BLOCKS:
@@ -189,7 +190,7 @@ def features(nodes: list[Node]) -> np.ndarray:
     for i, x in enumerate(nodes):
         p = nodes[x.parent] if i else x
         siblings = p.children if i else [0]
-        k = siblings.index(i) if i and len(siblings) < 64 else 0
+        k = x.nth
         near = [nodes[j] for j in siblings[max(0, k - 1):k + 2] if j != i]
         out[i, :14] = (
             np.log1p(x.chars), x.link_chars / max(x.chars, 1), x.chars / x.nodes, x.own / max(x.chars, 1), x.chars / total,
@@ -329,9 +330,9 @@ def training_rows(pages: list[str], seed: int = 11, layouts: int = 3) -> tuple[n
             ys.append(np.array(inside, float)[rows])
     for i, (article, other) in enumerate(pieces):
         foreign = pieces[i - 1][0]
-        for _ in range(layouts if article else 0):
+        for k in range(layouts if article else 0):
             page, spans = "", []
-            for markup, good in _layout(rng, article[:40], other, foreign):
+            for markup, good in _layout(rng, article if k == 0 else article[:40], other, foreign):
                 spans += [good] * markup.count("<")  # the label of every tag
                 page += markup
             nodes, _ = parse(page)

@@ -96,6 +96,34 @@ def test_end_tags_are_found_over_many_unclosed_elements():
     assert [(x.tag, x.depth) for x in nodes[1:]] == [("option", 1), ("option", 1), ("optgroup", 1), ("option", 2)]
 
 
+def test_siblings_of_long_articles(spark):
+    """Place and neighbours of every block, however many there are; adverts among some hundred paragraphs go."""
+    def long_page(n, box):
+        blocks = [f"<p>Paragraph number {i} tells a part of the story, and is long enough to be one.</p>" for i in range(n)]
+        for i in range(n - n % 20, 0, -20):
+            blocks.insert(i, f'<div class="advert"><a href=/b>Buy offer {i} today</a></div>')
+        return f"<body><nav><ul><li><a href=/>Home</a></li></ul></nav><{box}>{''.join(blocks)}</{box}><footer>someone</footer></body>", len(blocks)
+    page, n = long_page(300, "article")
+    nodes, _ = html_extract.parse(page)
+    x = html_extract.features(nodes)
+    box = next(i for i, node in enumerate(nodes) if node.tag == "article")
+    blocks = nodes[box].children
+    assert len(blocks) == n == x[blocks[0], 9]
+    assert np.allclose(x[blocks, 10], np.arange(n) / (n - 1))
+    advert = [nodes[i].tag == "div" for i in blocks]
+    beside = [any(advert[max(0, k - 1):k] + advert[k + 1:k + 2]) for k in range(n)]
+    assert sum(beside) == 29 and np.array_equal(x[blocks, 12] > 0, beside)
+    near = [sum(nodes[j].chars for j in blocks[max(0, k - 1):k] + blocks[k + 1:k + 2]) for k in range(n)]
+    assert np.allclose(x[blocks, 13], [s / nodes[i].chars for i, s in zip(blocks, near)])
+
+    rows, _ = html_extract.training_rows([long_page(300, "div")[0]])
+    assert rows[:, 9].max() >= 300  # whole articles are trained on
+    model = html_extract.train(spark.read.parquet(f"{SF}/pages.parquet"))
+    for box in ("article", 'div class="content"'):
+        text = html_extract.extract([long_page(300, box)[0].replace('</div class="content">', "</div>")], model)[0]
+        assert text.split("\n") == [f"Paragraph number {i} tells a part of the story, and is long enough to be one." for i in range(300)]
+
+
 def test_no_node_is_kept_in_a_rejected_one():
     rng = np.random.default_rng(4)
     nodes, _ = html_extract.parse("<div><section><p>a</p><p>b</p></section><p>c</p></div><div><p>d</p></div>" * 5)

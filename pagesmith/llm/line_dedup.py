@@ -1,6 +1,6 @@
 """Corpus-wide line de-duplication by an exact set-similarity join.
 
-A line is the set of its words.  It is removed when an earlier line (order: id, then line number; equal
+A line is the set of its words.  It is removed when an earlier line (order: id, text hash, line number; equal
 lines count once, at their first place) is equal or has Jaccard similarity of at least the threshold.
 
 Equal lines meet by hash.  For the rest, words are ordered from rare to frequent and only a prefix of
@@ -41,12 +41,22 @@ WIDE_SKETCH = ("transform(sequence(0, 7), k -> aggregate(filter(w, h -> (shiftri
                "(s, h) -> s ^ shiftleft(1L, cast(h & 63 as int))))")
 
 
-def lines_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, pos, line, h1, h2) of the lines that hold a word; pos counts all lines from 0."""
+def text_key(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Column:
+    """What tells documents of equal id apart, and orders them: the text's hash.  It is 0 where no id has several
+    texts: ids are enough there, and a constant takes no room in the narrow rows."""
+    th = F.xxhash64(F.col(text_col))
+    several = docs.groupBy(F.col(id_col)).agg((F.min(th) != F.max(th)).alias("several")).agg(F.max("several")).first()[0]
+    return th if several else F.lit(0).cast("long")
+
+
+def lines_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", key: Column | None = None) -> DataFrame:
+    """(id, th, pos, line, h1, h2) of the lines that hold a word; pos counts all lines from 0; th is ``key``, the
+    text's hash by default."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    return (docs.select(F.col(id_col).alias("id"), F.posexplode_outer(F.split(text, "\n")).alias("pos", "line"))
+    th = F.xxhash64(F.col(text_col)) if key is None else key
+    return (docs.select(F.col(id_col).alias("id"), th.alias("th"), F.posexplode_outer(F.split(text, "\n")).alias("pos", "line"))
             .where(stripped(F.col("line")) != "")
-            .select("id", "pos", "line", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit("line"), "line").alias("h2")))
+            .select("id", "th", "pos", "line", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit("line"), "line").alias("h2")))
 
 
 def rarity(docs: DataFrame, text_col: str = "text") -> Column:
@@ -84,7 +94,7 @@ def _matched(pairs: DataFrame, lines: DataFrame, t: Fraction) -> DataFrame | Non
     if pairs.isEmpty():
         return None
     ends = table(pairs.select(F.explode(F.array("a", "b")).alias("place")).distinct(), "lines-ends")
-    texts = lines.withColumn("place", F.struct("id", "pos")).join(sized(ends), "place", "left_semi")
+    texts = lines.withColumn("place", F.struct("id", "th", "pos")).join(sized(ends), "place", "left_semi")
     texts = texts.select("place", *LINE, "line", F.array_distinct(F.transform(words(F.col("line")), lambda x: F.xxhash64(x))).alias("w"))
     texts = table(texts.select("place", *LINE, "line", F.size("w").alias("n"), F.expr(WIDE_SKETCH).alias("wide")), "lines-texts")
 
@@ -112,53 +122,54 @@ def _matched(pairs: DataFrame, lines: DataFrame, t: Fraction) -> DataFrame | Non
 
 
 def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    threshold: Fraction = THRESHOLD) -> DataFrame:
-    """(id, removed): the line numbers that go, ascending, for every id with such lines."""
+                    threshold: Fraction = THRESHOLD, key: Column | None = None) -> DataFrame:
+    """(id, th, removed): the line numbers that go, ascending, for every document (id and ``key``, the text's hash
+    by default) with such lines."""
     spark, t = docs.sparkSession, Fraction(threshold)
-    lines = lines_of(docs, id_col, text_col)
-    first_here = (F.col("first.pos") == F.col("pos")) & F.col("first.id").eqNullSafe(F.col("id"))
-    repeats = table(lines.groupBy(*LINE).agg(F.min(F.struct("id", "pos")).alias("first"), F.count("*").alias("k"))
+    lines = lines_of(docs, id_col, text_col, key)
+    first_here = (F.col("first.pos") == F.col("pos")) & (F.col("first.th") == F.col("th")) & F.col("first.id").eqNullSafe(F.col("id"))
+    repeats = table(lines.groupBy(*LINE).agg(F.min(F.struct("id", "th", "pos")).alias("first"), F.count("*").alias("k"))
                     .where("k > 1").select(*LINE, "first"), "lines-repeats")
     distinct = lines.join(sized(repeats), LINE, "left").where(F.col("first").isNull() | first_here)
 
     p, q = t.numerator, t.denominator
-    keyed = distinct.select("id", "pos", _ordered(F.col("line"), rarity(docs, text_col)).alias("w")).select(
-        "id", "pos", "w", F.size("w").alias("n"),
+    keyed = distinct.select("id", "th", "pos", _ordered(F.col("line"), rarity(docs, text_col)).alias("w")).select(
+        "id", "th", "pos", "w", F.size("w").alias("n"),
         F.expr("aggregate(w, 0L, (s, h) -> s ^ shiftleft(1L, cast(h & 63 as int)))").alias("sketch"))
     prefix = F.expr(f"slice(w, 1, n - cast(ceil({p} * n / {q}) as int) + 1)")
-    index = keyed.select("id", "pos", "n", "sketch", F.posexplode_outer(prefix).alias("i", "key")).where("i is not null").select(
-        "id", "pos", "n", "i", "sketch", F.col("key").bitwiseAND(F.lit(0x7FFFFFFF)).cast("int").alias("word"),  # 31 bits name the bucket
+    index = keyed.select("id", "th", "pos", "n", "sketch", F.posexplode_outer(prefix).alias("i", "key")).where("i is not null").select(
+        "id", "th", "pos", "n", "i", "sketch", F.col("key").bitwiseAND(F.lit(0x7FFFFFFF)).cast("int").alias("word"),  # 31 bits name the bucket
         (F.shiftrightunsigned("key", 56) > COLD).alias("hot"))
     index = table(index, "lines-index")
 
     # position and size of a row share a long: fewer bytes to shuffle
-    cold = index.where("not hot").select("id", "word", "sketch", F.expr("shiftleft(cast(pos as bigint), 32) | i").alias("pi"), "n")
-    side = lambda x: F.expr(f"struct({x}.id as id, cast(shiftright({x}.pi, 32) as int) as pos)")
+    cold = index.where("not hot").select("id", "th", "word", "sketch", F.expr("shiftleft(cast(pos as bigint), 32) | i").alias("pi"), "n")
+    side = lambda x: F.expr(f"struct({x}.id as id, {x}.th as th, cast(shiftright({x}.pi, 32) as int) as pos)")
     allowed = _may_match(t, "a", "b").replace("a.i", "(a.pi & 4294967295)").replace("b.i", "(b.pi & 4294967295)")
     pairs = cold.alias("a").join(cold.alias("b"), F.expr(
-        f"a.word = b.word and {allowed} and struct(a.id, shiftright(a.pi, 32)) < struct(b.id, shiftright(b.pi, 32))")).select(
+        f"a.word = b.word and {allowed} and struct(a.id, a.th, shiftright(a.pi, 32)) < struct(b.id, b.th, shiftright(b.pi, 32))")).select(
         side("a").alias("a"), side("b").alias("b"))
 
-    entry, w = F.struct("id", "pos", "n", "i", "sketch"), Window.partitionBy("word").orderBy("id", "pos")
+    entry, w = F.struct("id", "th", "pos", "n", "i", "sketch"), Window.partitionBy("word").orderBy("id", "th", "pos")
     met = [F.first(entry).over(w), *(F.lag(entry, k).over(w) for k in range(1, LAGS + 1))]
     # late: an earlier line of the bucket was not met; early: a later line of it did not meet this one
     seen = index.where("hot").select("*", F.array(*met).alias("met"), F.lag("n", LAGS + 1).over(w).isNotNull().alias("late"),
                                      F.lead("n", LAGS + 1).over(w).isNotNull().alias("early"))
-    near = F.expr("transform(filter(met, m -> m is not null and struct(m.id, m.pos) <> struct(id, pos) and "
-                  + _may_match(t, "m", "r") + "), m -> struct(m.id, m.pos))")
-    here = F.struct("id", "pos")
-    seen = table(seen.alias("r").select("id", "pos", "n", "i", "sketch", "word", "late", "early", near.alias("near"))
+    near = F.expr("transform(filter(met, m -> m is not null and struct(m.id, m.th, m.pos) <> struct(id, th, pos) and "
+                  + _may_match(t, "m", "r") + "), m -> struct(m.id, m.th, m.pos))")
+    here = F.struct("id", "th", "pos")
+    seen = table(seen.alias("r").select("id", "th", "pos", "n", "i", "sketch", "word", "late", "early", near.alias("near"))
                  .where("late or early or size(near) > 0"), "lines-long")
     met_pairs = seen.select(F.explode("near").alias("a"), here.alias("b"))
     found = _matched(pairs.unionByName(met_pairs), distinct, t)
 
-    columns = ["word", "id", "pos", "n", "i", "sketch"]
+    columns = ["word", "id", "th", "pos", "n", "i", "sketch"]
     left = seen.where("late").withColumn("place", here)
     if found is not None:
         left = left.join(sized(found.select("place").distinct()), "place", "left_anti")
     rest = left.select(columns).alias("b").join(seen.where("early").select(columns).alias("a"), F.expr(
-        f"a.word = b.word and {_may_match(t, 'a', 'b')} and struct(a.id, a.pos) < struct(b.id, b.pos)"))
-    more = _matched(rest.select(F.struct("a.id", "a.pos").alias("a"), F.struct("b.id", "b.pos").alias("b")), distinct, t)
+        f"a.word = b.word and {_may_match(t, 'a', 'b')} and struct(a.id, a.th, a.pos) < struct(b.id, b.th, b.pos)"))
+    more = _matched(rest.select(F.struct("a.id", "a.th", "a.pos").alias("a"), F.struct("b.id", "b.th", "b.pos").alias("b")), distinct, t)
     matched = spark.createDataFrame([], "h1 bigint, h2 bigint")
     for x in (found, more):
         matched = matched if x is None else matched.unionByName(x.select(*LINE))
@@ -166,7 +177,7 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     hits = table(repeats.join(matched, LINE, "full").select(*LINE, "first", "gone"), "lines-hits")
     away = lines.drop("line").join(sized(hits), LINE).where(F.col("gone").isNotNull() | ~first_here)
-    out = table(away.groupBy("id").agg(F.sort_array(F.collect_set("pos")).alias("removed")), "lines-removed")
+    out = table(away.groupBy("id", "th").agg(F.sort_array(F.collect_set("pos")).alias("removed")), "lines-removed")
     drop(spark, index, seen, found, more, repeats, hits)
     return out.withColumnRenamed("id", id_col)
 
@@ -177,16 +188,20 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     the line numbers that went.
 
     * Lines without a word are never duplicates and stay; a null text stays null.
-    * Rows with an equal id are one document: lines at equal places of them are not compared with each
-      other.  A null id comes first in the order.
+    * Rows with equal id and text are one document and lose the same lines.  Rows with an equal (or null) id and
+      different texts are documents of their own, in the order of the texts' hashes (xxHash64).  A null id comes
+      first in the order.
     * Extra columns are kept; an empty table gives an empty one.
     """
     gone = free_name(docs, "removed")
     lines = free_name(docs, "lines")
-    dup = duplicate_lines(docs, id_col, text_col, threshold).select(F.col(id_col).alias("id"), F.col("removed").alias(gone))
+    key = text_key(docs, id_col, text_col)
+    th = free_name(docs, "text_hash")
+    dup = duplicate_lines(docs, id_col, text_col, threshold, key).select(F.col(id_col).alias("id"), "th", F.col("removed").alias(gone))
     numbers = dup.agg(F.sum(F.size(gone) + 4)).first()[0] or 0
     dup = (F.broadcast(dup) if numbers <= BROADCAST_NUMBERS else dup).alias("x")
-    d = docs.alias("d").join(dup, F.col(f"d.`{id_col}`").eqNullSafe(F.col("x.id")), "left").drop(F.col("x.id"))
+    same = F.col(f"d.`{id_col}`").eqNullSafe(F.col("x.id")) & (F.col(f"d.`{th}`") == F.col("x.th"))
+    d = docs.withColumn(th, key).alias("d").join(dup, same, "left").drop(F.col("x.id"), F.col("x.th"))
     d = d.withColumn(lines, F.when(F.col(gone).isNotNull(), F.split(text_col, "\n")))
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(gone))
     text = F.array_join(F.transform(kept, lambda i: F.get(F.col(lines), i)), "\n")

@@ -127,6 +127,33 @@ def test_lines_equal_brute_force(spark, monkeypatch, cold):
         assert got[i].text == "\n".join(x for k, x in enumerate(text.split("\n")) if k not in want[i])
 
 
+@pytest.mark.parametrize("cold", [line_dedup.COLD, -1])
+def test_rows_of_equal_and_null_ids_lose_only_their_own_lines(spark, monkeypatch, cold):
+    """Texts under one id are documents of their own, in the order id, text hash, line number."""
+    monkeypatch.setattr(line_dedup, "COLD", cold)
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(300)]
+    lines = [" ".join(rng.choices(words, k=rng.randint(1, 12))) for _ in range(60)]
+
+    def edit(line):
+        return line + rng.choice(["", "", " more", f" x{rng.randrange(9)}"])
+    rows = [(rng.choice([None, None, 1, 2, 3]), "\n".join(edit(rng.choice(lines)) for _ in range(rng.randint(1, 6)))) for _ in range(80)]
+    rows += [(None, "only here one two three\nshared line of the first row"), (None, "shared line of the first row\nonly there four five six"),
+             (7, "equal place in both rows\nfirst of its own"), (7, "equal place in both rows\nsecond of its own"), (7, None), (None, None)]
+    rows += rows[:5]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("text_hash", F.lit("clash")).withColumn("th", F.lit("clash"))
+    keyed = {(r.doc_id, r.text): r.k for r in df.select("doc_id", "text", F.xxhash64("text").alias("k")).collect()}
+    order = sorted(keyed, key=lambda x: (x[0] is not None, x[0] or 0, keyed[x]))
+    want = brute_lines([(place, text or "") for place, (_, text) in enumerate(order)])
+    got = line_dedup.deduplicate(df, removed_out="gone").select("doc_id", "text", "gone").collect()
+
+    def kept(i, text):
+        gone = want[order.index((i, text))]
+        return text and "\n".join(x for k, x in enumerate(text.split("\n")) if k not in gone), gone
+    key = lambda x: str((x[0] or -1, x[1], x[2]))
+    assert sorted(((r.doc_id, r.text, r.gone or []) for r in got), key=key) == sorted(((i, *kept(i, t)) for i, t in rows), key=key)
+
+
 def test_lines_edge_cases(edge_docs, edge_rows, no_docs):
     out = line_dedup.deduplicate(edge_docs)
     assert out.columns == edge_docs.columns

@@ -164,6 +164,16 @@ def test_base_spans_equal_the_patterns(spark, edge_docs, edge_rows, no_docs):
     assert pii.detect(edge_docs).count() == len(edge_rows) and pii.detect(no_docs).count() == 0
 
 
+def test_phone_candidates_of_any_grouping(spark):
+    numbers = ["0171 1234567", "555 1234567", "5551234567", "00491711234567", "(0171)1234567", "+49 (0)171 123-45-67", "12 34", "030/123.45.67",
+               "(030) 123 45 67", "123456789012345", "00123456789012345"]
+    none = ["12", "1" * 18, "1" * 3000]
+    texts = [f"before {x} after" for x in [*numbers, *none]]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.id: [x.m for x in r.loose if x.kind == pii.KINDS.index("phone")] for r in pii.find_spans(df, "doc_id", "text").collect()}
+    assert got == {i: [x] if x in numbers else [] for i, x in enumerate([*numbers, *none])}
+
+
 def test_trees_in_sql_equal_the_trees(spark):
     import numpy as np
 

@@ -44,11 +44,12 @@ class Trees:
 
 
 def fit(x: np.ndarray, y: np.ndarray, trees: int = TREES, depth: int = DEPTH, rate: float = RATE, bins: int = BINS,
-        least: float = LEAST) -> Trees:
-    """Newton boosting of the logistic loss on binned features.  One class only, or no rows, gives its
-    (smoothed) prior."""
+        least: float = LEAST, weight: np.ndarray | None = None) -> Trees:
+    """Newton boosting of the logistic loss on binned features; rows weigh 1 or ``weight``.  One class only, or no
+    rows, gives its (smoothed) prior."""
     x, y = np.asarray(x, float), np.asarray(y, float)
-    prior = (y.sum() + 1) / (len(y) + 2)
+    weight = np.ones(len(y)) if weight is None else np.asarray(weight, float)
+    prior = ((weight * y).sum() + 1) / (weight.sum() + 2)
     model = Trees(bias=float(np.log(prior / (1 - prior))))
     if not len(y) or y.min() == y.max():
         return model
@@ -57,7 +58,7 @@ def fit(x: np.ndarray, y: np.ndarray, trees: int = TREES, depth: int = DEPTH, ra
     margin = np.full(len(y), model.bias)
     for _ in range(trees):
         p = 1 / (1 + np.exp(-margin))
-        g, h = y - p, p * (1 - p)
+        g, h = weight * (y - p), weight * p * (1 - p)
         feature, cut = np.zeros(2 ** depth - 1, np.int64), np.full(2 ** depth - 1, np.inf)
         at = np.zeros(len(y), np.int64)
         for level in range(depth):

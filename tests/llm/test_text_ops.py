@@ -174,6 +174,29 @@ def test_phone_candidates_of_any_grouping(spark):
     assert got == {i: [x] if x in numbers else [] for i, x in enumerate([*numbers, *none])}
 
 
+def test_rare_kinds_are_trained_on_beside_a_hot_one(spark):
+    assert pii.shares({"a": 10, "b": 5000, "c": 9000}, 1010) == {"a": 10, "b": 500, "c": 500}
+    assert pii.shares({"a": 3, "b": 4}, 100) == {"a": 3, "b": 4} and pii.shares({}, 5) == {}
+    c = (spark.range(6000).selectExpr("id", "id as th", "0 as s", "9 as e", "3 as kind", "id % 3 = 0 as y")
+         .unionByName(spark.range(40).selectExpr("id", "id as th", "0 as s", "9 as e", "2 as kind", "id % 4 = 0 as y"))
+         .selectExpr("*", "double(kind) as f_kind", "double(y) as f_sign"))
+    x, y, weight = pii.training_sample(c, ["f_kind", "f_sign"], 400)
+    assert len(y) == len(weight) == 400 and ((x[:, 0] == 2) & (y == 1)).sum() == 10 and ((x[:, 0] == 2) & (y == 0)).sum() == 30
+    for kind, labelled in ((2, 1 / 4), (3, 1 / 3)):  # the weights give every kind its ratio of labels
+        here = x[:, 0] == kind
+        assert abs((weight * y)[here].sum() / weight[here].sum() - labelled) < 1e-9
+    p = pii.gbt.fit(x, y, weight=weight).probability(x)
+    assert p[y == 1].min() > 0.5 > p[y == 0].max()
+
+    # few cards among many phone numbers: a card of another spelling is selected, however many the others are
+    card = "card 4111 1111 1111 1111"
+    texts = [card] * 30 + ["card 4111.1111.1111.1111"] + [f"call +49 171 {1000000 + i}" for i in range(600)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for sample in (20_000, 80):
+        spans = {r.doc_id: r.spans for r in pii.detect(df, sample=sample).select("doc_id", pii.as_text(F.col("added")).alias("spans")).collect()}
+        assert "card:5:24" in spans[30], sample
+
+
 def test_trees_in_sql_equal_the_trees(spark):
     import numpy as np
 

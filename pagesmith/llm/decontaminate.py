@@ -24,6 +24,8 @@ from pagesmith.llm.common import drop, free_name, sized, table, words
 SHINGLE, RADIUS = 5, 18
 #: Required similarity as a fraction.
 SIMILAR = (4, 5)
+#: Spans in all texts' lists, and four a list, up to which the lists are broadcast (tens of megabytes).
+BROADCAST_SPANS = 1_000_000
 LANES = 0x0001000100010001
 
 
@@ -79,6 +81,12 @@ def common_weight(a: Column, b: Column) -> Column:
         F.aggregate(shared, F.lit(0), lambda s, x: s + F.least(count(a, x), count(b, x))))
 
 
+def bounded(spans: DataFrame) -> DataFrame:
+    """``spans`` marked for broadcast if its lists are small together, however few rows hold them."""
+    total = spans.agg(F.sum(F.size("spans") + 4)).first()[0] or 0
+    return F.broadcast(spans) if total <= BROADCAST_SPANS else spans
+
+
 def contaminations(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    item_col: str = "item_id", item_text_col: str = "text", radius: int = RADIUS,
                    similar: tuple[int, int] = SIMILAR) -> DataFrame:
@@ -107,7 +115,7 @@ def contaminations(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", te
              .where("first <= last"))
     spans = table(spans.groupBy("id", "th").agg(F.collect_list(F.struct("m", "first", "last")).alias("spans")), "decont-spans")
 
-    found = d.alias("d").join(sized(spans, 100_000).alias("s"), F.expr("d.th = s.th and d.id <=> s.id")).select(
+    found = d.alias("d").join(bounded(spans).alias("s"), F.expr("d.th = s.th and d.id <=> s.id")).select(
         "d.id", "d.th", "t", "spans").dropDuplicates(["id", "th"])
     found = with_shingles(found, "t", "hs").select("id", "th", "hs", F.explode("spans").alias("s")).select(
         "id", "th", "hs", "s.m", F.explode(F.sequence("s.first", "s.last")).alias("start"))

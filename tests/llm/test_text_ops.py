@@ -68,6 +68,17 @@ def test_decontaminate_edge_cases(spark, edge_docs, edge_rows, no_docs):
     assert decontaminate.contaminations(edge_docs, items.where("false")).count() == 0
 
 
+def test_few_rows_with_long_lists_are_not_broadcast(spark, monkeypatch):
+    hinted = lambda df: "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
+    lists = spark.range(2).selectExpr("id", "transform(sequence(1, 600000), i -> struct(1 as m, i as first, i as last)) as spans")
+    assert hinted(decontaminate.bounded(lists.limit(1))) and not hinted(decontaminate.bounded(lists))
+    docs = spark.createDataFrame([(1, "Intro. " + PROSE), (None, PROSE + " more"), (2, "other")], "doc_id long, text string")
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    first = {tuple(r) for r in decontaminate.contaminations(docs, items).collect()}
+    monkeypatch.setattr(decontaminate, "BROADCAST_SPANS", -1)
+    assert {tuple(r) for r in decontaminate.contaminations(docs, items).collect()} == first and len(first) == 2
+
+
 def test_blocks_guarantee_the_radius():
     for r in (0, 4, 18, 30):
         masks = [m & (2**64 - 1) for m in decontaminate._blocks(r)]

@@ -83,3 +83,47 @@ n AS (SELECT doc_id, count(*) AS n FROM away GROUP BY doc_id)
 SELECT documents.doc_id, CASE WHEN documents.text IS NOT NULL THEN coalesce(kept.text, '') END AS text, coalesce(n.n, 0)::BIGINT AS n_removed
 FROM documents LEFT JOIN kept ON documents.doc_id = kept.doc_id LEFT JOIN n ON documents.doc_id = n.doc_id
 """
+
+
+ORACLE["op12_fill_in_middle"] = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || doc_id) AS h FROM documents),
+u AS (SELECT doc_id, t, regexp_extract_all(t, '[^\n]*\n|[^\n]+') AS ls, [('0x' || substr(h, 8 * k + 1, 8))::BIGINT for k in range(4)] AS h FROM d),
+c AS (SELECT doc_id, t, ls, len(ls) AS n, least(h[1] % (len(ls) + 1), h[2] % (len(ls) + 1)) AS lo, greatest(h[1] % (len(ls) + 1), h[2] % (len(ls) + 1)) AS hi,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') THEN 'plain' WHEN h[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM u),
+p AS (SELECT doc_id, t, n, form, array_to_string(ls[1:lo], '') AS pre, array_to_string(ls[lo + 1:hi], '') AS mid, array_to_string(ls[hi + 1:], '') AS suf FROM c)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+    sha256(CASE form WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid WHEN 'spm' THEN '<S>' || suf || '<P>' || pre || '<M>' || mid ELSE t END) AS output_sha256,
+    sha256(t) AS restored_sha256
+FROM p
+"""
+
+#: CRC-32 of one byte, by the reflected polynomial.
+_CRC = [0] * 256
+for _x in range(256):
+    _CRC[_x] = _x
+    for _ in range(8):
+        _CRC[_x] = (_CRC[_x] >> 1) ^ (0xEDB88320 if _CRC[_x] & 1 else 0)
+
+ORACLE["op13_importance_resampling"] = rf"""
+WITH tab AS (SELECT {_CRC}::BIGINT[] AS t),
+folded(side, r, id, text) AS (
+    SELECT 0, row_number() OVER (), doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') FROM documents
+    UNION ALL SELECT 1, row_number() OVER (), NULL, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') FROM benchmark),
+w AS (SELECT side, r, id, regexp_extract_all(text, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM folded),
+f AS (SELECT side, r, unnest(list_concat(ws, list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]),
+    list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]))) AS g FROM w),
+n AS (SELECT side, r, g, count(*) AS k FROM f GROUP BY ALL),
+x AS (SELECT g, hex(encode(g)) AS h FROM (SELECT DISTINCT g FROM n)),
+b AS (SELECT g, xor(list_reduce(list_transform(range(0, length(h) // 2), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::BIGINT),
+    lambda c, y: xor(c >> 8, t[xor(c & 255, y) + 1]), 4294967295::BIGINT), 4294967295) % 10000 AS b FROM x, tab),
+c AS (SELECT side, r, b, sum(k)::BIGINT AS k FROM n JOIN b USING (g) GROUP BY ALL),
+s AS (SELECT b, coalesce(sum(k) FILTER (side = 0), 0)::BIGINT AS s, coalesce(sum(k) FILTER (side = 1), 0)::BIGINT AS t FROM c GROUP BY b),
+a AS (SELECT sum(s)::BIGINT AS sn, sum(t)::BIGINT AS tn FROM s),
+gain AS (SELECT b, floor(1000 * ln(((t + 1) * (sn + 10000))::DOUBLE / ((s + 1) * (tn + 10000))::DOUBLE))::BIGINT AS g FROM s, a),
+d AS (SELECT r, sum(k)::BIGINT AS n_features, sum(k * g)::BIGINT AS weight FROM c JOIN gain USING (b) WHERE side = 0 GROUP BY r),
+e AS (SELECT id AS doc_id, len(ws) AS nw, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0)
+    + floor(-1000 * ln(-ln((('0x' || substr(sha256('42:' || id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+    FROM w LEFT JOIN d USING (r) WHERE side = 0),
+o AS (SELECT *, row_number() OVER (PARTITION BY nw >= 20 ORDER BY score DESC, doc_id) AS p, count(*) FILTER (nw >= 20) OVER () AS fit FROM e)
+SELECT doc_id, n_features::BIGINT AS n_features, weight::BIGINT AS weight, score::BIGINT AS score, CASE WHEN nw >= 20 AND p <= 5 * fit // 100 THEN p END AS rank FROM o
+"""

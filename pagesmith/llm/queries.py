@@ -7,8 +7,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagesmith.llm import (decontaminate, html_extract, language_id, line_dedup, pii, quality_crf, quality_rules,
-                           sentencepiece_fst, simhash_dedup, url_filter)
+from pagesmith.llm import (decontaminate, fill_in_middle, html_extract, importance, language_id, line_dedup, pii, quality_crf,
+                           quality_rules, sentencepiece_fst, simhash_dedup, url_filter)
 
 QUERIES = {}
 
@@ -99,3 +99,14 @@ def op5_pii(spark, sf_dir):
     return found.select(
         "doc_id", *(count(k).alias(f"n_{kind}") for k, kind in enumerate(pii.KINDS)), F.sha2(pii.as_text(F.col("base")), 256).alias("base_sha256"),
         pii.as_text(F.array_sort(F.array_distinct(F.concat("base", "added")))).alias("spans"))
+
+
+@q
+def op12_fill_in_middle(spark, sf_dir):
+    return fill_in_middle.fill_in_middle(read(spark, sf_dir, "documents"), seed=7, fim_percent=100, spm_percent=50, texts=False)
+
+
+@q
+def op13_importance_resampling(spark, sf_dir):
+    out = importance.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), percent=5, least_words=20, seed=42)
+    return out.select("doc_id", "n_features", "weight", "score", "rank")

@@ -85,6 +85,18 @@ FROM documents LEFT JOIN kept ON documents.doc_id = kept.doc_id LEFT JOIN n ON d
 """
 
 
+ORACLE["op11_repeated_passages"] = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+w AS (SELECT r, doc_id, i, array_to_string(ws[i:i + 19], ' ') AS g FROM (SELECT r, doc_id, ws, unnest(range(1, len(ws) - 18)) AS i FROM d)),
+m AS (SELECT r, doc_id, i, min((doc_id, i)) OVER (PARTITION BY g) AS f FROM w),
+gone AS (SELECT DISTINCT r, unnest(range(i, i + 20)) AS i FROM m WHERE (doc_id, i) > f),
+word AS (SELECT r, unnest(ws) AS x, unnest(range(1, len(ws) + 1)) AS i FROM d),
+kept AS (SELECT r, string_agg(x, ' ' ORDER BY i) AS t FROM word ANTI JOIN gone USING (r, i) GROUP BY r),
+n AS (SELECT r, count(*) AS n FROM gone GROUP BY r)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r) LEFT JOIN n USING (r)
+"""
+
 ORACLE["op12_fill_in_middle"] = r"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || doc_id) AS h FROM documents),
 u AS (SELECT doc_id, t, regexp_extract_all(t, '[^\n]*\n|[^\n]+') AS ls, [('0x' || substr(h, 8 * k + 1, 8))::BIGINT for k in range(4)] AS h FROM d),

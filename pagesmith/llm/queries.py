@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagesmith.llm import (decontaminate, fill_in_middle, html_extract, importance, language_id, line_dedup, pii, quality_crf,
-                           quality_rules, sentencepiece_fst, simhash_dedup, url_filter)
+                           quality_rules, repeats, sentencepiece_fst, simhash_dedup, url_filter)
 
 QUERIES = {}
 
@@ -101,6 +101,11 @@ def op5_pii(spark, sf_dir):
         pii.as_text(F.array_sort(F.array_distinct(F.concat("base", "added")))).alias("spans"))
 
 
+@q
+def op11_repeated_passages(spark, sf_dir):
+    return repeats.remove_repeats(read(spark, sf_dir, "documents"), window=20, texts=False).drop("spans")
+
+
 @q
 def op12_fill_in_middle(spark, sf_dir):
     return fill_in_middle.fill_in_middle(read(spark, sf_dir, "documents"), seed=7, fim_percent=100, spm_percent=50, texts=False)

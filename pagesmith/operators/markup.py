@@ -99,11 +99,13 @@ def _extractor(key_names, html_name, scope, record, fields, mode, whole_page):
             names, n_keys = batch.schema.names, len(key_names)
             at, numbers, errors = [], [], []
             values: list[list] = [[] for _ in field_c]
-            for row, html in enumerate(batch.column(names.index(html_name)).to_pylist()):
+            # as bytes: decoding is part of reading a page, and a page that isn't valid UTF-8 is one the parser can't handle
+            for row, html in enumerate(batch.column(names.index(html_name)).cast(pa.large_binary())):
+                html = html.as_py()
                 if html is None:
                     continue
                 try:
-                    found = one_page(html)
+                    found = one_page(html.decode())
                 except Exception as e:  # one bad page must not end the job
                     if mode == FAILFAST:
                         raise

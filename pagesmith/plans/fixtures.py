@@ -7,6 +7,7 @@ Groups that become one page are bounded (``FACETS_PER_PAGE`` items, ``CARDS_PER_
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -179,3 +180,47 @@ def remote_objects(spark, sf_dir) -> DataFrame:
 def language_training(spark, sf_dir) -> DataFrame:
     """(lang, text): whole documents."""
     return table(spark, sf_dir, "documents").select("lang", "text")
+
+
+def write_files(files: DataFrame, path: str) -> str:
+    """One file per row (file_name, content) in the shared folder ``path``, written by the tasks."""
+    def write(batches):
+        from pyarrow import fs
+
+        local = path.startswith("file:") or "://" not in path
+        where, folder = (fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")) if local else fs.FileSystem.from_uri(path)
+        where.create_dir(folder)
+        for batch in batches:
+            for name, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                with where.open_output_stream(f"{folder}/{name}") as f:
+                    f.write(content)
+            yield pa.record_batch([pa.array([batch.num_rows], pa.int64())], ["n"])
+
+    files.select("file_name", F.col("content").cast("binary")).mapInArrow(write, "n bigint").agg(F.sum("n")).collect()
+    return path
+
+
+def html_files(spark, sf_dir) -> DataFrame:
+    """A file per page; page_id % 5 = 0 has a name that Spark's readers pass over, page_id % 7 = 0 a byte that isn't UTF-8."""
+    p = table(spark, sf_dir, "pages")
+    name = F.concat(F.when(F.col("page_id") % 5 == 0, "_p").otherwise("p"), F.col("page_id").cast("string"), F.lit(".html"))
+    html = F.col("html").cast("binary")
+    return p.select(name.alias("file_name"), F.when(F.col("page_id") % 7 == 0, F.concat(html, F.unhex(F.lit("E9")))).otherwise(html).alias("content"))
+
+
+LINKS_PER_FILE, GOOD_ITEMS = 25, 10
+
+
+def link_files(spark, sf_dir) -> DataFrame:
+    """A JSON file of links per block of LINKS_PER_FILE page ids.  By block % 6: whole; null, or 7, after the first GOOD_ITEMS
+    items; cut off; an object; whole, with a name that Spark's readers pass over."""
+    block = F.floor(F.col("page_id") / LINKS_PER_FILE)
+    p = table(spark, sf_dir, "pages").select(block.alias("blk"), "page_id", F.to_json(F.struct(F.concat("url", F.lit(".pdf")).alias("url"))).alias("item"))
+    b = p.groupBy("blk").agg(F.sort_array(F.collect_list(F.struct("page_id", "item"))).alias("items")).select("blk", F.col("items.item").alias("items"))
+    kind = F.col("blk") % 6
+    bad = F.when(kind == 1, F.lit("null")).otherwise(F.lit("7"))
+    spoilt = F.concat(F.slice("items", 1, GOOD_ITEMS), F.array(bad), F.slice("items", GOOD_ITEMS + 1, LINKS_PER_FILE))
+    whole = F.concat(F.lit("["), F.array_join(F.when(kind.isin(1, 2), spoilt).otherwise(F.col("items")), ", "), F.lit("]"))
+    content = F.when(kind == 3, F.expr("left(whole, length(whole) - 3)")).when(kind == 4, F.get("items", F.lit(0))).otherwise(F.col("whole"))
+    name = F.concat(F.when(kind == 5, "_b").otherwise("b"), F.col("blk").cast("string"), F.lit(".json"))
+    return b.withColumn("whole", whole).select(name.alias("file_name"), content.alias("content"))

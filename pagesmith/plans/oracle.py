@@ -96,6 +96,9 @@ CTES = {
     "pubpages": f"""SELECT url, unnest(generate_series(1, CAST(ceil(article_count / 24) AS BIGINT))) AS page
       FROM publishers WHERE article_count >= 1 AND len(string_split(url, '/search')) = 2""",
 }
+CTES["html_files"] = """SELECT CASE WHEN page_id % 5 = 0 THEN '_p' ELSE 'p' END || page_id || '.html' AS file_name, page_id, html FROM pages"""
+CTES["link_files"] = """SELECT CASE WHEN blk % 6 = 5 THEN '_b' ELSE 'b' END || blk || '.json' AS file_name, blk % 6 AS kind, pos, url FROM (
+    SELECT page_id // 25 AS blk, row_number() OVER (PARTITION BY page_id // 25 ORDER BY page_id) - 1 AS pos, url || '.pdf' AS url FROM pages)"""
 DEPS = {
     "cards": ["articles_lang"], "remote_objects": ["local_files"], "remote_names": ["remote_objects"],
     "ranked": ["attempts"], "named_ok": ["attempts"], "store_plan": ["ranked"],
@@ -174,6 +177,12 @@ ORACLE: dict[str, str] = {
     "scan_html_pages": "SELECT length(html || chr(10)) AS n_chars, md5(html || chr(10)) AS html_md5 FROM pages",
     "scan_json_batches": with_ctes("SELECT title, info_url, abstract, language FROM articles_lang", "articles_lang"),
     "scan_json_tolerant": "SELECT url || '.pdf' AS url FROM pages WHERE page_id % 2 = 0",
+    "scan_html_every_file": with_ctes("SELECT file_name, length(html) AS n_chars, md5(html) AS html_md5 FROM html_files WHERE page_id % 7 <> 0", "html_files"),
+    "scan_html_rejects": with_ctes("SELECT file_name, 'invalid UTF-8' AS error FROM html_files WHERE page_id % 7 = 0", "html_files"),
+    "scan_json_items": with_ctes("SELECT file_name, pos::INTEGER AS pos, url FROM link_files WHERE kind IN (0, 5) OR (kind IN (1, 2) AND pos < 10)", "link_files"),
+    "scan_json_item_errors": with_ctes(
+        "SELECT DISTINCT file_name, CASE kind WHEN 3 THEN 'malformed JSON' WHEN 4 THEN 'not an array of objects' ELSE 'bad item' END AS error "
+        "FROM link_files WHERE kind BETWEEN 1 AND 4", "link_files"),
     "scan_url_list": "SELECT url FROM pages UNION ALL SELECT '' AS url FROM pages WHERE page_id % 10 = 0",
     "scan_manifest": with_ctes("SELECT name FROM remote_objects WHERE starts_with(name, 'corpus/')", "remote_objects"),
     "sink_json_batches": with_ctes("SELECT info_url, language, true AS batch_ok FROM articles_lang", "articles_lang"),

@@ -83,6 +83,32 @@ def scan_json_tolerant(spark, d):
     return rows.select("url")
 
 
+@q
+def scan_html_every_file(spark, d):
+    """Pages as files, some with names that Spark's readers pass over, some with bytes that aren't UTF-8."""
+    path = fx.write_files(fx.html_files(spark, d), scratch_path(spark, "html-files"))
+    return files.scan_html_pages(spark, path).select("file_name", F.length("html").cast("bigint").alias("n_chars"), F.md5("html").alias("html_md5"))
+
+
+@q
+def scan_html_rejects(spark, d):
+    path = fx.write_files(fx.html_files(spark, d), scratch_path(spark, "html-files"))
+    return files.html_rejects(spark, path).select("file_name", F.col("_error").alias("error"))
+
+
+@q
+def scan_json_items(spark, d):
+    """Files with bad items: the items before them are kept."""
+    path = fx.write_files(fx.link_files(spark, d), scratch_path(spark, "link-files"))
+    return files.scan_json_tolerant(spark, path, "url")[0].select("file_name", "pos", "url")
+
+
+@q
+def scan_json_item_errors(spark, d):
+    path = fx.write_files(fx.link_files(spark, d), scratch_path(spark, "link-files"))
+    return files.scan_json_tolerant(spark, path, "url")[1]
+
+
 @q
 def scan_url_list(spark, d):
     path = scratch_path(spark, "url-list")

@@ -1,40 +1,75 @@
-"""File sources: plain Spark readers.  Spark lists the folders; no file is opened on the driver."""
+"""File sources: Spark's own readers, and Arrow batches for the files those pass over.  Contents are only read in tasks."""
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagesmith.functions.text import strip_text
 
+BAD_UTF8 = "invalid UTF-8"
+NOT_JSON, NOT_ARRAY, BAD_ITEM = "malformed JSON", "not an array of objects", "bad item"
+SPARK_MARKS = ("_SUCCESS", "_committed_", "_started_", "_delta_log", "_spark_metadata")
+
+
+def _passed_over(spark: SparkSession, directory: str, suffix: str) -> DataFrame:
+    """(path, file_name, value) of the files that Spark's readers pass over: empty ones, and those whose names start with
+    '_' or '.' (its own markers and checksums are left out).  One task lists the folder, the names are dealt to others
+    that read."""
+    def opened(path):
+        from pyarrow import fs
+
+        local = path.startswith("file:") or "://" not in path
+        return (fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")) if local else fs.FileSystem.from_uri(path)
+
+    def listed(batches):
+        from pyarrow import fs
+
+        for batch in batches:
+            for folder in batch.column(0).to_pylist():
+                where, name = opened(folder)
+                for f in where.get_file_info(fs.FileSelector(name)):
+                    if f.type == fs.FileType.File and (f.base_name[0] in "_." or f.size == 0) and f.base_name.endswith(suffix) \
+                            and not f.base_name.endswith(".crc") and not f.base_name.startswith(SPARK_MARKS):
+                        yield pa.record_batch([pa.array([f"{folder.rstrip('/')}/{f.base_name}"])], ["path"])
+
+    def read(batches):
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                where, name = opened(path)
+                with where.open_input_stream(name) as f:
+                    data = f.read()
+                yield pa.record_batch([pa.array([path]), pa.array([path.rsplit("/", 1)[1]]), pa.array([data], pa.binary())], ["path", "file_name", "value"])
+
+    paths = spark.createDataFrame([(directory,)], "path string").mapInArrow(listed, "path string").repartition("path")
+    return paths.mapInArrow(read, "path string, file_name string, value binary").withColumn("value", F.col("value").cast("string"))
+
+
+def whole_files(spark: SparkSession, directory: str, suffix: str = "", every: bool = True) -> DataFrame:
+    """(path, file_name, value) of every file of one directory (not recursive) whose name ends with ``suffix``, as one
+    string each; empty files and names that start with '_' or '.' are read, too.  Bytes are not checked here: see
+    ``is_valid_utf8``.  Columns of discovered partition folders come first.  ``every=False`` leaves out what Spark's readers
+    pass over, for a store that only Spark can read."""
+    df = spark.read.text(directory, wholetext=True, pathGlobFilter="*" + suffix)
+    parts = [c for c in df.columns if c != "value"]
+    df = df.select(*parts, F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("file_name"), "value")
+    return df.unionByName(_passed_over(spark, directory, suffix), allowMissingColumns=True) if every else df
+
 
 def scan_html_pages(spark: SparkSession, directory: str, pattern: str = "*.html") -> DataFrame:
-    """Every matching file of one directory (not recursive), whole file as one UTF-8 string.
-    -> (path, file_name, html).  File order is not defined.  Names that start with '_' or '.' are not read by
-    Spark; ``hidden_files`` reports them."""
-    df = spark.read.text(directory, wholetext=True, pathGlobFilter=pattern)
-    part_cols = [c for c in df.columns if c != "value"]  # discovered partition folders, if any
-    return df.select(*part_cols, F.col("_metadata.file_path").alias("path"),
-                     F.col("_metadata.file_name").alias("file_name"), F.col("value").alias("html"))
-
-
-def hidden_files(spark: SparkSession, directory: str, suffix: str = "", empty: bool = False) -> DataFrame:
-    """(file_name, error) of files whose names start with '_' or '.', which Spark's readers pass over (its own
-    markers and checksums left out), and on request of empty ones.  The driver sees what Spark's own file
-    listing sees: names and lengths."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{directory.rstrip('/')}/*{suffix}")
-    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
-    out = []
-    for f in found:
-        name = f.getPath().getName()
-        if not f.isFile() or name.endswith(".crc") or name.startswith(("_SUCCESS", "_committed_", "_started_")):
-            continue
-        if name[0] in "_.":
-            out.append((name, "hidden file name, not read"))
-        elif empty and f.getLen() == 0:
-            out.append((name, "empty file"))
-    return spark.createDataFrame(sorted(out), "file_name string, error string")
+    """Every file of one directory (not recursive) whose name matches ``*<suffix>``, whole, as one UTF-8 string.
+    -> (path, file_name, html).  File order is not defined.  Names that start with '_' or '.' are read as well.  Files
+    that are not valid UTF-8 are left out and told by ``html_rejects``."""
+    files = whole_files(spark, directory, pattern.removeprefix("*"))
+    return files.where(F.is_valid_utf8("value")).withColumnRenamed("value", "html")
+
+
+def html_rejects(spark: SparkSession, directory: str, pattern: str = "*.html") -> DataFrame:
+    """(file_name, _error): the files that ``scan_html_pages`` leaves out."""
+    files = whole_files(spark, directory, pattern.removeprefix("*"))
+    return files.where(~F.is_valid_utf8("value")).select("file_name", F.lit(BAD_UTF8).alias("_error"))
 
 
 def _json(spark: SparkSession, path: str, schema: T.StructType, layout: str, pattern: str | None) -> DataFrame:
@@ -86,25 +121,40 @@ def json_rejects(spark: SparkSession, path: str, schema: T.StructType, layout: s
 
 
 def scan_json_tolerant(spark: SparkSession, directory: str, field: str = "url") -> tuple[DataFrame, DataFrame]:
-    """S3: every file of a directory whatever its extension, each one JSON document.  A file that
-    does not parse is reported and skipped, the rest goes on.
-    -> (rows: (file_name, <field>), errors: (file_name, error)).
-
-    Per-file semantics differ from a loop that writes items as it reads them:
-    - a truncated file is lost as a whole (the same there: the file fails before any item);
-    - ``[{...}, null]`` or ``[{...}, 7]`` makes the whole file corrupt here, while such a loop keeps
-      the items before the bad one;
-    - a non-string ``url`` (e.g. 5) becomes the string "5" here; such a loop fails on it;
-    - a top-level object gives one row here; such a loop fails on it."""
-    schema = T.StructType([T.StructField(field, T.StringType()), T.StructField("_corrupt_record", T.StringType())])
-    df = spark.read.schema(schema).option("multiLine", True).option("mode", "PERMISSIVE") \
-        .option("columnNameOfCorruptRecord", "_corrupt_record").json(directory) \
-        .select(F.col("_metadata.file_name").alias("file_name"), field, "_corrupt_record")
-    rows = df.filter(F.col("_corrupt_record").isNull()).select("file_name", field)
-    # corrupt rows have every field NULL; naming the field keeps Spark off the corrupt-column-only path
-    errors = df.filter(F.col("_corrupt_record").isNotNull() & F.col(field).isNull()) \
-        .select("file_name", F.lit("malformed JSON").alias("error")).distinct()
-    return rows, errors.unionByName(hidden_files(spark, directory, empty=True))
+    """S3: every file of a directory whatever its name, each one a JSON array of objects.
+    -> (rows: (file_name, pos, <field>), errors: (file_name, error)).
+
+    Items are read in order, as by a loop that writes values as it goes and gives a file up at the first error:
+
+    - the items before a bad one are kept, and the file has one error row; bad are items that are no object, and values
+      that are neither a string nor empty (null, false, 0, "", [], {} and a missing key are empty, and give a null);
+    - a file that doesn't parse, or isn't valid UTF-8, gives an error and no row; an empty one doesn't parse;
+    - a document that is no array gives an error; an empty object or string gives nothing.
+
+    Each file is parsed to an array of variants, so one very large item list isn't one value.  An object with a repeated
+    key doesn't parse here; text after the closing bracket makes the file malformed unless it ends with one, too.
+    """
+    files = whole_files(spark, directory)
+    text = F.col("value")
+    blank = " \t\r\n"
+    whole = F.is_valid_utf8(text) & F.btrim(text, F.lit(blank)).endswith("]")
+    items = F.when(whole, F.from_json(text, "array<variant>"))
+    # a value is bad if it is no string and not one of the empty values
+    read = f"""transform(items, v -> named_struct('object', schema_of_variant(v) like 'OBJECT%',
+        'value', if(schema_of_variant(v) like 'OBJECT%', try_variant_get(v, '$.{field}', 'variant'), null)))"""
+    kinds = """transform(read, x -> named_struct('text', if(schema_of_variant(x.value) = 'STRING', try_variant_get(x.value, '$', 'string'), null),
+        'bad', not x.object or (x.value is not null and schema_of_variant(x.value) not in ('STRING', 'VOID')
+            and coalesce(to_json(x.value) not in ('false', '[]', '{}'), true) and coalesce(try_variant_get(x.value, '$', 'double') <> 0, true))))"""
+    parsed = files.select("file_name", text.alias("value"), items.alias("items")).withColumn("read", F.expr(read)).withColumn("items", F.expr(kinds))
+    parsed = parsed.withColumn("first_bad", F.array_position(F.col("items.bad"), True))
+    good = F.when(F.col("first_bad") > 0, F.slice("items", 1, F.col("first_bad").cast("int") - 1)).otherwise(F.col("items"))
+    rows = parsed.where("items is not null").select("file_name", F.posexplode(good).alias("pos", "item")).select(
+        "file_name", "pos", F.col("item.text").alias(field))
+    nothing = F.regexp_like(text, F.lit(r'\A\s*(\{\s*\}|"")\s*\z'))
+    error = (F.when(~F.is_valid_utf8(text), BAD_UTF8).when(F.col("first_bad") > 0, BAD_ITEM).when(F.col("items").isNotNull() | nothing, None)
+             .when(F.try_parse_json(F.make_valid_utf8(text)).isNotNull() & ~F.btrim(text, F.lit(blank)).startswith("["), NOT_ARRAY).otherwise(NOT_JSON))
+    errors = parsed.select("file_name", error.alias("error")).where("error is not null")
+    return rows, errors
 
 
 def scan_url_list(spark: SparkSession, path: str, drop_blank: bool = False) -> DataFrame:

@@ -107,3 +107,13 @@ def test_building_a_plan_runs_nothing(spark):
     M.extract_articles(grouped)
     assert not tracker.getJobIdsForGroup("plan-only")
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_invalid_bytes_are_a_rejected_page(spark):
+    pages = spark.createDataFrame([(1, bytearray(b"<h1>caf\xe9</h1>")), (2, bytearray("<h1>café</h1>".encode()))], "page_id long, html binary")
+    pages = pages.selectExpr("page_id", "cast(html as string) as html")
+    field = (M.Field("title", ("h1",)),)
+    assert [(r.page_id, r.title) for r in M.extract_records(pages, field).collect()] == [(2, "café")]
+    assert [(r.page_id, r._error[:18]) for r in M.extraction_errors(pages, field).collect()] == [(1, "UnicodeDecodeError")]
+    with pytest.raises(Exception, match="UnicodeDecodeError"):
+        M.extract_records(pages, field, mode="FAILFAST").collect()

@@ -41,16 +41,52 @@ def test_scan_json_batches_array_and_lines(spark, tmp_path):
     assert back.count() == 2 and back.select("file_name").distinct().count() == 2
 
 
-def test_scan_json_tolerant_per_file(spark, tmp_path):
+TOLERANT = {  # text, values kept before the first error, error
+    "good.json": ('[{"url": "a"}, {"url": ""}, {"filename": "x"}, {"url": null}]', ["a", "", None, None], None),
+    "trunc.json": ('[{"url": "b"}, {"url": ', [], "malformed JSON"),
+    "null.json": ('[{"url": "c"}, null, {"url": "never"}]', ["c"], "bad item"),
+    "seven": ('[{"url": "d"}, 7]', ["d"], "bad item"),
+    "falsy": ('[{"url": 0}, {"url": false}, {"url": []}, {"url": {}}, {"url": "e"}, {"url": 5}, {"url": "never"}]', [None] * 4 + ["e"], "bad item"),
+    "true": ('[{"url": "f"}, {"url": true}]', ["f"], "bad item"),
+    "list": ('[{"url": "g"}, {"url": ["h"]}]', ["g"], "bad item"),
+    "obj.txt": ('{"url": "i"}', [], "not an array of objects"),
+    "num": ("7", [], "not an array of objects"),
+    "after": ('[{"url": "j"}] x', [], "malformed JSON"),
+    "empty": ("", [], "malformed JSON"),
+    "nothing": (" {} ", [], None),
+    "none": ("[]", [], None),
+    "_under.json": ('[{"url": "k"}]', ["k"], None),
+    ".dot": ('[{"url": "l"}, null]', ["l"], "bad item"),
+}
+
+
+def test_scan_json_tolerant_keeps_items_before_a_bad_one(spark, tmp_path):
     d = str(tmp_path / "tol")
-    write(d, "good.json", json.dumps([{"url": "a"}, {"url": ""}, {"filename": "x"}]))
-    write(d, "trunc.json", '[{"url": "b"}, {"url": ')
-    write(d, "nullitem.json", '[{"url": "c"}, null]')
-    write(d, "obj.txt", '{"url": "d"}')
+    for name, (content, _, _) in TOLERANT.items():
+        write(d, name, content)
+    with open(os.path.join(d, "latin"), "wb") as f:
+        f.write('[{"url": "é"}]'.encode("latin-1"))
+    write(d + "/_folder", "x.json", "[]")
     rows, errors = files.scan_json_tolerant(spark, d, "url")
-    urls = sorted(r.url for r in rows.collect() if r.url)
-    assert "a" in urls and "d" in urls and "b" not in urls
-    assert "trunc.json" in {r.file_name for r in errors.collect()}
+    got = {}
+    for r in sorted(rows.collect(), key=lambda r: (r.file_name, r.pos)):
+        got.setdefault(r.file_name, []).append(r.url)
+    assert got == {k: urls for k, (_, urls, _) in TOLERANT.items() if urls}
+    assert {r.file_name: r.error for r in errors.collect()} == {"latin": "invalid UTF-8"} | {k: e for k, (_, _, e) in TOLERANT.items() if e}
+
+
+def test_every_html_file_is_read_or_rejected(spark, tmp_path):
+    d = str(tmp_path / "html")
+    write(d, "_x.html", "<h1>hidden é</h1>")
+    write(d, "empty.html", "")
+    write(d, "plain.html", "<h1>plain</h1>")
+    write(d, "_other.txt", "")
+    with open(os.path.join(d, "bad.html"), "wb") as f:
+        f.write(b"<h1>caf\xe9</h1>")
+    assert {r.file_name: r.html for r in files.scan_html_pages(spark, d).collect()} == {
+        "_x.html": "<h1>hidden é</h1>", "empty.html": "", "plain.html": "<h1>plain</h1>"}
+    assert [tuple(r) for r in files.html_rejects(spark, d).collect()] == [("bad.html", "invalid UTF-8")]
+    assert {r.file_name for r in files.whole_files(spark, d, ".html", every=False).collect()} == {"plain.html", "bad.html"}
 
 
 def test_scan_url_list_blank_lines(spark, tmp_path):
@@ -101,14 +137,3 @@ def test_malformed_json_is_never_a_record(spark, tmp_path):
     with pytest.raises(Exception):
         files.scan_json_batches(spark, d, schemas.ARTICLE, layout="lines", mode="FAILFAST").collect()
     assert files.scan_json_batches(spark, d, schemas.ARTICLE, layout="lines").count() == 1
-
-
-def test_hidden_and_empty_files_are_reported(spark, tmp_path):
-    d = str(tmp_path / "hid")
-    write(d, "good.json", '[{"url": "a"}]')
-    write(d, "_under.json", '[{"url": "b"}]')
-    write(d, "empty.json", "")
-    rows, errors = files.scan_json_tolerant(spark, d, "url")
-    assert [r.url for r in rows.collect()] == ["a"]
-    assert sorted((r.file_name, r.error) for r in errors.collect()) == [
-        ("_under.json", "hidden file name, not read"), ("empty.json", "empty file")]

@@ -11,7 +11,7 @@ from pagesmith.functions.text import language_label
 from pagesmith.functions.urls import path_basename
 from pagesmith.operators import fetch, langid, markup, pagination, reconcile, records
 from pagesmith.session import scratch_path
-from pagesmith.sources import files, sinks
+from pagesmith.sources import files, sinks, store
 
 SITE_PREFIX = "https://portal.example.org"
 
@@ -103,13 +103,13 @@ def job_download_urls(spark: SparkSession, links_dir: str, out: str) -> dict[str
     return {"urls": spark.read.text(out), "errors": errors}
 
 
-def job_store_objects(attempts: DataFrame, out: str, max_retries: int = fetch.MAX_RETRIES) -> dict[str, DataFrame]:
-    """Fetch attempts -> stored objects table (last write per name wins) and the progress line."""
-    plan = fetch.store_plan(attempts, max_retries)
-    sinks.sink_stored_objects(plan, out)
-    stored = attempts.sparkSession.read.parquet(out)
-    progress = fetch.download_progress(fetch.retry_outcome(attempts, max_retries))
-    return {"objects": stored, "progress": progress}
+def job_store_objects(attempts: DataFrame, out: str, max_retries: int = fetch.MAX_RETRIES, buckets: int = store.BUCKETS) -> dict[str, DataFrame]:
+    """Fetch attempts -> object store (last write per name wins; objects of earlier runs into ``out`` stay), the progress
+    line, and the progress after every download."""
+    sinks.sink_object_store(fetch.store_plan(attempts, max_retries), out, buckets)
+    outcome = fetch.retry_outcome(attempts, max_retries)
+    return {"objects": sinks.scan_object_store(attempts.sparkSession, out), "progress": fetch.download_progress(outcome),
+            "steps": fetch.progress_steps(outcome)}
 
 
 def job_reconcile(local: DataFrame, remote_listing: DataFrame, prefix: str = "") -> dict[str, DataFrame]:

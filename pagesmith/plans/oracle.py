@@ -121,6 +121,14 @@ def outcome_sql(src: str) -> str:
     FROM g LEFT JOIN f USING (url)"""
 
 
+def run_plan(which: str, run: int) -> str:
+    """What one run over some of the attempts stores."""
+    return f"""SELECT *, {run} AS run FROM (SELECT *, {slug('url')} || {ext('content_type')} AS object_name FROM (
+        SELECT *, row_number() OVER (PARTITION BY url ORDER BY fetched_at, id) AS attempt_no FROM attempts WHERE {which})
+        WHERE attempt_no <= {MAX_ATTEMPTS} AND status = 200 QUALIFY row_number() OVER (PARTITION BY url ORDER BY attempt_no) = 1)
+        QUALIFY row_number() OVER (PARTITION BY object_name ORDER BY fetched_at DESC, id DESC) = 1"""
+
+
 def detect_ctes(src: str, key: str, text: str) -> str:
     grams = "unnest(list_transform(range(1, len(cs) - 1), lambda i: cs[i] || cs[i + 1] || cs[i + 2]))"
     return f"""train AS (SELECT lang, regexp_extract_all(lower(text), '(?s).') AS cs FROM documents
@@ -189,6 +197,18 @@ ORACLE: dict[str, str] = {
     "sink_text_lines": "SELECT '/doc/' || CAST(doc_id AS VARCHAR) AS value FROM documents WHERE doc_id % 7 <> 0",
     "sink_json_single": with_ctes(f"SELECT info_url, language FROM articles_lang WHERE language IN {KEPT}", "articles_lang"),
     "sink_stored_objects": with_ctes(STORE, "store_plan"),
+    "sink_object_store": with_ctes(f"""SELECT object_name, url, content_type, sha256(encode(props)) AS content_sha256 FROM (
+        SELECT * FROM ({run_plan('id <= (SELECT max(event_id) // 2 FROM events)', 1)}) UNION ALL
+        SELECT * FROM ({run_plan('id > (SELECT max(event_id) // 2 FROM events)', 2)}))
+        QUALIFY row_number() OVER (PARTITION BY object_name ORDER BY run DESC) = 1""", "attempts"),
+    "retry_outcome_runs": with_ctes(f"SELECT * FROM ({outcome_sql('SELECT * FROM attempts')})", "attempts"),
+    "download_progress_steps": with_ctes(
+        f"SELECT url, done, round(CAST(100 AS DOUBLE) * done / total, 2) AS percent FROM (SELECT url, state, count(*) OVER () AS total, "
+        f"row_number() OVER (PARTITION BY state ORDER BY succeeded_at_us, success_id) AS done FROM ({outcome_sql(BY_BLOCK)})) "
+        f"WHERE state = 'succeeded'", "attempts"),
+    "unique_object_names": with_ctes(  # names with a suffix meet no other name in these tables
+        r"SELECT url, CASE WHEN k = 1 THEN object_name ELSE regexp_replace(object_name, '(\.[^.]*)?$', '-' || k || '\1') END AS object_name "
+        "FROM (SELECT *, row_number() OVER (PARTITION BY object_name ORDER BY url) AS k FROM (SELECT DISTINCT url, object_name FROM named_ok))", "named_ok"),
     "extract_records": f"""SELECT page_id, {san(unesc('t'))} AS text, {unesc('h')} AS href FROM (
         SELECT page_id, unnest(regexp_extract_all(html, {_q(NAV)}, 2)) AS t,
                unnest(regexp_extract_all(html, {_q(NAV)}, 1)) AS h FROM pages)""",

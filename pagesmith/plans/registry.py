@@ -156,6 +156,23 @@ def sink_stored_objects(spark, d):
                                            F.sha2(F.col("content"), 256).alias("content_sha256"))
 
 
+STORE_BUCKETS = 16
+
+
+def _in_two_runs(attempts: DataFrame) -> list[DataFrame]:
+    half = F.floor(attempts.agg(F.max("id")).first()[0] / F.lit(2))
+    return [attempts.where(F.col("id") <= half), attempts.where(F.col("id") > half)]
+
+
+@q
+def sink_object_store(spark, d):
+    """The attempts in two runs into one store: objects of the first stay unless the second has their name."""
+    path = scratch_path(spark, "object-store")
+    for run in _in_two_runs(fx.attempts(spark, d)):
+        sinks.sink_object_store(fetch.store_plan(run), path, STORE_BUCKETS)
+    return sinks.scan_object_store(spark, path).select("object_name", "url", "content_type", F.sha2("content", 256).alias("content_sha256"))
+
+
 # ---------------------------------------------------------------- extraction
 
 @q
@@ -379,6 +396,25 @@ def retry_schedule(spark, d):
     return fetch.retry_schedule(fetch.retry_outcome(fx.attempts_by_block(spark, d)))
 
 
+@q
+def retry_outcome_runs(spark, d):
+    """Attempts in two runs, the later ones first, folded into kept states: the outcome of all."""
+    path = scratch_path(spark, "retry-states")
+    for run in reversed(_in_two_runs(fx.attempts(spark, d))):
+        out = fetch.fold_attempts(run, path, buckets=STORE_BUCKETS)
+    return out.select("url", "state", "attempts_used", "success_id", _micros("succeeded_at").alias("succeeded_at_us"))
+
+
+@q
+def download_progress_steps(spark, d):
+    return fetch.progress_steps(fetch.retry_outcome(fx.attempts_by_block(spark, d)))
+
+
+@q
+def unique_object_names(spark, d):
+    return fetch.unique_names(fetch.name_objects(records.filter_ok_status(fx.attempts(spark, d))))
+
+
 @q
 def latest_object(spark, d):
     named = fetch.name_objects(records.filter_ok_status(fx.attempts(spark, d)))

@@ -1,11 +1,15 @@
-"""Writers.  Output is overwritten; no file is ever named by a clock."""
+"""Writers.  Output is overwritten, but for the object store, which keeps earlier runs; no file is named by a clock."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from pagesmith.sources import store
+
 BATCH_ROWS = 50_000
+OBJECT = "object_name string, url string, content_type string, content binary"
 
 
 def sink_json_batches(df: DataFrame, path: str, batch_size: int = BATCH_ROWS) -> str:
@@ -37,3 +41,15 @@ def sink_stored_objects(df: DataFrame, path: str) -> str:
     instead of one small file per URL."""
     df.select("object_name", "url", "content_type", "content").write.mode("overwrite").parquet(path)
     return path
+
+
+def sink_object_store(df: DataFrame, path: str, buckets: int = store.BUCKETS) -> list[int]:
+    """K4 over runs: objects of earlier runs stay, an object of the same name is replaced.  Returns the rewritten buckets.
+    ``df`` has one row per name (see ``fetch.latest_object``); null names are left out."""
+    new = df.where("object_name is not null").select("object_name", "url", "content_type", "content")
+    return store.update_store(new, path, "object_name", store.replace_rows("object_name"), buckets)
+
+
+def scan_object_store(spark: SparkSession, path: str) -> DataFrame:
+    """(object_name, url, content_type, content) of everything that runs have stored."""
+    return store.read_store(spark, path, OBJECT)

@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.udtf import AnalyzeResult
 
 from pagesmith.functions.text import sanitize_text
 
@@ -53,7 +54,7 @@ def _extractor(key_names, html_name, scope, record, fields, mode, whole_page):
     scope_c = [H.compile_step(s) for s in scope] if scope else None
     record_c = H.compile_step(record) if record else None
     field_c = [(f.name, [H.compile_step(s) for s in f.path], f.take) for f in fields]
-    cols = list(key_names) + ["record_no"] + [f.name for f in fields] + ["_error"]
+    cols = None if html_name is None else list(key_names) + ["record_no"] + [f.name for f in fields] + ["_error"]
 
     # whole-page records whose fields are all attributes of a one-step path need no tree: the
     # first matching start tag answers them, and parsing stops there (e.g. a <meta> in <head>)
@@ -94,6 +95,9 @@ def _extractor(key_names, html_name, scope, record, fields, mode, whole_page):
             out.append([i] + vals)
         return out
 
+    if cols is None:  # one page at a time
+        return one_page
+
     def run(batches):
         for batch in batches:
             names, n_keys = batch.schema.names, len(key_names)
@@ -157,7 +161,11 @@ def extraction_errors(pages: DataFrame, fields, record=None, keys=("page_id",),
 
 def extract_articles(pages: DataFrame, keys=("page_id",), html_col="html", mode=PERMISSIVE) -> DataFrame:
     """Listing pages -> article cards (title, info_url, abstract); all-NULL cards are kept."""
-    recs = extract_records(pages, ARTICLE_FIELDS, ARTICLE_CARD, keys, html_col, mode=mode)
+    return clean_articles(extract_records(pages, ARTICLE_FIELDS, ARTICLE_CARD, keys, html_col, mode=mode), keys)
+
+
+def clean_articles(recs: DataFrame, keys=()) -> DataFrame:
+    """Raw values of article cards -> clean text."""
     return recs.select(*keys, "record_no", sanitize_text("title").alias("title"), "info_url",
                        sanitize_text("abstract").alias("abstract"))
 
@@ -203,3 +211,49 @@ def extraction_misses(pages: DataFrame, name_col: str = "filename", html_col: st
     parser rejects.  No join is needed: every page is parsed to one row or skipped by the pre-filter."""
     parsed, skipped = meta_links(pages, name_col, html_col, meta, prefilter, PERMISSIVE)
     return parsed.filter(~_usable()).select("filename").unionByName(skipped)
+
+
+def parse_field(text: str) -> Field:
+    """``name=step > step > @attribute``; without ``@attribute`` the element's text."""
+    name, _, path = text.partition("=")
+    steps = [x.strip() for x in path.split(" > ")]
+    take = steps.pop() if steps[-1].startswith("@") else "text"
+    if not name.strip() or not all(steps):
+        raise ValueError(f"a field is name=step > ... > @attribute, not {text!r}")
+    return Field(name.strip(), tuple(steps), take)
+
+
+@dataclass
+class _RecordPlan(AnalyzeResult):
+    record: str | None = None
+    fields: tuple = ()
+
+
+class ExtractRecords:
+    """X1 and X2 as a table function: ``extract_records(html, record, field, ...)`` gives (record_no, one string per field) for
+    every element that matches ``record`` (the whole page if it is null).  Record and fields are constants; they set the
+    output columns.  A null page has no record, and neither has one the parser can't handle."""
+
+    def __init__(self, plan: _RecordPlan):
+        self.records = _extractor((), None, None, plan.record, plan.fields, PERMISSIVE, plan.record is None)
+
+    @staticmethod
+    def analyze(html, record, *fields) -> _RecordPlan:
+        if not (record.isConstantExpression and fields and all(f.isConstantExpression and f.value for f in fields)):
+            raise ValueError("extract_records takes the page, a constant record selector and constant fields")
+        parsed = tuple(parse_field(f.value) for f in fields)
+        schema = T.StructType([T.StructField("record_no", T.IntegerType()), *(T.StructField(f.name, T.StringType()) for f in parsed)])
+        return _RecordPlan(schema, record=record.value, fields=parsed)
+
+    def eval(self, html, record, *fields):
+        try:
+            found = self.records(html) if html is not None else []
+        except Exception:  # one bad page must not end the query
+            found = []
+        for values in found:
+            yield tuple(values)
+
+
+def register_sql(spark) -> None:
+    """Makes ``extract_records`` callable from SQL: ``FROM pages p, LATERAL extract_records(p.html, 'li', 'href=a > @href')``."""
+    spark.udtf.register("extract_records", F.udtf(ExtractRecords, useArrow=True))

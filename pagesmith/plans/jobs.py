@@ -36,12 +36,53 @@ def job_listing_urls(spark: SparkSession, publishers_path: str, out: str, prefix
 
 
 def job_articles(spark: SparkSession, html_dir: str, out: str, batch_size: int = sinks.BATCH_ROWS,
-                 pattern: str = "*.html", mode: str = markup.PERMISSIVE) -> DataFrame:
-    """Listing HTML files -> article records in JSON batches.  ``mode='FAILFAST'`` ends the job on a bad page."""
+                 pattern: str = "*.html", mode: str = markup.PERMISSIVE, ordered: bool = False) -> DataFrame:
+    """Listing HTML files -> article records in JSON batches.  ``mode='FAILFAST'`` ends the job on a bad page; else
+    ``article_rejects`` tells them.  ``ordered``: batches of whole pages in the order of their paths."""
     pages = files.scan_html_pages(spark, html_dir, pattern)
     arts = markup.extract_articles(pages, keys=("path",), mode=mode)
-    sinks.sink_json_batches(records.project_records(arts, schemas.ARTICLE), out, batch_size)
-    return files.scan_json_batches(spark, out, schemas.ARTICLE, layout="lines")
+    if ordered:
+        kept = ["path", "record_no", *schemas.ARTICLE.names]
+        sinks.sink_json_batches(arts.select(kept), out, batch_size, ["record_no"], "path")
+    else:
+        sinks.sink_json_batches(records.project_records(arts, schemas.ARTICLE), out, batch_size)
+    back = files.scan_json_batches(spark, out, schemas.ARTICLE, layout="lines")
+    return back.select(schemas.ARTICLE.names)
+
+
+def article_rejects(spark: SparkSession, html_dir: str, pattern: str = "*.html") -> DataFrame:
+    """(file_name, _error): the files that give ``job_articles`` nothing because they are not UTF-8 or can't be parsed."""
+    pages = files.scan_html_pages(spark, html_dir, pattern)
+    bad = markup.extraction_errors(pages, markup.ARTICLE_FIELDS, markup.ARTICLE_CARD, keys=("file_name",))
+    return bad.unionByName(files.html_rejects(spark, html_dir, pattern))
+
+
+def job_articles_stream(spark: SparkSession, html_dir: str, out: str, checkpoint: str, pattern: str = "*.html",
+                        files_per_batch: int = 10_000) -> DataFrame:
+    """``job_articles`` for a folder that files are dropped into: reads the files that came since the last run with the same
+    ``checkpoint`` (a shared folder, required), writes the records of each micro-batch to a folder of its own, and ends.
+
+    A micro-batch that is run again after a failure overwrites its folder, so no file is written twice and none is
+    lost.  Files that are not UTF-8, or that the parser can't handle, go to the folder ``out-rejects``.  Names that start
+    with '_' or '.' are not seen by a file stream.  Returns all records written so far."""
+    if not checkpoint:
+        raise ValueError("a checkpoint folder that survives runs is required")
+    pages = spark.readStream.schema("value string").option("wholetext", True).option("pathGlobFilter", pattern) \
+        .option("maxFilesPerTrigger", files_per_batch).format("text").load(html_dir)
+    pages = pages.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("html"))
+
+    def write(batch: DataFrame, number: int) -> None:
+        recs = markup.extract_records(batch, markup.ARTICLE_FIELDS, markup.ARTICLE_CARD, ("path",), with_errors=True)
+        path = scratch_path(spark, "stream-records")
+        recs.write.parquet(path)  # parsed once for both outputs
+        recs = spark.read.schema(recs.schema).parquet(path)
+        good = markup.clean_articles(recs.where("_error is null"))
+        sinks.sink_json_batches(records.project_records(good, schemas.ARTICLE), f"{out}/micro_batch={number}")
+        sinks.sink_json_batches(recs.where("_error is not null").select("path", "_error"), f"{out.rstrip('/')}-rejects/micro_batch={number}")
+
+    query = pages.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return files.scan_json_batches(spark, out, schemas.ARTICLE, layout="lines").select(schemas.ARTICLE.names)
 
 
 def job_language(spark: SparkSession, articles_path: str, profile: langid.LanguageProfile, out: str,

@@ -193,7 +193,7 @@ ORACLE: dict[str, str] = {
         "FROM link_files WHERE kind BETWEEN 1 AND 4", "link_files"),
     "scan_url_list": "SELECT url FROM pages UNION ALL SELECT '' AS url FROM pages WHERE page_id % 10 = 0",
     "scan_manifest": with_ctes("SELECT name FROM remote_objects WHERE starts_with(name, 'corpus/')", "remote_objects"),
-    "sink_json_batches": with_ctes("SELECT info_url, language, true AS batch_ok FROM articles_lang", "articles_lang"),
+    "sink_json_batches": with_ctes("SELECT info_url, language, (row_number() OVER (ORDER BY doc_id) - 1) // 100 AS batch FROM articles_lang", "articles_lang"),
     "sink_text_lines": "SELECT '/doc/' || CAST(doc_id AS VARCHAR) AS value FROM documents WHERE doc_id % 7 <> 0",
     "sink_json_single": with_ctes(f"SELECT info_url, language FROM articles_lang WHERE language IN {KEPT}", "articles_lang"),
     "sink_stored_objects": with_ctes(STORE, "store_plan"),
@@ -212,6 +212,9 @@ ORACLE: dict[str, str] = {
     "extract_records": f"""SELECT page_id, {san(unesc('t'))} AS text, {unesc('h')} AS href FROM (
         SELECT page_id, unnest(regexp_extract_all(html, {_q(NAV)}, 2)) AS t,
                unnest(regexp_extract_all(html, {_q(NAV)}, 1)) AS h FROM pages)""",
+    "extract_records_sql": f"""SELECT page_id, {san(unesc('t'))} AS text, {unesc('h')} AS href FROM (
+        SELECT page_id, unnest(regexp_extract_all(html, {_q(NAV)}, 2)) AS t,
+               unnest(regexp_extract_all(html, {_q(NAV)}, 1)) AS h FROM pages)""",
     "extract_fields": with_ctes("SELECT title, info_url, abstract FROM cards", "cards"),
     "extract_meta_link": META_LINKS,
     "extract_facets": with_ctes("SELECT name, url, CASE WHEN article_count = 0 THEN NULL ELSE article_count END AS article_count FROM publishers", "publishers"),
@@ -252,7 +255,8 @@ ORACLE: dict[str, str] = {
         f"SELECT count(*) FILTER (WHERE state = 'succeeded') AS done, count(*) AS total, "
         f"round(CAST(100 AS DOUBLE) * count(*) FILTER (WHERE state = 'succeeded') / count(*), 2) AS percent "
         f"FROM ({outcome_sql('SELECT * FROM attempts')})", "attempts"),
-    "batch_row_counts": "SELECT count(*) AS rows, true AS within_cap FROM documents",
+    "batch_row_counts": "SELECT batch, sum(n)::BIGINT AS n FROM (SELECT n, (sum(n) OVER (ORDER BY page) - n)::BIGINT // 25 AS batch "
+                        "FROM (SELECT doc_id // 10 AS page, count(*) AS n FROM documents GROUP BY 1)) GROUP BY batch",
     "retry_outcome": with_ctes(f"SELECT * FROM ({outcome_sql('SELECT * FROM attempts')})", "attempts"),
     "retry_schedule": with_ctes(
         f"SELECT url, attempts_used AS retry_no, round(CAST(0.5 AS DOUBLE) * (attempts_used - 1), 3) AS delay_s "
@@ -262,6 +266,7 @@ ORACLE: dict[str, str] = {
     "job_publishers": with_ctes("SELECT name, url, CASE WHEN article_count = 0 THEN NULL ELSE article_count END AS article_count FROM publishers", "publishers"),
     "job_listing_urls": with_ctes(f"SELECT page_url AS url FROM ({PAGINATED})", "pubpages"),
     "job_articles": with_ctes("SELECT title, info_url, abstract FROM cards", "cards"),
+    "job_articles_stream": with_ctes("SELECT title, info_url, abstract FROM cards", "cards"),
     "job_language": with_ctes(f"SELECT src.info_url, {label('pick.lang')} AS language FROM src LEFT JOIN pick ON pick.k = src.doc_id",
                               "articles_lang", extra=detect_ctes("SELECT doc_id, info_url, title FROM articles_lang", "doc_id", "title")),
     "job_language_filter": with_ctes(f"SELECT info_url, language FROM articles_lang WHERE language IN {KEPT}", "articles_lang"),

@@ -27,6 +27,7 @@ NAV_FIELDS = (markup.Field("text", ("a",), "text"), markup.Field("href", ("a",),
 PAGE_FIELDS = (markup.Field("title", ("h1",), "text"), markup.Field("abstract", ("p",), "text"))
 LANGS_KEPT = ("french", "german")
 BATCH = 100
+PAGE_BATCH = 25
 
 
 def q(fn: Query) -> Query:
@@ -125,11 +126,11 @@ def scan_manifest(spark, d):
 
 @q
 def sink_json_batches(spark, d):
+    """Batches of BATCH rows in the order of the ids: the batch of every record, read from the folders."""
     path = scratch_path(spark, "articles-batches")
-    sinks.sink_json_batches(fx.articles_lang(spark, d).drop("doc_id"), path, BATCH)
-    back = files.scan_json_batches(spark, path, schemas.ARTICLE_LANG, layout="lines", with_file=True)
-    per_file = back.groupBy("file_name").agg(F.count(F.lit(1)).alias("_n"))
-    return back.join(per_file, "file_name").select("info_url", "language", (F.col("_n") <= BATCH).alias("batch_ok"))
+    sinks.sink_json_batches(fx.articles_lang(spark, d), path, BATCH, ["doc_id"])
+    back = files.scan_json_batches(spark, path, schemas.ARTICLE_LANG, layout="lines")
+    return back.select("info_url", "language", F.col("batch").cast("long").alias("batch"))
 
 
 @q
@@ -181,6 +182,15 @@ def extract_records(spark, d):
     return recs.select("page_id", text.sanitize_text("text").alias("text"), "href")
 
 
+@q
+def extract_records_sql(spark, d):
+    """The table function from SQL, with ``LATERAL`` over the pages."""
+    markup.register_sql(spark)
+    recs = spark.sql("""SELECT p.page_id, r.text, r.href FROM {pages} p,
+        LATERAL extract_records(p.html, 'li', 'text=a', 'href=a > @href') r""", pages=fx.table(spark, d, "pages"))
+    return recs.select("page_id", text.sanitize_text("text").alias("text"), "href")
+
+
 @q
 def extract_fields(spark, d):
     return markup.extract_articles(fx.card_pages(spark, d)).select("title", "info_url", "abstract")
@@ -374,13 +384,12 @@ def download_progress(spark, d):
 
 @q
 def batch_row_counts(spark, d):
-    """K1 batches of at most BATCH rows, then rows per file: total rows and whether every file
-    respects the cap (file boundaries depend on partitioning, these two numbers do not)."""
+    """Rows per batch of whole pages; PAGE_BATCH is no multiple of a page's cards, so batches end behind it."""
     path = scratch_path(spark, "batches")
-    sinks.sink_json_batches(fx.articles_lang(spark, d).drop("doc_id"), path, BATCH)
-    back = files.scan_json_batches(spark, path, schemas.ARTICLE_LANG, layout="lines", with_file=True)
-    per_file = records.batch_row_counts(back, "file_name")
-    return per_file.agg(F.sum("n").alias("rows"), (F.max("n") <= BATCH).alias("within_cap"))
+    arts = markup.extract_articles(fx.card_pages(spark, d))
+    sinks.sink_json_batches(arts, path, PAGE_BATCH, ["record_no"], "page_id")
+    back = files.scan_json_batches(spark, path, schemas.ARTICLE, layout="lines", with_file=True)
+    return records.batch_row_counts(back, ["batch", "file_name"]).select(F.col("batch").cast("long").alias("batch"), "n")
 
 
 # ---------------------------------------------------------------- fetch state
@@ -447,6 +456,18 @@ def job_articles(spark, d):
     return jobs.job_articles(spark, html, scratch_path(spark, "articles"), pattern="*.txt")
 
 
+@q
+def job_articles_stream(spark, d):
+    """Listing pages dropped into a folder in two parts, the incremental job run after each."""
+    html, out, checkpoint = (scratch_path(spark, f"stream-{x}") for x in ("html", "articles", "checkpoint"))
+    pages = fx.card_pages(spark, d)
+    half = F.floor(pages.agg(F.max("page_id")).first()[0] / F.lit(2))
+    for part in (pages.where(F.col("page_id") <= half), pages.where(F.col("page_id") > half)):
+        part.select("html").write.mode("append").option("maxRecordsPerFile", 1).text(html)
+        back = jobs.job_articles_stream(spark, html, out, checkpoint, "*.txt")
+    return back
+
+
 @q
 def job_language(spark, d):
     src = scratch_path(spark, "articles")

@@ -6,16 +6,39 @@ from pyspark.sql import DataFrame
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from pagesmith.operators.ordering import numbered
 from pagesmith.sources import store
 
 BATCH_ROWS = 50_000
 OBJECT = "object_name string, url string, content_type string, content binary"
 
 
-def sink_json_batches(df: DataFrame, path: str, batch_size: int = BATCH_ROWS) -> str:
-    """K1: JSON Lines files of at most ``batch_size`` rows each, non-ASCII kept, nulls written."""
-    df.write.mode("overwrite").option("maxRecordsPerFile", batch_size) \
-        .option("ignoreNullFields", False).json(path)
+def batch_numbers(df: DataFrame, batch_size: int, order: list, whole: str | None = None, out: str = "batch") -> DataFrame:
+    """``df`` with the batch (from 0) of every row: rows in ``order``, ``batch_size`` to a batch.  With ``whole``, rows of one value
+    of that column (a page) stay together in the batch of the page's first row, so a batch may exceed its size by a
+    part of its last page.  Rows are numbered over sorted ranges; no task sees them all."""
+    terms = [F.asc_nulls_first(c) for c in ([whole] if whole else []) + [c for c in order if c != whole]]
+    row = "row_no"
+    while row in df.columns:
+        row += "_"
+    rows = numbered(df, terms, row)
+    if whole:
+        first = rows.groupBy(F.col(whole).alias("whole_")).agg(F.min(row).alias("first_"))
+        rows = rows.join(first, F.col(whole).eqNullSafe(F.col("whole_"))).withColumn(row, F.col("first_")).drop("whole_", "first_")
+    return rows.withColumn(out, F.floor((F.col(row) - 1) / batch_size)).drop(row)
+
+
+def sink_json_batches(df: DataFrame, path: str, batch_size: int = BATCH_ROWS, order: list | None = None, whole: str | None = None) -> str:
+    """K1: JSON Lines, non-ASCII kept, nulls written.  Without ``order``: files of at most ``batch_size`` rows that follow the
+    partitions.  With it: one folder ``batch=<n>`` with one file per batch of ``batch_numbers``, the same however the rows are
+    partitioned; partitions are addressed by the batch, so each file is written by one task and no task has two."""
+    if order is None:
+        out = df.write.option("maxRecordsPerFile", batch_size)
+    else:
+        numbers = batch_numbers(df, batch_size, order, whole)
+        n = (numbers.agg(F.max("batch")).first()[0] or 0) + 1
+        out = numbers.repartitionById(n, F.col("batch").cast("int")).write.partitionBy("batch")
+    out.mode("overwrite").option("ignoreNullFields", False).json(path)
     return path
 
 

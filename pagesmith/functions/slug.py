@@ -47,11 +47,13 @@ def to_ascii(c: Column | str) -> Column:
     """NFKD + drop non-ASCII, natively."""
     src, dst, multi = _tables()
     c = col(c)
-    chars = F.regexp_extract_all(c, F.lit("(?s)(.)"), 1)
+    several = "".join(sorted(multi))
     m = F.create_map(*[F.lit(x) for kv in sorted(multi.items()) for x in kv])
-    expanded = F.array_join(F.transform(chars, lambda ch: F.coalesce(F.try_element_at(m, ch), ch)), "")
-    # a char-set translate is a hash lookup per character; a 445-entry regex class is not
-    has_multi = F.length(F.translate(c, "".join(sorted(multi)), "")) != F.length(c)
+    # a char-set translate is a hash lookup per character; the map, a linear one, is asked once per distinct letter
+    letters = F.array_distinct(F.split(F.regexp_replace(c, "[\\x00-\\x7f]+", ""), ""))
+    present = F.filter(letters, lambda ch: (ch != "") & (F.translate(ch, several, "") == ""))
+    expanded = F.aggregate(present, c, lambda text, ch: F.replace(text, ch, F.element_at(m, ch)))
+    has_multi = F.length(F.translate(c, several, "")) != F.length(c)
     step1 = F.when(has_multi, expanded).otherwise(c)
     step2 = F.regexp_replace(F.translate(step1, src, dst), "[^\\x00-\\x7f]", "")
     return F.when(c.rlike("[^\\x00-\\x7f]"), step2).otherwise(c)

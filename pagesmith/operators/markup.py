@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.udtf import AnalyzeResult
 
-from pagesmith.functions.text import sanitize_text
+from pagesmith.functions.text import parse_grouped_int, sanitize_text
 
 PERMISSIVE, FAILFAST = "PERMISSIVE", "FAILFAST"
 PARSE_PARTITIONS = "pagesmith.parse.partitions"
@@ -174,8 +174,17 @@ def extract_facets(pages: DataFrame, keys=("page_id",), html_col="html", scope=F
                    item=FACET_ITEM, fields=FACET_FIELDS, mode=PERMISSIVE) -> DataFrame:
     """Facet block -> publishers (name, url, article_count).  Only items carrying the full
     hidden-"more" class string are taken; default-visible items are left out."""
-    from pagesmith.functions.text import parse_grouped_int
-    recs = extract_records(pages, fields, item, keys, html_col, scope=(scope,), mode=mode)
+    recs = facet_records(pages, keys, html_col, scope, item, fields, mode)
+    return clean_facets(recs.where("_error is null"), keys, mode)
+
+
+def facet_records(pages: DataFrame, keys=("page_id",), html_col="html", scope=FACET_SCOPE, item=FACET_ITEM, fields=FACET_FIELDS,
+                  mode=PERMISSIVE) -> DataFrame:
+    """Raw values of facet items, with ``_error`` rows for pages the parser couldn't handle."""
+    return extract_records(pages, fields, item, keys, html_col, scope=(scope,), mode=mode, with_errors=True)
+
+
+def clean_facets(recs: DataFrame, keys=(), mode=PERMISSIVE) -> DataFrame:
     return recs.select(*keys, "record_no", sanitize_text("name").alias("name"), "url",
                        parse_grouped_int("count_text", failfast=(mode == FAILFAST)).alias("article_count"))
 

@@ -204,8 +204,20 @@ def html_files(spark, sf_dir) -> DataFrame:
     """A file per page; page_id % 5 = 0 has a name that Spark's readers pass over, page_id % 7 = 0 a byte that isn't UTF-8."""
     p = table(spark, sf_dir, "pages")
     name = F.concat(F.when(F.col("page_id") % 5 == 0, "_p").otherwise("p"), F.col("page_id").cast("string"), F.lit(".html"))
-    html = F.col("html").cast("binary")
-    return p.select(name.alias("file_name"), F.when(F.col("page_id") % 7 == 0, F.concat(html, F.unhex(F.lit("E9")))).otherwise(html).alias("content"))
+    return p.select(name.alias("file_name"), spoilt_html(F.col("html"), F.col("page_id") % 7 == 0).alias("content"))
+
+
+def spoilt_html(c: Column, when: Column) -> Column:
+    """The text's bytes, with one that isn't UTF-8 behind them where ``when`` holds."""
+    html = c.cast("binary")
+    return F.when(when, F.concat(html, F.unhex(F.lit("E9")))).otherwise(html)
+
+
+def spoilt_lines(records: DataFrame, key: str) -> DataFrame:
+    """JSON lines of the records; lines of ``key`` % 17 = 0 are cut off."""
+    cut = F.concat(F.lit('{"title": "'), F.col(key).cast("string"))
+    return records.select(F.when(F.col(key) % 17 == 0, cut).otherwise(
+        F.to_json(F.struct(*[c for c in records.columns if c != key]), {"ignoreNullFields": "false"})).alias("value"))
 
 
 LINKS_PER_FILE, GOOD_ITEMS = 25, 10

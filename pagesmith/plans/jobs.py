@@ -16,45 +16,64 @@ from pagesmith.sources import files, sinks, store
 SITE_PREFIX = "https://portal.example.org"
 
 
-def job_publishers(facet_pages: DataFrame, out: str, mode: str = markup.PERMISSIVE) -> DataFrame:
-    """Facet page(s) -> publishers JSON.  A page the parser rejects ends the job with ``mode='FAILFAST'``; else
-    ``markup.extraction_errors`` tells them."""
-    pubs = records.project_records(markup.extract_facets(facet_pages, mode=mode), schemas.PUBLISHER)
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` from a table in the shared folder: computed once for several outputs."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def job_publishers(facet_pages: DataFrame, out: str, mode: str = markup.PERMISSIVE, key: str = "page_id") -> dict[str, DataFrame]:
+    """Facet page(s) -> publishers JSON; ``rejects``: (key, _error) of the pages the parser can't handle, which end the job
+    with ``mode='FAILFAST'``.  The pages are parsed once."""
+    spark = facet_pages.sparkSession
+    parsed = _written(markup.facet_records(facet_pages, keys=(key,), mode=mode), "facet-records")
+    pubs = records.project_records(markup.clean_facets(parsed.where("_error is null"), mode=mode), schemas.PUBLISHER)
     sinks.sink_json_single(pubs, out)
-    return files.scan_json_batches(facet_pages.sparkSession, out, schemas.PUBLISHER, layout="lines", pattern=None)
+    return {"publishers": files.scan_json_batches(spark, out, schemas.PUBLISHER, layout="lines", pattern=None),
+            "rejects": parsed.where("_error is not null").select(key, "_error")}
+
+
+def job_publishers_from_files(spark: SparkSession, html_dir: str, out: str, pattern: str = "*.html") -> dict[str, DataFrame]:
+    """The same from a folder of saved search pages; files that aren't UTF-8 are rejects, too."""
+    res = job_publishers(files.scan_html_pages(spark, html_dir, pattern), out, key="file_name")
+    return res | {"rejects": res["rejects"].unionByName(files.html_rejects(spark, html_dir, pattern))}
 
 
 def job_listing_urls(spark: SparkSession, publishers_path: str, out: str, prefix: str = SITE_PREFIX,
-                     layout: str = "lines", on_missing: str = "drop") -> DataFrame:
-    """Publishers JSON -> one listing URL per result page, as a text file.  Publishers without a usable URL are
-    told by ``pagination.invalid_publisher_urls``."""
-    pubs = files.scan_json_batches(spark, publishers_path, schemas.PUBLISHER, layout=layout, pattern=None,
-                                   required=["name", "url", "article_count"], on_missing=on_missing)
-    urls = pagination.paginate_urls(pubs, prefix=prefix)
-    sinks.sink_text_lines(urls, "page_url", out)
-    return files.scan_url_list(spark, out)
+                     layout: str = "lines", on_missing: str = "drop") -> dict[str, DataFrame]:
+    """Publishers JSON -> one listing URL per result page, as a text file; ``rejects``: (record, reason) of text that
+    doesn't parse, publishers without a required field, and URLs that have no place for the page number."""
+    required = ["name", "url", "article_count"]
+    read = lambda need: files.scan_json_batches(
+        spark, publishers_path, schemas.PUBLISHER, layout=layout, pattern=None, required=need, on_missing=on_missing)
+    pubs = read(required)
+    sinks.sink_text_lines(pagination.paginate_urls(pubs, prefix=prefix), "page_url", out)
+    record = F.to_json(F.struct(*schemas.PUBLISHER.names))
+    lacking = read(None).where(F.array_contains(F.array(*[F.col(f).isNull() for f in required]), True))
+    unusable = pagination.invalid_publisher_urls(pubs)
+    text = files.json_rejects(spark, publishers_path, schemas.PUBLISHER, layout, None).select("record", F.lit("malformed JSON").alias("reason"))
+    rejects = text.unionByName(lacking.select(record.alias("record"), F.lit("missing field").alias("reason"))) \
+        .unionByName(unusable.select(record.alias("record"), F.lit("no single search part in the URL").alias("reason")))
+    return {"urls": files.scan_url_list(spark, out), "rejects": rejects}
 
 
 def job_articles(spark: SparkSession, html_dir: str, out: str, batch_size: int = sinks.BATCH_ROWS,
-                 pattern: str = "*.html", mode: str = markup.PERMISSIVE, ordered: bool = False) -> DataFrame:
-    """Listing HTML files -> article records in JSON batches.  ``mode='FAILFAST'`` ends the job on a bad page; else
-    ``article_rejects`` tells them.  ``ordered``: batches of whole pages in the order of their paths."""
+                 pattern: str = "*.html", mode: str = markup.PERMISSIVE, ordered: bool = False) -> dict[str, DataFrame]:
+    """Listing HTML files -> article records in JSON batches; ``rejects``: (file_name, _error) of the files that are not UTF-8
+    or that the parser can't handle (``mode='FAILFAST'`` ends the job on the latter).  ``ordered``: batches of whole pages
+    in the order of their paths.  The files are parsed once."""
     pages = files.scan_html_pages(spark, html_dir, pattern)
-    arts = markup.extract_articles(pages, keys=("path",), mode=mode)
+    parsed = _written(markup.extract_records(pages, markup.ARTICLE_FIELDS, markup.ARTICLE_CARD, ("path", "file_name"), mode=mode, with_errors=True),
+                      "article-records")
+    arts = markup.clean_articles(parsed.where("_error is null"), ("path",))
     if ordered:
-        kept = ["path", "record_no", *schemas.ARTICLE.names]
-        sinks.sink_json_batches(arts.select(kept), out, batch_size, ["record_no"], "path")
+        sinks.sink_json_batches(arts.select("path", "record_no", *schemas.ARTICLE.names), out, batch_size, ["record_no"], "path")
     else:
         sinks.sink_json_batches(records.project_records(arts, schemas.ARTICLE), out, batch_size)
-    back = files.scan_json_batches(spark, out, schemas.ARTICLE, layout="lines")
-    return back.select(schemas.ARTICLE.names)
-
-
-def article_rejects(spark: SparkSession, html_dir: str, pattern: str = "*.html") -> DataFrame:
-    """(file_name, _error): the files that give ``job_articles`` nothing because they are not UTF-8 or can't be parsed."""
-    pages = files.scan_html_pages(spark, html_dir, pattern)
-    bad = markup.extraction_errors(pages, markup.ARTICLE_FIELDS, markup.ARTICLE_CARD, keys=("file_name",))
-    return bad.unionByName(files.html_rejects(spark, html_dir, pattern))
+    back = files.scan_json_batches(spark, out, schemas.ARTICLE, layout="lines").select(schemas.ARTICLE.names)
+    rejects = parsed.where("_error is not null").select("file_name", "_error").unionByName(files.html_rejects(spark, html_dir, pattern))
+    return {"articles": back, "rejects": rejects}
 
 
 def job_articles_stream(spark: SparkSession, html_dir: str, out: str, checkpoint: str, pattern: str = "*.html",
@@ -86,13 +105,14 @@ def job_articles_stream(spark: SparkSession, html_dir: str, out: str, checkpoint
 
 
 def job_language(spark: SparkSession, articles_path: str, profile: langid.LanguageProfile, out: str,
-                 batch_size: int = sinks.BATCH_ROWS, layout: str = "lines", pattern: str | None = "*.json") -> DataFrame:
-    """Article batches -> the same records with a language label (from the title only)."""
+                 batch_size: int = sinks.BATCH_ROWS, layout: str = "lines", pattern: str | None = "*.json") -> dict[str, DataFrame]:
+    """Article batches -> the same records with a language label (from the title only), and the text that didn't parse."""
     arts = files.scan_json_batches(spark, articles_path, schemas.ARTICLE_LANG, layout=layout, pattern=pattern)
     found = langid.detect_language(arts, profile, "title", out_col="_lang")
     found = found.withColumn("language", language_label("_lang"))
     sinks.sink_json_batches(records.project_records(found, schemas.ARTICLE_LANG), out, batch_size)
-    return files.scan_json_batches(spark, out, schemas.ARTICLE_LANG, layout="lines")
+    return {"articles": files.scan_json_batches(spark, out, schemas.ARTICLE_LANG, layout="lines"),
+            "rejects": files.json_rejects(spark, articles_path, schemas.ARTICLE_LANG, layout, pattern)}
 
 
 def job_language_filter(spark: SparkSession, articles_path: str, out: str,
@@ -108,11 +128,11 @@ def job_language_filter(spark: SparkSession, articles_path: str, out: str,
 
 
 def job_info_urls(spark: SparkSession, articles_path: str, out: str, layout: str = "lines",
-                  pattern: str | None = "*.json") -> DataFrame:
-    """Article batches -> info_url list (NULLs dropped)."""
+                  pattern: str | None = "*.json") -> dict[str, DataFrame]:
+    """Article batches -> info_url list (NULLs dropped), and the text that didn't parse."""
     arts = files.scan_json_batches(spark, articles_path, schemas.ARTICLE, layout=layout, pattern=pattern)
     sinks.sink_text_lines(records.project_info_urls(arts), "info_url", out)
-    return spark.read.text(out)
+    return {"urls": spark.read.text(out), "rejects": files.json_rejects(spark, articles_path, schemas.ARTICLE, layout, pattern)}
 
 
 def job_download_links(pages: DataFrame, out: str, batch_size: int = sinks.BATCH_ROWS) -> dict[str, DataFrame]:
@@ -120,9 +140,7 @@ def job_download_links(pages: DataFrame, out: str, batch_size: int = sinks.BATCH
     rejects.  The pages are parsed once, into a written table that all three come from."""
     spark = pages.sparkSession
     parsed, skipped = markup.meta_links(pages)
-    path = scratch_path(spark, "meta-links")
-    parsed.write.parquet(path)
-    parsed = spark.read.schema(parsed.schema).parquet(path)
+    parsed = _written(parsed, "meta-links")
     usable = F.col("url").isNotNull() & (F.col("url") != "")
     sinks.sink_json_batches(parsed.filter(usable).select("filename", "url"), out, batch_size)
     read = files.scan_json_batches(spark, out, schemas.DOWNLOAD_LINK, layout="lines")

@@ -266,6 +266,17 @@ ORACLE: dict[str, str] = {
     "job_publishers": with_ctes("SELECT name, url, CASE WHEN article_count = 0 THEN NULL ELSE article_count END AS article_count FROM publishers", "publishers"),
     "job_listing_urls": with_ctes(f"SELECT page_url AS url FROM ({PAGINATED})", "pubpages"),
     "job_articles": with_ctes("SELECT title, info_url, abstract FROM cards", "cards"),
+    "job_articles_rejects": "SELECT DISTINCT doc_id // 10 || '.html' AS file_name, 'invalid UTF-8' AS error FROM documents WHERE (doc_id // 10) % 7 = 0",
+    "job_publishers_from_files": with_ctes(
+        "SELECT name, url, CASE WHEN article_count = 0 THEN NULL ELSE article_count END AS article_count "
+        "FROM (SELECT *, min(s_suppkey) OVER (PARTITION BY s_nationkey, s_suppkey // 50) AS page FROM publishers) WHERE page % 7 <> 0", "publishers"),
+    "job_publishers_rejects": "SELECT page_id, 'UnicodeDecodeError' AS error FROM (SELECT min(s_suppkey) AS page_id FROM supplier "
+                              "GROUP BY s_nationkey, s_suppkey // 50) WHERE page_id % 7 = 0",
+    "job_listing_urls_rejects": "SELECT reason, count(*) AS n FROM (SELECT CASE WHEN s_suppkey % 17 = 0 THEN 'malformed JSON' WHEN s_suppkey % 3 = 0 "
+                                "THEN 'missing field' WHEN s_suppkey % 5 = 0 THEN 'no single search part in the URL' END AS reason FROM supplier) "
+                                "WHERE reason IS NOT NULL GROUP BY reason",
+    "job_info_urls_rejects": """SELECT '{"title": "' || doc_id AS record FROM documents WHERE doc_id % 17 = 0""",
+    "job_language_rejects": """SELECT '{"title": "' || doc_id AS record FROM documents WHERE doc_id % 17 = 0""",
     "job_articles_stream": with_ctes("SELECT title, info_url, abstract FROM cards", "cards"),
     "job_language": with_ctes(f"SELECT src.info_url, {label('pick.lang')} AS language FROM src LEFT JOIN pick ON pick.k = src.doc_id",
                               "articles_lang", extra=detect_ctes("SELECT doc_id, info_url, title FROM articles_lang", "doc_id", "title")),

@@ -440,20 +440,71 @@ def object_name_collisions(spark, d):
 
 @q
 def job_publishers(spark, d):
-    return jobs.job_publishers(fx.facet_pages(spark, d), scratch_path(spark, "publishers"))
+    return jobs.job_publishers(fx.facet_pages(spark, d), scratch_path(spark, "publishers"))["publishers"]
 
 
 @q
 def job_listing_urls(spark, d):
     pubs = scratch_path(spark, "publishers")
     sinks.sink_json_single(records.project_records(fx.publishers(spark, d), schemas.PUBLISHER), pubs)
-    return jobs.job_listing_urls(spark, pubs, scratch_path(spark, "urls"))
+    return jobs.job_listing_urls(spark, pubs, scratch_path(spark, "urls"))["urls"]
 
 
 @q
 def job_articles(spark, d):
     html = _write_pages_as_files(fx.card_pages(spark, d), spark, "listing-html")
-    return jobs.job_articles(spark, html, scratch_path(spark, "articles"), pattern="*.txt")
+    return jobs.job_articles(spark, html, scratch_path(spark, "articles"), pattern="*.txt")["articles"]
+
+
+def _spoilt_files(pages: DataFrame, spark, name: str) -> str:
+    """A file per page; those of page_id % 7 = 0 are not UTF-8."""
+    content = fx.spoilt_html(F.col("html"), F.col("page_id") % 7 == 0)
+    named = pages.select(F.concat(F.col("page_id").cast("string"), F.lit(".html")).alias("file_name"), content.alias("content"))
+    return fx.write_files(named, scratch_path(spark, name))
+
+
+@q
+def job_articles_rejects(spark, d):
+    html = _spoilt_files(fx.card_pages(spark, d), spark, "listing-html")
+    return jobs.job_articles(spark, html, scratch_path(spark, "articles"))["rejects"].select("file_name", F.col("_error").alias("error"))
+
+
+@q
+def job_publishers_from_files(spark, d):
+    html = _spoilt_files(fx.facet_pages(spark, d), spark, "facet-html")
+    return jobs.job_publishers_from_files(spark, html, scratch_path(spark, "publishers"))["publishers"]
+
+
+@q
+def job_publishers_rejects(spark, d):
+    """Pages with a byte that isn't UTF-8, straight from a table."""
+    p = fx.facet_pages(spark, d)
+    p = p.select("page_id", fx.spoilt_html(F.col("html"), F.col("page_id") % 7 == 0).cast("string").alias("html"))
+    return jobs.job_publishers(p, scratch_path(spark, "publishers"))["rejects"].select("page_id", F.substring_index("_error", ":", 1).alias("error"))
+
+
+@q
+def job_listing_urls_rejects(spark, d):
+    p, src = fx.publishers(spark, d), scratch_path(spark, "publishers")
+    url = F.when(F.col("s_suppkey") % 5 == 0, F.replace("url", F.lit("/search"), F.lit("/find"))).otherwise(F.col("url"))
+    name = F.when(F.col("s_suppkey") % 3 != 0, F.col("name"))
+    fx.spoilt_lines(p.select("s_suppkey", name.alias("name"), url.alias("url"), "article_count"), "s_suppkey").write.text(src)
+    return jobs.job_listing_urls(spark, src, scratch_path(spark, "urls"))["rejects"].groupBy("reason").agg(F.count("*").alias("n"))
+
+
+@q
+def job_info_urls_rejects(spark, d):
+    src = scratch_path(spark, "articles")
+    fx.spoilt_lines(fx.articles_lang(spark, d), "doc_id").write.text(src)
+    return jobs.job_info_urls(spark, src, scratch_path(spark, "info-urls"), pattern=None)["rejects"].select("record")
+
+
+@q
+def job_language_rejects(spark, d):
+    src = scratch_path(spark, "articles")
+    fx.spoilt_lines(fx.articles_lang(spark, d), "doc_id").write.text(src)
+    out = jobs.job_language(spark, src, _profile(spark, d), scratch_path(spark, "articles-lang"), pattern=None)
+    return out["rejects"].select("record")
 
 
 @q
@@ -472,7 +523,7 @@ def job_articles_stream(spark, d):
 def job_language(spark, d):
     src = scratch_path(spark, "articles")
     sinks.sink_json_batches(records.project_records(fx.articles_lang(spark, d), schemas.ARTICLE), src)
-    out = jobs.job_language(spark, src, _profile(spark, d), scratch_path(spark, "articles-lang"))
+    out = jobs.job_language(spark, src, _profile(spark, d), scratch_path(spark, "articles-lang"))["articles"]
     return out.select("info_url", "language")
 
 
@@ -489,7 +540,7 @@ def job_info_urls(spark, d):
     src = scratch_path(spark, "articles")
     arts = markup.extract_articles(fx.card_pages(spark, d))
     sinks.sink_json_batches(records.project_records(arts, schemas.ARTICLE), src)
-    return jobs.job_info_urls(spark, src, scratch_path(spark, "info-urls"))
+    return jobs.job_info_urls(spark, src, scratch_path(spark, "info-urls"))["urls"]
 
 
 @q
@@ -529,7 +580,7 @@ def job_language_filter_arrays(spark, d):
 def job_info_urls_arrays(spark, d):
     arts = records.project_records(fx.articles_lang(spark, d), schemas.ARTICLE)
     src = _json_array_files(arts, spark, "articles-arrays")
-    return jobs.job_info_urls(spark, src, scratch_path(spark, "info-urls"), layout="array", pattern=None)
+    return jobs.job_info_urls(spark, src, scratch_path(spark, "info-urls"), layout="array", pattern=None)["urls"]
 
 
 @q

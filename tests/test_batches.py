@@ -90,17 +90,17 @@ def test_incremental_job_reads_every_file_once(spark, tmp_path):
     with open(os.path.join(html, "bad.html"), "wb") as f:
         f.write(b"<p>caf\xe9</p>")
     got = titles(jobs.job_articles_stream(spark, html, out, checkpoint))
-    assert got == titles(jobs.job_articles(spark, html, str(tmp_path / "once"))) == ["Ta", "Tab", "Tc", "Tcb", "Td", "Tdb"]
+    assert got == titles(jobs.job_articles(spark, html, str(tmp_path / "once"))["articles"]) == ["Ta", "Tab", "Tc", "Tcb", "Td", "Tdb"]
     assert titles(jobs.job_articles_stream(spark, html, out, checkpoint)) == got  # a restart repeats no file
     rejects = spark.read.schema("path string, _error string").json(out + "-rejects").collect()
     assert [(os.path.basename(r.path), r._error[:18]) for r in rejects] == [("bad.html", "UnicodeDecodeError")]
-    assert [r.file_name for r in jobs.article_rejects(spark, html).collect()] == ["bad.html"]
+    assert [r.file_name for r in jobs.job_articles(spark, html, str(tmp_path / "again"))["rejects"].collect()] == ["bad.html"]
 
 
 def test_articles_in_batches_of_whole_pages(spark, tmp_path):
     html, out = str(tmp_path / "html"), str(tmp_path / "out")
     drop_pages(html, ["a", "b", "c", "_d", "e"])
-    back = jobs.job_articles(spark, html, out, batch_size=3, ordered=True)
+    back = jobs.job_articles(spark, html, out, batch_size=3, ordered=True)["articles"]
     assert back.count() == 10
     sizes = {}
     for r in files.scan_json_batches(spark, out, schemas.ARTICLE, layout="lines").collect():

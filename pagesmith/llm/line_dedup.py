@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 from pagesmith.llm.common import drop, free_name, sized, stripped, table, words
 
 THRESHOLD = Fraction(4, 5)
-#: Word frequencies are counted in so many hash buckets; a bucket's size class orders its words.
-BUCKETS = 1 << 18
+#: Words share so many hash slots; a slot has the size class of its most frequent word, which orders its words.
+SLOTS = 1 << 20
 #: Size class of words with bounded buckets: up to 2 ** (COLD / 2) occurrences.
 COLD = 16
 #: Earlier lines of a long bucket that each line meets in the sorted pass, besides the first.
@@ -60,13 +60,19 @@ def lines_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ke
 
 
 def rarity(docs: DataFrame, text_col: str = "text") -> Column:
-    """A constant array: size class (twice the binary logarithm) of every hash bucket of words, counted
-    over the whole corpus.  Its length is fixed, whatever the vocabulary."""
-    hashed = docs.select(F.explode_outer(words(F.col(text_col))).alias("w")).where("w is not null").select(
-        F.pmod(F.xxhash64("w"), F.lit(BUCKETS)).alias("b"))
-    sizes = [0] * BUCKETS
-    for r in hashed.groupBy("b").agg(F.floor(2 * F.log2(F.count("*") + 1)).alias("size")).collect():
-        sizes[r["b"]] = r["size"]
+    """A constant array: size class (twice the binary logarithm) of the most frequent word of every hash slot.
+
+    Words are counted exactly over the whole corpus, and a slot takes the greatest count, not the sum: in a corpus of any
+    size a rare word is only taken for a frequent one if it shares the slot of one.  The length is fixed, whatever
+    the vocabulary."""
+    words_ = docs.select(F.explode_outer(words(F.col(text_col))).alias("w")).where("w is not null").select(F.xxhash64("w").alias("w"))
+    counts = words_.groupBy("w").agg(F.count("*").alias("n"))
+    by_slot = counts.groupBy(F.col("w").bitwiseAND(F.lit(SLOTS - 1)).cast("int").alias("slot")).agg(F.max("n").alias("n"))
+    packed = by_slot.select("slot", (F.col("slot") * 256 + F.floor(2 * F.log2(F.col("n") + 1)).cast("int")).alias("x"))
+    sizes = [0] * SLOTS
+    for r in packed.groupBy(F.shiftright("slot", 8).alias("part")).agg(F.collect_list("x").alias("xs")).collect():  # at most SLOTS numbers
+        for x in r["xs"]:
+            sizes[x >> 8] = x & 255
     return F.split(F.lit(",".join(map(str, sizes))), ",").cast("array<int>")
 
 
@@ -74,7 +80,7 @@ def _ordered(line: Column, classes: Column) -> Column:
     """A line's distinct words as longs that sort from rare to frequent: size class, then hash."""
     hashes = F.array_distinct(F.transform(words(line), lambda x: F.xxhash64(x)))
     return F.sort_array(F.transform(hashes, lambda h: F.shiftleft(
-        F.get(classes, h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")).cast("long"), 56).bitwiseOR(F.shiftrightunsigned(h, 8))))
+        F.get(classes, h.bitwiseAND(F.lit(SLOTS - 1)).cast("int")).cast("long"), 56).bitwiseOR(F.shiftrightunsigned(h, 8))))
 
 
 def _may_match(t: Fraction, a: str, b: str) -> str:

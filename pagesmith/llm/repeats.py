@@ -8,7 +8,7 @@ earlier (order: id, then place in the document).  Windows are judged on the inpu
    have equal phrases, and neighbouring windows mostly share theirs: about one word in seven begins a phrase.  Phrases
    that represent windows at two places or more are confirmed; all other windows are unique.
 3. *Locate*: the phrases are sharded by block, as a block can only hold its own.  Each shard is compiled to an Aho-Corasick
-   automaton over word numbers, and the block's documents are streamed through it to find every occurrence.  What an
+   automaton, and the block's documents are streamed through it to find every occurrence.  What an
    occurrence stands for is named by its context, a hash of all the words of its windows: the first occurrence of a
    (phrase, context) keeps its windows, later ones lose them.
 4. *Edges*: only phrases with several contexts can have windows that equal one another beyond that.  The windows of the
@@ -23,7 +23,7 @@ first occurrence.  Equality is that of 128-bit hashes (64 bits for phrases, wher
 from __future__ import annotations
 
 import hashlib
-from itertools import compress
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
@@ -44,12 +44,6 @@ _BASE = 0x9E3779B97F4A7C15
 _U = np.uint64
 
 
-class _Numbers(dict):
-    def __missing__(self, word):
-        self[word] = n = len(self)
-        return n
-
-
 def _mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> _U(27))) * _U(0x94D049BB133111EB)
@@ -62,32 +56,32 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.cumprod(out, dtype=_U)
 
 
+def _bounded(words: list[bytes]) -> str:
+    """Words between spaces, a character per byte."""
+    return f" {b' '.join(words).decode('latin-1')} "
+
+
 class Block:
-    """The words of a block's documents: their numbers, hashes of any run of them, and the phrases of their windows."""
+    """The words of a block's documents, hashes of any run of them, and the phrases of their windows."""
 
     def __init__(self, ids: list, texts: list[bytes], window: int = WINDOW, phrase: int = PHRASE):
         self.ids, self.window, self.phrase = ids, window, phrase
-        numbers, self.words = _Numbers(), []
-        self.numbers: list[int] = []
-        ends = []
-        for text in texts:
-            words = text.split()
-            self.words.append(words)
-            self.numbers.extend(map(numbers.__getitem__, words))
-            ends.append(len(self.numbers))
-        n = len(self.numbers)
-        sizes = np.diff([0, *ends])
-        self.starts = np.array(ends, np.int64) - sizes
+        self.words = [text.split() for text in texts]
+        sizes = np.fromiter(map(len, self.words), np.int64, len(texts))
+        ends = np.cumsum(sizes)
+        n = int(ends[-1]) if len(texts) else 0
+        self.n, self.starts = n, ends - sizes
         self.doc = np.repeat(np.arange(len(ids)), sizes)
-        self.doc_end = np.repeat(np.array(ends, np.int64), sizes)
+        self.doc_end = np.repeat(ends, sizes)
         # order of (id, place in the document) as one number
         order = {x: k for k, x in enumerate(sorted(set(ids), key=lambda x: (x is not None, x.encode() if isinstance(x, str) else x or 0)))}
         rank = np.fromiter((order[x] for x in ids), np.int64, len(ids))
         self.place = np.arange(n) - np.repeat(self.starts, sizes)
         self.key = (np.repeat(rank, sizes) << 40) + self.place
 
-        lanes = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, numbers)), ">u8").reshape(-1, 2).astype(_U)
-        at = np.array(self.numbers, np.int64)
+        distinct = pa.array(chain.from_iterable(self.words), pa.large_binary()).dictionary_encode()
+        digests = b"".join(map(xxhash.xxh3_128_digest, distinct.dictionary.to_pylist()))
+        lanes, at = np.frombuffer(digests, ">u8").reshape(-1, 2).astype(_U), distinct.indices.to_numpy(zero_copy_only=False)
         power, self.inverse = _powers(_BASE, n), _powers(pow(_BASE, -1, 1 << 64), n)
         self.sums = [np.concatenate([np.zeros(1, _U), np.cumsum(lanes[at, k] * power[:n], dtype=_U)]) for k in (0, 1)]
         self._anchor()
@@ -99,7 +93,7 @@ class Block:
 
     def _anchor(self) -> None:
         """``at``: words that begin the least phrase of some window; ``low``, ``high``: the first and last such window."""
-        n, w, k = len(self.numbers), self.window, self.phrase
+        n, w, k = self.n, self.window, self.phrase
         whole = np.flatnonzero(self.doc_end[:max(0, n - w + 1)] - np.arange(max(0, n - w + 1)) >= w)
         self.windows = whole
         if not len(whole):
@@ -123,15 +117,16 @@ class Block:
         """Which anchors are occurrences of the phrases that begin at the words ``patterns``, found by an automaton."""
         import ahocorasick
 
-        shard = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
-        k, hit = self.phrase, np.zeros(len(self.numbers) + 1, bool)
-        for p in patterns:
-            shard.add_word(tuple(self.numbers[p:p + k]), p)
+        shard, k, hit = ahocorasick.Automaton(ahocorasick.STORE_LENGTH), self.phrase, np.zeros(self.n + 1, bool)
+        owner = self.doc[patterns].tolist()
+        for p, d, start in zip(patterns, owner, self.starts[owner].tolist()):
+            shard.add_word(_bounded(self.words[d][p - start:p - start + k]))
         shard.make_automaton()
         for start, words in zip(self.starts.tolist(), self.words):
             if len(words) >= self.window:
-                ends = np.fromiter((e for e, _ in shard.iter(tuple(self.numbers[start:start + len(words)]))), np.int64)
-                hit[ends + (start - k + 1)] = True
+                ends = np.fromiter((e for e, _ in shard.iter(_bounded(words))), np.int64)
+                last = np.searchsorted(np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1), ends)
+                hit[last + (start - k + 1)] = True
         return np.flatnonzero(hit[self.at])
 
     def contexts(self, which: np.ndarray) -> np.ndarray:
@@ -156,7 +151,7 @@ class Block:
         group[order] = np.cumsum(new) - 1
         least = np.minimum.reduceat(key[order], np.flatnonzero(new)) if len(order) else key
         least[group[np.searchsorted(t, later)]] = -1
-        starts = np.zeros(len(self.numbers) + 1, np.int64)
+        starts = np.zeros(self.n + 1, np.int64)
         starts[t[key > least[group]]] = 1
         sums = np.cumsum(starts)[:-1]
         return sums - np.concatenate([np.zeros(self.window, np.int64), sums])[:len(sums)] > 0

@@ -30,8 +30,10 @@ from pyspark.sql import functions as F
 from pagesmith.llm.common import worker_cache
 
 SPACE = "▁"
-#: Memoised segments per Python worker and the longest one that is kept.
-MEMO_SEGMENTS, MEMO_CHARS = 600_000, 40
+#: Bytes of memoised segments per Python worker (two generations), their longest, and memoised pairs of pieces.
+MEMO_BYTES, MEMO_CHARS, MEMO_PAIRS = 64 << 20, 40, 300_000
+#: What an entry takes besides its characters: two objects' heads and its place in the dict.
+ENTRY_BYTES = 200
 ROWS = 256
 
 
@@ -104,7 +106,8 @@ class Transducer:
         self.uncovered = min(self.score.values()) - 10.0
         self.memo: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
-        self.agree: dict[tuple[str, str], bool] = {}
+        self.memo_bytes = 0
+        self.agree: dict[int, bool] = {}
         # a piece that merging its own characters doesn't give is on no finite path
         self.merges = {p: self._merges(p) for p in self.ids} if self.bpe else {}
         self.ids = {p: i for p, i in self.ids.items() if not self.bpe or self.merges[p][-1][1] == p}
@@ -127,7 +130,8 @@ class Transducer:
     def _agrees(self, last: str, piece: str) -> bool:
         """Whether merging the characters of both by rank never joins across their boundary, that is,
         whether the arc of ``piece`` after ``last`` weighs 0.  Steps of either side run by rank."""
-        key = (last, piece)
+        left, right = self.ids.get(last), self.ids.get(piece)
+        key = None if left is None or right is None else left * len(self.out) + right  # characters no piece covers have no id
         ok = self.agree.get(key)
         if ok is None:
             left, right, i, j = self.merges.get(last), self.merges.get(piece), 0, 0
@@ -143,9 +147,10 @@ class Transducer:
                     i += 1
                 else:
                     j += 1
-            if len(self.agree) >= 2 * MEMO_SEGMENTS:
-                self.agree.clear()
-            self.agree[key] = ok
+            if key is not None:
+                if len(self.agree) >= MEMO_PAIRS:
+                    self.agree.clear()
+                self.agree[key] = ok
         return ok
 
     def _arcs(self, s: str, j: int) -> list[str]:
@@ -166,16 +171,14 @@ class Transducer:
     def _finite_path(self, s: str) -> list[str]:
         """Weights are 0 or infinite: the first finite path is the shortest one.  Depth first, longest
         piece first; a prefix of ``s`` has one finite path only, so a dead end holds for its position."""
-        n, at, path, last, dead, agree = len(s), 0, [], "", set(), self.agree
+        n, at, path, last, dead = len(s), 0, [], "", set()
         open_arcs = [self._arcs(s, 0)]
         while at < n:
             arcs = open_arcs[-1]
             while arcs:
                 piece = arcs.pop()
-                if last:
-                    ok = agree.get((last, piece))
-                    if not (self._agrees(last, piece) if ok is None else ok):
-                        continue
+                if last and not self._agrees(last, piece):
+                    continue
                 if at + len(piece) in dead:
                     continue
                 path.append(piece)
@@ -221,8 +224,9 @@ class Transducer:
                     ids.extend(self.byte_ids[b] for b in p.encode())
             got = struct.pack(f"<{len(ids)}i", *ids)
         if len(s) <= MEMO_CHARS:
-            if len(self.memo) >= MEMO_SEGMENTS:  # what was used since the last turn stays
-                self.memo, self.older = {}, self.memo
+            if self.memo_bytes >= MEMO_BYTES // 2:  # what was used since the last turn stays
+                self.memo, self.older, self.memo_bytes = {}, self.memo, 0
+            self.memo_bytes += 4 * len(s) + len(got) + ENTRY_BYTES
             self.memo[s] = got
         return got
 

@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagesmith.llm import gbt
+from pagesmith.llm.common import hash_sample
 
 #: Pages of the training sample, and the longest page that enters it.
 TRAIN_PAGES, TRAIN_CHARS = 160, 200_000
@@ -57,7 +58,9 @@ TAG_GROUP = {**{t: t for t in TAGS}, **{f"h{i}": "heading" for i in range(1, 7)}
              "dt": "li", "dd": "li", "td": "table", "tr": "table", "th": "table", "tbody": "table", "thead": "table", "blockquote": "quote",
              "pre": "quote", "fieldset": "form", "label": "form", "address": "footer", "dialog": "aside"}
 
-TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""", re.S)
+# comments end as HTML says (also "<!-->" and "--!>"); a quote opens a value only behind an equals sign
+TAG = re.compile(r"""<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+'|(?!["'])[^\s>]*+))*+)>"""
+                 r"""|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""", re.S)
 ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
@@ -353,9 +356,10 @@ def train(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", row
           chars: int = TRAIN_CHARS) -> gbt.Trees:
     """Trees fitted on up to ``rows`` pages of at most ``chars`` characters, chosen by a hash over the whole
     table.  Without any page everything is article."""
-    sample = (pages.where(F.length(html_col).between(1, chars)).select(F.col(html_col).alias("html"), F.xxhash64(id_col).alias("r"))
-              .orderBy("r", F.xxhash64("html")).limit(rows).collect())
-    x, y = training_rows([r["html"] for r in sample])
+    d = pages.where(F.length(html_col).between(1, chars)).select(F.xxhash64(F.xxhash64(id_col), html_col).alias("r"), F.col(html_col).alias("html"))
+    chosen = [r["r"] for r in hash_sample(d.select("r").distinct(), rows, "r").collect()]  # hashes first, then only their pages
+    found = d.where(F.col("r").isin(chosen)).dropDuplicates(["r"]).collect() if chosen else []
+    x, y = training_rows([r["html"] for r in sorted(found, key=lambda r: r["r"])])
     return gbt.fit(x, y, trees=50, depth=4) if len(y) else gbt.Trees(bias=2.0)
 
 

@@ -27,6 +27,8 @@ SIMILAR = (4, 5)
 #: Spans in all texts' lists, and four a list, up to which the lists are broadcast (tens of megabytes).
 BROADCAST_SPANS = 1_000_000
 LANES = 0x0001000100010001
+#: The top lane is signed.
+LANE_HASHES = 32_767
 
 
 def shingles(text: Column, size: int = SHINGLE) -> Column:
@@ -47,13 +49,15 @@ def with_shingles(df: DataFrame, text_col: str, out: str, size: int = SHINGLE) -
 
 
 def with_fingerprint(df: DataFrame, hashes: str, out: str) -> DataFrame:
-    """``df`` plus the SimHash of an array of shingle hashes: a bit is set if it is in over half of them.  Four
-    bits (16 apart) are counted at a time, in 16-bit lanes of a long, so an array may hold up to 65,535 hashes."""
+    """``df`` plus the SimHash of an array of shingle hashes: a bit is set if it is in over half of them.  Four bits (16
+    apart) are counted at a time, in 16-bit lanes of a long; so many hashes that a lane can't overflow (``LANE_HASHES``)
+    are counted together and the lanes of all such parts are added up as longs, so an array may have any length."""
     lanes = free_name(df, "lanes")
-    counted = (f"transform(sequence(0, 15), k -> aggregate(`{hashes}`, 0L, "
-               f"(a, h) -> a + (shiftrightunsigned(h, k) & {LANES}L)))")
-    bits = (f"aggregate(sequence(0, 63), 0L, (a, b) -> a | if(2 * (shiftrightunsigned(get(`{lanes}`, b % 16), b - b % 16) & 65535L) "
-            f"> size(`{hashes}`), shiftleft(1L, b), 0L))")
+    parts = f"sequence(0, greatest(0, cast((size(`{hashes}`) - 1) div {LANE_HASHES} as int)))"
+    counted = (f"transform({parts}, p -> transform(sequence(0, 15), k -> aggregate(if(size(`{hashes}`) <= {LANE_HASHES}, `{hashes}`, "
+               f"slice(`{hashes}`, p * {LANE_HASHES} + 1, {LANE_HASHES})), 0L, (a, h) -> a + (shiftrightunsigned(h, k) & {LANES}L))))")
+    bits = (f"aggregate(sequence(0, 63), 0L, (a, b) -> a | if(2 * aggregate(`{lanes}`, 0L, (n, x) -> n + "
+            f"(shiftrightunsigned(get(x, b % 16), b - b % 16) & 65535L)) > size(`{hashes}`), shiftleft(1L, b), 0L))")
     # never null (a join would push a null test, with the lanes in it, below this) and two uses of the lanes (one
     # would be replaced by what they are made of, once per bit)
     value = F.coalesce(F.expr(bits), F.size(lanes).cast("long"), F.lit(0).cast("long"))
@@ -94,13 +98,18 @@ def contaminations(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", te
     of sufficient similarity; start (word position) and similarity of the best window, the first of equals.
 
     * Null, empty and blank texts and items match nothing.
-    * Items with fewer than five words match only texts that are that very sequence.
+    * Items with fewer than five words are sequences to be found as they are, in texts of any length: documents get shingles
+      of as many words for each such length that occurs, and equal ones match with similarity 1 (one shingle each).
+    * Texts and items of any length are taken whole; the windows around a shared shingle of a long item are many and long,
+      so the work for a copy grows with the square of the item's length.
     * Rows with equal id and text are one document; null ids are allowed; other columns are not read.
     """
     spark = docs.sparkSession
     d = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("th"), F.col(text_col).alias("t"))
     own = items.select(F.col(item_col).alias("item"), F.col(item_text_col).alias("t"))
-    own = with_shingles(own, "t", "item_hs").where(F.size("item_hs") > 0).withColumn("m", F.size("item_hs"))
+    own = own.withColumn("n", F.size(words(F.lower(F.col("t"))))).where("n > 0")
+    short = table(own.where(F.col("n") < SHINGLE).select("item", "n", F.xxhash64(words(F.lower(F.col("t")))).alias("h")), "decont-short")
+    own = with_shingles(own.where(F.col("n") >= SHINGLE), "t", "item_hs").withColumn("m", F.size("item_hs"))
     own = table(with_fingerprint(own.select("item", "m", "item_hs"), "item_hs", "item_fp"), "decont-items")
     known = table(own.select("m", F.explode_outer("item_hs").alias("h")).distinct(), "decont-known")
 
@@ -131,10 +140,14 @@ def contaminations(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", te
     pairs = pairs.select("id", "th", "item", "start", "win", "item_hs").withColumn("common", common_weight(F.col("win"), F.col("item_hs")))
     pairs = pairs.where((p + q) * F.col("common") >= p * both).select(
         "id", "th", "item", "start", (F.col("common") / (both - F.col("common"))).alias("similarity"))
+    for n in sorted(r["n"] for r in short.select("n").distinct().collect()):  # at most four lengths
+        runs = with_shingles(d, "t", "hs", n).select("id", "th", F.posexplode_outer("hs").alias("start", "h")).distinct()
+        exact = runs.join(sized(short.where(F.col("n") == n)), "h").select("id", "th", "item", "start", F.lit(1.0).alias("similarity"))
+        pairs = pairs.unionByName(exact)
     out = table(pairs.groupBy("id", "th", "item").agg(
         F.max_by("start", F.struct("similarity", -F.col("start"))).cast("long").alias("start"),
         F.max("similarity").alias("similarity"), F.count("*").alias("windows")), "decont-found")
-    drop(spark, anchors, spans, own, known)
+    drop(spark, anchors, spans, own, known, short)
     return out.select(F.col("id").alias(id_col), F.col("th").alias("text_hash"), "item", "start", "similarity", "windows")
 
 

@@ -17,10 +17,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagesmith.llm.common import free_name, worker_cache
+from pagesmith.llm.common import free_name, hash_sample, worker_cache
 
 MAX_N = 3
 #: Size of the n-gram table (n-grams are told apart by a hash of this many bits).
@@ -142,10 +142,8 @@ def train(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str
     not null and the text has a letter.  Rows are chosen by a hash of the id, over the whole table.  Without
     any such row the model knows no language and finds every text unknown."""
     d = docs.where(usable).select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-    w = Window.partitionBy("lang").orderBy("rank", "id")
-    ids = (d.where("id is not null and lang is not null").select("id", "lang").distinct()
-           .withColumn("rank", F.xxhash64(F.lit("lang"), F.col("id"))).withColumn("k", F.row_number().over(w))
-           .where(F.col("k") <= rows).select("id", "lang", "rank"))
+    known = d.where("id is not null and lang is not null").select("id", "lang").distinct()
+    ids = hash_sample(known.withColumn("rank", F.xxhash64(F.lit("lang"), F.col("id"))), rows, "rank", ("lang",))
     picked = d.join(F.broadcast(ids), ["id", "lang"]).dropDuplicates(["id"])  # at most rows per language
 
     def features(batches):

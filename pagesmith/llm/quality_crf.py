@@ -17,14 +17,15 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagesmith.llm.common import worker_cache
+from pagesmith.llm.common import hash_sample, worker_cache
 
 TRAIN_ROWS, TRAIN_LINES = 800, 300
 STEPS, RATE, RIDGE = 250, 0.2, 3e-4
-BATCH = 128
+#: Lines that documents run side by side may take with their padding, and characters scored at once; a longer document runs alone.
+CELLS, CHARS = 1 << 16, 4 << 20
 SYMBOLS = "#*$%&|<>{}[]~^_=+\\/@"
 FEATURES = 12
 #: Features that a line also takes from each neighbour.
@@ -60,9 +61,10 @@ def line_features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     length = np.fromiter(map(len, lines), np.int64, n)
     starts = np.concatenate(([0], np.cumsum(length)[:-1]))
     share = [np.add.reduceat(kinds == k, starts, dtype=np.int64) for k in range(8)]
-    words = [x.split() for x in lines]
-    n_words = np.fromiter(map(len, words), np.int64, n)
-    distinct = np.fromiter((len(set(w)) for w in words), np.int64, n)
+    n_words, distinct = np.zeros(n, np.int64), np.zeros(n, np.int64)
+    for k, x in enumerate(lines):
+        words = x.split()
+        n_words[k], distinct[k] = len(words), len(set(words))
     solid = np.maximum(length - share[4], 1)
     letters = np.maximum(share[1] + share[2], 1)
     seen: set[str] = set()
@@ -95,8 +97,12 @@ class Chain:
         a = np.exp(self.steps)
         order = np.argsort(rows, kind="stable")
         order = order[rows[order] > 0]
-        for k in range(0, len(order), BATCH):
-            part = order[k:k + BATCH]
+        k = 0
+        while k < len(order):  # shortest first: a part ends where its padded size would pass the bound
+            end = k + 1
+            while end < len(order) and (end + 1 - k) * rows[order[end]] <= CELLS:
+                end += 1
+            part, k = order[k:end], end
             n, size = rows[part], int(rows[part].max())
             e = np.ones((size, len(part), 2))
             live = np.arange(size)[:, None] < n[None, :]
@@ -161,8 +167,7 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc
     likely good or bad (score 0.5)."""
     known = (labels.where(usable).where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id"))
              .agg(F.min(label_col).cast("int").alias("y"), F.max(label_col).cast("int").alias("z")).where("y = z and y in (0, 1)"))
-    w = Window.partitionBy("y").orderBy(F.xxhash64(F.lit("quality"), "id"), "id")
-    ids = known.withColumn("k", F.row_number().over(w)).where(F.col("k") <= rows).select("id", "y")
+    ids = hash_sample(known.select("id", "y", F.xxhash64(F.lit("quality"), "id").alias("rank")), rows, "rank", ("y",)).select("id", "y")
     picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(ids), "id").dropDuplicates(["id"])
 
     def measured(batches):
@@ -181,13 +186,21 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc
 
 
 def quality(text: Column, model: Chain, spark) -> Column:
-    """Score of each text from 0 to 1 (0 for null and blank texts)."""
+    """Score of each text from 0 to 1 (0 for null and blank texts).  A text of any length is scored whole; documents that run
+    side by side take a bounded number of lines with their padding, so memory follows the longest text alone."""
     shared = spark.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
-        rows = texts.tolist()
-        parts = [shared.value.score(rows[k:k + BATCH]) for k in range(0, len(rows), BATCH)]
+        parts, some, chars = [], [], 0
+        for text in texts.tolist():
+            if some and chars + len(text or "") > CHARS:
+                parts.append(shared.value.score(some))
+                some, chars = [], 0
+            some.append(text)
+            chars += len(text or "")
+        if some:
+            parts.append(shared.value.score(some))
         return pd.Series(np.concatenate(parts) if parts else [], dtype="float64")
 
     return score(text)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as E
 import corpus_pipeline
 from pagesmith.llm import html_extract, language_id, quality_crf, sentencepiece_fst
+from pagesmith.llm.common import hash_sample
 from pagesmith.llm.queries import PIECE_MODEL, QUERIES, held_out
 
 SF = "/root/testdata/sf0.001"
@@ -240,3 +241,36 @@ def test_native_plans_have_no_python(spark):
     for k in ("op1_benchmark_decontamination", "op2_url_filters", "op5_pii", "op7_quality_rules", "op8_line_dedup"):
         p = QUERIES[k](spark, SF)._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in p and "InArrow" not in p and "InPandas" not in p and "CartesianProduct" not in p, k
+
+
+def test_html_rules_for_attributes_and_comments():
+    text = lambda h: html_extract.assemble(html_extract.parse(h)[1], np.ones(99, bool))
+    assert text("<p title=Bob's>One it's two.</p><p>Three isn't four.</p>") == "One it's two.\nThree isn't four."
+    assert text("<p>One.</p><!--> <p>Two.</p>") == "One.\nTwo."
+    assert text("<p>One.</p><!---><p>Two.</p><!-- a > b --!><p>Three.</p><!-- open <p>Four.</p>") == "One.\nTwo.\nThree."
+    assert text('<p title="a > b" data-x=\'c > d\' e= "f>">One.</p><p a=>Two.</p><p a="b>Three.</p>') == "One.\nTwo.\nThree."
+
+
+def test_a_million_lines_are_scored_in_bounded_memory():
+    import resource
+    model = quality_crf.Chain(np.random.default_rng(1).normal(0, 0.3, (quality_crf.WIDTH, 2)), np.array([[0.4, -0.4], [-0.4, 0.4]]))
+    short = [f"a line of text {i}\nand more !!" for i in range(127)]
+    alone = model.score(short)
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    together = model.score(short + ["\n".join(f"line {i % 1000}" for i in range(1_000_000))])
+    grown = (resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) / 1024
+    assert np.allclose(together[:-1], alone) and 0 < together[-1] < 1
+    assert grown < 1500, grown
+
+
+def test_hash_samples_are_the_lowest_of_every_group(spark):
+    df = spark.range(30_000).selectExpr("id", "xxhash64(id) as r", "if(id % 100 = 0, 'rare', if(id % 7 = 0, null, 'hot')) as g")
+    rank = lambda r: (r.r & (2**64 - 1)) >> 1
+    rows = df.collect()
+    want = {g: sorted((x for x in rows if x.g == g), key=rank)[:500] for g in ("rare", "hot")}
+    got = hash_sample(df, 500, "r", ("g",)).collect()
+    assert {g: {x.id for x in got if x.g == g} for g in want} == {g: {x.id for x in xs} for g, xs in want.items()}
+    assert {x.id for x in hash_sample(df, 50, "r").collect()} == {x.id for x in sorted(rows, key=rank)[:50]}
+    assert hash_sample(df.where("false"), 5, "r").count() == hash_sample(df.where("false"), 5, "r", ("g",)).count() == 0
+    same = df.selectExpr("id", "1L as r", "g")  # a rank that is no hash: still the asked number
+    assert hash_sample(same, 5, "r").count() == 5 and hash_sample(same, 5, "r", ("g",)).count() == 10

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from pagesmith import schemas
 from pagesmith.functions import content, slug, text, urls
-from pagesmith.operators import fetch, langid, markup, pagination, reconcile, records
+from pagesmith.operators import backoff, fetch, langid, markup, pagination, reconcile, records
 from pagesmith.plans import fixtures as fx
 from pagesmith.plans import jobs
 from pagesmith.session import scratch_path
@@ -295,6 +295,18 @@ def detect_language(spark, d):
     return out.select("doc_id", "language")
 
 
+#: Thousandths per character that the best language must be ahead.
+LEAST_DISTANCE = 300
+
+
+@q
+def detect_language_backoff(spark, d):
+    """Titles by the back-off model of orders 1 to 5; undetermined below the least distance."""
+    profile = backoff.train_backoff(fx.language_training(spark, d))
+    out = backoff.detect_backoff(fx.articles_lang(spark, d).select("doc_id", "title"), profile, "title", distance=LEAST_DISTANCE)
+    return out.select("doc_id", "language")
+
+
 # ---------------------------------------------------------------- projections, filters, generators
 
 @q

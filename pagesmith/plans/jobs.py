@@ -150,9 +150,12 @@ def job_download_links(pages: DataFrame, out: str, batch_size: int = sinks.BATCH
 
 def job_download_links_from_files(spark: SparkSession, html_dir: str, out: str, pattern: str = "*.html",
                                   batch_size: int = sinks.BATCH_ROWS) -> dict[str, DataFrame]:
-    """The same from a folder of HTML files: the file's base name is kept with each link."""
+    """The same from a folder of HTML files: the file's base name is kept with each link; files that aren't UTF-8 are
+    misses and rejects."""
     pages = files.scan_html_pages(spark, html_dir, pattern)
-    return job_download_links(pages.select(path_basename("path").alias("filename"), "html"), out, batch_size)
+    res = job_download_links(pages.select(path_basename("path").alias("filename"), "html"), out, batch_size)
+    bad = files.html_rejects(spark, html_dir, pattern).select(F.col("file_name").alias("filename"), "_error")
+    return res | {"misses": res["misses"].unionByName(bad.select("filename")), "rejects": res["rejects"].unionByName(bad)}
 
 
 def job_download_urls(spark: SparkSession, links_dir: str, out: str) -> dict[str, DataFrame]:

@@ -308,6 +308,12 @@ ORACLE: dict[str, str] = {
     "job_language_filter": with_ctes(f"SELECT info_url, language FROM articles_lang WHERE language IN {KEPT}", "articles_lang"),
     "job_info_urls": "SELECT '/doc/' || CAST(doc_id AS VARCHAR) AS value FROM documents WHERE doc_id % 7 <> 0",
     "job_download_links": META_LINKS,
+    "job_download_links_from_files": f"SELECT {slug('url')} || '.html' AS filename, url || '.pdf' AS url FROM pages WHERE page_id % 2 = 0 AND page_id % 7 <> 0",
+    "job_download_links_from_files_misses": f"SELECT {slug('url')} || '.html' AS filename FROM pages WHERE page_id % 2 = 1 OR page_id % 7 = 0",
+    "job_download_urls_errors": with_ctes(
+        "SELECT 'url' AS kind, url AS value FROM link_files WHERE kind IN (0, 5) OR (kind IN (1, 2) AND pos < 10) UNION ALL "
+        "SELECT DISTINCT CASE kind WHEN 3 THEN 'malformed JSON' WHEN 4 THEN 'not an array of objects' ELSE 'bad item' END, file_name "
+        "FROM link_files WHERE kind BETWEEN 1 AND 4", "link_files"),
     "job_download_urls": "SELECT url || '.pdf' AS value FROM pages WHERE page_id % 2 = 0",
     "job_store_objects": with_ctes(STORE, "store_plan"),
     "job_reconcile": with_ctes("SELECT l.name, r.remote_copies FROM local_files l JOIN remote_names r USING (name)", "remote_names"),

@@ -561,6 +561,32 @@ def job_download_links(spark, d):
     return res["links"]
 
 
+def _article_page_files(spark, d) -> str:
+    """Article pages as files by their own names; those of page_id % 7 = 0 are not UTF-8."""
+    p = fx.article_pages(spark, d)
+    content = fx.spoilt_html(F.col("html"), F.col("page_id") % 7 == 0)
+    return fx.write_files(p.select(F.col("filename").alias("file_name"), content.alias("content")), scratch_path(spark, "article-html"))
+
+
+@q
+def job_download_links_from_files(spark, d):
+    return jobs.job_download_links_from_files(spark, _article_page_files(spark, d), scratch_path(spark, "links"))["links"]
+
+
+@q
+def job_download_links_from_files_misses(spark, d):
+    return jobs.job_download_links_from_files(spark, _article_page_files(spark, d), scratch_path(spark, "links"))["misses"]
+
+
+@q
+def job_download_urls_errors(spark, d):
+    """Files with bad items: the URL list has what comes before them, the errors name the files."""
+    src = fx.write_files(fx.link_files(spark, d), scratch_path(spark, "link-files"))
+    res = jobs.job_download_urls(spark, src, scratch_path(spark, "download-urls"))
+    return res["urls"].select(F.lit("url").alias("kind"), "value").unionByName(
+        res["errors"].select("error", "file_name").toDF("kind", "value"))
+
+
 @q
 def job_download_urls(spark, d):
     links = markup.extract_meta_link(fx.article_pages(spark, d))

@@ -28,7 +28,7 @@ from pagesmith.llm.common import drop, free_name, sized, stripped, table, words
 
 THRESHOLD = Fraction(4, 5)
 #: Words share so many hash slots; a slot has the size class of its most frequent word, which orders its words.
-SLOTS = 1 << 20
+SLOTS = 1 << 18
 #: Size class of words with bounded buckets: up to 2 ** (COLD / 2) occurrences.
 COLD = 16
 #: Earlier lines of a long bucket that each line meets in the sorted pass, besides the first.

@@ -44,13 +44,14 @@ def op7_quality_rules(spark, sf_dir):
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-#: Place of the model file; a parameter of the operator.
-PIECE_MODEL = os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
+def piece_model() -> str:
+    """Place of the model file, a parameter of the operator: read when a query runs."""
+    return os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 
 
 @q
 def op9_sentencepiece(spark, sf_dir):
-    return sentencepiece_fst.encode_documents(read(spark, sf_dir, "documents"), PIECE_MODEL)
+    return sentencepiece_fst.encode_documents(read(spark, sf_dir, "documents"), piece_model())
 
 
 def held_out(id_col: str, folds: int, fold: int):

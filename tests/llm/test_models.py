@@ -12,10 +12,10 @@ import __spark_entry__ as E
 import corpus_pipeline
 from pagesmith.llm import html_extract, language_id, quality_crf, sentencepiece_fst
 from pagesmith.llm.common import hash_sample
-from pagesmith.llm.queries import PIECE_MODEL, QUERIES, held_out
+from pagesmith.llm.queries import QUERIES, held_out, piece_model
 
 SF = "/root/testdata/sf0.001"
-needs_model = pytest.mark.skipif(not os.path.exists(PIECE_MODEL), reason="no piece model here")
+needs_model = pytest.mark.skipif(not os.path.exists(piece_model()), reason="no piece model here")
 
 
 def documents(spark):
@@ -144,25 +144,25 @@ def test_no_node_is_kept_in_a_rejected_one():
 @needs_model
 def test_pieces_equal_the_library_and_round_trip(spark, edge_docs, edge_rows, no_docs):
     import sentencepiece
-    sp = sentencepiece.SentencePieceProcessor(model_file=PIECE_MODEL)
-    t = sentencepiece_fst.Transducer(PIECE_MODEL)
+    sp = sentencepiece.SentencePieceProcessor(model_file=piece_model())
+    t = sentencepiece_fst.Transducer(piece_model())
     rng = random.Random(1)
     texts = ["".join(rng.choices("abcdefghij  \n\té\U0001f600▁ﬁ中.,the0123  ", k=rng.randint(0, 50))) for _ in range(800)]
     texts += [r.text for r in documents(spark).limit(60).collect()]
     for x in texts:
         ids = np.frombuffer(t.encode(x), "<i4").tolist()
         assert ids == sp.encode(x) and t.decode(ids) == sp.decode(ids)
-    rows = sentencepiece_fst.encode_documents(edge_docs, PIECE_MODEL).collect()
+    rows = sentencepiece_fst.encode_documents(edge_docs, piece_model()).collect()
     assert len(rows) == len(edge_rows) and all(r.round_trip and r.n_pieces == len(r.ids) for r in rows)
     assert sorted((r.doc_id or 0, r.ids) for r in rows) == sorted((i or 0, sp.encode(x or "")) for i, x in edge_rows)
-    assert sentencepiece_fst.encode_documents(no_docs, PIECE_MODEL).count() == 0
+    assert sentencepiece_fst.encode_documents(no_docs, piece_model()).count() == 0
     back = spark.createDataFrame([(sp.encode("Some text é"),), (None,), ([],)], "ids array<int>")
-    assert [r[0] for r in back.select(sentencepiece_fst.decode(F.col("ids"), PIECE_MODEL, spark)).collect()] == ["Some text é", None, ""]
+    assert [r[0] for r in back.select(sentencepiece_fst.decode(F.col("ids"), piece_model(), spark)).collect()] == ["Some text é", None, ""]
 
 
 @needs_model
 def test_viterbi_is_the_lightest_path():
-    t = sentencepiece_fst.Transducer(PIECE_MODEL)
+    t = sentencepiece_fst.Transducer(piece_model())
     t.ids = {"a": 1, "b": 2, "ab": 3, "aba": 4, "ba": 5}
     t.score = {"a": -1.0, "b": -1.5, "ab": -1.2, "aba": -4.0, "ba": -1.1}
     t.prefixes, t.longest, t.uncovered, t.bpe = {p[:k] for p in t.ids for k in range(1, 4)}, 3, -20.0, False
@@ -218,9 +218,9 @@ def test_quality_of_held_out_rows(spark, edge_docs, edge_rows, no_docs):
 
 def test_one_query_per_operator():
     names = [k for k in E.queries() if k.startswith("op")]
-    assert sorted(int(k[2:].split("_")[0]) for k in names) == list(range(1, 11)) and set(names) == set(QUERIES)
+    assert sorted(int(k[2:].split("_")[0]) for k in names) == list(range(1, 14)) and set(names) == set(QUERIES)
     assert "pipeline" in E.queries() and len(corpus_pipeline.STAGES) == 5
-    assert {"op2_url_filters", "op7_quality_rules"} <= set(E.oracle_sql())
+    assert {"op2_url_filters", "op7_quality_rules", "op11_repeated_passages", "op12_fill_in_middle", "op13_importance_resampling"} <= set(E.oracle_sql())
 
 
 @needs_model
@@ -237,6 +237,26 @@ def test_pipeline_keeps_columns_and_clean_documents(spark):
     assert last.count() == docs.count() and last.where("not round_trip").count() == 0
 
 
+@needs_model
+def test_pipeline_of_null_and_repeated_ids_and_of_no_rows(spark, tmp_path):
+    """Rows without text go (no language); of equal texts one stays, whatever their ids; rows of one id with different
+    texts are documents of their own; a table without rows gives none."""
+    docs, d = documents(spark), str(tmp_path / "odd")
+    fresh = [" ".join(f"{w}{k}" for w in "the river runs past old houses and quiet fields towards a distant sea".split()) for k in range(3)]
+    odd = [(None, fresh[0]), (None, fresh[0]), (None, None), (None, ""), (-1, fresh[1]), (-1, fresh[2]), (-2, fresh[1])]
+    extra = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in odd], "doc_id long, text string, lang string, source string, n_chars long")
+    docs.unionByName(extra.select(*[F.col(f.name).cast(f.dataType) for f in docs.schema])).write.parquet(f"{d}/documents.parquet")
+    spark.read.parquet(f"{SF}/benchmark.parquet").write.parquet(f"{d}/benchmark.parquet")
+    out = corpus_pipeline.run(spark, d)
+    ids = [r.doc_id for r in out.select("doc_id").collect()]
+    assert out.where("not round_trip").count() == 0 and len(ids) > 50
+    assert ids.count(None) <= 1 and ids.count(-1) <= 2 and ids.count(-2) == 0
+    none = str(tmp_path / "none")
+    docs.where("false").write.parquet(f"{none}/documents.parquet")
+    spark.read.parquet(f"{SF}/benchmark.parquet").write.parquet(f"{none}/benchmark.parquet")
+    assert corpus_pipeline.run(spark, none).count() == 0
+
+
 def test_native_plans_have_no_python(spark):
     for k in ("op1_benchmark_decontamination", "op2_url_filters", "op5_pii", "op7_quality_rules", "op8_line_dedup"):
         p = QUERIES[k](spark, SF)._jdf.queryExecution().executedPlan().toString()

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from pagesmith.llm import decontaminate, language_id, line_dedup, sentencepiece_fst, simhash_dedup
 from pagesmith.llm.common import free_name
-from pagesmith.llm.queries import PIECE_MODEL, held_out
+from pagesmith.llm.queries import held_out, piece_model
 from pagesmith.session import scratch_path
 
 #: Languages are accepted from this score on (0.5: the margin of the best language is zero).
@@ -46,7 +46,7 @@ def remove_benchmark(spark, docs, sf_dir):
 
 def encode(spark, docs, sf_dir):
     """doc_id, piece ids, their number, and whether decoding gives the text back."""
-    return sentencepiece_fst.encode_documents(docs, PIECE_MODEL)
+    return sentencepiece_fst.encode_documents(docs, piece_model())
 
 
 STAGES = [

@@ -49,10 +49,14 @@ def _written(df: DataFrame, name: str) -> DataFrame:
 
 
 def train_backoff(training: DataFrame, lang_col: str = "lang", text_col: str = "text", orders: int = ORDERS, back_off: int = BACK_OFF) -> BackoffProfile:
-    """Counts every run once, over whole texts; null languages and texts are left out."""
+    """Counts over whole texts; null languages and texts are left out.  Only the longest run that starts at each character is
+    counted there; shorter ones are its beginnings and are counted from the distinct long ones."""
     d = training.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    found = d.select(F.col(lang_col).alias("lang"), F.explode(F.transform(grams(F.col(text_col), orders), lambda x: x["gram"])).alias("gram"))
-    counts = _written(found.groupBy("lang", "gram").agg(F.count("*").alias("c")), "backoff-counts")
+    low, longest = F.lower(F.col(text_col)), F.lit(f"(?s)(.{{1,{orders}}})")  # shorter at the end of a text
+    starts = F.concat(*(F.regexp_extract_all(F.substring(low, k + 1, 2147483647), longest, 1) for k in range(orders)))
+    found = d.select(F.col(lang_col).alias("lang"), F.explode(starts).alias("run")).groupBy("lang", "run").agg(F.count("*").alias("c"))
+    runs = found.select("lang", "run", "c", F.explode(F.sequence(F.lit(1), F.length("run"))).alias("n"))
+    counts = _written(runs.groupBy("lang", F.expr("left(run, n)").alias("gram")).agg(F.sum("c").alias("c")), "backoff-counts")
     ones = counts.where(F.length("gram") == 1)
     letters = ones.select("gram").distinct().count()
     weight = lambda c, t: F.round(1000.0 * F.ln(c.cast("double") / t.cast("double"))).cast("bigint")
@@ -72,24 +76,30 @@ def detect_backoff(df: DataFrame, profile: BackoffProfile, text_col: str = "titl
     """``df`` with ``out_col`` (a training language or NULL), replacing a column of that name.  Distinct texts are scored and
     joined back; ties are never an answer."""
     out = df.drop(out_col)
-    texts = df.select(F.col(text_col).alias("text")).where(F.col("text").rlike(r"\p{L}")).distinct()
-    runs = texts.select("text", F.explode(grams(F.col("text"), orders)).alias("x")).select("text", "x.gram", "x.pos")
-    hits = runs.join(profile.table.hint("merge"), "gram").groupBy("text", "pos", "lang").agg(F.max_by("d", F.length("gram")).alias("d"))
-    sums = hits.groupBy("text", "lang").agg(F.sum("d").alias("s"))
-    own = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L})"), 1))
-    seen = texts.select("text", F.explode(own).alias("gram")).join(profile.table.where(F.length("gram") == 1).select("gram", "lang"), "gram").groupBy("text", "lang").agg(F.count("*").alias("known"))
+    letters = F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L})"), 1)
+    texts = df.select(F.col(text_col).alias("text")).where(F.col("text").rlike(r"\p{L}")).distinct().select(_key("text").alias("key"), "text")
+    runs = texts.select("key", F.explode(grams(F.col("text"), orders)).alias("x")).select("key", "x.gram", "x.pos")
+    hits = runs.join(profile.table.hint("merge"), "gram").groupBy("key", "pos", "lang").agg(F.max_by("d", F.length("gram")).alias("d"))
+    sums = hits.groupBy("key", "lang").agg(F.sum("d").alias("s"))
+    ones = profile.table.where(F.length("gram") == 1).select("gram", "lang")
+    seen = texts.select("key", F.explode(F.array_distinct(letters)).alias("gram")).join(ones, "gram").groupBy("key", "lang").agg(F.count("*").alias("known"))
     languages = _languages(profile)
     if not languages:
         return out.withColumn(out_col, F.lit(None).cast("string"))
-    every = texts.select("text", F.length(F.lower("text")).alias("n"), F.explode(F.array(*languages)).alias("l")).select("text", "n", "l.lang", "l.u")
-    scores = every.join(sums, ["text", "lang"], "left").join(seen, ["text", "lang"], "left").select(
-        "text", "lang", "n", F.coalesce("known", F.lit(0)).alias("known"), (F.col("n") * F.col("u") + F.coalesce("s", F.lit(0))).alias("score"))
-    ranked = scores.groupBy("text", "n").agg(F.sort_array(F.collect_list(F.struct("known", "score", "lang")), False).alias("by"))  # a row per language
+    every = texts.select("key", F.length(F.lower("text")).alias("n"), F.explode(F.array(*languages)).alias("l")).select("key", "n", "l.lang", "l.u")
+    scores = every.join(sums, ["key", "lang"], "left").join(seen, ["key", "lang"], "left").select(
+        "key", "lang", "n", F.coalesce("known", F.lit(0)).alias("known"), (F.col("n") * F.col("u") + F.coalesce("s", F.lit(0))).alias("score"))
+    ranked = scores.groupBy("key", "n").agg(F.sort_array(F.collect_list(F.struct("known", "score", "lang")), False).alias("by"))  # a row per language
     lead = F.filter("by", lambda x: x["known"] == F.col("by")[0]["known"])
     best, second = lead[0], F.get(lead, F.lit(1))
     ahead = second.isNull() | ((best["score"] > second["score"]) & (best["score"] - second["score"] >= distance * F.col("n")))
-    found = ranked.where(ahead).select(F.col("text").alias("text_"), best["lang"].alias(out_col))
-    return out.join(found, F.col(text_col) == F.col("text_"), "left").drop("text_")
+    found = ranked.where(ahead).select(F.col("key").alias("key_"), best["lang"].alias(out_col))
+    return out.join(found, _key(text_col) == F.col("key_"), "left").drop("key_")
+
+
+def _key(c: str) -> Column:
+    """A text's place in joins: its MD5, so rows per character don't carry the text."""
+    return F.unhex(F.md5(F.col(c)))
 
 
 def _languages(profile: BackoffProfile) -> list[Column]:

@@ -159,21 +159,23 @@ def backoff_ctes(src: str, distance: int) -> str:
     runs = f"unnest(list_concat({', '.join(run(n) for n in range(1, 6))}))"
     ln = lambda a, b: f"CAST(round(1000.0 * ln(CAST({a} AS DOUBLE) / CAST({b} AS DOUBLE))) AS BIGINT)"
     return f"""train AS (SELECT lang, regexp_extract_all(lower(text), '(?s).') AS cs FROM documents WHERE text IS NOT NULL AND lang IS NOT NULL),
-      cnt AS (SELECT lang, x.g AS g, count(*) AS c FROM (SELECT lang, {runs} AS x FROM train) GROUP BY ALL),
+      long AS (SELECT lang, g, count(*) AS c FROM (SELECT lang, unnest(list_transform(range(1, len(cs) + 1), lambda i:
+        cs[i] || coalesce(cs[i + 1], '') || coalesce(cs[i + 2], '') || coalesce(cs[i + 3], '') || coalesce(cs[i + 4], ''))) AS g FROM train) GROUP BY ALL),
+      cnt AS (SELECT lang, left(g, n) AS g, sum(c)::BIGINT AS c FROM (SELECT *, unnest(range(1, length(g) + 1)) AS n FROM long) GROUP BY ALL),
       voc AS (SELECT count(DISTINCT g) AS v FROM cnt WHERE length(g) = 1),
       lang AS (SELECT lang, t, {ln('1', 't')} AS u FROM (SELECT lang, sum(c) + any_value(v) AS t FROM cnt, voc WHERE length(g) = 1 GROUP BY lang)),
       w AS (SELECT cnt.lang, cnt.g, {ln('c + 1', 't')} - u AS d FROM cnt JOIN lang USING (lang) WHERE length(g) = 1
         UNION ALL SELECT a.lang, a.g, {ln('a.c', 'b.c')} - u + 916 * (length(a.g) - 1) FROM cnt a JOIN cnt b
           ON a.lang = b.lang AND left(a.g, length(a.g) - 1) = b.g AND length(a.g) > 1 JOIN lang ON lang.lang = a.lang),
-      src AS (SELECT text, regexp_extract_all(lower(text), '(?s).') AS cs FROM ({src}) WHERE regexp_matches(text, '\\p{{L}}')),
-      hit AS (SELECT text, lang, p, max_by(d, length(x.g)) AS d FROM (SELECT text, x.p AS p, x FROM (SELECT text, {runs} AS x FROM src)) JOIN w ON x.g = w.g GROUP BY ALL),
-      own AS (SELECT text, lang, count(*) AS known FROM (SELECT DISTINCT text, unnest(cs) AS g FROM src) JOIN w USING (g) WHERE regexp_matches(g, '\\p{{L}}') GROUP BY ALL),
-      sc AS (SELECT src.text, lang.lang, len(cs) AS n, coalesce(known, 0) AS known, len(cs) * u + coalesce(s, 0) AS score FROM src, lang
-        LEFT JOIN own ON own.text = src.text AND own.lang = lang.lang
-        LEFT JOIN (SELECT text, lang, sum(d)::BIGINT AS s FROM hit GROUP BY ALL) h ON h.text = src.text AND h.lang = lang.lang),
-      lead AS (SELECT *, row_number() OVER w AS k, lead(score) OVER w AS next FROM (SELECT * FROM sc QUALIFY known = max(known) OVER (PARTITION BY text))
-        WINDOW w AS (PARTITION BY text ORDER BY score DESC)),
-      pick AS (SELECT text, lang FROM lead WHERE k = 1 AND (next IS NULL OR (score > next AND score - next >= {distance} * n)))"""
+      src AS (SELECT row_number() OVER () AS id, text, regexp_extract_all(lower(text), '(?s).') AS cs FROM ({src}) WHERE regexp_matches(text, '\\p{{L}}')),
+      hit AS (SELECT id, lang, p, max_by(d, length(q.g)) AS d FROM (SELECT id, x.p AS p, x.g AS g FROM (SELECT id, {runs} AS x FROM src)) q JOIN w ON q.g = w.g GROUP BY ALL),
+      own AS (SELECT id, lang, count(*) AS known FROM (SELECT DISTINCT id, unnest(cs) AS g FROM src) JOIN w USING (g) WHERE regexp_matches(g, '\\p{{L}}') GROUP BY ALL),
+      sc AS (SELECT src.id, lang.lang, len(cs) AS n, coalesce(known, 0) AS known, len(cs) * u + coalesce(s, 0) AS score FROM src, lang
+        LEFT JOIN own ON own.id = src.id AND own.lang = lang.lang
+        LEFT JOIN (SELECT id, lang, sum(d)::BIGINT AS s FROM hit GROUP BY ALL) h ON h.id = src.id AND h.lang = lang.lang),
+      lead AS (SELECT *, row_number() OVER w AS k, lead(score) OVER w AS next FROM (SELECT * FROM sc QUALIFY known = max(known) OVER (PARTITION BY id))
+        WINDOW w AS (PARTITION BY id ORDER BY score DESC)),
+      pick AS (SELECT text, lang FROM lead JOIN src USING (id) WHERE k = 1 AND (next IS NULL OR (score > next AND score - next >= {distance} * n)))"""
 
 
 def with_ctes(body: str, *names: str, extra: str = "") -> str:

@@ -22,17 +22,15 @@ from pagesmith.session import scratch_path
 ORDERS = 5
 #: round(1000 ln 0.4)
 BACK_OFF = -916
+#: Rows of a number per language (a hundred bytes for a few languages) up to which they are broadcast; beyond, Spark shuffles.
+BROADCAST_ROWS = 1_000_000
 
 
-def grams(text: Column, orders: int = ORDERS) -> Column:
-    """(gram, pos of its last character) of every run of 1 to ``orders`` characters of lower(text); linear in the text."""
+def ends(text: Column, orders: int = ORDERS) -> Column:
+    """For every character of lower(text) the run of up to ``orders`` characters that ends there; linear in the text."""
     low = F.lower(text)
-
-    def every(n: int, k: int) -> Column:  # runs that start at k, k + n, k + 2n...
-        runs = F.regexp_extract_all(F.substring(low, k + 1, 2147483647), F.lit(f"(?s)(.{{{n}}})"), 1)
-        return F.transform(runs, lambda g, j: F.struct(g.alias("gram"), (j * n + (k + n - 1)).cast("int").alias("pos")))
-
-    return F.concat(*(every(n, k) for n in range(1, orders + 1) for k in range(n)))
+    head = F.filter(F.array(*(F.when(F.length(low) >= n, F.left(low, F.lit(n))) for n in range(1, orders)), F.lit(None).cast("string")), lambda g: g.isNotNull())
+    return F.concat(head, *(F.regexp_extract_all(F.substring(low, k + 1, 2147483647), F.lit(f"(?s)(.{{{orders}}})"), 1) for k in range(orders)))
 
 
 @dataclass
@@ -76,33 +74,48 @@ def detect_backoff(df: DataFrame, profile: BackoffProfile, text_col: str = "titl
     """``df`` with ``out_col`` (a training language or NULL), replacing a column of that name.  Distinct texts are scored and
     joined back; ties are never an answer."""
     out = df.drop(out_col)
-    letters = F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L})"), 1)
-    texts = df.select(F.col(text_col).alias("text")).where(F.col("text").rlike(r"\p{L}")).distinct().select(_key("text").alias("key"), "text")
-    runs = texts.select("key", F.explode(grams(F.col("text"), orders)).alias("x")).select("key", "x.gram", "x.pos")
-    hits = runs.join(profile.table.hint("merge"), "gram").groupBy("key", "pos", "lang").agg(F.max_by("d", F.length("gram")).alias("d"))
-    sums = hits.groupBy("key", "lang").agg(F.sum("d").alias("s"))
-    ones = profile.table.where(F.length("gram") == 1).select("gram", "lang")
-    seen = texts.select("key", F.explode(F.array_distinct(letters)).alias("gram")).join(ones, "gram").groupBy("key", "lang").agg(F.count("*").alias("known"))
-    languages = _languages(profile)
+    languages = sorted((r["lang"], r["u"]) for r in profile.unseen.collect())  # a row per language
     if not languages:
         return out.withColumn(out_col, F.lit(None).cast("string"))
-    every = texts.select("key", F.length(F.lower("text")).alias("n"), F.explode(F.array(*languages)).alias("l")).select("key", "n", "l.lang", "l.u")
-    scores = every.join(sums, ["key", "lang"], "left").join(seen, ["key", "lang"], "left").select(
-        "key", "lang", "n", F.coalesce("known", F.lit(0)).alias("known"), (F.col("n") * F.col("u") + F.coalesce("s", F.lit(0))).alias("score"))
-    ranked = scores.groupBy("key", "n").agg(F.sort_array(F.collect_list(F.struct("known", "score", "lang")), False).alias("by"))  # a row per language
+    names, unseen = F.array(*(F.lit(x) for x, _ in languages)), F.array(*(F.lit(u).cast("long") for _, u in languages))
+    texts = df.select(F.col(text_col).alias("text")).where(F.col("text").rlike(r"\p{L}")).distinct()
+    texts = _written(texts.select(F.monotonically_increasing_id().alias("id"), _key("text").alias("key"), "text"), "backoff-texts")
+
+    # what a character adds depends on the run that ends there alone: each distinct run is looked up once
+    runs = _written(texts.select(F.explode(ends(F.col("text"), orders)).alias("run")).distinct(), "backoff-runs")
+    tails = runs.select("run", F.explode(F.sequence(F.lit(1), F.length("run"))).alias("n")).select("run", F.expr("right(run, n)").alias("gram"))
+    hits = tails.join(profile.table.hint("merge"), "gram").groupBy("run", "lang").agg(F.max_by("d", F.length("gram")).alias("d"))
+    by_run = _aligned(_written(hits, "backoff-hits"), "run", F.col("d").cast("int"), names)
+    found = texts.select("id", F.explode(ends(F.col("text"), orders)).alias("run")).join(_sized(by_run), "run")
+    letters = F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L})"), 1)
+    by_letter = _aligned(profile.table.where(F.length("gram") == 1), "gram", F.lit(1), names)
+    seen = texts.select("id", F.explode(F.array_distinct(letters)).alias("gram")).join(_sized(by_letter), "gram")
+
+    # a text's rows of every kind come from one task, which sums them up before they move
+    n, none = F.length(F.lower("text")).cast("long"), F.lit(0).cast("long")
+    base = texts.select("id", n.alias("n"), F.posexplode(unseen).alias("l", "u")).select("id", "l", "n", none.alias("known"), (F.col("n") * F.col("u")).alias("score"))
+    found = found.select("id", F.posexplode("by").alias("l", "d")).where("d is not null").select("id", "l", none.alias("n"), none.alias("known"), F.col("d").cast("long").alias("score"))
+    seen = seen.select("id", F.posexplode("by").alias("l", "d")).where("d is not null").select("id", "l", none.alias("n"), F.col("d").cast("long").alias("known"), none.alias("score"))
+    scores = base.unionByName(found).unionByName(seen).groupBy("id", "l").agg(*(F.sum(c).alias(c) for c in ("n", "known", "score")))
+    ranked = scores.groupBy("id").agg(F.max("n").alias("n"), F.sort_array(F.collect_list(F.struct("known", "score", "l")), False).alias("by"))  # a row per language
     lead = F.filter("by", lambda x: x["known"] == F.col("by")[0]["known"])
     best, second = lead[0], F.get(lead, F.lit(1))
     ahead = second.isNull() | ((best["score"] > second["score"]) & (best["score"] - second["score"] >= distance * F.col("n")))
-    found = ranked.where(ahead).select(F.col("key").alias("key_"), best["lang"].alias(out_col))
-    return out.join(found, _key(text_col) == F.col("key_"), "left").drop("key_")
+    picked = ranked.where(ahead).select("id", F.get(names, best["l"]).alias(out_col))
+    picked = texts.select("id", F.col("key").alias("key_")).join(picked, "id").drop("id")
+    return out.join(picked, _key(text_col) == F.col("key_"), "left").drop("key_")
+
+
+def _aligned(df: DataFrame, key: str, value: Column, names: Column) -> DataFrame:
+    """(key, by): a row per key with a number for every language in the order of ``names``, null where it has none."""
+    by = F.map_from_entries(F.collect_list(F.struct("lang", value.cast("int").alias("v"))))  # a row per language
+    return _written(df.groupBy(key).agg(by.alias("m")).select(key, F.transform(names, lambda x: F.get(F.map_values(F.map_filter("m", lambda k, v: k == x)), F.lit(0))).alias("by")), "backoff-aligned")
+
+
+def _sized(df: DataFrame) -> DataFrame:
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df.hint("merge")
 
 
 def _key(c: str) -> Column:
     """A text's place in joins: its MD5, so rows per character don't carry the text."""
     return F.unhex(F.md5(F.col(c)))
-
-
-def _languages(profile: BackoffProfile) -> list[Column]:
-    """The languages with their unseen weights as constants."""
-    rows = sorted((r["lang"], r["u"]) for r in profile.unseen.collect())
-    return [F.struct(F.lit(lang).alias("lang"), F.lit(u).cast("long").alias("u")) for lang, u in rows]

@@ -59,3 +59,18 @@ def test_back_off_equals_brute_force(spark):
         assert [got[k] for k in range(len(texts))] == brute(training, texts, distance)
     none = backoff.train_backoff(spark.createDataFrame([], "lang string, text string"))
     assert backoff.detect_backoff(rows, none).where("language is not null").count() == 0
+
+
+def test_rows_per_character_stay_where_the_text_is(spark, monkeypatch):
+    rows = spark.createDataFrame([(1, "ana banana"), (2, "bob ono"), (3, "a"), (4, "ana banana"), (5, None)], "k int, title string")
+    training = [("a", "ana banana nab"), ("b", "bob ono nobo")]
+    profile = backoff.train_backoff(spark.createDataFrame(training, "lang string, text string"))
+    out = backoff.detect_backoff(rows, profile)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert not [p for p in plan.splitlines() if "Exchange hashpartitioning" in p and ("pos#" in p or "gram#" in p or "run#" in p)]
+    got = {r.k: r.language for r in out.collect()}
+    assert [got[k] for k in range(1, 6)] == brute(training, ["ana banana", "bob ono", "a", "ana banana", None], 0)
+    monkeypatch.setattr(backoff, "BROADCAST_ROWS", 0)  # weights too many to broadcast
+    assert {r.k: r.language for r in backoff.detect_backoff(rows, profile).collect()} == got
+    one = spark.createDataFrame([("ab\n\U0001f600",)], "t string")
+    assert sorted(one.select(backoff.ends("t", 3)).first()[0]) == sorted(["a", "ab", "ab\n", "b\n\U0001f600"])

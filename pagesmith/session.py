@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -62,3 +63,17 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared folder for one intermediate table."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+LISTING_TASKS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+
+
+@contextmanager
+def listed_in_few_tasks(spark: SparkSession):
+    """Paths are listed by at most as many tasks as a shuffle has: by default each of up to 10,000 paths is a task of its own."""
+    before = spark.conf.get(LISTING_TASKS, None)
+    spark.conf.set(LISTING_TASKS, str(min(int(before or 10_000), int(spark.conf.get("spark.sql.shuffle.partitions")))))
+    try:
+        yield
+    finally:
+        spark.conf.unset(LISTING_TASKS) if before is None else spark.conf.set(LISTING_TASKS, before)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagesmith.functions.text import strip_text
+from pagesmith.session import listed_in_few_tasks
 
 BAD_UTF8 = "invalid UTF-8"
 NOT_JSON, NOT_ARRAY, BAD_ITEM = "malformed JSON", "not an array of objects", "bad item"
@@ -76,7 +77,8 @@ def _json(spark: SparkSession, path: str, schema: T.StructType, layout: str, pat
     """Parsed rows plus ``_corrupt_record``: the text of a line (or, for arrays, of a file) that doesn't fit."""
     full = T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
     r = spark.read.schema(full).option("multiLine", layout == "array").option("mode", "PERMISSIVE")
-    return (r.option("pathGlobFilter", pattern) if pattern else r).json(path)
+    with listed_in_few_tasks(spark):
+        return (r.option("pathGlobFilter", pattern) if pattern else r).json(path)
 
 
 def _fits(schema: T.StructType) -> Column:

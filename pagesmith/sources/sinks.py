@@ -31,13 +31,16 @@ def batch_numbers(df: DataFrame, batch_size: int, order: list, whole: str | None
 def sink_json_batches(df: DataFrame, path: str, batch_size: int = BATCH_ROWS, order: list | None = None, whole: str | None = None) -> str:
     """K1: JSON Lines, non-ASCII kept, nulls written.  Without ``order``: files of at most ``batch_size`` rows that follow the
     partitions.  With it: one folder ``batch=<n>`` with one file per batch of ``batch_numbers``, the same however the rows are
-    partitioned; partitions are addressed by the batch, so each file is written by one task and no task has two."""
+    partitioned; partitions are addressed by the batch, so each file is written by one task.  Neighbouring small batches share a
+    task (of about ``BATCH_ROWS`` rows, once there are more batches than shuffle partitions): every task reports to the driver."""
     if order is None:
         out = df.write.option("maxRecordsPerFile", batch_size)
     else:
         numbers = batch_numbers(df, batch_size, order, whole)
         n = (numbers.agg(F.max("batch")).first()[0] or 0) + 1
-        out = numbers.repartitionById(n, F.col("batch").cast("int")).write.partitionBy("batch")
+        tasks = min(n, max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n * batch_size // BATCH_ROWS)))
+        task = F.expr(f"cast(batch * {tasks} div {n} as int)")
+        out = numbers.repartitionById(tasks, task).write.partitionBy("batch")
     out.mode("overwrite").option("ignoreNullFields", False).json(path)
     return path
 

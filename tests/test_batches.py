@@ -6,7 +6,7 @@ import random
 
 import pytest
 
-from pagesmith import schemas
+from pagesmith import schemas, session
 from pagesmith.operators import markup
 from pagesmith.plans import jobs
 from pagesmith.sources import files, sinks
@@ -39,6 +39,39 @@ def test_batches_do_not_depend_on_partitions(spark, tmp_path, size, whole, parts
             assert len([f for f in os.listdir(os.path.join(out, folder)) if f.endswith(".json")]) == 1
 
 
+def test_small_batches_share_tasks(spark, tmp_path):
+    out = str(tmp_path / "b")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("small-batches", "")
+    try:
+        sinks.sink_json_batches(spark.range(200, numPartitions=2), out, 2, ["id"])
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    stages = {s for j in tracker.getJobIdsForGroup("small-batches") for s in tracker.getJobInfo(j).stageIds}
+    # partitions: 4 of a shuffle here; every batch had its own task before
+    assert max(tracker.getStageInfo(s).numTasks for s in stages if tracker.getStageInfo(s)) <= 4
+    back = spark.read.schema("id long, batch long").json(out)
+    assert back.count() == 200 and back.where("batch <> id div 2").count() == 0
+    assert all(len([f for f in os.listdir(os.path.join(out, b)) if f.endswith(".json")]) == 1 for b in os.listdir(out) if b.startswith("batch="))
+
+
+def test_many_paths_are_listed_by_few_tasks(spark, tmp_path, monkeypatch):
+    out, tracker, key = str(tmp_path / "b"), spark.sparkContext.statusTracker(), session.LISTING_TASKS
+    sinks.sink_json_batches(spark.range(80), out, 2, ["id"])
+    spark.sparkContext.setJobGroup("listing", "")
+    try:
+        files.scan_json_batches(spark, out, schemas.ARTICLE, layout="lines")
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(j).stageIds]
+    assert stages and max(s.numTasks for s in stages) <= 4  # shuffle partitions here; 40 folders were 40 tasks
+    during, sink = [], sinks.sink_json_batches
+    monkeypatch.setattr(sinks, "sink_json_batches", lambda *a, **k: (during.append(spark.conf.get(key, None)), sink(*a, **k)))
+    drop_pages(str(tmp_path / "html"), ["a"])
+    assert jobs.job_articles_stream(spark, *(str(tmp_path / x) for x in ("html", "out", "checkpoint"))).count() == 2
+    assert during and set(during) == {"4"} and spark.conf.get(key, None) is None
+
+
 def test_no_task_of_the_numbering_sees_all_rows(spark):
     df = sinks.batch_numbers(spark.range(1000), 10, ["id"])
     plan = df._jdf.queryExecution().executedPlan().toString()

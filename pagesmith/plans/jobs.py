@@ -10,7 +10,7 @@ from pagesmith import schemas
 from pagesmith.functions.text import language_label
 from pagesmith.functions.urls import path_basename
 from pagesmith.operators import fetch, langid, markup, pagination, reconcile, records
-from pagesmith.session import scratch_path
+from pagesmith.session import listed_in_few_tasks, scratch_path
 from pagesmith.sources import files, sinks, store
 
 SITE_PREFIX = "https://portal.example.org"
@@ -99,8 +99,9 @@ def job_articles_stream(spark: SparkSession, html_dir: str, out: str, checkpoint
         sinks.sink_json_batches(records.project_records(good, schemas.ARTICLE), f"{out}/micro_batch={number}")
         sinks.sink_json_batches(recs.where("_error is not null").select("path", "_error"), f"{out.rstrip('/')}-rejects/micro_batch={number}")
 
-    query = pages.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    query.awaitTermination()
+    with listed_in_few_tasks(spark):  # a micro-batch lists each of its files
+        query = pages.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        query.awaitTermination()
     return files.scan_json_batches(spark, out, schemas.ARTICLE, layout="lines").select(schemas.ARTICLE.names)
 
 

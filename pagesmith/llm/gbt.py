@@ -44,16 +44,16 @@ class Trees:
 
 
 def fit(x: np.ndarray, y: np.ndarray, trees: int = TREES, depth: int = DEPTH, rate: float = RATE, bins: int = BINS,
-        least: float = LEAST, weight: np.ndarray | None = None) -> Trees:
-    """Newton boosting of the logistic loss on binned features; rows weigh 1 or ``weight``.  One class only, or no
-    rows, gives its (smoothed) prior."""
+        least: float = LEAST, weight: np.ndarray | None = None, edges: list[np.ndarray] | None = None) -> Trees:
+    """Newton boosting of the logistic loss on binned features; rows weigh 1 or ``weight``; bins end at
+    quantiles, or at the ``edges`` given for each feature.  One class only, or no rows, gives its (smoothed) prior."""
     x, y = np.asarray(x, float), np.asarray(y, float)
     weight = np.ones(len(y)) if weight is None else np.asarray(weight, float)
     prior = ((weight * y).sum() + 1) / (weight.sum() + 2)
     model = Trees(bias=float(np.log(prior / (1 - prior))))
     if not len(y) or y.min() == y.max():
         return model
-    edges = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, bins)[1:-1])) for j in range(x.shape[1])]
+    edges = edges or [np.unique(np.quantile(x[:, j], np.linspace(0, 1, bins)[1:-1])) for j in range(x.shape[1])]
     binned = np.stack([np.searchsorted(e, x[:, j], side="left") for j, e in enumerate(edges)], 1)  # bin <= b  <=>  x <= edge b
     margin = np.full(len(y), model.bias)
     for _ in range(trees):

@@ -3,8 +3,9 @@
 One pass over the texts finds, per kind, the base spans (fixed patterns with their checks) and the candidates
 of a broader generator, with some characters of context.  Only these narrow rows are worked on afterwards.
 
-Boosted trees learn from a bounded sample (``TRAIN_CANDIDATES``, shared out among kinds and labels) which candidates hold a base span, from
-format (with checksums and number ranges) and context.  What merely spells a base pattern otherwise, such as
+Boosted trees learn from all candidates which of them hold a base span, from format (with checksums and number ranges) and
+context.  The learner sees a feature only by its bin, so the candidates are counted by kind, label and bins, and these counts,
+few as they are, train it; every kind's counts are scaled to its share of ``TRAIN_CANDIDATES``.  What merely spells a base pattern otherwise, such as
 the leading plus of a phone number or the at sign, is no feature.  A base span is thus a labelled positive
 and any other candidate is unlabelled, and scores are calibrated for that: the mean score of the labelled ones of
 a kind estimates how often a positive is labelled, and a candidate is selected when its score divided by that
@@ -18,9 +19,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagesmith.llm import gbt
-from pagesmith.llm.common import hash_sample, table
+from pagesmith.llm.common import drop, hash_sample, table
 
 TRAIN_CANDIDATES, THRESHOLD, CONTEXT = 20_000, 0.5, 24
+#: Bins per feature and kind, halved while the counts of binned candidates are more than ``VECTORS`` rows; no candidate is left out.
+KIND_BINS, VECTORS = 16, 50_000
 
 KINDS = ("email", "ip", "card", "phone")
 # Base patterns, written so that a failed attempt isn't repeated from within the same run of characters.
@@ -151,11 +154,40 @@ def training_sample(c: DataFrame, names: list[str], total: int) -> tuple[np.ndar
     return x, np.array([float(r["y"]) for r in rows]), np.array(weight)
 
 
+def _bin(name: str, edges: np.ndarray) -> Column:
+    return F.size(F.filter(F.array(*map(F.lit, edges.tolist())), lambda x: x < F.col(name)))
+
+
+def binned_candidates(c: DataFrame, names: list[str], total: int = TRAIN_CANDIDATES, bins: int = KIND_BINS, most: int = VECTORS
+                      ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Features (the upper edges of their bins), labels, weights, kinds and bin edges: a row per kind, label and bins that any
+    candidate has.  Bins end at each kind's own quantiles.  A row weighs its number of candidates, scaled so that a kind's
+    labelled ones have their share of ``total`` and its others keep their ratio to them."""
+    counts = {(r["kind"], r["y"]): r["n"] for r in c.groupBy("kind", "y").agg(F.count("*").alias("n")).collect()}
+    share = shares(counts, total)
+    scale = {k: share[k, (k, True) in counts] / counts[k, (k, True) in counts] for k, _ in counts}
+    while True:
+        at = [i / bins for i in range(1, bins)]
+        cuts = c.groupBy("kind").agg(*(F.percentile(n, at).alias(n) for n in names)).collect()  # a row per kind
+        edges = [np.unique(np.array([x for r in cuts for x in r[n]], float)) for n in names]
+        binned = [_bin(n, e).alias(n) for n, e in zip(names, edges) if len(e)]
+        found = table(c.select("kind", "y", *binned).groupBy("kind", "y", *(n for n, e in zip(names, edges) if len(e))).agg(F.count("*").alias("n_")), "pii-vectors")
+        if bins <= 2 or found.count() <= most:
+            break
+        drop(c.sparkSession, found)
+        bins //= 2
+    rows = sorted(found.collect(), key=tuple)  # sums of doubles in one order
+    tops = [np.append(e, e[-1] + 1) if len(e) else np.zeros(1) for e in edges]
+    x = np.array([[top[r[n]] if len(e) else 0.0 for n, e, top in zip(names, edges, tops)] for r in rows], float).reshape(len(rows), len(names))
+    return (x, np.array([float(r["y"]) for r in rows]), np.array([r["n_"] * scale[r["kind"]] for r in rows]), np.array([r["kind"] for r in rows], int), edges)
+
+
 def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD,
-           sample: int = TRAIN_CANDIDATES) -> DataFrame:
+           sample: int | None = None) -> DataFrame:
     """(id, base, added) per row of ``docs``: arrays of (kind, s, e), positions in code points, end exclusive, sorted
     by kind, start and end.  ``added`` are selected candidates that touch no base span.
 
+    The trees learn from all candidates, or from up to ``sample`` of them if that is given.
     Null, empty and blank texts have none.  Texts are searched whole; the work is in proportion to their length and matches.
     Generators take e-mail names of up to 64 characters and up to nine domain labels of 63; base patterns have no such bounds.  Rows with equal id and text get the same spans; null ids, repeated
     rows and extra columns are allowed.
@@ -176,10 +208,14 @@ def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thre
     c, names = candidate_features(c)
     c = table(c.select("id", "th", "kind", "s", "e", "touches", "y", *names), "pii-candidates")
 
-    x, y, weight = training_sample(c, names, sample)
-    model = gbt.fit(x, y, weight=weight)
-    p = model.probability(x)
-    labelled = {k: float(p[(y == 1) & (x[:, 0] == k)].mean()) if ((y == 1) & (x[:, 0] == k)).any() else 1.0 for k in range(4)}
+    if sample is None:
+        x, y, weight, kinds, edges = binned_candidates(c, names)
+        model = gbt.fit(x, y, weight=weight, edges=edges)
+    else:
+        x, y, weight = training_sample(c, names, sample)
+        model, kinds = gbt.fit(x, y, weight=weight), x[:, 0]
+    p, known = model.probability(x), [(y == 1) & (kinds == k) for k in range(4)]
+    labelled = [float(np.average(p[i], weights=weight[i])) if i.any() else 1.0 for i in known]
     score = 1 / (1 + F.exp(-F.expr(model.sql(names))))
     often = F.get(F.array(*(F.lit(labelled[k]) for k in range(4))), F.col("kind"))
     picked = (c.where(~F.col("touches")).where(score / often >= threshold).groupBy("id", "th")

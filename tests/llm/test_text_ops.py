@@ -213,6 +213,25 @@ def test_rare_kinds_are_trained_on_beside_a_hot_one(spark):
         assert "card:5:24" in spans[30], sample
 
 
+def test_all_candidates_train(spark):
+    import numpy as np
+
+    c = (spark.range(50_000).selectExpr("3 as kind", "id % 3 = 0 as y", "3D as f_kind", "double(id % 40) as f_n", "0D as f_none")
+         .unionByName(spark.range(8).selectExpr("2 as kind", "id % 4 = 0 as y", "2D as f_kind", "100D + id as f_n", "0D as f_none")))
+    for most in (50_000, 20):  # beyond that many counts bins are halved, and all candidates are still there
+        x, y, weight, kinds, edges = pii.binned_candidates(c, ["f_kind", "f_n", "f_none"], total=400, most=most)
+        assert len(y) <= most or most == 20
+        got = {(k, label): weight[(kinds == k) & (y == label)].sum() for k in (2, 3) for label in (0, 1)}
+        assert got[2, 1] == 2 and got[2, 0] == 6 and abs(got[3, 0] / got[3, 1] - 33_333 / 16_667) < 1e-9
+        assert all((np.isin(x[:, j], e) | (x[:, j] == e[-1] + 1)).all() for j, e in enumerate(edges))
+    assert len(pii.binned_candidates(c.where("false"), ["f_kind"])[1]) == 0
+    card = "card 4111 1111 1111 1111"
+    texts = [card] * 30 + ["card 4111.1111.1111.1111"] + [f"call +49 171 {1000000 + i}" for i in range(600)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    spans = {r.doc_id: r.spans for r in pii.detect(df).select("doc_id", pii.as_text(F.col("added")).alias("spans")).collect()}
+    assert "card:5:24" in spans[30]
+
+
 def test_trees_in_sql_equal_the_trees(spark):
     import numpy as np
 

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import math
 import zlib
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -84,7 +85,7 @@ class Dictionary:
         """The words of a text as they follow one another (numbers of the dictionary)."""
         if not len(self.size):
             return np.zeros(0, np.int64)
-        return np.fromiter((i for _, i in self.automaton.iter(f" {text.decode('latin-1')} ")), np.int64)
+        return np.fromiter(map(itemgetter(1), self.automaton.iter(f" {text.decode('latin-1')} ")), np.int64)
 
     def runs(self, text: bytes, buckets: int = BUCKETS) -> tuple[np.ndarray, int]:
         """(bucket of every feature, number of words)."""
@@ -119,8 +120,7 @@ def feature_counts(docs: DataFrame, text_col: str = "text", buckets: int = BUCKE
         for batch in batches:
             for _, texts in _blocks(batch.column(0)):
                 words = Dictionary(texts)
-                for text in texts:
-                    total += np.bincount(words.runs(text, buckets)[0], minlength=buckets)
+                total += np.bincount(np.concatenate([words.runs(text, buckets)[0] for text in texts]), minlength=buckets)
         at = np.flatnonzero(total)
         yield pa.record_batch([pa.array(at), pa.array(total[at])], ["bucket", "n"])
 

@@ -11,10 +11,12 @@ A 64-bit parity sketch of each set drops most other candidates (every word in wh
 bit, so sets that differ in few words have sketches that do).  The rest is verified on the words.
 
 Only the *existence* of an earlier match matters.  Words of at most ``COLD`` occurrences in the corpus have
-buckets of bounded length, which are joined with themselves.  Buckets of other words may hold thousands of
-similar lines and never give all their pairs: in one sorted pass every line meets the first and the last few earlier
-lines of its bucket, and only lines without a match so far meet the whole bucket.  Of a line's candidates the
-one with the nearest sketch is verified first, the others only if that fails.
+buckets of bounded length, which are joined with themselves.  Other words are frequent in any large corpus, so one of
+them says little: lines meet in buckets of two.  The prefix longer by one word holds the two rarest common words, so a
+line is indexed under the pairs of a frequent word of its prefix and a later word of the longer one.  Such a bucket is
+only long where many lines are alike, and never gives all its pairs: in one sorted pass every line meets the first and
+the last few earlier lines of its bucket, and only lines without a match so far meet the whole bucket.  Of a line's
+candidates the one with the nearest sketch is verified first, the others only if that fails.
 """
 
 from __future__ import annotations
@@ -24,13 +26,16 @@ from fractions import Fraction
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pagesmith.llm.common import drop, free_name, sized, stripped, table, words
+from pagesmith.llm.common import BROADCAST_ROWS, drop, free_name, sized, stripped, table, words
 
 THRESHOLD = Fraction(4, 5)
 #: Words share so many hash slots; a slot has the size class of its most frequent word, which orders its words.
 SLOTS = 1 << 18
 #: Size class of words with bounded buckets: up to 2 ** (COLD / 2) occurrences.
-COLD = 16
+COLD = 18
+#: Distinct words up to which lines meet by two frequent words; the pairs of a longer line would be too many, and it
+#: meets the lines of its size by one.
+LONG = 256
 #: Earlier lines of a long bucket that each line meets in the sorted pass, besides the first.
 LAGS = 3
 #: Removed line numbers up to which they are broadcast to the texts (8 bytes each at most).
@@ -49,6 +54,11 @@ def text_key(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return th if several else F.lit(0).cast("long")
 
 
+def _hashes() -> list[Column]:
+    """The columns ``LINE`` of a line."""
+    return [F.xxhash64("line").alias("h1"), F.xxhash64(F.lit("line"), "line").alias("h2")]
+
+
 def lines_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", key: Column | None = None) -> DataFrame:
     """(id, th, pos, line, h1, h2) of the lines that hold a word; pos counts all lines from 0; th is ``key``, the
     text's hash by default."""
@@ -56,7 +66,7 @@ def lines_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ke
     th = F.xxhash64(F.col(text_col)) if key is None else key
     return (docs.select(F.col(id_col).alias("id"), th.alias("th"), F.posexplode_outer(F.split(text, "\n")).alias("pos", "line"))
             .where(stripped(F.col("line")) != "")
-            .select("id", "th", "pos", "line", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit("line"), "line").alias("h2")))
+            .select("id", "th", "pos", "line", *_hashes()))
 
 
 def rarity(docs: DataFrame, text_col: str = "text") -> Column:
@@ -84,14 +94,24 @@ def _ordered(line: Column, classes: Column) -> Column:
 
 
 def _may_match(t: Fraction, a: str, b: str) -> str:
-    """SQL: sizes, positions of a shared word and sketches (n, i, sketch; aliases a, b) allow the overlap."""
+    """SQL: sizes, positions of a shared word (of two: before the second) and sketches (n, i, sketch; aliases a, b) allow the overlap."""
     p, q = t.numerator, t.denominator
     return (f"({p + q} * bit_count({a}.sketch ^ {b}.sketch) <= {q - p} * ({a}.n + {b}.n) "
             f"and {q} * least({a}.n, {b}.n) >= {p} * greatest({a}.n, {b}.n) "
             f"and {p + q} * least({a}.n - {a}.i, {b}.n - {b}.i) >= {p} * ({a}.n + {b}.n))")
 
 
-def _matched(pairs: DataFrame, lines: DataFrame, t: Fraction) -> DataFrame | None:
+def _lines_at(places: DataFrame, docs: DataFrame) -> DataFrame:
+    """(place, line) of the places; only the texts of their documents are split.  ``docs`` holds id, th and text."""
+    at = places.select("place.*").groupBy("id", "th").agg(F.collect_list("pos").alias("at"))  # at most a document's lines
+    at = F.broadcast(at) if places.count() <= BROADCAST_ROWS else at
+    same = F.col("d.id").eqNullSafe(F.col("x.id")) & (F.col("d.th") == F.col("x.th"))
+    split = docs.alias("d").join(at.alias("x"), same).select("d.id", "d.th", F.split("text", "\n").alias("lines"), "at")
+    picked = F.transform("at", lambda i: F.struct(i.alias("pos"), F.get("lines", i).alias("line")))
+    return split.select("id", "th", F.explode(picked).alias("p")).select(F.struct("id", "th", "p.pos").alias("place"), "p.line")
+
+
+def _matched(pairs: DataFrame, docs: DataFrame, t: Fraction) -> DataFrame | None:
     """(place, h1, h2) of the lines ``b`` with a match among their candidates ``a`` (both are places); None
     without candidates.  Wide sketches, which still tell long lines apart, are compared first; then the words
     of the nearest candidate; then, where that fails, of the others."""
@@ -100,8 +120,8 @@ def _matched(pairs: DataFrame, lines: DataFrame, t: Fraction) -> DataFrame | Non
     if pairs.isEmpty():
         return None
     ends = table(pairs.select(F.explode(F.array("a", "b")).alias("place")).distinct(), "lines-ends")
-    texts = lines.withColumn("place", F.struct("id", "th", "pos")).join(sized(ends), "place", "left_semi")
-    texts = texts.select("place", *LINE, "line", F.array_distinct(F.transform(words(F.col("line")), lambda x: F.xxhash64(x))).alias("w"))
+    texts = _lines_at(ends, docs).select("place", *_hashes(), "line", F.array_distinct(
+        F.transform(words(F.col("line")), lambda x: F.xxhash64(x))).alias("w"))
     texts = table(texts.select("place", *LINE, "line", F.size("w").alias("n"), F.expr(WIDE_SKETCH).alias("wide")), "lines-texts")
 
     one = lambda s: texts.select(F.col("place").alias(s), F.col("n").alias(f"n{s}"), F.col("wide").alias(f"w{s}"))
@@ -142,10 +162,17 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     keyed = distinct.select("id", "th", "pos", _ordered(F.col("line"), rarity(docs, text_col)).alias("w")).select(
         "id", "th", "pos", "w", F.size("w").alias("n"),
         F.expr("aggregate(w, 0L, (s, h) -> s ^ shiftleft(1L, cast(h & 63 as int)))").alias("sketch"))
-    prefix = F.expr(f"slice(w, 1, n - cast(ceil({p} * n / {q}) as int) + 1)")
-    index = keyed.select("id", "th", "pos", "n", "sketch", F.posexplode_outer(prefix).alias("i", "key")).where("i is not null").select(
-        "id", "th", "pos", "n", "i", "sketch", F.col("key").bitwiseAND(F.lit(0x7FFFFFFF)).cast("int").alias("word"),  # 31 bits name the bucket
-        (F.shiftrightunsigned("key", 56) > COLD).alias("hot"))
+    keyed = keyed.withColumn("least", F.expr(f"cast(ceil({p} * n / {q}) as int)"))  # common words that a match has at least
+    index = keyed.select("*", F.posexplode_outer(F.expr("slice(w, 1, n - least + 1)")).alias("i", "key")).where("i is not null")
+    index = index.withColumn("hot", F.shiftrightunsigned("key", 56) > COLD)
+    # what a word meets with: a later word of the longer prefix, or nothing (0).  Matches of a line beyond LONG have
+    # over LONG * threshold words; with one common word both lines have no more to have.
+    alone = f"not hot or least = 1 or {q} * n >= {p * LONG}"
+    other = F.expr(f"concat(if(hot and n <= {LONG}, slice(w, i + 2, n - least + 1 - i), array()), if({alone}, array(0L), array()))")
+    index = index.select("id", "th", "pos", "n", "sketch", "i", "key", "hot", F.posexplode_outer(other).alias("j", "other")).where("j is not null")
+    index = index.select("id", "th", "pos", "n", "sketch", "hot",
+                         F.expr("if(other = 0, i, i + j)").alias("i"),  # the second of two shared words stands at i + j + 1
+                         F.expr("if(hot, xxhash64(key, other) & 1099511627775, key & 2147483647)").alias("word"))  # 40 or 31 bits name the bucket
     index = table(index, "lines-index")
 
     # position and size of a row share a long: fewer bytes to shuffle
@@ -167,7 +194,8 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     seen = table(seen.alias("r").select("id", "th", "pos", "n", "i", "sketch", "word", "late", "early", near.alias("near"))
                  .where("late or early or size(near) > 0"), "lines-long")
     met_pairs = seen.select(F.explode("near").alias("a"), here.alias("b"))
-    found = _matched(pairs.unionByName(met_pairs), distinct, t)
+    texts = docs.select(F.col(id_col).alias("id"), (F.xxhash64(F.col(text_col)) if key is None else key).alias("th"), F.col(text_col).alias("text"))
+    found = _matched(pairs.unionByName(met_pairs), texts, t)
 
     columns = ["word", "id", "th", "pos", "n", "i", "sketch"]
     left = seen.where("late").withColumn("place", here)
@@ -175,7 +203,7 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         left = left.join(sized(found.select("place").distinct()), "place", "left_anti")
     rest = left.select(columns).alias("b").join(seen.where("early").select(columns).alias("a"), F.expr(
         f"a.word = b.word and {_may_match(t, 'a', 'b')} and struct(a.id, a.th, a.pos) < struct(b.id, b.th, b.pos)"))
-    more = _matched(rest.select(F.struct("a.id", "a.th", "a.pos").alias("a"), F.struct("b.id", "b.th", "b.pos").alias("b")), distinct, t)
+    more = _matched(rest.select(F.struct("a.id", "a.th", "a.pos").alias("a"), F.struct("b.id", "b.th", "b.pos").alias("b")), texts, t)
     matched = spark.createDataFrame([], "h1 bigint, h2 bigint")
     for x in (found, more):
         matched = matched if x is None else matched.unionByName(x.select(*LINE))

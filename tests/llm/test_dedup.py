@@ -127,6 +127,41 @@ def test_lines_equal_brute_force(spark, monkeypatch, cold):
         assert got[i].text == "\n".join(x for k, x in enumerate(text.split("\n")) if k not in want[i])
 
 
+def test_lines_that_share_one_frequent_word_do_not_meet(spark, monkeypatch):
+    """Frequent words alone gave buckets that every line without a match had to meet whole."""
+    monkeypatch.setattr(line_dedup, "COLD", 6)
+    rng, table, late = random.Random(3), line_dedup.table, []
+
+    def counted(df, name):
+        out = table(df, name)
+        if name == "lines-long":
+            late.append(out.where("late").count())
+        return out
+    monkeypatch.setattr(line_dedup, "table", counted)
+    rows = [(i, " ".join(f"w{k}" for k in rng.sample(range(400), 12))) for i in range(1500)]
+    rows += [(2000 + i, rows[i][1] + " more") for i in range(0, 1500, 100)]
+    got = line_dedup.deduplicate(spark.createDataFrame(rows, "doc_id long, text string"), removed_out="removed").collect()
+    assert {r.doc_id: r.removed or [] for r in got} == brute_lines(rows)
+    assert late[0] < len(rows) / 10
+
+
+@pytest.mark.parametrize("long", [3, 10, 20])
+def test_lines_around_the_size_limit_of_pairs(spark, monkeypatch, long):
+    """Lines on both sides of LONG, and of one word, still find each other where all words are frequent."""
+    monkeypatch.setattr(line_dedup, "COLD", -1)
+    monkeypatch.setattr(line_dedup, "LONG", long)
+    rng = random.Random(11)
+    lines = [rng.sample(range(60), rng.randint(1, 26)) for _ in range(50)]
+
+    def edit(line):
+        words = [x for x in line if rng.random() > 0.06] + [100 + rng.randrange(9) for _ in range(rng.randint(0, 2))]
+        rng.shuffle(words)
+        return " ".join(f"w{x}" for x in words or line) + rng.choice(["", " ", "  "])
+    rows = [(i, "\n".join(edit(rng.choice(lines)) for _ in range(3))) for i in range(150)]
+    got = line_dedup.deduplicate(spark.createDataFrame(rows, "doc_id long, text string"), removed_out="removed").collect()
+    assert {r.doc_id: r.removed or [] for r in got} == brute_lines(rows)
+
+
 @pytest.mark.parametrize("cold", [line_dedup.COLD, -1])
 def test_rows_of_equal_and_null_ids_lose_only_their_own_lines(spark, monkeypatch, cold):
     """Texts under one id are documents of their own, in the order id, text hash, line number."""

@@ -56,9 +56,13 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.cumprod(out, dtype=_U)
 
 
-def _bounded(words: list[bytes]) -> str:
-    """Words between spaces, a character per byte."""
-    return f" {b' '.join(words).decode('latin-1')} "
+def _spelt(codes: np.ndarray, n_codes: int) -> tuple[str, int]:
+    """Word numbers below ``n_codes`` as one string, and the characters of each: six bits a character, the highest first.
+    Each place of a word has characters of its own, so no match begins or ends inside a word."""
+    size = max(1, -(-(n_codes - 1).bit_length() // 6)) if n_codes else 1
+    places = np.arange(size)
+    letters = (codes.astype(np.int64)[:, None] >> 6 * (size - 1 - places) & 63) + 64 * places + 1
+    return letters.astype("<u4").tobytes().decode("utf-32-le"), size
 
 
 class Block:
@@ -80,10 +84,11 @@ class Block:
         self.key = (np.repeat(rank, sizes) << 40) + self.place
 
         distinct = pa.array(chain.from_iterable(self.words), pa.large_binary()).dictionary_encode()
-        digests = b"".join(map(xxhash.xxh3_128_digest, distinct.dictionary.to_pylist()))
+        digests = b"".join(map(xxhash.xxh3_128_digest, distinct.dictionary.to_numpy(zero_copy_only=False)))
         lanes, at = np.frombuffer(digests, ">u8").reshape(-1, 2).astype(_U), distinct.indices.to_numpy(zero_copy_only=False)
         power, self.inverse = _powers(_BASE, n), _powers(pow(_BASE, -1, 1 << 64), n)
         self.sums = [np.concatenate([np.zeros(1, _U), np.cumsum(lanes[at, k] * power[:n], dtype=_U)]) for k in (0, 1)]
+        self.codes, self.n_codes = at, len(distinct.dictionary)
         self._anchor()
 
     def hash(self, lane: int, start: np.ndarray, size) -> np.ndarray:
@@ -118,15 +123,13 @@ class Block:
         import ahocorasick
 
         shard, k, hit = ahocorasick.Automaton(ahocorasick.STORE_LENGTH), self.phrase, np.zeros(self.n + 1, bool)
-        owner = self.doc[patterns].tolist()
-        for p, d, start in zip(patterns, owner, self.starts[owner].tolist()):
-            shard.add_word(_bounded(self.words[d][p - start:p - start + k]))
+        text, size = _spelt(self.codes, self.n_codes)
+        for p in patterns:
+            shard.add_word(text[p * size:(p + k) * size])
         shard.make_automaton()
-        for start, words in zip(self.starts.tolist(), self.words):
-            if len(words) >= self.window:
-                ends = np.fromiter((e for e, _ in shard.iter(_bounded(words))), np.int64)
-                last = np.searchsorted(np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1), ends)
-                hit[last + (start - k + 1)] = True
+        # the documents follow one another: a match that runs into the next one begins no phrase of a window
+        ends = np.fromiter((e for e, _ in shard.iter(text)), np.int64)
+        hit[(ends + 1) // size - k] = True
         return np.flatnonzero(hit[self.at])
 
     def contexts(self, which: np.ndarray) -> np.ndarray:

@@ -78,3 +78,19 @@ def test_automaton_finds_every_phrase():
     some = b.at[::3]
     want = np.isin(b.hash(0, b.at, 3), b.hash(0, some, 3))
     assert b.located(some.tolist()).tolist() == np.flatnonzero(want).tolist()
+
+
+def test_spelt_words_keep_apart():
+    """The automaton reads word numbers, a few characters a word, whatever the length of the words."""
+    for n in (1, 2, 64, 65, 4096, 4097, 300_000):
+        codes = np.array([0, n - 1, n // 2, 0, n // 3])
+        text, size = repeats._spelt(codes, n)
+        words = [text[i * size:(i + 1) * size] for i in range(5)]
+        assert len(text) == 5 * size and 64 ** size >= n and [words.index(x) for x in words] == [codes.tolist().index(x) for x in codes.tolist()]
+        assert all(text.find(x) % size == 0 for x in words)
+    rng = random.Random(2)
+    texts = [" ".join("w" * 40 + str(rng.randrange(5000)) if rng.random() < 0.5 else "a" for _ in range(rng.randint(0, 300))).encode() for _ in range(60)]
+    b = repeats.Block(list(range(120)), texts * 2, 8, 3)
+    some = b.at[::4]
+    assert len(repeats._spelt(b.codes, b.n_codes)[0]) < len(b"".join(texts)) / 4
+    assert b.located(some.tolist()).tolist() == np.flatnonzero(np.isin(b.hash(0, b.at, 3), b.hash(0, some, 3))).tolist()

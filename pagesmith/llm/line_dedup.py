@@ -69,8 +69,8 @@ def lines_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ke
             .select("id", "th", "pos", "line", *_hashes()))
 
 
-def rarity(docs: DataFrame, text_col: str = "text") -> Column:
-    """A constant array: size class (twice the binary logarithm) of the most frequent word of every hash slot.
+def rarity(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """One row with an array of bytes: size class (twice the binary logarithm) of the most frequent word of every hash slot.
 
     Words are counted exactly over the whole corpus, and a slot takes the greatest count, not the sum: in a corpus of any
     size a rare word is only taken for a frequent one if it shares the slot of one.  The length is fixed, whatever
@@ -78,19 +78,19 @@ def rarity(docs: DataFrame, text_col: str = "text") -> Column:
     words_ = docs.select(F.explode_outer(words(F.col(text_col))).alias("w")).where("w is not null").select(F.xxhash64("w").alias("w"))
     counts = words_.groupBy("w").agg(F.count("*").alias("n"))
     by_slot = counts.groupBy(F.col("w").bitwiseAND(F.lit(SLOTS - 1)).cast("int").alias("slot")).agg(F.max("n").alias("n"))
-    packed = by_slot.select("slot", (F.col("slot") * 256 + F.floor(2 * F.log2(F.col("n") + 1)).cast("int")).alias("x"))
-    sizes = [0] * SLOTS
-    for r in packed.groupBy(F.shiftright("slot", 8).alias("part")).agg(F.collect_list("x").alias("xs")).collect():  # at most SLOTS numbers
-        for x in r["xs"]:
-            sizes[x >> 8] = x & 255
-    return F.split(F.lit(",".join(map(str, sizes))), ",").cast("array<int>")
+    packed = by_slot.select((F.col("slot") * 256 + F.floor(2 * F.log2(F.col("n") + 1)).cast("int")).alias("x"))
+    packed = packed.unionByName(docs.sparkSession.range(0, SLOTS, 1, 1).select((F.col("id") * 256).cast("int").alias("x")))
+    by_part = packed.groupBy(F.shiftright("x", 18).alias("part")).agg(F.array_sort(F.collect_list("x")).alias("xs"))  # 1024 slots, each once or twice
+    last = F.expr("filter(transform(xs, (x, i) -> if(shiftright(x, 8) <=> shiftright(get(xs, i + 1), 8), null, cast(x & 255 as tinyint))), x -> x is not null)")
+    by_part = by_part.select("part", last.alias("xs"))
+    return by_part.agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("part", "xs"))), lambda r: r["xs"])).alias("classes"))
 
 
-def _ordered(line: Column, classes: Column) -> Column:
+def _ordered(line: Column, classes: str) -> Column:
     """A line's distinct words as longs that sort from rare to frequent: size class, then hash."""
     hashes = F.array_distinct(F.transform(words(line), lambda x: F.xxhash64(x)))
-    return F.sort_array(F.transform(hashes, lambda h: F.shiftleft(
-        F.get(classes, h.bitwiseAND(F.lit(SLOTS - 1)).cast("int")).cast("long"), 56).bitwiseOR(F.shiftrightunsigned(h, 8))))
+    return F.sort_array(F.flatten(F.transform(F.array(classes), lambda c: F.transform(hashes, lambda h: F.shiftleft(
+        F.get(c, h.bitwiseAND(F.lit(SLOTS - 1)).cast("int")).cast("long"), 56).bitwiseOR(F.shiftrightunsigned(h, 8))))))
 
 
 def _may_match(t: Fraction, a: str, b: str) -> str:
@@ -159,7 +159,12 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     distinct = lines.join(sized(repeats), LINE, "left").where(F.col("first").isNull() | first_here)
 
     p, q = t.numerator, t.denominator
-    keyed = distinct.select("id", "th", "pos", _ordered(F.col("line"), rarity(docs, text_col)).alias("w")).select(
+    classes = table(rarity(docs, text_col), "lines-classes")
+    # a subquery, not a constant: the plan, which the driver prints and logs again and again, doesn't hold its values.  It is
+    # read where it stands (analysis wants a column of it first, the optimizer merges both selects) and is in no row.
+    ordered = distinct.select("id", "th", "pos", "line", classes.scalar().alias("classes")).select(
+        "id", "th", "pos", _ordered(F.col("line"), "classes").alias("w"))
+    keyed = ordered.select(
         "id", "th", "pos", "w", F.size("w").alias("n"),
         F.expr("aggregate(w, 0L, (s, h) -> s ^ shiftleft(1L, cast(h & 63 as int)))").alias("sketch"))
     keyed = keyed.withColumn("least", F.expr(f"cast(ceil({p} * n / {q}) as int)"))  # common words that a match has at least
@@ -212,7 +217,7 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     hits = table(repeats.join(matched, LINE, "full").select(*LINE, "first", "gone"), "lines-hits")
     away = lines.drop("line").join(sized(hits), LINE).where(F.col("gone").isNotNull() | ~first_here)
     out = table(away.groupBy("id", "th").agg(F.sort_array(F.collect_set("pos")).alias("removed")), "lines-removed")
-    drop(spark, index, seen, found, more, repeats, hits)
+    drop(spark, classes, index, seen, found, more, repeats, hits)
     return out.withColumnRenamed("id", id_col)
 
 

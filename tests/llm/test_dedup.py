@@ -211,3 +211,19 @@ def test_shuffled_join_gives_the_same_as_broadcast(spark, monkeypatch):
     assert {tuple(r) for r in line_dedup.deduplicate(df).collect()} == first
     assert common.free_name(df, "TEXT") == "TEXT_"
     assert df.agg(F.count("*")).first()[0] == 30
+
+
+def test_plans_do_not_hold_the_size_classes(spark, monkeypatch):
+    """As a constant in the plan they went through the driver's memory with every text of the plan."""
+    rows = [(i, f"alpha beta gamma delta epsilon {i % 3}\nzeta eta theta w{i}") for i in range(30)]
+    table, plans = line_dedup.table, {}
+
+    def planned(df, name):
+        out = table(df, name)
+        plans[name] = df._jdf.queryExecution().toString()
+        return out
+    monkeypatch.setattr(line_dedup, "table", planned)
+    line_dedup.deduplicate(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert max(map(len, plans.values())) < 200_000
+    physical = plans["lines-index"].split("== Physical Plan ==")[1]
+    assert "Subquery" in physical and " AS classes#" not in physical  # no row carries the array

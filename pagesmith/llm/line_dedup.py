@@ -30,7 +30,9 @@ from pagesmith.llm.common import BROADCAST_ROWS, drop, free_name, sized, strippe
 
 THRESHOLD = Fraction(4, 5)
 #: Words share so many hash slots; a slot has the size class of its most frequent word, which orders its words.
-SLOTS = 1 << 18
+SLOTS = 1 << 20
+#: Size class of a slot whose words occur once in the corpus: no other line holds such a word, so it is not indexed.
+ONCE = 2
 #: Size class of words with bounded buckets: up to 2 ** (COLD / 2) occurrences.
 COLD = 18
 #: Distinct words up to which lines meet by two frequent words; the pairs of a longer line would be too many, and it
@@ -132,17 +134,22 @@ def _matched(pairs: DataFrame, docs: DataFrame, t: Fraction) -> DataFrame | None
     best = table(near.groupBy("b").agg(F.min(F.struct("d", "a")).alias("m"), F.count("*").alias("k")).select("b", "m.a", "k"), "lines-best")
 
     def verified(some: DataFrame) -> DataFrame:
-        left = texts.select(F.col("place").alias("a"), F.col("line").alias("line_a"), F.col("n").alias("na"))
-        right = texts.select(F.col("place").alias("b"), *LINE, F.col("line").alias("line_b"), F.col("n").alias("nb"))
+        """Only the lines that ``some`` names are shuffled, where their places are few enough to be sent to the texts."""
+        places = table(some.select(F.explode(F.array("a", "b")).alias("place")).distinct(), "lines-places")
+        few = texts.join(F.broadcast(places), "place", "left_semi") if places.count() <= BROADCAST_ROWS else texts
+        left = few.select(F.col("place").alias("a"), F.col("line").alias("line_a"), F.col("n").alias("na"))
+        right = few.select(F.col("place").alias("b"), *LINE, F.col("line").alias("line_b"), F.col("n").alias("nb"))
         common = F.size(F.array_intersect(words(F.col("line_a")), words(F.col("line_b"))))
-        return some.select("a", "b").join(left, "a").join(right, "b").where((p + q) * common >= p * (F.col("na") + F.col("nb"))).select(
-            F.col("b").alias("place"), *LINE).distinct()
+        out = table(some.select("a", "b").join(left, "a").join(right, "b").where((p + q) * common >= p * (F.col("na") + F.col("nb"))).select(
+            F.col("b").alias("place"), *LINE).distinct(), "lines-verified")
+        drop(spark, places)
+        return out
 
-    found = table(verified(best), "lines-matched")
+    found = verified(best)
     failed = table(best.where("k > 1").join(sized(found.select(F.col("place").alias("b")).distinct()), "b", "left_anti")
                    .select("b", F.col("a").alias("tried")), "lines-failed")
     if not failed.isEmpty():
-        found = table(found.unionByName(verified(near.join(sized(failed), "b").where("a <> tried"))), "lines-matched")
+        found = table(found.unionByName(verified(near.join(sized(failed), "b").where("a <> tried"))), "lines-matched")  # no place twice
     drop(spark, pairs, ends, texts, near, best, failed)
     return found
 
@@ -168,7 +175,9 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "id", "th", "pos", "w", F.size("w").alias("n"),
         F.expr("aggregate(w, 0L, (s, h) -> s ^ shiftleft(1L, cast(h & 63 as int)))").alias("sketch"))
     keyed = keyed.withColumn("least", F.expr(f"cast(ceil({p} * n / {q}) as int)"))  # common words that a match has at least
-    index = keyed.select("*", F.posexplode_outer(F.expr("slice(w, 1, n - least + 1)")).alias("i", "key")).where("i is not null")
+    keyed = keyed.withColumn("w", F.expr("slice(w, 1, n - least + 2)"))  # the longer prefix: each index row is made from a copy of it
+    index = keyed.select("*", F.posexplode_outer(F.expr("slice(w, 1, n - least + 1)")).alias("i", "key")).where(
+        F.shiftrightunsigned("key", 56) > ONCE)
     index = index.withColumn("hot", F.shiftrightunsigned("key", 56) > COLD)
     # what a word meets with: a later word of the longer prefix, or nothing (0).  Matches of a line beyond LONG have
     # over LONG * threshold words; with one common word both lines have no more to have.

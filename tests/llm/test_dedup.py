@@ -227,3 +227,19 @@ def test_plans_do_not_hold_the_size_classes(spark, monkeypatch):
     assert max(map(len, plans.values())) < 200_000
     physical = plans["lines-index"].split("== Physical Plan ==")[1]
     assert "Subquery" in physical and " AS classes#" not in physical  # no row carries the array
+
+
+def test_words_that_occur_once_are_not_indexed(spark, monkeypatch):
+    rows = [(i, f"common words of all lines here u{i} v{i}\nonly{i} once{i} in{i} the{i} corpus{i}") for i in range(40)]
+    table, kept = line_dedup.table, {}
+
+    def counted(df, name):
+        out = table(df, name)
+        if name == "lines-index":
+            kept["lines"] = {(r.id, r.pos) for r in out.select("id", "pos").collect()}
+        return out
+    monkeypatch.setattr(line_dedup, "table", counted)
+    got = line_dedup.deduplicate(spark.createDataFrame(rows + [(99, rows[7][1].split("\n")[0] + " more")], "doc_id long, text string"),
+                                 removed_out="removed").collect()
+    assert kept["lines"] == {(7, 0), (99, 0)}
+    assert {r.doc_id: r.removed or [] for r in got} == brute_lines(rows + [(99, rows[7][1].split("\n")[0] + " more")])

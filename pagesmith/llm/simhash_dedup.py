@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from pagesmith.llm.common import drop, free_name, table
 from pagesmith.llm.components import connected_components
+from pagesmith.session import bounded_batches
 
 SEED = 42
 BLOCK = 1 << 15
@@ -128,7 +129,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     spark = docs.sparkSession
     d = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
-    d = table(d.select("id", simhash(F.col("t"), shingle).alias("fp"), F.xxhash64("t").alias("text_hash")), "simhash-docs")
+    with bounded_batches(spark):  # a batch by rows alone is a task's whole share of the texts
+        d = table(d.select("id", simhash(F.col("t"), shingle).alias("fp"), F.xxhash64("t").alias("text_hash")), "simhash-docs")
     comps = link_fingerprints(d, distance)
     low = d.groupBy("fp").agg(F.min("id").alias("low"))
     classes = comps.join(low, "fp")

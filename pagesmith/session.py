@@ -14,6 +14,29 @@ from contextlib import contextmanager
 from pyspark.sql import SparkSession
 
 
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+#: Bytes of a batch of whole texts: a task holds a batch as rows, as Arrow buffers and as Python strings at once.
+TEXT_BATCH = 4 << 20
+
+
+def bound_batches(spark: SparkSession, most: int = TEXT_BATCH) -> None:
+    """From now on batches that cross to Python have at most about ``most`` bytes (a row more); a lower limit of the session stays."""
+    now = spark.conf.get(ARROW_BYTES, None)
+    if now is None or spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(now) > most:
+        spark.conf.set(ARROW_BYTES, str(most))
+
+
+@contextmanager
+def bounded_batches(spark: SparkSession, most: int = TEXT_BATCH):
+    """``bound_batches`` for what runs inside."""
+    before = spark.conf.get(ARROW_BYTES, None)
+    bound_batches(spark, most)
+    try:
+        yield
+    finally:
+        spark.conf.unset(ARROW_BYTES) if before is None else spark.conf.set(ARROW_BYTES, before)
+
+
 def get_session(master: str | None = None, app: str = "pagesmith",
                 shuffle_partitions: int | None = None, extra: dict | None = None,
                 checkpoint_dir: str | None = None) -> SparkSession:
@@ -31,7 +54,7 @@ def get_session(master: str | None = None, app: str = "pagesmith",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         # whole pages and texts cross to Python: batches are bounded by bytes, not rows alone
-        "spark.sql.execution.arrow.maxBytesPerBatch": str(32 << 20),
+        ARROW_BYTES: str(32 << 20),
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     }

@@ -89,10 +89,12 @@ def rarity(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def _ordered(line: Column, classes: str) -> Column:
-    """A line's distinct words as longs that sort from rare to frequent: size class, then hash."""
-    hashes = F.array_distinct(F.transform(words(line), lambda x: F.xxhash64(x)))
-    return F.sort_array(F.flatten(F.transform(F.array(classes), lambda c: F.transform(hashes, lambda h: F.shiftleft(
-        F.get(c, h.bitwiseAND(F.lit(SLOTS - 1)).cast("int")).cast("long"), 56).bitwiseOR(F.shiftrightunsigned(h, 8))))))
+    """A line's distinct words as longs that sort from rare to frequent: size class, then hash.  Lambdas are slow, so only
+    hashing and marking are in them; without nulls, longs are told apart and sorted by compiled code."""
+    mark = lambda h: F.shiftleft(F.get(F.col(classes), h.bitwiseAND(F.lit(SLOTS - 1)).cast("int")).cast("long"), 56)
+    hashes = F.transform(words(line), lambda x: F.xxhash64(x))
+    return F.sort_array(F.array_distinct(F.transform(hashes, lambda h: F.coalesce(
+        mark(h).bitwiseOR(F.shiftrightunsigned(h, 8)), F.lit(0).cast("long")))))
 
 
 def _may_match(t: Fraction, a: str, b: str) -> str:
@@ -175,22 +177,28 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "id", "th", "pos", "w", F.size("w").alias("n"),
         F.expr("aggregate(w, 0L, (s, h) -> s ^ shiftleft(1L, cast(h & 63 as int)))").alias("sketch"))
     keyed = keyed.withColumn("least", F.expr(f"cast(ceil({p} * n / {q}) as int)"))  # common words that a match has at least
-    keyed = keyed.withColumn("w", F.expr("slice(w, 1, n - least + 2)"))  # the longer prefix: each index row is made from a copy of it
-    index = keyed.select("*", F.posexplode_outer(F.expr("slice(w, 1, n - least + 1)")).alias("i", "key")).where(
-        F.shiftrightunsigned("key", 56) > ONCE)
-    index = index.withColumn("hot", F.shiftrightunsigned("key", 56) > COLD)
-    # what a word meets with: a later word of the longer prefix, or nothing (0).  Matches of a line beyond LONG have
+    # a row a line with its longer prefix; lines whose prefix has only words that occur once go.  (Through a generator:
+    # a condition on w would be moved below, and w made twice.)
+    kept = F.expr(f"if(shiftrightunsigned(get(w, n - least), 56) > {ONCE}, array(slice(w, 1, n - least + 2)), array())")
+    index = table(keyed.select("id", "th", "pos", "n", "least", "sketch", F.explode_outer(kept).alias("w")).where("w is not null"), "lines-index")
+
+    def entries(of: DataFrame, *columns: str) -> DataFrame:
+        return of.select("id", "th", "pos", "n", "sketch", *columns, F.posexplode_outer(F.expr("slice(w, 1, n - least + 1)")).alias("i", "key"))
+
+    # what a frequent word meets with: a later word of the longer prefix, or nothing (0).  Matches of a line beyond LONG have
     # over LONG * threshold words; with one common word both lines have no more to have.
-    alone = f"not hot or least = 1 or {q} * n >= {p * LONG}"
-    other = F.expr(f"concat(if(hot and n <= {LONG}, slice(w, i + 2, n - least + 1 - i), array()), if({alone}, array(0L), array()))")
-    index = index.select("id", "th", "pos", "n", "sketch", "i", "key", "hot", F.posexplode_outer(other).alias("j", "other")).where("j is not null")
-    index = index.select("id", "th", "pos", "n", "sketch", "hot",
-                         F.expr("if(other = 0, i, i + j)").alias("i"),  # the second of two shared words stands at i + j + 1
-                         F.expr("if(hot, xxhash64(key, other) & 1099511627775, key & 2147483647)").alias("word"))  # 40 or 31 bits name the bucket
-    index = table(index, "lines-index")
+    alone = f"least = 1 or {q} * n >= {p * LONG}"
+    other = F.expr(f"concat(if(n <= {LONG}, slice(w, i + 2, n - least + 1 - i), array()), if({alone}, array(0L), array()))")
+    hot = entries(index.where(F.expr(f"shiftrightunsigned(get(w, n - least), 56) > {COLD}")), "least", "w").where(
+        F.shiftrightunsigned("key", 56) > COLD)
+    hot = hot.select("id", "th", "pos", "n", "sketch", "i", "key", F.posexplode_outer(other).alias("j", "other")).where("j is not null")
+    hot = hot.select("id", "th", "pos", "n", "sketch",
+                     F.expr("if(other = 0, i, i + j)").alias("i"),  # the second of two shared words stands at i + j + 1
+                     F.expr("xxhash64(key, other) & 1099511627775").alias("word"))  # 40 bits name the bucket
 
     # position and size of a row share a long: fewer bytes to shuffle
-    cold = index.where("not hot").select("id", "th", "word", "sketch", F.expr("shiftleft(cast(pos as bigint), 32) | i").alias("pi"), "n")
+    cold = entries(index).where(F.shiftrightunsigned("key", 56).between(ONCE + 1, COLD))
+    cold = cold.select("id", "th", F.expr("key & 2147483647").alias("word"), "sketch", F.expr("shiftleft(cast(pos as bigint), 32) | i").alias("pi"), "n")
     side = lambda x: F.expr(f"struct({x}.id as id, {x}.th as th, cast(shiftright({x}.pi, 32) as int) as pos)")
     allowed = _may_match(t, "a", "b").replace("a.i", "(a.pi & 4294967295)").replace("b.i", "(b.pi & 4294967295)")
     pairs = cold.alias("a").join(cold.alias("b"), F.expr(
@@ -200,7 +208,7 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     entry, w = F.struct("id", "th", "pos", "n", "i", "sketch"), Window.partitionBy("word").orderBy("id", "th", "pos")
     met = [F.first(entry).over(w), *(F.lag(entry, k).over(w) for k in range(1, LAGS + 1))]
     # late: an earlier line of the bucket was not met; early: a later line of it did not meet this one
-    seen = index.where("hot").select("*", F.array(*met).alias("met"), F.lag("n", LAGS + 1).over(w).isNotNull().alias("late"),
+    seen = hot.select("*", F.array(*met).alias("met"), F.lag("n", LAGS + 1).over(w).isNotNull().alias("late"),
                                      F.lead("n", LAGS + 1).over(w).isNotNull().alias("early"))
     near = F.expr("transform(filter(met, m -> m is not null and struct(m.id, m.th, m.pos) <> struct(id, th, pos) and "
                   + _may_match(t, "m", "r") + "), m -> struct(m.id, m.th, m.pos))")

@@ -36,8 +36,9 @@ def job_publishers(facet_pages: DataFrame, out: str, mode: str = markup.PERMISSI
 
 def job_publishers_from_files(spark: SparkSession, html_dir: str, out: str, pattern: str = "*.html") -> dict[str, DataFrame]:
     """The same from a folder of saved search pages; files that aren't UTF-8 are rejects, too."""
-    res = job_publishers(files.scan_html_pages(spark, html_dir, pattern), out, key="file_name")
-    return res | {"rejects": res["rejects"].unionByName(files.html_rejects(spark, html_dir, pattern))}
+    pages, bad = files.html_pages(spark, html_dir, pattern)
+    res = job_publishers(pages, out, key="file_name")
+    return res | {"rejects": res["rejects"].unionByName(bad)}
 
 
 def job_listing_urls(spark: SparkSession, publishers_path: str, out: str, prefix: str = SITE_PREFIX,
@@ -63,7 +64,7 @@ def job_articles(spark: SparkSession, html_dir: str, out: str, batch_size: int =
     """Listing HTML files -> article records in JSON batches; ``rejects``: (file_name, _error) of the files that are not UTF-8
     or that the parser can't handle (``mode='FAILFAST'`` ends the job on the latter).  ``ordered``: batches of whole pages
     in the order of their paths.  The files are parsed once."""
-    pages = files.scan_html_pages(spark, html_dir, pattern)
+    pages, bad = files.html_pages(spark, html_dir, pattern)
     parsed = _written(markup.extract_records(pages, markup.ARTICLE_FIELDS, markup.ARTICLE_CARD, ("path", "file_name"), mode=mode, with_errors=True),
                       "article-records")
     arts = markup.clean_articles(parsed.where("_error is null"), ("path",))
@@ -72,7 +73,7 @@ def job_articles(spark: SparkSession, html_dir: str, out: str, batch_size: int =
     else:
         sinks.sink_json_batches(records.project_records(arts, schemas.ARTICLE), out, batch_size)
     back = files.scan_json_batches(spark, out, schemas.ARTICLE, layout="lines").select(schemas.ARTICLE.names)
-    rejects = parsed.where("_error is not null").select("file_name", "_error").unionByName(files.html_rejects(spark, html_dir, pattern))
+    rejects = parsed.where("_error is not null").select("file_name", "_error").unionByName(bad)
     return {"articles": back, "rejects": rejects}
 
 
@@ -153,9 +154,9 @@ def job_download_links_from_files(spark: SparkSession, html_dir: str, out: str,
                                   batch_size: int = sinks.BATCH_ROWS) -> dict[str, DataFrame]:
     """The same from a folder of HTML files: the file's base name is kept with each link; files that aren't UTF-8 are
     misses and rejects."""
-    pages = files.scan_html_pages(spark, html_dir, pattern)
+    pages, bad = files.html_pages(spark, html_dir, pattern)
     res = job_download_links(pages.select(path_basename("path").alias("filename"), "html"), out, batch_size)
-    bad = files.html_rejects(spark, html_dir, pattern).select(F.col("file_name").alias("filename"), "_error")
+    bad = bad.select(F.col("file_name").alias("filename"), "_error")
     return res | {"misses": res["misses"].unionByName(bad.select("filename")), "rejects": res["rejects"].unionByName(bad)}
 
 

@@ -1,76 +1,179 @@
-"""File sources: Spark's own readers, and Arrow batches for the files those pass over.  Contents are only read in tasks."""
+"""File sources: Spark's own readers, and Arrow batches for folders of whole files.  Contents are only read in tasks."""
 
 from __future__ import annotations
 
+import os
+import re
+from itertools import islice
+from unicodedata import category
+from urllib.parse import quote
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagesmith.functions.text import strip_text
-from pagesmith.session import listed_in_few_tasks
+from pagesmith.session import TEXT_BATCH, listed_in_few_tasks, scratch_path
 
 BAD_UTF8 = "invalid UTF-8"
 NOT_JSON, NOT_ARRAY, BAD_ITEM = "malformed JSON", "not an array of objects", "bad item"
 SPARK_MARKS = ("_SUCCESS", "_committed_", "_started_", "_delta_log", "_spark_metadata")
-
-
-def _passed_over(spark: SparkSession, directory: str, suffix: str) -> DataFrame:
-    """(path, file_name, value) of the files that Spark's readers pass over: empty ones, and those whose names start with
-    '_' or '.' (its own markers and checksums are left out).  One task lists the folder, the names are dealt to others
-    that read."""
-    def opened(path):
-        from pyarrow import fs
-
-        local = path.startswith("file:") or "://" not in path
-        return (fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")) if local else fs.FileSystem.from_uri(path)
+#: What Hadoop's codecs unpack and pyarrow doesn't, or otherwise.
+SPARK_UNPACKS = (".deflate", ".lz4", ".snappy", ".zst")
+LISTING = "name string, bytes bigint, hidden boolean, spark_only boolean"
+
+
+def _opener(folder: str):
+    """-> (pyarrow's file system, the folder's name there)."""
+    from pyarrow import fs
+
+    local = folder.startswith("file:") or "://" not in folder
+    return (fs.LocalFileSystem(), "/" + folder.removeprefix("file:").lstrip("/")) if local else fs.FileSystem.from_uri(folder)
+
+
+def _entries(folder: str):
+    """(name, whether it is a folder, bytes) of what a folder holds; entry by entry where it is local."""
+    from pyarrow import fs
+
+    where, at = _opener(folder)
+    if not isinstance(where, fs.LocalFileSystem):
+        for x in where.get_file_info(fs.FileSelector(at)):
+            if x.type in (fs.FileType.Directory, fs.FileType.File):
+                yield x.base_name, x.type == fs.FileType.Directory, x.size or 0
+        return
+    with os.scandir(at) as found:
+        for x in found:
+            try:
+                if (is_folder := x.is_dir()) or x.is_file():
+                    yield x.name, is_folder, x.stat().st_size
+            except FileNotFoundError:  # gone meanwhile
+                pass
+
+
+def _seen(name: str) -> bool:
+    """Whether Spark's readers take the name."""
+    return name[0] != "." and (name[0] != "_" or "=" in name)
+
+
+def _partitioned(folder: str, name: str) -> bool:
+    """Whether a folder within ``folder`` is a partition folder, or holds one."""
+    below = f"{folder}/{name}"
+    return _seen(name) and ("=" in name or any(is_folder and _partitioned(below, x) for x, is_folder, _ in _entries(below)))
+
+
+def _uri_part(name: str) -> str:
+    """The name as Java writes it in a URI's path."""
+    return "".join(c if c in "_-!.~'()*:@&=+$,;" or (c.isalnum() if c < "\x7f" else category(c) not in ("Zs", "Zl", "Zp", "Cc")) else quote(c) for c in name)
+
+
+def _listed(spark: SparkSession, folder: str, suffix: str) -> DataFrame:
+    """LISTING of a folder's files, written by one task: Spark's readers would keep every file in the driver, several times.
+    ``hidden`` are those that Spark's readers pass over: empty ones, and names that start with '_' or '.' (its own markers and
+    checksums are left out).  ``spark_only`` are files that only Spark unpacks; a row without a name stands for partition folders."""
+    names = spark._jvm.org.apache.hadoop.fs.GlobPattern("*" + suffix).compiled().pattern()
+    path = scratch_path(spark, "listing")
+
+    def rows(folder):
+        matches, parts = re.compile(names, re.DOTALL).fullmatch, False
+        for name, is_folder, size in _entries(folder):
+            if is_folder:
+                parts = parts or _partitioned(folder, name)
+            elif _seen(name) and size:
+                if matches(name) and not name.endswith("._COPYING_"):
+                    yield name, size, False, name.endswith(SPARK_UNPACKS)
+            elif name.endswith(suffix) and not name.endswith(".crc") and not name.startswith(SPARK_MARKS):
+                yield name, size, True, False
+        if parts:
+            yield None, 0, False, True
 
     def listed(batches):
-        from pyarrow import fs
-
+        schema = pa.schema([("name", pa.string()), ("bytes", pa.int64()), ("hidden", pa.bool_()), ("spark_only", pa.bool_())])
         for batch in batches:
             for folder in batch.column(0).to_pylist():
-                where, name = opened(folder)
-                for f in where.get_file_info(fs.FileSelector(name)):
-                    if f.type == fs.FileType.File and (f.base_name[0] in "_." or f.size == 0) and f.base_name.endswith(suffix) \
-                            and not f.base_name.endswith(".crc") and not f.base_name.startswith(SPARK_MARKS):
-                        yield pa.record_batch([pa.array([f"{folder.rstrip('/')}/{f.base_name}"])], ["path"])
+                found = rows(folder)
+                while some := [*islice(found, 10_000)]:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*some), schema)], schema=schema)
+
+    spark.createDataFrame([(folder,)], "folder string").mapInArrow(listed, LISTING).write.parquet(path)
+    return spark.read.schema(LISTING).parquet(path)
+
+
+def _contents(listed: DataFrame, directory: str, folder: str, uri: str, tasks: int) -> DataFrame:
+    """(path, file_name, value) of the listed files, dealt to ``tasks``, with the paths and names that Spark's readers give."""
+    def batch_of(rows):
+        path, name, value = zip(*rows)
+        return pa.record_batch([pa.array(path, pa.string()), pa.array(name, pa.string()), pa.array(value, pa.binary())], ["path", "file_name", "value"])
 
     def read(batches):
+        where, at = _opener(folder)
         for batch in batches:
-            for path in batch.column(0).to_pylist():
-                where, name = opened(path)
-                with where.open_input_stream(name) as f:
+            rows, size = [], 0
+            for name, hidden in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                codec = "detect" if hidden else "gzip" if name.endswith(".gz") else "bz2" if name.endswith(".bz2") else None
+                with where.open_input_stream(f"{at}/{name}", compression=codec) as f:
                     data = f.read()
-                yield pa.record_batch([pa.array([path]), pa.array([path.rsplit("/", 1)[1]]), pa.array([data], pa.binary())], ["path", "file_name", "value"])
+                rows.append((f"{directory}/{name}", name, data) if hidden else (f"{uri}/{_uri_part(name)}", _uri_part(name), data))
+                size += len(data)
+                if size >= TEXT_BATCH:
+                    yield batch_of(rows)
+                    rows, size = [], 0
+            if rows:
+                yield batch_of(rows)
 
-    paths = spark.createDataFrame([(directory,)], "path string").mapInArrow(listed, "path string").repartition("path")
-    return paths.mapInArrow(read, "path string, file_name string, value binary").withColumn("value", F.col("value").cast("string"))
+    names = listed.select("name", "hidden").repartition(tasks, "name")
+    return names.mapInArrow(read, "path string, file_name string, value binary").withColumn("value", F.col("value").cast("string"))
+
+
+def _spark_files(spark: SparkSession, directory: str, suffix: str) -> DataFrame:
+    df = spark.read.text(directory, wholetext=True, pathGlobFilter="*" + suffix)
+    parts = [c for c in df.columns if c != "value"]
+    return df.select(*parts, F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("file_name"), "value")
 
 
 def whole_files(spark: SparkSession, directory: str, suffix: str = "", every: bool = True) -> DataFrame:
     """(path, file_name, value) of every file of one directory (not recursive) whose name ends with ``suffix``, as one
     string each; empty files and names that start with '_' or '.' are read, too.  Bytes are not checked here: see
-    ``is_valid_utf8``.  Columns of discovered partition folders come first.  ``every=False`` leaves out what Spark's readers
-    pass over, for a store that only Spark can read."""
-    df = spark.read.text(directory, wholetext=True, pathGlobFilter="*" + suffix)
-    parts = [c for c in df.columns if c != "value"]
-    df = df.select(*parts, F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("file_name"), "value")
-    return df.unionByName(_passed_over(spark, directory, suffix), allowMissingColumns=True) if every else df
+    ``is_valid_utf8``.  The files are listed when this is called, by one task into the shared folder; names are dealt to tasks
+    that read, and the driver holds none.  Only a directory with discovered partition folders (their columns come first), or
+    with files of SPARK_UNPACKS, is read by Spark's reader, whose driver holds every file.  ``every=False`` leaves out
+    what Spark's readers pass over, for a store that only Spark can read; it is read by them."""
+    if not every:
+        return _spark_files(spark, directory, suffix)
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(directory)
+    store = hadoop.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if not store.exists(hadoop):
+        _spark_files(spark, directory, suffix)  # its error
+    hadoop = store.makeQualified(hadoop)
+    folder, path = hadoop.toString(), hadoop.toUri()
+    uri = folder.removesuffix(path.getPath()) + path.getRawPath()
+    listed = _listed(spark, folder, suffix)
+    found = listed.agg(F.count("name").alias("files"), F.sum("bytes").alias("bytes"), F.bool_or("spark_only").alias("spark_only")).first()
+    task_bytes = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-(found.bytes or 0) // task_bytes))
+    contents = lambda names: _contents(names, directory.rstrip("/"), folder, uri.rstrip("/"), max(1, min(tasks, found.files)))
+    if not found.spark_only:
+        return contents(listed)
+    return _spark_files(spark, directory, suffix).unionByName(contents(listed.where("hidden")), allowMissingColumns=True)
+
+
+def html_pages(spark: SparkSession, directory: str, pattern: str = "*.html") -> tuple[DataFrame, DataFrame]:
+    """``scan_html_pages`` and ``html_rejects`` of one listing."""
+    files = whole_files(spark, directory, pattern.removeprefix("*"))
+    return (files.where(F.is_valid_utf8("value")).withColumnRenamed("value", "html"),
+            files.where(~F.is_valid_utf8("value")).select("file_name", F.lit(BAD_UTF8).alias("_error")))
 
 
 def scan_html_pages(spark: SparkSession, directory: str, pattern: str = "*.html") -> DataFrame:
     """Every file of one directory (not recursive) whose name matches ``*<suffix>``, whole, as one UTF-8 string.
     -> (path, file_name, html).  File order is not defined.  Names that start with '_' or '.' are read as well.  Files
     that are not valid UTF-8 are left out and told by ``html_rejects``."""
-    files = whole_files(spark, directory, pattern.removeprefix("*"))
-    return files.where(F.is_valid_utf8("value")).withColumnRenamed("value", "html")
+    return html_pages(spark, directory, pattern)[0]
 
 
 def html_rejects(spark: SparkSession, directory: str, pattern: str = "*.html") -> DataFrame:
     """(file_name, _error): the files that ``scan_html_pages`` leaves out."""
-    files = whole_files(spark, directory, pattern.removeprefix("*"))
-    return files.where(~F.is_valid_utf8("value")).select("file_name", F.lit(BAD_UTF8).alias("_error"))
+    return html_pages(spark, directory, pattern)[1]
 
 
 def _json(spark: SparkSession, path: str, schema: T.StructType, layout: str, pattern: str | None) -> DataFrame:

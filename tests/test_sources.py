@@ -89,6 +89,56 @@ def test_every_html_file_is_read_or_rejected(spark, tmp_path):
     assert {r.file_name for r in files.whole_files(spark, d, ".html", every=False).collect()} == {"plain.html", "bad.html"}
 
 
+def test_the_driver_holds_no_list_of_a_folder(spark, tmp_path):
+    d, tracker = str(tmp_path / "html"), spark.sparkContext.statusTracker()
+    for n in range(300):
+        write(d, f"p{n}.html", f"<h1>{n}</h1>")
+    spark.sparkContext.setJobGroup("folder", "")
+    try:
+        pages = files.scan_html_pages(spark, d)
+        assert {(r.file_name, r.html) for r in pages.collect()} == {(f"p{n}.html", f"<h1>{n}</h1>") for n in range(300)}
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    assert len(pages.inputFiles()) < 10  # the plan's file index had all 300
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("folder") for s in tracker.getJobInfo(j).stageIds]
+    assert max(s.numTasks for s in stages if s) <= 4  # shuffle partitions here
+
+
+def test_odd_names_are_read_as_by_spark(spark, tmp_path):
+    import bz2
+    import gzip
+    d = str(tmp_path / "odd dir%20")
+    for name in ("a b.html", "a%20b.html", "é.html", "q?x.html", "[b].html", "t~'()*!$&+,;@=.html", "nl\nx.html", "e\u00a0f.html", "x.htm", "y.html._COPYING_"):
+        write(d, name, name)
+    for name, packed in (("g.html.gz", gzip.compress), ("b.html.bz2", bz2.compress)):
+        with open(os.path.join(d, name), "wb") as f:
+            f.write(packed(b"one") + packed(b"two"))
+    for suffix in (".html", "", ".htm?", "{.gz,.bz2}"):
+        got, want = (sorted(map(tuple, files.whole_files(spark, d, suffix, every).collect())) for every in (True, False))
+        assert got == want and got
+    write(d, "_x=1.html", "once")  # Spark's readers take this one
+    assert [r.value for r in files.whole_files(spark, d, "x=1.html").collect()] == ["once"]
+
+
+def test_partition_folders_give_columns(spark, tmp_path):
+    d = str(tmp_path / "parts")
+    write(d + "/k=1", "a.html", "a")
+    write(d + "/k=2", "b.html", "b")
+    write(d, "_c.html", "c")
+    df = files.whole_files(spark, d, ".html")
+    assert df.columns == ["k", "path", "file_name", "value"]
+    assert {(r.k, r.file_name, r.value) for r in df.collect()} == {(1, "a.html", "a"), (2, "b.html", "b"), (None, "_c.html", "c")}
+
+
+def test_no_folder_and_an_empty_one(spark, tmp_path):
+    import pytest
+    from pyspark.errors import AnalysisException
+    with pytest.raises(AnalysisException):
+        files.scan_html_pages(spark, str(tmp_path / "none"))
+    os.makedirs(tmp_path / "empty")
+    assert files.scan_html_pages(spark, str(tmp_path / "empty")).collect() == []
+
+
 def test_scan_url_list_blank_lines(spark, tmp_path):
     d = str(tmp_path / "u")
     write(d, "urls.txt", "  http://a \n\n\thttp://b\r\n   \n")

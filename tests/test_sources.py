@@ -139,6 +139,21 @@ def test_no_folder_and_an_empty_one(spark, tmp_path):
     assert files.scan_html_pages(spark, str(tmp_path / "empty")).collect() == []
 
 
+def test_links_of_a_folder_hold_no_list_in_the_driver(spark, tmp_path):
+    from pagesmith.plans import jobs
+    d = str(tmp_path / "html")
+    for n in range(60):
+        meta = f'<meta name="citation_pdf_url" content="/{n}.pdf">' if n % 3 else "<p>none</p>"
+        write(d, f"p{n}.html", meta)
+    with open(os.path.join(d, "bad.html"), "wb") as f:
+        f.write(b"<h1>caf\xe9</h1>")
+    res = jobs.job_download_links_from_files(spark, d, str(tmp_path / "links"))
+    assert {(r.filename, r.url) for r in res["links"].collect()} == {(f"p{n}.html", f"/{n}.pdf") for n in range(60) if n % 3}
+    assert sorted(r.filename for r in res["misses"].collect()) == sorted([f"p{n}.html" for n in range(60) if n % 3 == 0] + ["bad.html"])
+    assert [tuple(r) for r in res["rejects"].collect()] == [("bad.html", "invalid UTF-8")]
+    assert not any(x.endswith(".html") for x in res["misses"].inputFiles())
+
+
 def test_scan_url_list_blank_lines(spark, tmp_path):
     d = str(tmp_path / "u")
     write(d, "urls.txt", "  http://a \n\n\thttp://b\r\n   \n")
